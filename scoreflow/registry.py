@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from scoreflow.operators.features import feature_store_from_dir
 from scoreflow.operators.filters import drop_unlabelled, filter_recent
 from scoreflow.operators.profile import feature_columns_profile
+from scoreflow.operators.metrics import auc_exact, classification_metrics, confusion_matrix
+from scoreflow.operators.sampling import rebalance, split_label
 from scoreflow.plans.feature_store import feature_store
+from scoreflow.plans.fixtures import fixed_score_predictions, labelled_store
 
 # Fixed parameters of the registered queries (see SURVEY §7.2, §7.3).
 AS_OF = dt.date(2001, 8, 1)
@@ -81,6 +84,26 @@ fs AS (
     JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
+def _md5_unit_sql(key: str) -> str:
+    return f"CAST(CAST('0x' || substr(md5('{SEED}|' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE"
+
+
+def _md5_order_sql(key: str) -> str:
+    return f"CAST('0x' || substr(md5('{SEED}|' || CAST({key} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+LABELLED_SQL = f"""
+labelled AS (SELECT * FROM fs WHERE label_default IS NOT NULL),
+split AS (
+    SELECT *, CASE WHEN {_md5_unit_sql('loan_id')} < {SPLIT_WEIGHTS[0]}::DOUBLE THEN 'train' ELSE 'test' END AS part
+    FROM labelled
+),
+pred AS (
+    SELECT loan_id, label_default, 1.0::DOUBLE / n_lines AS score,
+           CASE WHEN n_lines <= 2 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+    FROM split WHERE part = 'test'
+)"""
+
 RECENT_SQL = f"""
 recent AS (
     SELECT * FROM fs
@@ -151,5 +174,103 @@ def q_feature_columns_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prof.select("feature", "non_null", r6(F.col("min_value")).alias("min_value"), r6(F.col("max_value")).alias("max_value"))
 
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["scan_recent_labelled"](spark, sf_dir)
+
+
+# --------------------------------------------------------------------------
+# 2. Split, rebalance, metrics on fixed-rule predictions
+# --------------------------------------------------------------------------
+
+
+@register(
+    "train_test_split",
+    f"""
+WITH {FEATURE_STORE_SQL}
+SELECT loan_id, label_default,
+       CASE WHEN {_md5_unit_sql('loan_id')} < {SPLIT_WEIGHTS[0]}::DOUBLE THEN 'train' ELSE 'test' END AS part
+FROM fs
+""",
+)
+def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fs = feature_store(spark, sf_dir)
+    return fs.select("loan_id", "label_default", split_label(SPLIT_WEIGHTS, ("train", "test"), SEED).alias("part"))
+
+
+@register(
+    "rebalance_negatives",
+    f"""
+WITH {FEATURE_STORE_SQL}, {LABELLED_SQL},
+pos AS (SELECT loan_id, label_default FROM labelled WHERE label_default = 1),
+neg AS (
+    SELECT loan_id, label_default,
+           row_number() OVER (ORDER BY {_md5_order_sql('loan_id')}, loan_id) AS rn
+    FROM labelled WHERE label_default = 0
+)
+SELECT loan_id, label_default FROM pos
+UNION ALL
+SELECT loan_id, label_default FROM neg
+WHERE rn <= (SELECT CAST(floor({SAMPLING_RATIO} * count(*)) AS BIGINT) FROM pos)
+""",
+)
+def q_rebalance_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = rebalance(labelled_store(spark, sf_dir), SAMPLING_RATIO, seed=SEED)
+    return out.select("loan_id", "label_default")
+
+
+@register(
+    "confusion_matrix",
+    f"""
+WITH {FEATURE_STORE_SQL}, {LABELLED_SQL}
+SELECT label_default, prediction, count(*) AS n FROM pred GROUP BY label_default, prediction
+""",
+)
+def q_confusion_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return confusion_matrix(fixed_score_predictions(spark, sf_dir))
+
+
+AUC_SQL = """
+g AS (
+    SELECT score,
+           sum(CASE WHEN label_default = 1 THEN 1 ELSE 0 END) AS pos,
+           sum(CASE WHEN label_default = 0 THEN 1 ELSE 0 END) AS neg
+    FROM pred GROUP BY score
+),
+r AS (
+    SELECT pos, neg,
+           coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+    FROM g
+),
+a AS (SELECT sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg))::DOUBLE AS auc FROM r)"""
+
+
+@register(
+    "auc_exact",
+    f"""
+WITH {FEATURE_STORE_SQL}, {LABELLED_SQL}, {AUC_SQL}
+SELECT round(auc, 6) AS auc FROM a
+""",
+)
+def q_auc_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    auc = auc_exact(fixed_score_predictions(spark, sf_dir), "score")
+    return auc.select(r6(F.col("auc")).alias("auc"))
+
+
+@register(
+    "classification_metrics",
+    f"""
+WITH {FEATURE_STORE_SQL}, {LABELLED_SQL}, {AUC_SQL},
+cm AS (
+    SELECT count(*) FILTER (WHERE label_default = 1 AND prediction = 1.0) AS tp,
+           count(*) FILTER (WHERE label_default = 0 AND prediction = 1.0) AS fp,
+           count(*) FILTER (WHERE label_default = 1 AND prediction = 0.0) AS fn
+    FROM pred
+)
+SELECT 'fixed_rule' AS run_tag,
+       round(tp / greatest(tp + fp, 1), 6) AS precision,
+       round(tp / greatest(tp + fn, 1), 6) AS recall,
+       round((SELECT auc FROM a), 6) AS auc
+FROM cm
+""",
+)
+def q_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = classification_metrics(fixed_score_predictions(spark, sf_dir), "score", run_tag="fixed_rule")
+    return m.select("run_tag", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "auc")])
