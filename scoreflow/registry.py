@@ -19,7 +19,12 @@ from scoreflow.operators.filters import drop_unlabelled, filter_recent
 from scoreflow.operators.profile import feature_columns_profile
 from scoreflow.operators.metrics import auc_exact, classification_metrics, confusion_matrix
 from scoreflow.operators.sampling import rebalance, split_label
-from scoreflow.plans.feature_store import feature_store
+from scoreflow.operators.features import CATEGORICAL_COLUMNS
+from scoreflow.operators.ml import build_feature_pipeline, index_column
+from scoreflow.plans.feature_store import feature_store, materialize_feature_store
+from scoreflow.plans.training import TrainingConfig, score_with, train_and_score, training_run
+from scoreflow.session import scratch_path
+from scoreflow.sinks.artifacts import load_model, save_model
 from scoreflow.plans.fixtures import fixed_score_predictions, labelled_store
 
 # Fixed parameters of the registered queries (see SURVEY §7.2, §7.3).
@@ -274,3 +279,93 @@ FROM cm
 def q_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = classification_metrics(fixed_score_predictions(spark, sf_dir), "score", run_tag="fixed_rule")
     return m.select("run_tag", *[r6(F.col(c)).alias(c) for c in ("precision", "recall", "auc")])
+
+
+# --------------------------------------------------------------------------
+# 3. ML: indexing, assembly, forest, reload
+# --------------------------------------------------------------------------
+
+# Driver queries grow 20 trees; the job default stays 200 (the reference's).
+QUERY_TREES = 20
+
+
+def _training_config(run_tag: str = "sf_query") -> TrainingConfig:
+    return TrainingConfig(
+        run_tag=run_tag,
+        training_window_months=WINDOW_MONTHS,
+        sampling_ratio=SAMPLING_RATIO,
+        as_of=AS_OF,
+        num_trees=QUERY_TREES,
+        seed=SEED,
+        split_weights=SPLIT_WEIGHTS,
+    )
+
+
+_CATEGORY_LONG_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {c} AS value FROM labelled" for c in CATEGORICAL_COLUMNS
+)
+
+
+@register(
+    "category_index",
+    f"""
+WITH {FEATURE_STORE_SQL}, {LABELLED_SQL},
+long AS ({_CATEGORY_LONG_SQL}),
+c AS (SELECT feature, value, count(*) AS n FROM long GROUP BY feature, value)
+SELECT feature, value,
+       CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS DOUBLE) AS idx,
+       n
+FROM c
+""",
+)
+def q_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    lab = labelled_store(spark, sf_dir)
+    stages = [StringIndexer(inputCol=c, outputCol=index_column(c), handleInvalid="keep") for c in CATEGORICAL_COLUMNS]
+    indexed = Pipeline(stages=stages).fit(lab).transform(lab)
+    pairs = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(index_column(c)).alias("idx"))
+                for c in CATEGORICAL_COLUMNS
+            ]
+        )
+    ).alias("r")
+    return indexed.select(pairs).select("r.*").groupBy("feature", "value", "idx").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("feature_assembly")
+def q_feature_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml.functions import vector_to_array
+
+    lab = labelled_store(spark, sf_dir)
+    assembled = build_feature_pipeline(lab).fit(lab).transform(lab)
+    return assembled.select("loan_id", vector_to_array("features").alias("features"))
+
+
+@register("rf_predictions")
+def q_rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = train_and_score(feature_store(spark, sf_dir), _training_config())
+    return result.predictions.select("loan_id", "label_default", "prediction", "p_default")
+
+
+@register("model_reload_score")
+def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _training_config()
+    result = train_and_score(feature_store(spark, sf_dir), cfg)
+    run_path = save_model(result.model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
+    reloaded = load_model(run_path)
+    from scoreflow.plans.training import prepare
+
+    _, test = prepare(feature_store(spark, sf_dir), cfg)
+    return score_with(reloaded, test)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B2 end to end: feature store written, then the training run with its
+    metrics row read back from the JSON sink."""
+    path = materialize_feature_store(spark, sf_dir)
+    root = scratch_path(spark, "training_run")
+    return training_run(spark, path, f"{root}/registry", f"{root}/metrics", _training_config("flagship"))
