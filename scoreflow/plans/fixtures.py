@@ -35,11 +35,20 @@ def fixed_score_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_snapshot(spark: SparkSession, sf_dir: str, data_dt: str, with_orders_only: bool = False) -> DataFrame:
+def customer_snapshot(
+    spark: SparkSession,
+    sf_dir: str,
+    data_dt: str,
+    with_orders_only: bool = False,
+    orders_before: str | None = None,
+) -> DataFrame:
     """One row per customer: latest order time, balance as credit score,
     share of finished (``F``) orders as delinquency risk, tagged ``data_dt``.
-    Per-customer order stats are aggregated before the join."""
+    Per-customer order stats are aggregated before the join.
+    ``orders_before`` restates the snapshot with an earlier order cut-off."""
     orders = load_table(spark, sf_dir, "orders")
+    if orders_before is not None:
+        orders = orders.filter(F.col("o_orderdate") < F.lit(orders_before).cast(orders.schema["o_orderdate"].dataType))
     customer = load_table(spark, sf_dir, "customer")
     stats = orders.groupBy(F.col("o_custkey").alias("customer_id")).agg(
         F.max("o_orderdate").alias("snapshot_ts"),

@@ -23,7 +23,13 @@ from scoreflow.operators.features import CATEGORICAL_COLUMNS
 from scoreflow.operators.ml import build_feature_pipeline, index_column
 from scoreflow.plans.feature_store import feature_store, materialize_feature_store
 from scoreflow.plans.training import TrainingConfig, score_with, train_and_score, training_run
+from scoreflow.functions.textify import to_text_columns
+from scoreflow.plans.fixtures import customer_snapshot
+from scoreflow.plans.loads import frame_to_lake
 from scoreflow.session import scratch_path
+from scoreflow.sinks.lake import read_date_partitioned
+from scoreflow.sources.parquet import load_table, read_merged
+from scoreflow.sources.sql_files import packaged_sql, run_sql_file
 from scoreflow.sinks.artifacts import load_model, save_model
 from scoreflow.plans.fixtures import fixed_score_predictions, labelled_store
 
@@ -363,6 +369,145 @@ def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_with(reloaded, test)
 
 
+
+# --------------------------------------------------------------------------
+# 4. Text conversion, SQL-file slices, schema merge, lake loads
+# --------------------------------------------------------------------------
+
+_NUM_TEXT = "regexp_replace(CAST({c} AS VARCHAR), '\\.0$', '')"
+_TS_TEXT = "strftime({c}, '%Y-%m-%d %H:%M:%S')"
+
+
+@register(
+    "stringify_columns",
+    f"""
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+       CAST(o_custkey AS VARCHAR) AS o_custkey,
+       o_orderstatus,
+       {_NUM_TEXT.format(c='o_totalprice')} AS o_totalprice,
+       {_TS_TEXT.format(c='o_orderdate')} AS o_orderdate,
+       o_orderpriority
+FROM orders
+""",
+)
+def q_stringify_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_text_columns(load_table(spark, sf_dir, "orders"))
+
+
+@register(
+    "stringify_columns_customer",
+    f"""
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       {_NUM_TEXT.format(c='c_acctbal')} AS c_acctbal,
+       c_mktsegment
+FROM customer
+""",
+)
+def q_stringify_columns_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_text_columns(load_table(spark, sf_dir, "customer"))
+
+
+RESTATE_BEFORE = "1998-01-01"
+
+
+def _snapshot_sql(data_dt: str, join: str = "LEFT", orders_before: str | None = None) -> str:
+    where = f"WHERE o_orderdate < TIMESTAMP '{orders_before}'" if orders_before else ""
+    return f"""
+SELECT c.c_custkey AS customer_id, t.snapshot_ts, c.c_acctbal AS credit_score,
+       t.delinquency_risk, '{data_dt}' AS data_dt
+FROM customer c {join} JOIN (
+    SELECT o_custkey, max(o_orderdate) AS snapshot_ts,
+           count(*) FILTER (WHERE o_orderstatus = 'F') / count(*) AS delinquency_risk
+    FROM orders {where} GROUP BY o_custkey
+) t ON c.c_custkey = t.o_custkey"""
+
+
+def _load_snapshot_slices(spark: SparkSession, sf_dir: str, base: str, dates=("20240101", "20240102")) -> None:
+    for data_dt in dates:
+        frame_to_lake(customer_snapshot(spark, sf_dir, data_dt), base, data_dt, "overwrite", target_name="customer_snapshot")
+
+
+def _snapshot_view(spark: SparkSession, sf_dir: str) -> str:
+    base = scratch_path(spark, "customer_snapshot")
+    _load_snapshot_slices(spark, sf_dir, base)
+    view = "customer_snapshot_" + base.rsplit("-", 1)[-1]
+    read_date_partitioned(spark, base).createOrReplaceTempView(view)
+    return view
+
+
+@register("sql_slice_extract", _snapshot_sql("20240102"))
+def q_sql_slice_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = _snapshot_view(spark, sf_dir)
+    return run_sql_file(spark, packaged_sql("extract_dataset.sql"), source_table=view, data_dt="20240102")
+
+
+@register(
+    "snapshot_projection",
+    f"SELECT customer_id, snapshot_ts, credit_score, delinquency_risk FROM ({_snapshot_sql('20240101')}) s",
+)
+def q_snapshot_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    view = _snapshot_view(spark, sf_dir)
+    return run_sql_file(spark, packaged_sql("select_dataset.sql"), source_table=view, data_dt="20240101")
+
+
+@register(
+    "partition_replace",
+    f"""
+{_snapshot_sql('20240101')}
+UNION ALL
+{_snapshot_sql('20240102', 'INNER', RESTATE_BEFORE)}
+""",
+)
+def q_partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "partition_replace")
+    _load_snapshot_slices(spark, sf_dir, base)
+    # Restate 20240102 (earlier order cut-off, customers with orders only),
+    # twice: the slice is replaced, 20240101 is untouched, a re-run is
+    # idempotent.
+    restated = customer_snapshot(spark, sf_dir, "20240102", with_orders_only=True, orders_before=RESTATE_BEFORE)
+    for _ in range(2):
+        frame_to_lake(restated, base, "20240102", "overwrite")
+    return read_date_partitioned(spark, base)
+
+
+@register(
+    "merge_schema_scan",
+    """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, CAST(NULL AS VARCHAR) AS c_mktsegment, '20240101' AS data_dt
+FROM customer
+UNION ALL
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, '20240102' AS data_dt
+FROM customer
+""",
+)
+def q_merge_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "merge_schema")
+    customer = load_table(spark, sf_dir, "customer")
+    frame_to_lake(customer.drop("c_mktsegment"), base, "20240101", "overwrite")
+    frame_to_lake(customer, base, "20240102", "overwrite")
+    merged = read_merged(spark, base)
+    return merged.select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", F.col("DATA_DT").cast("string").alias("data_dt")
+    )
+
+
+@register(
+    "load_report",
+    """
+SELECT 'customer_snapshot' AS target, 'overwrite' AS mode, count(*) AS rows, false AS is_dryrun FROM customer
+UNION ALL
+SELECT 'customer_snapshot' AS target, 'append' AS mode, count(*) AS rows, true AS is_dryrun FROM customer
+""",
+)
+def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = scratch_path(spark, "load_report")
+    snap = customer_snapshot(spark, sf_dir, "20240101")
+    real = frame_to_lake(snap, base, "20240101", "overwrite", target_name="customer_snapshot")
+    dry = frame_to_lake(snap, base, "20240101", "append", is_dryrun=True, target_name="customer_snapshot")
+    return real.to_frame(spark).unionByName(dry.to_frame(spark))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2 end to end: feature store written, then the training run with its
     metrics row read back from the JSON sink."""
