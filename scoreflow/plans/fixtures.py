@@ -59,3 +59,59 @@ def customer_snapshot(
     return joined.select(
         "customer_id", "snapshot_ts", "credit_score", "delinquency_risk", F.lit(data_dt).alias("data_dt")
     )
+
+
+def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Activity log from ``events``: activity = event type; an even
+    ``event_id`` is a ``start`` mark, an odd one a ``finish``."""
+    events = load_table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_id") % 2 == 0, F.lit(" start")).otherwise(F.lit(" finish"))
+    return events.select(
+        F.concat(F.col("event_type"), kind).alias("activity_name"), F.col("ts").alias("created_date")
+    )
+
+
+def response_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API response log from ``events``: error events got HTTP 500, all
+    others 200; ``load_dt`` is the event time (UTC)."""
+    events = load_table(spark, sf_dir, "events")
+    failed = F.col("event_type") == "error"
+    code = F.when(failed, F.lit(500)).otherwise(F.lit(200))
+    header = F.struct(
+        code.alias("ResponseCode"),
+        F.when(failed, F.lit("Internal Server Error")).otherwise(F.lit("OK")).alias("ResponseMessage"),
+        F.lit("TH").alias("Language"),
+    )
+    return events.select(
+        F.col("event_id").alias("request_id"),
+        "user_id",
+        F.when(failed, F.lit("error")).otherwise(F.lit("success")).alias("status"),
+        code.alias("status_code"),
+        F.to_json(F.struct(header.alias("Header"))).alias("body"),
+        "value",
+        F.date_format("ts", "yyyyMMdd").alias("data_dt"),
+        F.col("ts").alias("load_dt"),
+    )
+
+
+def payment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kafka-style envelope rows from ``events``: key = user id, value = the
+    JSON props, offset = event id, timestamp = event time."""
+    events = load_table(spark, sf_dir, "events")
+    return events.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.col("props").cast("binary").alias("value"),
+        F.lit("payments").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def stage_envelopes(spark: SparkSession, sf_dir: str, path: str, rows_per_file: int) -> str:
+    """Land the envelopes as offset-ordered files of ``rows_per_file`` rows,
+    the way a connector would deliver consecutive offset ranges."""
+    env = payment_envelopes(spark, sf_dir)
+    env.sortWithinPartitions("offset").write.mode("overwrite").option("maxRecordsPerFile", str(rows_per_file)).parquet(path)
+    return path

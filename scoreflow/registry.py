@@ -24,6 +24,11 @@ from scoreflow.operators.ml import build_feature_pipeline, index_column
 from scoreflow.plans.feature_store import feature_store, materialize_feature_store
 from scoreflow.plans.training import TrainingConfig, score_with, train_and_score, training_run
 from scoreflow.functions.textify import to_text_columns
+from scoreflow.operators.activity import activity_completion, activity_rollup
+from scoreflow.operators.responses import normalise_responses
+from scoreflow.plans.export import daily_export, read_export
+from scoreflow.plans.fixtures import activity_log, response_log, stage_envelopes
+from scoreflow.streaming.bronze import envelope_file_source, start_bronze
 from scoreflow.plans.fixtures import customer_snapshot
 from scoreflow.plans.loads import frame_to_lake
 from scoreflow.session import scratch_path
@@ -508,6 +513,141 @@ def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return real.to_frame(spark).unionByName(dry.to_frame(spark))
 
 
+# --------------------------------------------------------------------------
+# 5. Activity completion, daily export, responses, bronze stream
+# --------------------------------------------------------------------------
+
+ACTIVITY_SQL = f"""
+log AS (
+    SELECT event_type || CASE WHEN event_id % 2 = 0 THEN ' start' ELSE ' finish' END AS activity_name,
+           ts AS created_date
+    FROM events
+),
+acts AS (SELECT DISTINCT event_type AS activity_name FROM events),
+marks AS (
+    SELECT a.activity_name,
+           max(CASE WHEN lower(l.activity_name) = lower(a.activity_name || ' start') THEN l.created_date END) AS latest_start,
+           max(CASE WHEN lower(l.activity_name) = lower(a.activity_name || ' finish') THEN l.created_date END) AS latest_finish
+    FROM acts a
+    LEFT JOIN log l
+      ON (lower(l.activity_name) = lower(a.activity_name || ' start')
+          OR lower(l.activity_name) = lower(a.activity_name || ' finish'))
+     AND CAST(l.created_date AS DATE) = DATE '{ACTIVITY_DAY}'
+    GROUP BY a.activity_name
+),
+completion AS (
+    SELECT activity_name, latest_start, latest_finish,
+           CASE WHEN latest_start IS NOT NULL AND latest_finish IS NOT NULL
+                     AND latest_finish > latest_start THEN 1 ELSE 0 END AS is_completed
+    FROM marks
+)"""
+
+
+def _activity_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    acts = load_table(spark, sf_dir, "events").select(F.col("event_type").alias("activity_name")).distinct()
+    return activity_completion(activity_log(spark, sf_dir), acts, ACTIVITY_DAY)
+
+
+@register("activity_completion", f"WITH {ACTIVITY_SQL} SELECT * FROM completion")
+def q_activity_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _activity_completion(spark, sf_dir)
+
+
+@register(
+    "activity_rollup",
+    f"""
+WITH {ACTIVITY_SQL}
+SELECT count(*) AS total_activities,
+       CAST(coalesce(sum(is_completed), 0) AS BIGINT) AS completed_activities,
+       CASE WHEN count(*) > 0 AND count(*) = coalesce(sum(is_completed), 0) THEN 1 ELSE 0 END AS all_completed
+FROM completion
+""",
+)
+def q_activity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return activity_rollup(_activity_completion(spark, sf_dir))
+
+
+RESPONSE_LOG_SQL = """
+resp AS (
+    SELECT event_id AS request_id, user_id,
+           CASE WHEN event_type = 'error' THEN 'error' ELSE 'success' END AS status,
+           CASE WHEN event_type = 'error' THEN 500 ELSE 200 END AS status_code,
+           '{"Header":{"ResponseCode":' || CASE WHEN event_type = 'error' THEN '500' ELSE '200' END
+             || ',"ResponseMessage":"' || CASE WHEN event_type = 'error' THEN 'Internal Server Error' ELSE 'OK' END
+             || '","Language":"TH"}}' AS body,
+           value,
+           strftime(ts, '%Y%m%d') AS data_dt,
+           ts AS load_dt
+    FROM events
+)"""
+
+
+@register(
+    "daily_window_export",
+    f"""
+WITH {RESPONSE_LOG_SQL}
+SELECT CAST(request_id AS VARCHAR) AS request_id,
+       CAST(user_id AS VARCHAR) AS user_id,
+       status,
+       CAST(status_code AS VARCHAR) AS status_code,
+       body,
+       {_NUM_TEXT.format(c='value')} AS value,
+       data_dt,
+       {_TS_TEXT.format(c='load_dt')} AS load_dt
+FROM resp
+WHERE load_dt >= TIMESTAMP '2024-01-04 17:00:00' AND load_dt < TIMESTAMP '2024-01-05 17:00:00'
+""",
+)
+def q_daily_window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "daily_export")
+    report = daily_export(response_log(spark, sf_dir), root, EXPORT_TRIGGER, EXPORT_ZONE)
+    data_dt = report.target.rsplit("=", 1)[-1]
+    # The export keeps the log's own business date; the folder is the
+    # export day. Read the exported text back.
+    return read_export(spark, root, data_dt)
+
+
+@register(
+    "response_log_normalise",
+    f"""
+WITH {RESPONSE_LOG_SQL}
+SELECT request_id, user_id, status, status_code, value, load_dt,
+       CASE WHEN status_code BETWEEN 200 AND 299 THEN 'success' ELSE 'error' END AS status_class,
+       CAST(json_extract(body, '$.Header.ResponseCode') AS INTEGER) AS response_code,
+       json_extract_string(body, '$.Header.ResponseMessage') AS response_message,
+       json_extract_string(body, '$.Header.Language') AS language,
+       strftime(strptime(data_dt, '%Y%m%d'), '%Y-%m-%d') AS data_date
+FROM resp
+""",
+)
+def q_response_log_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalise_responses(response_log(spark, sf_dir))
+
+
+# Files of this many offsets are staged for the stream; with the reference's
+# 20,000-offset batch limit expressed in files, every batch holds 10 files.
+STREAM_ROWS_PER_FILE = 2_000
+STREAM_FILES_PER_TRIGGER = 10
+
+
+@register(
+    "bronze_stream",
+    """
+SELECT CAST(user_id AS VARCHAR) AS key, props AS value, 'payments' AS topic,
+       0 AS "partition", event_id AS "offset", ts AS "timestamp", 0 AS "timestampType"
+FROM events
+""",
+)
+def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "bronze_stream")
+    landing = stage_envelopes(spark, sf_dir, f"{root}/landing", STREAM_ROWS_PER_FILE)
+    stream = envelope_file_source(spark, landing, STREAM_FILES_PER_TRIGGER)
+    query = start_bronze(stream, f"{root}/bronze", f"{root}/_checkpoint", available_now=True)
+    query.awaitTermination()
+    bronze = spark.read.parquet(f"{root}/bronze")
+    return bronze.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """B2 end to end: feature store written, then the training run with its
     metrics row read back from the JSON sink."""

@@ -56,6 +56,7 @@ def write_date_partition(
     fmt: str = "parquet",
     is_dryrun: bool = False,
     target_name: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> LoadReport:
     """K1 + K9: write ``df`` as the ``data_dt`` folder of ``base_path``.
 
@@ -65,12 +66,15 @@ def write_date_partition(
     target = target_name or base_path
     if is_dryrun:
         return LoadReport(target, mode, df.count(), True)
+    # A column named like the partition column would be shadowed by the
+    # folder value on read; the folder value is the one that is kept.
     clash = [c for c in df.columns if c.lower() == partition_col.lower()]
     tagged = df.drop(*clash).withColumn(partition_col, F.lit(str(data_dt)))
 
     def _write(frame: DataFrame) -> None:
         (
             frame.write.format(fmt)
+            .options(**(options or {}))
             .mode(mode)
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(partition_col)
