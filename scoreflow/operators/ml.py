@@ -118,6 +118,11 @@ def fit_scoring_model(
     rf_model = forest(max_bins=max_bins, num_trees=num_trees, seed=seed, label_col=label_col).fit(
         feature_model.transform(labelled)
     )
+    # A fitted model keeps its training summary, which holds the session; in
+    # Spark 4.1 a session that has used DataFrame.observe (our load reports)
+    # is no longer serializable, so scoring would fail. The JVM-side copy is
+    # the same forest without the summary.
+    rf_model = rf_model.copy()
     return PipelineModel(stages=[*feature_model.stages, rf_model])
 
 
