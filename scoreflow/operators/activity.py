@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 from scoreflow.functions.dates import ts_literal
 
-_NAME = r"^(.*) (start|finish)$"
-
-
 def activity_list(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "activity_name string")
 
@@ -46,14 +43,17 @@ def day_filter(log: DataFrame, day: dt.date | None, ts_col: str) -> DataFrame:
 def latest_marks(log: DataFrame, day: dt.date | None, name_col: str = "activity_name", ts_col: str = "created_date") -> DataFrame:
     """Per activity key (lower-cased name): latest start and latest finish."""
     lname = F.lower(F.col(name_col))
+    is_start, is_finish = lname.endswith(" start"), lname.endswith(" finish")
     parsed = (
         day_filter(log.select(name_col, ts_col), day, ts_col)
+        .filter(is_start | is_finish)
         .select(
-            F.regexp_extract(lname, _NAME, 1).alias("activity_key"),
-            F.regexp_extract(lname, _NAME, 2).alias("kind"),
+            F.when(is_start, F.left(lname, F.length(lname) - 6))
+            .otherwise(F.left(lname, F.length(lname) - 7))
+            .alias("activity_key"),
+            F.when(is_start, F.lit("start")).otherwise(F.lit("finish")).alias("kind"),
             F.col(ts_col).alias("ts"),
         )
-        .filter(F.col("kind") != "")
     )
     return parsed.groupBy("activity_key").agg(
         F.max(F.when(F.col("kind") == "start", F.col("ts"))).alias("latest_start"),

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreflow.operators.features import LABEL_COLUMN
+from scoreflow.session import ensure_checkpoint_dir
 
 SCORES_PER_RANGE = 2_000_000
 MAX_RANGES = 4_096
@@ -64,7 +65,10 @@ def auc_exact(
     """One row, column ``auc``: NULL when there are no positives or no
     negatives."""
     score_col = F.col(score) if isinstance(score, str) else score
-    groups = _score_groups(df, score_col, label_col)
+    # One row per distinct score, read by four jobs below: written once to
+    # the shared checkpoint folder (lineage cut, survives executor loss).
+    ensure_checkpoint_dir(df.sparkSession)
+    groups = _score_groups(df, score_col, label_col).checkpoint(eager=True)
 
     n_scores = groups.count()
     n_ranges = max(1, min(MAX_RANGES, math.ceil(n_scores / scores_per_range)))

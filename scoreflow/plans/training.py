@@ -26,6 +26,7 @@ from scoreflow.operators.filters import drop_unlabelled, filter_recent
 from scoreflow.operators.metrics import classification_metrics
 from scoreflow.operators.ml import NUM_TREES, fit_scoring_model, positive_probability
 from scoreflow.operators.sampling import hash_split, rebalance
+from scoreflow.session import ensure_checkpoint_dir
 from scoreflow.sinks.artifacts import read_metrics, save_model, write_metrics
 
 
@@ -55,8 +56,18 @@ def prepare(df: DataFrame, cfg: TrainingConfig) -> tuple[DataFrame, DataFrame]:
 
 def train_and_score(df: DataFrame, cfg: TrainingConfig) -> TrainingResult:
     train, test = prepare(df, cfg)
+    # The training set is read by every fitting pass (indexers, imputer,
+    # forest metadata and bagging): write it once and cut its lineage.
+    ensure_checkpoint_dir(df.sparkSession)
+    train = train.checkpoint(eager=True)
     model = fit_scoring_model(train, num_trees=cfg.num_trees, seed=cfg.seed)
-    predictions = model.transform(test).withColumn("p_default", positive_probability("probability"))
+    # Score once; both metric jobs read the written scores, so the forest is
+    # evaluated once per held-out row.
+    predictions = (
+        model.transform(test)
+        .select(ID_COLUMN, LABEL_COLUMN, "prediction", positive_probability("probability").alias("p_default"))
+        .checkpoint(eager=True)
+    )
     metrics = classification_metrics(predictions, "p_default", cfg.run_tag, LABEL_COLUMN, "prediction")
     return TrainingResult(model, predictions, metrics)
 

@@ -356,23 +356,30 @@ def q_feature_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assembled.select("loan_id", vector_to_array("features").alias("features"))
 
 
+_TRAINED: dict[tuple[str, str], object] = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str):
+    """The query model of ``sf_dir``, trained once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _TRAINED:
+        _TRAINED[key] = train_and_score(feature_store(spark, sf_dir), _training_config())
+    return _TRAINED[key]
+
+
 @register("rf_predictions")
 def q_rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = train_and_score(feature_store(spark, sf_dir), _training_config())
-    return result.predictions.select("loan_id", "label_default", "prediction", "p_default")
+    return _trained(spark, sf_dir).predictions.select("loan_id", "label_default", "prediction", "p_default")
 
 
 @register("model_reload_score")
 def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = _training_config()
-    result = train_and_score(feature_store(spark, sf_dir), cfg)
-    run_path = save_model(result.model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
-    reloaded = load_model(run_path)
     from scoreflow.plans.training import prepare
 
+    cfg = _training_config()
+    run_path = save_model(_trained(spark, sf_dir).model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
     _, test = prepare(feature_store(spark, sf_dir), cfg)
-    return score_with(reloaded, test)
-
+    return score_with(load_model(run_path), test)
 
 
 # --------------------------------------------------------------------------
