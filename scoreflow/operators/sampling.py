@@ -89,6 +89,28 @@ def _row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def _take_identical(rows: DataFrame, need: int) -> DataFrame:
+    """``need`` of ``rows`` without moving them: count rows per input
+    partition (one small row per partition reaches the driver), then keep
+    whole partitions in order and a prefix of the last one.
+    ``monotonically_increasing_id`` carries the partition index in its upper
+    bits and the row position within the partition in its lower 33 bits."""
+    mid = F.monotonically_increasing_id()
+    tagged = rows.withColumn("__sf_p", F.shiftright(mid, 33)).withColumn("__sf_r", mid.bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = tagged.groupBy("__sf_p").count().orderBy("__sf_p").collect()
+    left, last_p, last_q = need, None, 0
+    for r in counts:
+        last_p = r["__sf_p"]
+        last_q = min(left, r["count"])
+        left -= last_q
+        if left == 0:
+            break
+    if last_p is None:
+        return rows.limit(0)
+    keep = (F.col("__sf_p") < F.lit(last_p)) | ((F.col("__sf_p") == F.lit(last_p)) & (F.col("__sf_r") < F.lit(last_q)))
+    return tagged.filter(keep).drop("__sf_p", "__sf_r")
+
+
 def smallest_by_hash(
     df: DataFrame,
     n: int,
@@ -143,9 +165,9 @@ def smallest_by_hash(
             need = 0
             break
     else:
-        # Only identical rows (same key and same content) remain: any `need`
+        # Only identical rows (same key, same content) remain and any `need`
         # of them give the same result.
-        final = hashed.filter(prefix).limit(need)
+        final = _take_identical(hashed.filter(prefix), need)
 
     parts = []
     if taken:

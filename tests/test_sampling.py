@@ -77,3 +77,11 @@ def test_split_same_rows_at_any_partitioning(spark):
         first = first or ids
         assert ids == first
     assert 0.65 < len(first) / 3000 < 0.75
+
+
+def test_identical_rows_beyond_final_size(spark):
+    # 300 identical rows and a final-bucket cap of 5: the quota path is used.
+    df = spark.createDataFrame([(1, 0)] * 300 + [(i, 0) for i in range(2, 50)], "loan_id long, label_default int")
+    for n in (10, 200, 320, 348, 400):
+        out = smallest_by_hash(df.repartition(7), n, seed=2, bucket_bits=8, final_rows=5)
+        assert out.count() == min(n, 348)
