@@ -34,6 +34,7 @@ from scoreflow.plans.loads import frame_to_lake
 from scoreflow.session import scratch_path
 from scoreflow.sinks.lake import read_date_partitioned
 from scoreflow.sources.parquet import load_table, read_merged
+from scoreflow.sources.tables import table_scan
 from scoreflow.sources.sql_files import packaged_sql, run_sql_file
 from scoreflow.sinks.artifacts import load_model, save_model
 from scoreflow.plans.fixtures import fixed_score_predictions, labelled_store
@@ -483,6 +484,30 @@ def q_partition_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_date_partitioned(spark, base)
 
 
+@register(
+    "slice_replace_load",
+    f"""
+{_snapshot_sql('20240101')}
+UNION ALL
+{_snapshot_sql('20240102', 'INNER', RESTATE_BEFORE)}
+""",
+)
+def q_slice_replace_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B4 with a lake target: the day's slice is extracted from a catalog
+    table by the SQL file (S3), then replaces that date in the target (K4)
+    with a load report (K9); other dates are untouched."""
+    target = scratch_path(spark, "slice_replace_target")
+    _load_snapshot_slices(spark, sf_dir, target)
+    source = scratch_path(spark, "restated_source")
+    restated = customer_snapshot(spark, sf_dir, "20240102", with_orders_only=True, orders_before=RESTATE_BEFORE)
+    frame_to_lake(restated, source, "20240102", "overwrite")
+    view = "customer_feature_store_" + source.rsplit("-", 1)[-1]
+    read_date_partitioned(spark, source).createOrReplaceTempView(view)
+    extract = run_sql_file(spark, packaged_sql("extract_dataset.sql"), source_table=view, data_dt="20240102")
+    frame_to_lake(extract, target, "20240102", "overwrite", target_name="customer_snapshot")
+    return read_date_partitioned(spark, target)
+
+
 @register(
     "merge_schema_scan",
     """
@@ -607,7 +632,11 @@ WHERE load_dt >= TIMESTAMP '2024-01-04 17:00:00' AND load_dt < TIMESTAMP '2024-0
 )
 def q_daily_window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "daily_export")
-    report = daily_export(response_log(spark, sf_dir), root, EXPORT_TRIGGER, EXPORT_ZONE)
+    # The job reads the response log by catalog name (S6), as it would a
+    # Delta view on the cluster.
+    view = "vw_restapi_response_" + root.rsplit("-", 1)[-1]
+    response_log(spark, sf_dir).createOrReplaceTempView(view)
+    report = daily_export(table_scan(spark, view), root, EXPORT_TRIGGER, EXPORT_ZONE)
     data_dt = report.target.rsplit("=", 1)[-1]
     # The export keeps the log's own business date; the folder is the
     # export day. Read the exported text back.
