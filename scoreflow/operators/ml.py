@@ -46,6 +46,17 @@ def index_column(column: str) -> str:
     return f"{column}_idx"
 
 
+def category_indexer(categorical: Sequence[str]) -> StringIndexer:
+    """M1 for all categorical columns in one pass over the data (one
+    multi-column indexer instead of one job per column)."""
+    return StringIndexer(
+        inputCols=list(categorical),
+        outputCols=[index_column(c) for c in categorical],
+        handleInvalid="keep",
+        stringOrderType="frequencyDesc",
+    )
+
+
 def build_feature_pipeline(
     df: DataFrame,
     categorical: Sequence[str] = CATEGORICAL_COLUMNS,
@@ -53,7 +64,7 @@ def build_feature_pipeline(
     impute: bool = True,
 ) -> Pipeline:
     numeric = list(numeric) if numeric is not None else numeric_feature_columns(df)
-    stages = [StringIndexer(inputCol=c, outputCol=index_column(c), handleInvalid="keep") for c in categorical]
+    stages = [category_indexer(categorical)] if categorical else []
     inputs = [index_column(c) for c in categorical]
     if impute and numeric:
         flags = ", ".join(f"CAST({_q(c)} IS NULL AS DOUBLE) AS {_q(c + '_missing')}" for c in numeric)
@@ -79,7 +90,8 @@ def category_sizes(feature_model: PipelineModel) -> dict[str, int]:
     out = {}
     for stage in feature_model.stages:
         if hasattr(stage, "labelsArray"):
-            out[stage.getInputCol()] = len(stage.labelsArray[0])
+            cols = stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
+            out.update({c: len(labels) for c, labels in zip(cols, stage.labelsArray)})
     return out
 
 
@@ -99,6 +111,10 @@ def forest(
         subsamplingRate=subsampling_rate,
         maxBins=max_bins,
         seed=seed,
+        # More nodes per pass over the data (fewer passes for deep forests),
+        # and node ids cached with the data instead of shipping the trees.
+        maxMemoryInMB=512,
+        cacheNodeIds=True,
     )
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from scoreflow.operators.features import feature_store_from_dir
-from scoreflow.session import scratch_path
+from scoreflow.session import app_key, scratch_path
 from scoreflow.sources.parquet import read_feature_store
 
 _WRITTEN: dict[tuple[str, str], str] = {}
@@ -27,7 +27,7 @@ def write_feature_store(df: DataFrame, path: str) -> str:
 
 
 def materialize_feature_store(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_key(spark), sf_dir.rstrip("/"))
     path = _WRITTEN.get(key)
     if path is not None:
         try:

@@ -20,7 +20,7 @@ from scoreflow.operators.profile import feature_columns_profile
 from scoreflow.operators.metrics import auc_exact, classification_metrics, confusion_matrix
 from scoreflow.operators.sampling import rebalance, split_label
 from scoreflow.operators.features import CATEGORICAL_COLUMNS
-from scoreflow.operators.ml import build_feature_pipeline, index_column
+from scoreflow.operators.ml import build_feature_pipeline, category_indexer, index_column
 from scoreflow.plans.feature_store import feature_store, materialize_feature_store
 from scoreflow.plans.training import TrainingConfig, score_with, train_and_score, training_run
 from scoreflow.functions.textify import to_text_columns
@@ -31,7 +31,7 @@ from scoreflow.plans.fixtures import activity_log, response_log, stage_envelopes
 from scoreflow.streaming.bronze import envelope_file_source, start_bronze
 from scoreflow.plans.fixtures import customer_snapshot
 from scoreflow.plans.loads import frame_to_lake
-from scoreflow.session import scratch_path
+from scoreflow.session import app_key, scratch_path
 from scoreflow.sinks.lake import read_date_partitioned
 from scoreflow.sources.parquet import load_table, read_merged
 from scoreflow.sources.tables import table_scan
@@ -331,12 +331,8 @@ FROM c
 """,
 )
 def q_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer
-
     lab = labelled_store(spark, sf_dir)
-    stages = [StringIndexer(inputCol=c, outputCol=index_column(c), handleInvalid="keep") for c in CATEGORICAL_COLUMNS]
-    indexed = Pipeline(stages=stages).fit(lab).transform(lab)
+    indexed = category_indexer(CATEGORICAL_COLUMNS).fit(lab).transform(lab)
     pairs = F.explode(
         F.array(
             *[
@@ -362,7 +358,7 @@ _TRAINED: dict[tuple[str, str], object] = {}
 
 def _trained(spark: SparkSession, sf_dir: str):
     """The query model of ``sf_dir``, trained once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (app_key(spark), sf_dir.rstrip("/"))
     if key not in _TRAINED:
         _TRAINED[key] = train_and_score(feature_store(spark, sf_dir), _training_config())
     return _TRAINED[key]

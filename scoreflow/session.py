@@ -46,20 +46,34 @@ def build_session(
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    if _context(spark) is not None:
+        spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session memos)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared checkpoint folder configured for this session, if any."""
     value = spark.conf.get(CHECKPOINT_KEY, None)
-    if not value:
-        value = spark.sparkContext.getConf().get(CHECKPOINT_KEY, None)
-    if not value:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            value = current
+    sc = _context(spark)
+    if not value and sc is not None:
+        value = sc.getConf().get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     return value or None
 
 
@@ -70,8 +84,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if root is None:
         root = tempfile.mkdtemp(prefix="scoreflow-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    sc = _context(spark)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root
 
 
