@@ -50,3 +50,21 @@ def test_add_months_clamps(spark):
 def test_yyyymmdd(spark):
     df = spark.createDataFrame([("20240105",), ("2024-01-05",), (None,)], "d string")
     assert [r[0] for r in df.select(yyyymmdd_to_iso(F.col("d"))).collect()] == ["2024-01-05", None, None]
+
+
+def test_window_edges_on_rows(spark):
+    from scoreflow.plans.export import daily_window
+
+    rows = [
+        (1, dt.datetime(2024, 1, 4, 16, 59, 59, 999999)),  # before local midnight
+        (2, dt.datetime(2024, 1, 4, 17, 0, 0)),  # 00:00 local: included
+        (3, dt.datetime(2024, 1, 5, 16, 59, 59, 999999)),  # last instant: included
+        (4, dt.datetime(2024, 1, 5, 17, 0, 0)),  # next local midnight: excluded
+    ]
+    for ttype in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame(rows, "id int, load_dt timestamp_ntz").select(
+            "id", F.col("load_dt").cast(ttype).alias("load_dt")
+        )
+        window, data_dt = daily_window(df, "2024-01-05T20:00:00.5")
+        assert sorted(r["id"] for r in window.collect()) == [2, 3], ttype
+        assert data_dt == "20240105"
