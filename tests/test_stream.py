@@ -34,3 +34,20 @@ def test_kafka_options():
     opts = kafka_options("b:9092", "payments.realtime.txn", "earliest", security_protocol="SASL_SSL", sasl_mechanism="PLAIN")
     assert opts["maxOffsetsPerTrigger"] == "20000" and opts["subscribe"] == "payments.realtime.txn"
     assert "skipChangeCommits" not in opts
+
+
+def test_processing_time_trigger_and_table_sink(spark, sf_small):
+    import uuid
+
+    root = scratch_path(spark, "t_stream")
+    landing = stage_envelopes(spark, sf_small, f"{root}/landing", 500)
+    table = "bronze_payment_txn_" + uuid.uuid4().hex[:8]
+    q = start_bronze(envelope_file_source(spark, landing, 3), table, f"{root}/ckpt", processing_time="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    n = spark.read.parquet(landing).count()
+    assert spark.table(table).count() == n
+    assert dict(spark.table(table).dtypes)["key"] == "string"
+    spark.sql(f"DROP TABLE {table}")
