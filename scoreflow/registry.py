@@ -158,7 +158,7 @@ def q_feature_store_build(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {FEATURE_STORE_SQL}, {RECENT_SQL}
 SELECT customer_segment,
        count(*) AS n_rows,
-       sum(label_default) AS n_positive,
+       CAST(sum(label_default) AS BIGINT) AS n_positive,
        round(avg(label_default), 6) AS positive_rate
 FROM recent
 GROUP BY customer_segment

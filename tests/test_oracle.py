@@ -36,6 +36,7 @@ def test_query_matches_oracle(spark, con, sf_small, name):
         assert res["cols_match"], res
         assert res["rows"] == res["oracle_rows"], res
         assert res["values_match"], res
+        assert not res["type_diffs"], res
 
 
 def test_entry_returns_metrics_row(spark):
