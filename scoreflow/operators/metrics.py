@@ -73,28 +73,32 @@ def auc_exact(
     n_scores = groups.count()
     n_ranges = max(1, min(MAX_RANGES, math.ceil(n_scores / scores_per_range)))
     if n_ranges == 1:
-        ranged = groups.withColumn("rng", F.lit(0.0))
+        # At most `scores_per_range` distinct scores: one ordered window, no
+        # offsets to add.
+        below = F.sum("neg").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1))
+        contrib = groups.select("pos", "neg", (F.col("pos") * (F.coalesce(below, F.lit(0)) + F.col("neg") / 2.0)).alias("c"))
     else:
         probs = [i / n_ranges for i in range(1, n_ranges)]
         cuts = sorted(set(groups.approxQuantile("score", probs, 1.0 / (4 * n_ranges))))
         splits = [-math.inf, *cuts, math.inf]
         ranged = Bucketizer(splits=splits, inputCol="score", outputCol="rng").transform(groups)
 
-    # Negatives before each range: one row per range, tiny.
-    per_range = ranged.groupBy("rng").agg(F.sum("neg").alias("range_neg"))
-    offsets = per_range.select(
-        "rng",
-        F.coalesce(
-            F.sum("range_neg").over(Window.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("offset"),
-    )
-    within = Window.partitionBy("rng").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    contrib = ranged.join(F.broadcast(offsets), "rng").select(
-        "pos",
-        "neg",
-        (F.col("pos") * (F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0)) + F.col("neg") / 2.0)).alias("c"),
-    )
+        # Negatives before each range: one row per range (at most MAX_RANGES),
+        # so the global window and the broadcast below are bounded.
+        per_range = ranged.groupBy("rng").agg(F.sum("neg").alias("range_neg"))
+        offsets = per_range.select(
+            "rng",
+            F.coalesce(
+                F.sum("range_neg").over(Window.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)),
+                F.lit(0),
+            ).alias("offset"),
+        )
+        within = Window.partitionBy("rng").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+        contrib = ranged.join(F.broadcast(offsets), "rng").select(
+            "pos",
+            "neg",
+            (F.col("pos") * (F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0)) + F.col("neg") / 2.0)).alias("c"),
+        )
     return contrib.agg(
         F.try_divide(F.sum("c"), (F.sum("pos") * F.sum("neg")).cast("double")).cast(T.DoubleType()).alias("auc")
     )
