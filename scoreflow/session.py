@@ -95,3 +95,35 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables. Never a machine-local temp folder on a cluster."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/scoreflow/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_settings(
+    input_bytes: int,
+    executors: int,
+    cores_per_executor: int,
+    target_partition_bytes: int = 256 << 20,
+) -> dict[str, str]:
+    """Starting-point settings for a large cluster, from the input size.
+
+    * Shuffle partitions: enough for ~``target_partition_bytes`` per
+      partition of the input (an upper bound on shuffle size for these jobs,
+      which all aggregate or filter before shuffling), and at least two
+      waves of tasks; AQE then coalesces small ones at run time.
+    * Scan splits of the same target size.
+    * Skew join splitting on, with thresholds relative to that size.
+    * Broadcast only below 64 MB of estimated size (dimension tables); the
+      jobs also check the size of what they broadcast explicitly.
+    """
+    slots = max(1, executors * cores_per_executor)
+    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }

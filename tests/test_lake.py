@@ -68,3 +68,13 @@ def test_sql_file_markers_and_missing_parameter(spark, tmp_path):
 def test_packaged_sql_files_exist():
     for name in ("extract_dataset.sql", "select_dataset.sql", "prep_dataset.sql"):
         assert open(packaged_sql(name)).read().strip()
+
+
+def test_cluster_settings_for_100tb():
+    from scoreflow.session import cluster_settings
+
+    conf = cluster_settings(100 * 2**40, executors=1000, cores_per_executor=8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    small = cluster_settings(10 * 2**20, executors=2, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16

@@ -45,3 +45,14 @@ def test_entry_returns_metrics_row(spark):
     rows = df.collect()
     assert len(rows) == 1
     assert 0.0 <= rows[0]["auc"] <= 1.0
+
+
+@pytest.mark.parametrize("name", ["daily_window_export", "bronze_stream", "activity_completion", "stringify_columns"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, sf_small, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        res = compare(spark, con, name, entry.queries()[name], entry.oracle_sql()[name], sf_small)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["values_match"] and not res["type_diffs"], res
