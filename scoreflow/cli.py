@@ -97,6 +97,8 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(l, "sql_file", required=True)
     _opt(l, "param", action="append", default=[], help="name=value, repeatable")
     _opt(l, "table", required=True)
+    _opt(l, "pre_ins_sql_file_path", help="pre-load statements, run in one transaction before the write")
+    _opt(l, "pre_param", action="append", default=[], help="positional ? value for the pre-load file, repeatable")
     _opt(l, "write_mode", choices=["overwrite", "append"], required=True)
     _opt(l, "slice_column")
     _opt(l, "staging_table")
@@ -160,9 +162,12 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "lake-to-db":
         from scoreflow.plans.loads import lake_to_db
 
+        from scoreflow.sources.sql_files import read_statements
+
         params = dict(p.split("=", 1) for p in args.param)
+        pre = read_statements(spark, args.pre_ins_sql_file_path, args.pre_param) if args.pre_ins_sql_file_path else ()
         report = lake_to_db(
-            spark, args.sql_file, params, _jdbc(args), args.table, args.write_mode,
+            spark, args.sql_file, params, _jdbc(args), args.table, args.write_mode, pre_statements=pre,
             batchsize=args.batchsize, num_partitions=args.num_partitions, slice_column=args.slice_column,
             staging_table=args.staging_table, is_dryrun=args.is_dryrun,
         )

@@ -58,3 +58,59 @@ def run_sql_file(spark: SparkSession, path: str, **params: Any) -> DataFrame:
     """Run a SELECT from a SQL file with bound named parameters."""
     text, args = bind_sql_file(spark, path, params)
     return spark.sql(text, args=args)
+
+
+def split_sql_statements(text: str) -> list[str]:
+    """Split a SQL script on top-level ``;`` only: semicolons inside quoted
+    literals, quoted names and comments do not split. Blank statements and
+    comment-only pieces are dropped."""
+    out, buf, i, n = [], [], 0, len(text)
+    while i < n:
+        ch = text[i]
+        if ch in ("'", '"', "`"):
+            j = i + 1
+            while j < n:
+                if text[j] == ch:
+                    if j + 1 < n and text[j + 1] == ch:  # doubled quote
+                        j += 2
+                        continue
+                    break
+                j += 1
+            buf.append(text[i : j + 1])
+            i = j + 1
+        elif text.startswith("--", i):
+            j = text.find("\n", i)
+            j = n if j < 0 else j
+            buf.append(text[i:j])
+            i = j
+        elif text.startswith("/*", i):
+            j = text.find("*/", i + 2)
+            j = n if j < 0 else j + 2
+            buf.append(text[i:j])
+            i = j
+        elif ch == ";":
+            out.append("".join(buf))
+            buf = []
+            i += 1
+        else:
+            buf.append(ch)
+            i += 1
+    out.append("".join(buf))
+
+    def has_code(stmt: str) -> bool:
+        code = re.sub(r"--[^\n]*|/\*.*?\*/", " ", stmt, flags=re.S)
+        return bool(code.strip())
+
+    return [s.strip() for s in out if has_code(s)]
+
+
+def read_statements(spark: SparkSession, path: str, params: list | None = None) -> list[tuple[str, list]]:
+    """Pre-load statements of a SQL file for ``sinks.jdbc.run_statements``:
+    every statement gets the positional ``?`` parameters it uses, in order."""
+    values = list(params or [])
+    statements = []
+    for stmt in split_sql_statements(read_sql_file(spark, path)):
+        k = _QUOTED.sub(" ", stmt).count("?")
+        statements.append((stmt, values[:k]))
+        values = values[k:]
+    return statements

@@ -78,3 +78,20 @@ def test_cluster_settings_for_100tb():
     assert conf["spark.sql.adaptive.enabled"] == "true"
     small = cluster_settings(10 * 2**20, executors=2, cores_per_executor=4)
     assert int(small["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_split_sql_statements_respects_literals():
+    from scoreflow.sources.sql_files import split_sql_statements
+
+    text = "DELETE FROM t WHERE a = 'x;y'; -- note; here\n/* c; */ INSERT INTO \"s;t\" VALUES ('it''s;'); ;  \n-- only comment"
+    assert split_sql_statements(text) == [
+        "DELETE FROM t WHERE a = 'x;y'",
+        "-- note; here\n/* c; */ INSERT INTO \"s;t\" VALUES ('it''s;')",
+    ]
+
+
+def test_read_statements_binds_markers(spark):
+    from scoreflow.sources.sql_files import packaged_sql, read_statements
+
+    stmts = read_statements(spark, packaged_sql("prep_dataset.sql"), ["20240101"])
+    assert len(stmts) == 1 and stmts[0][1] == ["20240101"] and stmts[0][0].startswith("-- Pre-load")
