@@ -1,5 +1,6 @@
 """Command-line entry points for the jobs:
 
+    python -m scoreflow.cli features --input_path ... --output_path ... --run_tag ...
     python -m scoreflow.cli train --feature_store_path ... --model_registry_path ... --metrics_path ...
     python -m scoreflow.cli export --source vw_restapi_response --export_root ... --job_datetime ...
     python -m scoreflow.cli bronze --bootstrap_servers ... --topic ... --target ... --checkpoint ...
@@ -47,6 +48,11 @@ def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="scoreflow")
     sub = parser.add_subparsers(dest="job", required=True)
 
+    f = sub.add_parser("features", help="B1: raw loan tables to the feature table")
+    _opt(f, "input_path", required=True, help="folder with orders, lineitem, customer, nation, region")
+    _opt(f, "output_path", required=True)
+    _opt(f, "run_tag", default="manual")
+
     t = sub.add_parser("train", help="B2: credit-risk training run")
     _opt(t, "feature_store_path", required=True)
     _opt(t, "model_registry_path", required=True)
@@ -113,7 +119,11 @@ def main(argv: list[str] | None = None) -> int:
     from scoreflow.session import build_session
 
     spark = build_session(master=os.environ.get("SCOREFLOW_MASTER", "local[*]"))
-    if args.job == "train":
+    if args.job == "features":
+        from scoreflow.plans.feature_store import feature_job
+
+        print(json.dumps(feature_job(spark, args.input_path, args.output_path, args.run_tag).__dict__))
+    elif args.job == "train":
         from scoreflow.plans.training import TrainingConfig, training_run
 
         cfg = TrainingConfig(

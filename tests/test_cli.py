@@ -22,3 +22,12 @@ def test_train_job_end_to_end(spark, sf_small, capsys):
     assert row["run_tag"] == "cli" and 0 <= row["auc"] <= 1
     assert spark.read.json(f"{root}/met/cli").count() == 1
     assert os.path.isdir(f"{root}/reg/cli/pipeline".replace("file:", ""))
+
+
+def test_features_then_train(spark, sf_small, capsys):
+    root = scratch_path(spark, "t_cli_chain")
+    assert main(["features", "--input_path", sf_small, "--output-path", f"{root}/fs", "--run_tag", "r1"]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["rows"] == spark.read.parquet(f"{sf_small}/orders.parquet").count()
+    assert main(["train", "--feature_store_path", f"{root}/fs", "--model_registry_path", f"{root}/reg",
+                 "--metrics_path", f"{root}/met", "--as_of", "2001-08-01", "--num_trees", "3", "--run_tag", "r1"]) == 0
