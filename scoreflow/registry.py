@@ -11,33 +11,38 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreflow.operators.features import feature_store_from_dir
+from scoreflow.functions.textify import to_text_columns
+from scoreflow.operators.activity import activity_completion, activity_rollup
+from scoreflow.operators.features import CATEGORICAL_COLUMNS, feature_store_from_dir
 from scoreflow.operators.filters import drop_unlabelled, filter_recent
-from scoreflow.operators.profile import feature_columns_profile
 from scoreflow.operators.metrics import auc_exact, classification_metrics, confusion_matrix
-from scoreflow.operators.sampling import rebalance, split_label
-from scoreflow.operators.features import CATEGORICAL_COLUMNS
 from scoreflow.operators.ml import build_feature_pipeline, category_indexer, index_column
-from scoreflow.plans.feature_store import feature_store, materialize_feature_store
-from scoreflow.plans.training import TrainingConfig, score_with, train_and_score, training_run
-from scoreflow.functions.textify import to_text_columns
-from scoreflow.operators.activity import activity_completion, activity_rollup
+from scoreflow.operators.profile import feature_columns_profile
 from scoreflow.operators.responses import normalise_responses
+from scoreflow.operators.sampling import rebalance, split_label
 from scoreflow.plans.export import daily_export, read_export
-from scoreflow.plans.fixtures import activity_log, response_log, stage_envelopes
-from scoreflow.streaming.bronze import envelope_file_source, start_bronze
-from scoreflow.plans.fixtures import customer_snapshot
+from scoreflow.plans.feature_store import feature_store, materialize_feature_store
+from scoreflow.plans.fixtures import (
+    activity_log,
+    customer_snapshot,
+    fixed_score_predictions,
+    labelled_store,
+    response_log,
+    stage_envelopes,
+)
 from scoreflow.plans.loads import frame_to_lake
+from scoreflow.plans.training import TrainingConfig, prepare, score_with, train_and_score, training_run
 from scoreflow.session import app_key, scratch_path
+from scoreflow.sinks.artifacts import load_model, save_model
 from scoreflow.sinks.lake import read_date_partitioned
 from scoreflow.sources.parquet import load_table, read_merged
-from scoreflow.sources.tables import table_scan
 from scoreflow.sources.sql_files import packaged_sql, run_sql_file
-from scoreflow.sinks.artifacts import load_model, save_model
-from scoreflow.plans.fixtures import fixed_score_predictions, labelled_store
+from scoreflow.sources.tables import table_scan
+from scoreflow.streaming.bronze import envelope_file_source, start_bronze
 
 # Fixed parameters of the registered queries (see SURVEY §7.2, §7.3).
 AS_OF = dt.date(2001, 8, 1)
@@ -192,7 +197,6 @@ def q_feature_columns_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
-
 # --------------------------------------------------------------------------
 # 2. Split, rebalance, metrics on fixed-rule predictions
 # --------------------------------------------------------------------------
@@ -346,8 +350,6 @@ def q_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("feature_assembly")
 def q_feature_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml.functions import vector_to_array
-
     lab = labelled_store(spark, sf_dir)
     assembled = build_feature_pipeline(lab).fit(lab).transform(lab)
     return assembled.select("loan_id", vector_to_array("features").alias("features"))
@@ -371,8 +373,6 @@ def q_rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("model_reload_score")
 def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from scoreflow.plans.training import prepare
-
     cfg = _training_config()
     run_path = save_model(_trained(spark, sf_dir).model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
     _, test = prepare(feature_store(spark, sf_dir), cfg)
