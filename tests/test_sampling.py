@@ -85,3 +85,24 @@ def test_identical_rows_beyond_final_size(spark):
     for n in (10, 200, 320, 348, 400):
         out = smallest_by_hash(df.repartition(7), n, seed=2, bucket_bits=8, final_rows=5)
         assert out.count() == min(n, 348)
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    n=st.integers(0, 400),
+    bits=st.integers(2, 16),
+    final=st.integers(1, 50),
+    seed=st.integers(0, 10_000),
+)
+def test_smallest_by_hash_property(spark, n, bits, final, seed):
+    df = spark.range(0, 300).withColumnRenamed("id", "loan_id")
+    got = {r["loan_id"] for r in smallest_by_hash(df, n, seed=seed, bucket_bits=bits, final_rows=final).collect()}
+    assert got == _brute_smallest(df, n, seed)
+
+
+def test_rebalance_with_vector_and_map_columns(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    df = _frame(spark, 20, 100).withColumn("v", array_to_vector(F.array(F.col("loan_id").cast("double"))))
+    df = df.withColumn("m", F.create_map(F.lit("k"), F.col("loan_id")))
+    assert rebalance(df, 2.0, seed=5).count() == 60
