@@ -85,5 +85,6 @@ def ts_literal(value: dt.datetime, dtype: T.DataType) -> Column:
         return F.lit(text).cast("timestamp_ntz")
     if isinstance(dtype, T.DateType):
         return F.lit(value.date().isoformat()).cast("date")
-    # Zoned timestamp: the naive value is a UTC instant.
-    return F.to_utc_timestamp(F.lit(text).cast("timestamp_ntz"), "UTC")
+    # Zoned timestamp: the naive value is a UTC instant. An aware literal
+    # carries the instant itself, whatever the session time zone.
+    return F.lit(value.replace(tzinfo=UTC))

@@ -61,10 +61,17 @@ def test_window_edges_on_rows(spark):
         (3, dt.datetime(2024, 1, 5, 16, 59, 59, 999999)),  # last instant: included
         (4, dt.datetime(2024, 1, 5, 17, 0, 0)),  # next local midnight: excluded
     ]
-    for ttype in ("timestamp_ntz", "timestamp"):
-        df = spark.createDataFrame(rows, "id int, load_dt timestamp_ntz").select(
-            "id", F.col("load_dt").cast(ttype).alias("load_dt")
-        )
-        window, data_dt = daily_window(df, "2024-01-05T20:00:00.5")
-        assert sorted(r["id"] for r in window.collect()) == [2, 3], ttype
-        assert data_dt == "20240105"
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            base = spark.createDataFrame(rows, "id int, load_dt timestamp_ntz")
+            # The lake stores UTC: a zoned column holds the same instants.
+            text = F.concat(F.date_format("load_dt", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+            zoned = base.select("id", text.cast("timestamp").alias("load_dt"))
+            for df in (base, zoned):
+                window, data_dt = daily_window(df, "2024-01-05T20:00:00.5")
+                assert sorted(r["id"] for r in window.collect()) == [2, 3], (zone, df.schema)
+                assert data_dt == "20240105"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
