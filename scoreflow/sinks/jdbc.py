@@ -59,10 +59,10 @@ def write_jdbc(
     if mode not in ("overwrite", "append"):
         raise ValueError(f"write mode must be overwrite or append, not {mode!r}")
     if is_dryrun:
-        return LoadReport(table, mode, df.count(), True)
+        return LoadReport(table, mode, df.count(), True).log()
     opts = jdbc_write_options(config, table, batchsize, truncate, num_partitions)
     rows = write_observed(df, lambda f: f.write.format("jdbc").options(**opts).mode(mode).save())
-    return LoadReport(table, mode, rows, False)
+    return LoadReport(table, mode, rows, False).log()
 
 
 def _connect(spark: SparkSession, config: JdbcConfig):

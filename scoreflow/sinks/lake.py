@@ -14,11 +14,14 @@ write pass.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+log = logging.getLogger("scoreflow.load")
+
 PARTITION_COL = "DATA_DT"
 REPORT_SCHEMA = "target string, mode string, rows bigint, is_dryrun boolean"
 
@@ -30,6 +33,11 @@ class LoadReport:
     rows: int
     is_dryrun: bool
 
+    def log(self) -> "LoadReport":
+        verb = "would write" if self.is_dryrun else "wrote"
+        log.info("%s %s rows to %s (%s)", verb, f"{self.rows:,}", self.target, self.mode)
+        return self
+
     def to_frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(self.target, self.mode, self.rows, self.is_dryrun)], REPORT_SCHEMA)
 
@@ -65,7 +73,7 @@ def write_date_partition(
     _check_mode(mode)
     target = target_name or base_path
     if is_dryrun:
-        return LoadReport(target, mode, df.count(), True)
+        return LoadReport(target, mode, df.count(), True).log()
     # A column named like the partition column would be shadowed by the
     # folder value on read; the folder value is the one that is kept.
     clash = [c for c in df.columns if c.lower() == partition_col.lower()]
@@ -82,7 +90,7 @@ def write_date_partition(
         )
 
     rows = write_observed(tagged, _write)
-    return LoadReport(target, mode, rows, False)
+    return LoadReport(target, mode, rows, False).log()
 
 
 def read_date_partitioned(
