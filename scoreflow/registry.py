@@ -348,11 +348,42 @@ def q_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexed.select(pairs).select("r.*").groupBy("feature", "value", "idx").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("feature_assembly")
+_RANKS_SQL = f"""
+cat_counts AS (
+    SELECT feature, value, count(*) AS n FROM ({_CATEGORY_LONG_SQL}) long GROUP BY feature, value
+),
+ranks AS (
+    SELECT feature, value,
+           CAST(row_number() OVER (PARTITION BY feature ORDER BY n DESC, value) - 1 AS DOUBLE) AS idx
+    FROM cat_counts
+)"""
+
+_ASSEMBLY_JOINS = "\n".join(
+    f"JOIN ranks r{i} ON r{i}.feature = '{c}' AND r{i}.value = l.{c}" for i, c in enumerate(CATEGORICAL_COLUMNS)
+)
+_ASSEMBLY_IDX = ", ".join(f"r{i}.idx AS {c}_idx" for i, c in enumerate(CATEGORICAL_COLUMNS))
+_NUMERIC_FEATURES = ("debt_to_income", "utilisation_ratio", "n_lines")
+
+
+@register(
+    "feature_assembly",
+    f"""
+WITH {FEATURE_STORE_SQL}, {LABELLED_SQL}, {_RANKS_SQL}
+SELECT l.loan_id, {_ASSEMBLY_IDX},
+       {", ".join(f"round(CAST(l.{c} AS DOUBLE), 6) AS {c}" for c in _NUMERIC_FEATURES)},
+       {", ".join(f"CAST(l.{c} IS NULL AS DOUBLE) AS {c}_missing" for c in _NUMERIC_FEATURES)}
+FROM labelled l
+{_ASSEMBLY_JOINS}
+""",
+)
 def q_feature_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: the assembled vector, one named column per slot (indexes first,
+    then imputed numerics, then missing flags), rounded to 6 places."""
     lab = labelled_store(spark, sf_dir)
-    assembled = build_feature_pipeline(lab).fit(lab).transform(lab)
-    return assembled.select("loan_id", vector_to_array("features").alias("features"))
+    model = build_feature_pipeline(lab).fit(lab)
+    slots = [c.removesuffix("_imputed") for c in model.stages[-1].getInputCols()]
+    arr = vector_to_array("features")
+    return model.transform(lab).select("loan_id", *[r6(arr.getItem(i)).alias(name) for i, name in enumerate(slots)])
 
 
 _TRAINED: dict[tuple[str, str], object] = {}

@@ -25,7 +25,7 @@ def con(sf_small):
 
 def test_every_query_has_oracle_or_is_ml():
     rows_only = set(entry.queries()) - set(entry.oracle_sql())
-    assert rows_only == {"feature_assembly", "rf_predictions", "model_reload_score"}
+    assert rows_only == {"rf_predictions", "model_reload_score"}
 
 
 @pytest.mark.parametrize("name", NAMES)
