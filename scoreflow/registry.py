@@ -382,8 +382,10 @@ def q_feature_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = labelled_store(spark, sf_dir)
     model = build_feature_pipeline(lab).fit(lab)
     slots = [c.removesuffix("_imputed") for c in model.stages[-1].getInputCols()]
-    arr = vector_to_array("features")
-    return model.transform(lab).select("loan_id", *[r6(arr.getItem(i)).alias(name) for i, name in enumerate(slots)])
+    # Convert the vector once; CollapseProject keeps the UDF in its own
+    # projection instead of inlining it into every slot.
+    arr = model.transform(lab).select("loan_id", vector_to_array("features").alias("v"))
+    return arr.select("loan_id", *[r6(F.col("v").getItem(i)).alias(name) for i, name in enumerate(slots)])
 
 
 _TRAINED: dict[tuple[str, str], object] = {}
