@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from scoreflow.functions.dates import months_back
 from scoreflow.operators.features import CATEGORICAL_COLUMNS, DATE_COLUMN, ID_COLUMN, LABEL_COLUMN
 
+MONTH_COLUMN = "snapshot_month"  # partition column of the written feature store
+
 
 def filter_recent(
     df: DataFrame,
@@ -21,8 +23,15 @@ def filter_recent(
 ) -> DataFrame:
     """keep ``date_col >= add_months(as_of, -months)``. Inclusive, no
     upper bound, NULL dates drop. With a literal ``as_of`` the cut-off is
-    constant-folded and pushed into the Parquet scan."""
-    return df.filter(F.col(date_col) >= months_back(as_of, months))
+    constant-folded and pushed into the Parquet scan. When the frame carries
+    the feature store's ``snapshot_month`` partition column, the implied
+    ``snapshot_month >= trunc(cut-off, 'MM')`` is added so whole month
+    folders are pruned; it removes no row the main predicate keeps."""
+    cutoff = months_back(as_of, months)
+    cond = F.col(date_col) >= cutoff
+    if date_col == DATE_COLUMN and MONTH_COLUMN in df.columns:
+        cond = (F.col(MONTH_COLUMN) >= F.trunc(cutoff, "MM")) & cond
+    return df.filter(cond)
 
 
 def drop_unlabelled(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:

@@ -10,6 +10,7 @@ the lineage back to the raw joins.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from scoreflow.operators.features import feature_store_from_dir
 from scoreflow.session import app_key, scratch_path
@@ -18,11 +19,27 @@ from scoreflow.sources.parquet import read_feature_store
 _WRITTEN: dict[tuple[str, str], str] = {}
 
 
+MONTH_COLUMN = "snapshot_month"
+
+
+def feature_store_layout(df: DataFrame) -> DataFrame:
+    """Rows as they are written: a ``snapshot_month`` partition column (first
+    day of the month, a date), range-partitioned by ``snapshot_date`` so each
+    task writes one or two month folders (a hot month is split across
+    tasks by the range sampler), and sorted by date inside each file so
+    row-group statistics are tight."""
+    return (
+        df.withColumn(MONTH_COLUMN, F.trunc("snapshot_date", "MM"))
+        .repartitionByRange("snapshot_date")
+        .sortWithinPartitions("snapshot_date")
+    )
+
+
 def write_feature_store(df: DataFrame, path: str) -> str:
-    """Each file is sorted by ``snapshot_date`` (a local sort after the last
-    join's shuffle, no extra exchange), so row-group min/max statistics let
-    the pushed recency filter skip row groups."""
-    df.sortWithinPartitions("snapshot_date").write.mode("overwrite").parquet(path)
+    """The feature table, partitioned by month: the trainer's recency filter
+    prunes whole folders (``PartitionFilters``) and skips row groups inside
+    the remaining ones (``PushedFilters``)."""
+    feature_store_layout(df).write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(path)
     return path
 
 
@@ -52,6 +69,8 @@ def feature_job(spark: SparkSession, input_dir: str, output_path: str, run_tag:
     rows are counted during the write."""
     from scoreflow.sinks.lake import LoadReport, write_observed
 
-    df = feature_store_from_dir(spark, input_dir).sortWithinPartitions("snapshot_date")
-    rows = write_observed(df, lambda f: f.write.mode("overwrite").parquet(output_path), "feature_job")
+    df = feature_store_layout(feature_store_from_dir(spark, input_dir))
+    rows = write_observed(
+        df, lambda f: f.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(output_path), "feature_job"
+    )
     return LoadReport(f"{output_path}#{run_tag}", "overwrite", rows, False)

@@ -35,6 +35,8 @@ def test_recency_pushdown_and_pruning(spark, sf_small):
     plan = _plan(entry.queries()["scan_recent_labelled"](spark, sf_small))
     assert "PushedFilters: [IsNotNull(snapshot_date), GreaterThanOrEqual(snapshot_date,2001-02-01)]" in plan
     assert "ReadSchema: struct<snapshot_date:date,label_default:int,customer_segment:string>" in plan
+    # Month folders before the cut-off are pruned.
+    assert "PartitionFilters: [isnotnull(snapshot_month" in plan and "(snapshot_month#" in plan
 
 
 def test_export_window_pushdown(spark, sf_small):
