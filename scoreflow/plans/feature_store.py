@@ -57,9 +57,16 @@ def materialize_feature_store(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+_READ: dict[str, DataFrame] = {}
+
+
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1 over the written feature store of ``sf_dir``."""
-    return read_feature_store(spark, materialize_feature_store(spark, sf_dir))
+    """S1 over the written feature store of ``sf_dir``. The scan is made once
+    per written table and reused, so its month folders are listed once."""
+    path = materialize_feature_store(spark, sf_dir)
+    if path not in _READ:
+        _READ[path] = read_feature_store(spark, path)
+    return _READ[path]
 
 
 def feature_job(spark: SparkSession, input_dir: str, output_path: str, run_tag: str):
