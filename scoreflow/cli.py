@@ -2,7 +2,7 @@
 
     python -m scoreflow.cli features --input_path ... --output_path ... --run_tag ...
     python -m scoreflow.cli train --feature_store_path ... --model_registry_path ... --metrics_path ...
-    python -m scoreflow.cli export --source vw_restapi_response --export_root ... --job_datetime ...
+    python -m scoreflow.cli export --source api_response_log --export_root ... --job_datetime ...
     python -m scoreflow.cli bronze --bootstrap_servers ... --topic ... --target ... --checkpoint ...
     python -m scoreflow.cli db-to-lake --jdbc_url ... --jdbc_driver ... --sql_file ... --target_path ... --data_dt ...
     python -m scoreflow.cli lake-to-db --sql_file ... --param data_dt=20240101 --jdbc_url ... --table ...

@@ -663,7 +663,7 @@ def q_daily_window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "daily_export")
     # The job reads the response log by catalog name (S6), as it would a
     # Delta view on the cluster.
-    view = "vw_restapi_response_" + root.rsplit("-", 1)[-1]
+    view = "api_response_log_" + root.rsplit("-", 1)[-1]
     response_log(spark, sf_dir).createOrReplaceTempView(view)
     report = daily_export(table_scan(spark, view), root, EXPORT_TRIGGER, EXPORT_ZONE)
     data_dt = report.target.rsplit("=", 1)[-1]

@@ -1,7 +1,7 @@
 """K6 / K7: metrics rows and model artifacts.
 
 Paths are plain strings handed to Hadoop's file system, so ``s3://``,
-``abfss://`` or ``hdfs://`` targets keep their scheme (the reference ran
+``hdfs://`` or other URI targets keep their scheme (the reference ran
 them through ``pathlib``, which collapses ``//`` and then created folders on
 the local disk).
 """

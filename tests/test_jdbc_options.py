@@ -29,7 +29,7 @@ def test_exactly_one_source():
 
 
 def test_write_options_spell_batchsize():
-    opts = jdbc_write_options(CFG, "MART.T", batchsize=10_000, num_partitions=4)
+    opts = jdbc_write_options(CFG, "TARGET.T", batchsize=10_000, num_partitions=4)
     assert opts["batchsize"] == "10000" and opts["truncate"] == "true" and opts["numPartitions"] == "4"
 
 

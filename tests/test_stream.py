@@ -31,8 +31,8 @@ def test_rate_limit_splits_batches(spark, sf_small):
 
 
 def test_kafka_options():
-    opts = kafka_options("b:9092", "payments.realtime.txn", "earliest", security_protocol="SASL_SSL", sasl_mechanism="PLAIN")
-    assert opts["maxOffsetsPerTrigger"] == "20000" and opts["subscribe"] == "payments.realtime.txn"
+    opts = kafka_options("b:9092", "payments", "earliest", security_protocol="SASL_SSL", sasl_mechanism="PLAIN")
+    assert opts["maxOffsetsPerTrigger"] == "20000" and opts["subscribe"] == "payments"
     assert "skipChangeCommits" not in opts
 
 
