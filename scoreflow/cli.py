@@ -107,6 +107,7 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(l, "pre_param", action="append", default=[], help="positional ? value for the pre-load file, repeatable")
     _opt(l, "write_mode", choices=["overwrite", "append"], required=True)
     _opt(l, "slice_column")
+    _opt(l, "slice_value")
     _opt(l, "staging_table")
     _opt(l, "batchsize", type=int, default=10_000)
     _opt(l, "num_partitions", type=int)
@@ -179,7 +180,7 @@ def main(argv: list[str] | None = None) -> int:
         report = lake_to_db(
             spark, args.sql_file, params, _jdbc(args), args.table, args.write_mode, pre_statements=pre,
             batchsize=args.batchsize, num_partitions=args.num_partitions, slice_column=args.slice_column,
-            staging_table=args.staging_table, is_dryrun=args.is_dryrun,
+            slice_value=args.slice_value, staging_table=args.staging_table, is_dryrun=args.is_dryrun,
         )
         print(json.dumps(report.__dict__))
     return 0

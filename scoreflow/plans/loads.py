@@ -63,15 +63,16 @@ def lake_to_db(
     batchsize: int = 10_000,
     num_partitions: int | None = None,
     slice_column: str | None = None,
+    slice_value: Any = None,
     staging_table: str | None = None,
     is_dryrun: bool = False,
 ) -> LoadReport:
     df = run_sql_file(spark, sql_file, **params)
     if slice_column is not None:
-        if staging_table is None:
-            raise ValueError("an atomic slice replace needs a staging table")
+        if staging_table is None or slice_value is None:
+            raise ValueError("an atomic slice replace needs a slice value and a staging table")
         return replace_slice_jdbc(
-            spark, df, config, table, slice_column, params[slice_column.lower()], staging_table,
+            spark, df, config, table, slice_column, slice_value, staging_table,
             batchsize=batchsize, num_partitions=num_partitions, is_dryrun=is_dryrun,
         )
     run_statements(spark, config, pre_statements, is_dryrun)
