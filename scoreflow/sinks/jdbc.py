@@ -25,7 +25,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from scoreflow.sinks.lake import LoadReport, write_observed
-from scoreflow.sources.jdbc import JdbcConfig
+from scoreflow.sources.jdbc import JdbcConfig, with_name_case
 
 Statement = tuple[str, Sequence[Any]]
 
@@ -55,11 +55,13 @@ def write_jdbc(
     truncate: bool = True,
     num_partitions: int | None = None,
     is_dryrun: bool = False,
+    name_case: str | None = None,
 ) -> LoadReport:
     if mode not in ("overwrite", "append"):
         raise ValueError(f"write mode must be overwrite or append, not {mode!r}")
     if is_dryrun:
         return LoadReport(table, mode, df.count(), True).log()
+    df = with_name_case(df, name_case)
     opts = jdbc_write_options(config, table, batchsize, truncate, num_partitions)
     rows = write_observed(df, lambda f: f.write.format("jdbc").options(**opts).mode(mode).save())
     return LoadReport(table, mode, rows, False).log()

@@ -50,6 +50,23 @@ class JdbcPartitioning:
         }
 
 
+def with_name_case(df: DataFrame, case: str | None) -> DataFrame:
+    """Rename all columns to ``upper`` or ``lower`` case (None: unchanged).
+
+    Spark's JDBC writer quotes column names, so lower-case names become
+    case-sensitive in databases that fold unquoted names to upper case;
+    writing upper-case names keeps plain SQL working there, and reading
+    back with ``lower`` restores the lake's names."""
+    if case is None:
+        return df
+    if case not in ("upper", "lower"):
+        raise ValueError("case must be upper, lower or None")
+    names = [c.upper() if case == "upper" else c.lower() for c in df.columns]
+    if len(set(names)) != len(names):
+        raise ValueError(f"column names collide in {case} case: {df.columns}")
+    return df.toDF(*names)
+
+
 def jdbc_read_options(
     config: JdbcConfig,
     query: str | None = None,
@@ -82,10 +99,11 @@ def jdbc_query_scan(
     query: str,
     partitioning: JdbcPartitioning | None = None,
     fetch_size: int = 10_000,
+    name_case: str | None = "lower",
 ) -> DataFrame:
     """Run a SELECT in the database and return its rows as a DataFrame."""
     opts = jdbc_read_options(config, query=query, partitioning=partitioning, fetch_size=fetch_size)
-    return spark.read.format("jdbc").options(**opts).load()
+    return with_name_case(spark.read.format("jdbc").options(**opts).load(), name_case)
 
 
 def jdbc_table_scan(
@@ -94,6 +112,7 @@ def jdbc_table_scan(
     table: str,
     partitioning: JdbcPartitioning | None = None,
     fetch_size: int = 10_000,
+    name_case: str | None = "lower",
 ) -> DataFrame:
     opts = jdbc_read_options(config, table=table, partitioning=partitioning, fetch_size=fetch_size)
-    return spark.read.format("jdbc").options(**opts).load()
+    return with_name_case(spark.read.format("jdbc").options(**opts).load(), name_case)

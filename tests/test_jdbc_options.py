@@ -36,3 +36,14 @@ def test_write_options_spell_batchsize():
 def test_dry_run_opens_no_connection(spark):
     bad = JdbcConfig(url="jdbc:nowhere:x", driver="no.such.Driver")
     assert run_statements(spark, bad, [("DELETE FROM t WHERE d = ?", ["20240101"])], is_dryrun=True) == []
+
+
+def test_name_case(spark):
+    from scoreflow.sources.jdbc import with_name_case
+
+    df = spark.createDataFrame([(1, 2)], "customer_id int, Data_Dt int")
+    assert with_name_case(df, "upper").columns == ["CUSTOMER_ID", "DATA_DT"]
+    assert with_name_case(df, "lower").columns == ["customer_id", "data_dt"]
+    assert with_name_case(df, None).columns == ["customer_id", "Data_Dt"]
+    with pytest.raises(ValueError):
+        with_name_case(spark.createDataFrame([(1, 2)], "a int, A int"), "lower")
