@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from scoreflow.functions.dates import ts_literal
 
+
 def activity_list(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(n,) for n in names], "activity_name string")
 
