@@ -106,6 +106,7 @@ fs AS (
     JOIN region r ON n.n_regionkey = r.r_regionkey
 )"""
 
+
 def _md5_unit_sql(key: str) -> str:
     return f"CAST(CAST('0x' || substr(md5('{SEED}|' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE) / 4294967296.0::DOUBLE"
 
