@@ -84,6 +84,7 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(b, "security_protocol")
     _opt(b, "sasl_mechanism")
     _opt(b, "sasl_jaas_config_env")
+    _opt(b, "min_partitions", type=int)
     _opt(b, "format", default="parquet")
 
     d = sub.add_parser("db-to-lake", help="B3: JDBC query to a date folder")
@@ -152,7 +153,7 @@ def main(argv: list[str] | None = None) -> int:
         jaas = os.environ.get(args.sasl_jaas_config_env) if args.sasl_jaas_config_env else None
         opts = kafka_options(
             args.bootstrap_servers, args.topic, args.starting_offsets, args.max_offsets_per_trigger,
-            args.security_protocol, args.sasl_mechanism, jaas,
+            args.security_protocol, args.sasl_mechanism, jaas, args.min_partitions,
         )
         query = start_bronze(kafka_source(spark, opts), args.target, args.checkpoint, fmt=args.format)
         print(json.dumps({"query_id": str(query.id)}))

@@ -38,7 +38,11 @@ def kafka_options(
     security_protocol: str | None = None,
     sasl_mechanism: str | None = None,
     sasl_jaas_config: str | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
+    """Kafka source options. ``min_partitions`` splits large topic partitions
+    into more Spark tasks per batch (a topic with few partitions would
+    otherwise cap the batch's parallelism at its partition count)."""
     if starting_offsets not in ("earliest", "latest") and not starting_offsets.startswith("{"):
         raise ValueError("startingOffsets must be earliest, latest or a JSON offset map")
     opts = {
@@ -54,6 +58,8 @@ def kafka_options(
         opts["kafka.sasl.mechanism"] = sasl_mechanism
     if sasl_jaas_config:
         opts["kafka.sasl.jaas.config"] = sasl_jaas_config
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     return opts
 
 

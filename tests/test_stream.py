@@ -33,7 +33,8 @@ def test_rate_limit_splits_batches(spark, sf_small):
 def test_kafka_options():
     opts = kafka_options("b:9092", "payments", "earliest", security_protocol="SASL_SSL", sasl_mechanism="PLAIN")
     assert opts["maxOffsetsPerTrigger"] == "20000" and opts["subscribe"] == "payments"
-    assert "skipChangeCommits" not in opts
+    assert "skipChangeCommits" not in opts and "minPartitions" not in opts
+    assert kafka_options("b:9092", "t", min_partitions=64)["minPartitions"] == "64"
 
 
 def test_processing_time_trigger_and_table_sink(spark, sf_small):
