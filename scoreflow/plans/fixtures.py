@@ -13,10 +13,9 @@ from pyspark.sql import functions as F
 from scoreflow.operators.filters import drop_unlabelled
 from scoreflow.operators.sampling import hash_split
 from scoreflow.plans.feature_store import feature_store
+from scoreflow.plans.params import SEED, SPLIT_WEIGHTS
 from scoreflow.sources.parquet import load_table
 
-SPLIT_SEED = 42
-SPLIT_WEIGHTS = (0.7, 0.3)
 
 
 def labelled_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +25,7 @@ def labelled_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fixed_score_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Held-out labelled loans scored by a fixed rule SQL can reproduce:
     ``score = 1 / n_lines``, ``prediction = 1.0`` when ``n_lines <= 2``."""
-    _, test = hash_split(labelled_store(spark, sf_dir), SPLIT_WEIGHTS, SPLIT_SEED)
+    _, test = hash_split(labelled_store(spark, sf_dir), SPLIT_WEIGHTS, SEED)
     return test.select(
         "loan_id",
         "label_default",

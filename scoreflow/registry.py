@@ -8,7 +8,6 @@ from them) in full. Doubles that come out of sums or ratios are rounded to
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -44,15 +43,17 @@ from scoreflow.sources.sql_files import packaged_sql, run_sql_file
 from scoreflow.sources.tables import table_scan
 from scoreflow.streaming.bronze import envelope_file_source, start_bronze
 
-# Fixed parameters of the registered queries (see SURVEY §7.2, §7.3).
-AS_OF = dt.date(2001, 8, 1)
-WINDOW_MONTHS = 6
-SAMPLING_RATIO = 1.5
-SEED = 42
-SPLIT_WEIGHTS = (0.7, 0.3)
-ACTIVITY_DAY = dt.date(2024, 1, 15)
-EXPORT_TRIGGER = "2024-01-05T20:00:00"
-EXPORT_ZONE = "Asia/Bangkok"
+# Fixed parameters of the registered queries.
+from scoreflow.plans.params import (  # noqa: I001
+    ACTIVITY_DAY,
+    AS_OF,
+    EXPORT_TRIGGER,
+    EXPORT_ZONE,
+    SAMPLING_RATIO,
+    SEED,
+    SPLIT_WEIGHTS,
+    WINDOW_MONTHS,
+)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
