@@ -17,6 +17,7 @@ from scoreflow.session import app_key, scratch_path
 from scoreflow.sources.parquet import read_feature_store
 
 _WRITTEN: dict[tuple[str, str], str] = {}
+_READ: dict[str, DataFrame] = {}
 
 
 MONTH_COLUMN = "snapshot_month"
@@ -43,23 +44,30 @@ def write_feature_store(df: DataFrame, path: str) -> str:
     return path
 
 
+def _committed(spark: SparkSession, path: str) -> bool:
+    """Whether a written table's ``_SUCCESS`` marker exists (one file-system
+    call, no listing of the table's folders)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM access (Spark Connect): trust the memo
+        return True
+
+
 def materialize_feature_store(spark: SparkSession, sf_dir: str) -> str:
     key = (app_key(spark), sf_dir.rstrip("/"))
     path = _WRITTEN.get(key)
     if path is not None:
-        try:
-            spark.read.parquet(path).schema  # still there?
+        if _committed(spark, path):
             return path
-        except Exception:  # noqa: BLE001 - folder removed: rebuild
-            _WRITTEN.pop(key, None)
+        _WRITTEN.pop(key, None)  # folder removed: rebuild
+        _READ.pop(path, None)
     path = write_feature_store(feature_store_from_dir(spark, sf_dir), scratch_path(spark, "feature_store"))
     _WRITTEN[key] = path
     return path
 
 
-_READ: dict[str, DataFrame] = {}
-
-
 def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 over the written feature store of ``sf_dir``. The scan is made once
     per written table and reused, so its month folders are listed once."""
