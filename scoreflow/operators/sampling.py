@@ -123,6 +123,17 @@ def _take_identical(rows: DataFrame, need: int) -> DataFrame:
     return tagged.filter(keep).drop("__sf_p", "__sf_r")
 
 
+def _levels(bucket_bits: int) -> list[tuple[str, int]]:
+    """Digits of the order key, most significant first: (column, shift)."""
+    levels: list[tuple[str, int]] = []
+    for col, width in ((_H, ORDER_HASH_BITS), (_H2, 64)):
+        shift = width
+        while shift > 0:
+            shift = max(0, shift - bucket_bits)
+            levels.append((col, shift))
+    return levels
+
+
 def smallest_by_hash(
     df: DataFrame,
     n: int,
@@ -130,28 +141,27 @@ def smallest_by_hash(
     key: str = ID_COLUMN,
     bucket_bits: int = BUCKET_BITS,
     final_rows: int = FINAL_ROWS,
+    first_hist: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Exactly ``min(n, count)`` rows of ``df``: those with the smallest
-    ``(order_hash(seed, key), xxhash64(row))``."""
+    ``(order_hash(seed, key), xxhash64(row))``. ``first_hist`` may carry the
+    first-level histogram ``(digit, count)`` when the caller computed it in
+    another pass already (see ``rebalance``)."""
     if n <= 0:
         return df.limit(0)
     hashed = df.withColumn(_H, order_hash(seed, key)).withColumn(_H2, _row_hash(df))
-
-    # Digits of the order key, most significant first: (column, shift).
-    levels: list[tuple[str, int]] = []
-    for col, width in ((_H, ORDER_HASH_BITS), (_H2, 64)):
-        shift = width
-        while shift > 0:
-            shift = max(0, shift - bucket_bits)
-            levels.append((col, shift))
+    levels = _levels(bucket_bits)
 
     taken: list[Column] = []  # disjoint row sets taken whole
     prefix: Column = F.lit(True)  # rows sharing the digits fixed so far
     need = n
     final: DataFrame | None = None
-    for col, shift in levels:
+    for level, (col, shift) in enumerate(levels):
         digit = F.shiftright(F.col(col), shift)
-        hist = hashed.filter(prefix).groupBy(digit.alias("d")).count().orderBy("d").collect()
+        if level == 0 and first_hist is not None:
+            hist = [{"d": d, "count": c} for d, c in sorted(first_hist)]
+        else:
+            hist = hashed.filter(prefix).groupBy(digit.alias("d")).count().orderBy("d").collect()
         total = sum(r["count"] for r in hist)
         if total <= need:  # everything left fits
             taken.append(prefix)
@@ -214,5 +224,13 @@ def rebalance(
     if ratio <= 1.0:
         return df
     positive, negative = split_by_label(df, label_col)
-    desired = int(ratio * positive.count())
-    return positive.unionByName(smallest_by_hash(negative, desired, seed, key))
+    # One pass gives both the positive count and the negatives' first-level
+    # hash histogram (at most 2^16 + 1 small rows reach the driver).
+    _, shift = _levels(BUCKET_BITS)[0]
+    label = F.col(label_col)
+    digit = F.when(label == 0, F.shiftright(order_hash(seed, key), shift))
+    stats = df.filter(label.isin(0, 1)).groupBy(label.alias("y"), digit.alias("d")).count().collect()
+    n_pos = sum(r["count"] for r in stats if r["y"] == 1)
+    first_hist = [(r["d"], r["count"]) for r in stats if r["y"] == 0]
+    desired = int(ratio * n_pos)
+    return positive.unionByName(smallest_by_hash(negative, desired, seed, key, first_hist=first_hist))
