@@ -46,13 +46,33 @@ def precision_recall(df: DataFrame, label_col: str = LABEL_COLUMN, prediction_co
     )
 
 
-def _score_groups(df: DataFrame, score: Column, label_col: str) -> DataFrame:
+def score_summary(
+    df: DataFrame,
+    score: Column | str,
+    label_col: str = LABEL_COLUMN,
+    prediction_col: str | None = None,
+) -> DataFrame:
+    """One row per distinct score (rows labelled 0 or 1 only): ``pos``,
+    ``neg`` and, with a prediction column, the confusion counts ``tp``,
+    ``fp``, ``fn``. A partial aggregate over the input — at most one row per
+    distinct score per task crosses the shuffle — written to the shared
+    checkpoint folder, so later jobs read the summary, not the input."""
+    score_col = F.col(score) if isinstance(score, str) else score
     label = F.col(label_col).cast("double")
+    aggs = [F.count_if(label == 1.0).alias("pos"), F.count_if(label == 0.0).alias("neg")]
+    if prediction_col is not None:
+        pred = F.col(prediction_col).cast("double")
+        aggs += [
+            F.count_if((label == 1.0) & (pred == 1.0)).alias("tp"),
+            F.count_if((label == 0.0) & (pred == 1.0)).alias("fp"),
+            F.count_if((label == 1.0) & (pred == 0.0)).alias("fn"),
+        ]
+    ensure_checkpoint_dir(df.sparkSession)
     return (
-        df.select(score.cast("double").alias("score"), label.alias("label"))
-        .filter(F.col("score").isNotNull() & ~F.isnan("score") & F.col("label").isin(0.0, 1.0))
-        .groupBy("score")
-        .agg(F.count_if(F.col("label") == 1.0).alias("pos"), F.count_if(F.col("label") == 0.0).alias("neg"))
+        df.filter(label.isin(0.0, 1.0))
+        .groupBy(score_col.cast("double").alias("score"))
+        .agg(*aggs)
+        .checkpoint(eager=True)
     )
 
 
@@ -63,13 +83,12 @@ def auc_exact(
     scores_per_range: int = SCORES_PER_RANGE,
 ) -> DataFrame:
     """One row, column ``auc``: NULL when there are no positives or no
-    negatives."""
-    score_col = F.col(score) if isinstance(score, str) else score
-    # One row per distinct score, read by four jobs below: written once to
-    # the shared checkpoint folder (lineage cut, survives executor loss).
-    ensure_checkpoint_dir(df.sparkSession)
-    groups = _score_groups(df, score_col, label_col).checkpoint(eager=True)
+    negatives. Rows whose score is NULL or NaN are left out."""
+    return auc_from_summary(score_summary(df, score, label_col), scores_per_range)
+
 
+def auc_from_summary(summary: DataFrame, scores_per_range: int = SCORES_PER_RANGE) -> DataFrame:
+    groups = summary.filter(F.col("score").isNotNull() & ~F.isnan("score")).select("score", "pos", "neg")
     n_scores = groups.count()
     n_ranges = max(1, min(MAX_RANGES, math.ceil(n_scores / scores_per_range)))
     if n_ranges == 1:
@@ -112,12 +131,18 @@ def classification_metrics(
     prediction_col: str = "prediction",
 ) -> DataFrame:
     """M7: one row ``run_tag, precision, recall, auc`` (the reference's
-    metrics row), assembled from two one-row aggregates by a union and a
-    final aggregate — no driver round trip, no cross join."""
-    pr = precision_recall(df, label_col, prediction_col).select(
-        "precision", "recall", F.lit(None).cast("double").alias("auc")
+    metrics row). One pass over the predictions builds the per-score
+    summary; precision, recall and AUC are all computed from it, and the
+    two one-row results are merged by a union and a final aggregate — no
+    driver round trip, no cross join."""
+    summary = score_summary(df, score, label_col, prediction_col)
+    tp, fp, fn = (F.coalesce(F.sum(c), F.lit(0)) for c in ("tp", "fp", "fn"))
+    pr = summary.agg(
+        (tp / F.greatest(tp + fp, F.lit(1))).alias("precision"),
+        (tp / F.greatest(tp + fn, F.lit(1))).alias("recall"),
+        F.lit(None).cast("double").alias("auc"),
     )
-    auc = auc_exact(df, score, label_col).select(
+    auc = auc_from_summary(summary).select(
         F.lit(None).cast("double").alias("precision"), F.lit(None).cast("double").alias("recall"), "auc"
     )
     return pr.unionByName(auc).agg(

@@ -65,3 +65,13 @@ def test_metrics_row_shape(spark):
     row = classification_metrics(_scored(spark), "score", "run1")
     assert row.columns == ["run_tag", "precision", "recall", "auc"]
     assert row.first()["run_tag"] == "run1"
+
+
+def test_one_pass_metrics_equal_separate_ones(spark):
+    df = _scored(spark, n=2000, levels=30)
+    # Rows without a score still count for precision and recall.
+    df = df.withColumn("score", F.when(F.col("loan_id") % 17 == 0, F.lit(None)).otherwise(F.col("score")))
+    row = classification_metrics(df, "score", "t").first()
+    pr = precision_recall(df).first()
+    assert row["precision"] == pytest.approx(pr["precision"]) and row["recall"] == pytest.approx(pr["recall"])
+    assert row["auc"] == pytest.approx(auc_exact(df, "score").first()["auc"])
