@@ -31,3 +31,17 @@ def test_features_then_train(spark, sf_small, capsys):
     assert report["rows"] == spark.read.parquet(f"{sf_small}/orders.parquet").count()
     assert main(["train", "--feature_store_path", f"{root}/fs", "--model_registry_path", f"{root}/reg",
                  "--metrics_path", f"{root}/met", "--as_of", "2001-08-01", "--num_trees", "3", "--run_tag", "r1"]) == 0
+
+
+def test_export_job(spark, sf_small, capsys):
+    from scoreflow.plans.export import daily_window, read_export
+    from scoreflow.plans.fixtures import response_log
+
+    log = response_log(spark, sf_small)
+    log.createOrReplaceTempView("t_cli_response_log")
+    root = scratch_path(spark, "t_cli_export")
+    assert main(["export", "--source", "t_cli_response_log", "--export-root", root, "--job_datetime", "2024-01-05T20:00:00Z"]) == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    expected = daily_window(log, "2024-01-05T20:00:00")[0].count()
+    assert report["rows"] == expected and report["target"].endswith("EXPORT_DT=20240105")
+    assert read_export(spark, root, "20240105").count() == expected
