@@ -28,6 +28,7 @@ EXPORT_PARTITION = "EXPORT_DT"
 
 
 def daily_window(df: DataFrame, trigger: str | dt.datetime, tz: str = "Asia/Bangkok", ts_col: str = "load_dt") -> tuple[DataFrame, str]:
+    """the rows of the previous local day and that day as ``YYYYMMDD``."""
     start, end, data_dt = local_day_window(trigger, tz)
     dtype = df.schema[ts_col].dataType
     window = df.filter((F.col(ts_col) >= ts_literal(start, dtype)) & (F.col(ts_col) < ts_literal(end, dtype)))
