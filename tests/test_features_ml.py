@@ -84,3 +84,18 @@ def test_model_scores_after_observe(spark):
     train = spark.createDataFrame(rows, SCHEMA)
     model = fit_scoring_model(train, num_trees=3)
     assert model.transform(train).select(positive_probability()).count() == 50
+
+
+def test_training_with_default_ratio_and_other_labels(spark):
+    from scoreflow.plans.training import TrainingConfig, train_and_score
+
+    rows = [
+        (i, dt.date(2001, 6, 1), (2 if i % 25 == 0 else i % 2), float(i % 11), 0.1 * (i % 3), "A" if i % 3 else "B", "R", "O", "S")
+        for i in range(600)
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cfg = TrainingConfig(run_tag="t", sampling_ratio=1.0, as_of=dt.date(2001, 8, 1), num_trees=3)
+    result = train_and_score(df, cfg)
+    m = result.metrics.first()
+    assert m["run_tag"] == "t" and 0.0 <= m["auc"] <= 1.0
+    assert result.predictions.count() > 0
