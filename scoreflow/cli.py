@@ -90,6 +90,7 @@ def build_parser() -> argparse.ArgumentParser:
     d = sub.add_parser("db-to-lake", help="B3: JDBC query to a date folder")
     _jdbc_opts(d)
     _opt(d, "sql_file", required=True)
+    _opt(d, "param", action="append", default=[], help="name=value for :name markers, repeatable")
     _opt(d, "target_path", required=True)
     _opt(d, "data_dt", required=True)
     _opt(d, "write_mode", choices=["overwrite", "append"], required=True)
@@ -161,13 +162,14 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "db-to-lake":
         from scoreflow.plans.loads import db_to_lake
         from scoreflow.sources.jdbc import JdbcPartitioning
-        from scoreflow.sources.sql_files import read_sql_file
+        from scoreflow.sources.sql_files import bind_literals, read_sql_file
 
+        params = dict(p.split("=", 1) for p in args.param)
         part = None
         if args.partition_column:
             part = JdbcPartitioning(args.partition_column, args.lower_bound, args.upper_bound, args.num_partitions or 8)
         report = db_to_lake(
-            spark, _jdbc(args), read_sql_file(spark, args.sql_file), args.target_path, args.data_dt,
+            spark, _jdbc(args), bind_literals(read_sql_file(spark, args.sql_file), params), args.target_path, args.data_dt,
             args.write_mode, part, args.is_dryrun,
         )
         print(json.dumps(report.__dict__))

@@ -114,3 +114,43 @@ def read_statements(spark: SparkSession, path: str, params: list | None = None)
         statements.append((stmt, values[:k]))
         values = values[k:]
     return statements
+
+
+def sql_literal(value: Any) -> str:
+    """A value as a SQL literal of its type (strings quoted, quotes doubled)."""
+    import datetime as _dt
+
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, _dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, _dt.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def bind_literals(text: str, params: dict[str, Any]) -> str:
+    """SQL text for a database (a JDBC ``query`` cannot bind parameters):
+    each ``:name`` marker outside literals, quoted names and comments becomes
+    the typed literal of ``params[name]``; a missing value raises."""
+    out, pos = [], 0
+
+    def sub(segment: str) -> str:
+        def one(m: re.Match) -> str:
+            name = m.group(1)
+            if name not in params:
+                raise KeyError(f"SQL needs parameter {name!r}")
+            return sql_literal(params[name])
+
+        return _MARKER.sub(one, segment)
+
+    for m in _QUOTED.finditer(text):
+        out.append(sub(text[pos : m.start()]))
+        out.append(m.group(0))
+        pos = m.end()
+    out.append(sub(text[pos:]))
+    return "".join(out)

@@ -95,3 +95,15 @@ def test_read_statements_binds_markers(spark):
 
     stmts = read_statements(spark, packaged_sql("prep_dataset.sql"), ["20240101"])
     assert len(stmts) == 1 and stmts[0][1] == ["20240101"] and stmts[0][0].startswith("-- Pre-load")
+
+
+def test_bind_literals_for_database_sql():
+    import datetime as dt
+
+    from scoreflow.sources.sql_files import bind_literals
+
+    text = "SELECT a, ':x' AS lit FROM t WHERE d = :data_dt AND n > :n AND s = :s -- :ignored\nAND day = :day"
+    out = bind_literals(text, {"data_dt": "20240101", "n": 3, "s": "o'neil", "day": dt.date(2024, 1, 1)})
+    assert out == "SELECT a, ':x' AS lit FROM t WHERE d = '20240101' AND n > 3 AND s = 'o''neil' -- :ignored\nAND day = DATE '2024-01-01'"
+    with pytest.raises(KeyError):
+        bind_literals("SELECT :missing", {})
