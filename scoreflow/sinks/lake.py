@@ -15,6 +15,7 @@ write pass.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -50,7 +51,8 @@ def _check_mode(mode: str) -> str:
 
 def write_observed(df: DataFrame, write, name: str = "load") -> int:
     """Run ``write(observed_df)`` and return the number of rows written."""
-    obs = Observation(name)
+    # A unique name: Spark rejects two observations of one name in a plan.
+    obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
     write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
     return int(obs.get.get("rows", 0))
 
