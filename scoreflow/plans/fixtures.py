@@ -17,7 +17,6 @@ from scoreflow.plans.params import SEED, SPLIT_WEIGHTS
 from scoreflow.sources.parquet import load_table
 
 
-
 def labelled_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_unlabelled(feature_store(spark, sf_dir))
 
