@@ -24,7 +24,7 @@ from scoreflow.operators.profile import feature_columns_profile
 from scoreflow.operators.responses import normalise_responses
 from scoreflow.operators.sampling import rebalance, split_label
 from scoreflow.plans.export import daily_export, read_export
-from scoreflow.plans.feature_store import feature_store, materialize_feature_store
+from scoreflow.plans.feature_store import feature_job, feature_store, materialize_feature_store
 from scoreflow.plans.fixtures import (
     activity_log,
     customer_snapshot,
@@ -38,7 +38,7 @@ from scoreflow.plans.training import TrainingConfig, prepare, score_with, train_
 from scoreflow.session import app_key, scratch_path
 from scoreflow.sinks.artifacts import load_model, read_metrics, save_model, write_metrics
 from scoreflow.sinks.lake import read_date_partitioned
-from scoreflow.sources.parquet import load_table, read_merged
+from scoreflow.sources.parquet import load_table, read_feature_store, read_merged
 from scoreflow.sources.sql_files import packaged_sql, run_sql_file
 from scoreflow.sources.tables import table_scan
 from scoreflow.streaming.bronze import envelope_file_source, start_bronze
@@ -159,6 +159,29 @@ def q_feature_store_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "feature_store_written",
+    f"""
+WITH {FEATURE_STORE_SQL}
+SELECT loan_id, snapshot_date, label_default,
+       round(debt_to_income, 6) AS debt_to_income,
+       round(utilisation_ratio, 6) AS utilisation_ratio,
+       n_lines, customer_segment, occupation, loan_subtype, region,
+       CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_month
+FROM fs
+""",
+)
+def q_feature_store_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 as a job: the month-partitioned feature table written by
+    ``feature_job`` and read back (S1), partition column included."""
+    path = scratch_path(spark, "feature_job")
+    feature_job(spark, sf_dir, path, run_tag="query")
+    fs = read_feature_store(spark, path)
+    return fs.withColumn("debt_to_income", r6(F.col("debt_to_income"))).withColumn(
+        "utilisation_ratio", r6(F.col("utilisation_ratio"))
+    )
+
+
 @register(
     "scan_recent_labelled",
     f"""
