@@ -53,3 +53,22 @@ def test_hot_score_auc(spark):
 
     brute = (np.sum(pos[:, None] > neg[None, :]) + 0.5 * np.sum(pos[:, None] == neg[None, :])) / (len(pos) * len(neg))
     assert abs(one - brute) < 1e-12 and abs(many - brute) < 1e-12
+
+
+def test_hot_day_is_split_across_write_tasks(spark):
+    from scoreflow.plans.feature_store import feature_store_layout
+
+    rows = [(i, dt.date(2001, 3, 1) if i % 3 == 0 else dt.date(2001, 1, 1) + dt.timedelta(days=i % 200)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "loan_id long, snapshot_date date")
+    # At this size AQE would merge all range partitions into one; turn that
+    # off to see how the range sampler cut the rows.
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        laid = feature_store_layout(df).withColumn("pid", F.spark_partition_id())
+        hot = laid.filter(F.col("snapshot_date") == dt.date(2001, 3, 1))
+        assert hot.select("pid").distinct().count() > 1
+        assert laid.count() == 6000
+    finally:
+        spark.conf.set(key, old)
