@@ -116,3 +116,24 @@ def jdbc_table_scan(
 ) -> DataFrame:
     opts = jdbc_read_options(config, table=table, partitioning=partitioning, fetch_size=fetch_size)
     return with_name_case(spark.read.format("jdbc").options(**opts).load(), name_case)
+
+
+def jdbc_partitioning(
+    spark: SparkSession,
+    config: JdbcConfig,
+    query: str,
+    column: str,
+    rows_per_partition: int = 1_000_000,
+    max_partitions: int = 1_000,
+) -> JdbcPartitioning:
+    """Bounds and partition count for a range-partitioned read of ``query``
+    on a numeric ``column``: one small query (min, max, count) runs in the
+    database, and the partition count follows the row count."""
+    probe = (
+        f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n "
+        f"FROM ({query.strip().rstrip(';')}) scoreflow_b"
+    )
+    row = jdbc_query_scan(spark, config, probe).first()
+    lo, hi, n = row["lo"], row["hi"], int(row["n"] or 0)
+    parts = max(1, min(max_partitions, -(-n // rows_per_partition)))
+    return JdbcPartitioning(column, lo if lo is not None else 0, hi if hi is not None else 0, parts)
