@@ -161,15 +161,18 @@ def main(argv: list[str] | None = None) -> int:
         query.awaitTermination()
     elif args.job == "db-to-lake":
         from scoreflow.plans.loads import db_to_lake
-        from scoreflow.sources.jdbc import JdbcPartitioning
+        from scoreflow.sources.jdbc import JdbcPartitioning, jdbc_partitioning
         from scoreflow.sources.sql_files import bind_literals, read_sql_file
 
         params = dict(p.split("=", 1) for p in args.param)
+        query = bind_literals(read_sql_file(spark, args.sql_file), params)
         part = None
-        if args.partition_column:
+        if args.partition_column and (args.lower_bound is None or args.upper_bound is None):
+            part = jdbc_partitioning(spark, _jdbc(args), query, args.partition_column)  # bounds from the database
+        elif args.partition_column:
             part = JdbcPartitioning(args.partition_column, args.lower_bound, args.upper_bound, args.num_partitions or 8)
         report = db_to_lake(
-            spark, _jdbc(args), bind_literals(read_sql_file(spark, args.sql_file), params), args.target_path, args.data_dt,
+            spark, _jdbc(args), query, args.target_path, args.data_dt,
             args.write_mode, part, args.is_dryrun,
         )
         print(json.dumps(report.__dict__))
