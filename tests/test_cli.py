@@ -45,3 +45,22 @@ def test_export_job(spark, sf_small, capsys):
     expected = daily_window(log, "2024-01-05T20:00:00")[0].count()
     assert report["rows"] == expected and report["target"].endswith("EXPORT_DT=20240105")
     assert read_export(spark, root, "20240105").count() == expected
+
+
+def test_lake_to_db_dry_run_opens_no_connection(spark, sf_small, capsys):
+    from scoreflow.plans.fixtures import customer_snapshot
+    from scoreflow.sources.sql_files import packaged_sql
+
+    customer_snapshot(spark, sf_small, "20240101").createOrReplaceTempView("t_cli_snapshot")
+    rc = main([
+        "lake-to-db", "--jdbc_url", "jdbc:nowhere:db", "--jdbc_driver", "no.such.Driver",
+        "--sql_file", packaged_sql("extract_dataset.sql"),
+        "--param", "source_table=t_cli_snapshot", "--param", "data_dt=20240101",
+        "--table", "TARGET.CUSTOMER_SNAPSHOT", "--write_mode", "append",
+        "--pre_ins_sql_file_path", packaged_sql("prep_dataset.sql"), "--pre_param", "20240101",
+        "--is_dryrun", "true",
+    ])
+    assert rc == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report == {"target": "TARGET.CUSTOMER_SNAPSHOT", "mode": "append",
+                      "rows": spark.read.parquet(f"{sf_small}/customer.parquet").count(), "is_dryrun": True}
