@@ -56,9 +56,16 @@ class TrainingResult:
         return self._metrics
 
 
-def prepare(df: DataFrame, cfg: TrainingConfig) -> tuple[DataFrame, DataFrame]:
+def split_recent(df: DataFrame, cfg: TrainingConfig) -> tuple[DataFrame, DataFrame]:
+    """Recent labelled rows, split into (train, held-out); lazy, no job runs."""
     recent = drop_unlabelled(filter_recent(df, cfg.training_window_months, as_of=cfg.as_of))
     train, test = hash_split(recent, cfg.split_weights, cfg.seed, ID_COLUMN)
+    return train, test
+
+
+def prepare(df: DataFrame, cfg: TrainingConfig) -> tuple[DataFrame, DataFrame]:
+    """(rebalanced train, held-out). The rebalance runs its counting jobs."""
+    train, test = split_recent(df, cfg)
     return rebalance(train, cfg.sampling_ratio, seed=cfg.seed), test
 
 

@@ -34,7 +34,7 @@ from scoreflow.plans.fixtures import (
     stage_envelopes,
 )
 from scoreflow.plans.loads import frame_to_lake
-from scoreflow.plans.training import TrainingConfig, prepare, score_with, train_and_score, training_run
+from scoreflow.plans.training import TrainingConfig, score_with, split_recent, train_and_score, training_run
 from scoreflow.session import app_key, scratch_path
 from scoreflow.sinks.artifacts import load_model, read_metrics, save_model, write_metrics
 from scoreflow.sinks.lake import read_date_partitioned
@@ -437,7 +437,7 @@ def q_rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _training_config()
     run_path = save_model(_trained(spark, sf_dir).model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
-    _, test = prepare(feature_store(spark, sf_dir), cfg)
+    _, test = split_recent(feature_store(spark, sf_dir), cfg)
     return score_with(load_model(run_path), test)
 
 
