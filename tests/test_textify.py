@@ -57,3 +57,13 @@ def test_single_projection(spark):
     df = spark.createDataFrame([(1, 2.0)], "a int, b double")
     plan = to_text_columns(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Project") == 1
+
+
+def test_zoned_timestamp_custom_patterns_and_nulls(spark):
+    df = spark.createDataFrame(
+        [(dt.datetime(2024, 1, 2, 3, 4, 5), dt.date(2024, 1, 2), 1234.5), (None, None, None)],
+        "t timestamp, d date, x double",
+    )
+    out = to_text_columns(df, date_fmt="dd/MM/yyyy", timestamp_fmt="yyyyMMdd'T'HHmm", number_fmt="0.00").collect()
+    assert (out[0]["t"], out[0]["d"], out[0]["x"]) == ("20240102T0304", "02/01/2024", "1234.50")
+    assert (out[1]["t"], out[1]["d"], out[1]["x"]) == (None, None, None)
