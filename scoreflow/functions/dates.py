@@ -88,3 +88,15 @@ def ts_literal(value: dt.datetime, dtype: T.DataType) -> Column:
     # Zoned timestamp: the naive value is a UTC instant. An aware literal
     # carries the instant itself, whatever the session time zone.
     return F.lit(value.replace(tzinfo=UTC))
+
+
+def utc_wall_to_instant(column: Column, session_tz: str) -> Column:
+    """A ``timestamp_ntz`` holding UTC wall-clock time → the zoned timestamp
+    of that instant, whatever the session time zone ``session_tz``."""
+    return F.from_utc_timestamp(column.cast("timestamp"), session_tz)
+
+
+def instant_to_utc_wall(column: Column, session_tz: str) -> Column:
+    """Inverse of ``utc_wall_to_instant``: a zoned timestamp → its UTC
+    wall-clock time as ``timestamp_ntz``."""
+    return F.to_utc_timestamp(column, session_tz).cast("timestamp_ntz")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreflow.functions.dates import utc_wall_to_instant
 from scoreflow.operators.filters import drop_unlabelled
 from scoreflow.operators.sampling import hash_split
 from scoreflow.plans.feature_store import feature_store
@@ -96,13 +97,14 @@ def payment_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-style envelope rows from ``events``: key = user id, value = the
     JSON props, offset = event id, timestamp = event time."""
     events = load_table(spark, sf_dir, "events")
+    session_tz = spark.conf.get("spark.sql.session.timeZone")
     return events.select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         F.col("props").cast("binary").alias("value"),
         F.lit("payments").alias("topic"),
         F.lit(0).alias("partition"),
         F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        utc_wall_to_instant(F.col("ts"), session_tz).alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
 

@@ -14,6 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreflow.functions.dates import instant_to_utc_wall
 from scoreflow.functions.textify import to_text_columns
 from scoreflow.operators.activity import activity_completion, activity_rollup
 from scoreflow.operators.features import CATEGORICAL_COLUMNS, feature_store_from_dir
@@ -739,7 +740,8 @@ def q_bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = start_bronze(stream, f"{root}/bronze", f"{root}/_checkpoint", available_now=True)
     query.awaitTermination()
     bronze = spark.read.parquet(f"{root}/bronze")
-    return bronze.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    session_tz = spark.conf.get("spark.sql.session.timeZone")
+    return bronze.withColumn("timestamp", instant_to_utc_wall(F.col("timestamp"), session_tz))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

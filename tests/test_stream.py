@@ -52,3 +52,16 @@ def test_processing_time_trigger_and_table_sink(spark, sf_small):
     assert spark.table(table).count() == n
     assert dict(spark.table(table).dtypes)["key"] == "string"
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_envelope_timestamp_is_the_event_instant(spark, sf_small):
+    import datetime as dt
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        row = payment_envelopes(spark, sf_small).select("offset", F.unix_micros("timestamp").alias("us")).orderBy("offset").first()
+        ts = spark.read.parquet(f"{sf_small}/events.parquet").filter(F.col("event_id") == row["offset"]).first()["ts"]
+        assert row["us"] == int((ts - dt.datetime(1970, 1, 1)) / dt.timedelta(microseconds=1))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
