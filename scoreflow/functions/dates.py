@@ -67,14 +67,18 @@ def local_day_window(trigger: str | dt.datetime, tz: str = "Asia/Bangkok") -> tu
     return to_naive(start_local), to_naive(end_local), start_local.strftime("%Y%m%d")
 
 
-def local_day_bounds(trigger: Column, tz: str = "Asia/Bangkok") -> tuple[Column, Column]:
-    """Column form of the same window, for a column of trigger times:
-    ``from_utc_timestamp`` → ``date_trunc('DAY')`` → back to UTC."""
-    seconds = F.date_trunc("second", trigger)
-    local_midnight = F.date_trunc("DAY", F.from_utc_timestamp(seconds, tz))
-    end = F.to_utc_timestamp(local_midnight, tz)
-    start = F.to_utc_timestamp(F.date_sub(local_midnight, 1).cast("timestamp"), tz)
-    return start, end
+def local_day_bounds(trigger_utc: Column, tz: str = "Asia/Bangkok") -> tuple[Column, Column]:
+    """Column form of the same window for a column of trigger times held as
+    UTC wall-clock ``timestamp_ntz`` (the lake's convention): to local time
+    with ``convert_timezone``, cut to the second and to the day, back to
+    UTC. Returns ``[start, end)`` as UTC wall-clock ``timestamp_ntz``; every
+    step works on wall-clock values, so the session time zone plays no part."""
+    utc = F.lit("UTC")
+    zone = F.lit(tz)
+    local = F.convert_timezone(utc, zone, F.date_trunc("second", trigger_utc).cast("timestamp_ntz"))
+    midnight = F.date_trunc("DAY", local).cast("timestamp_ntz")
+    yesterday = (midnight - F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz")
+    return F.convert_timezone(zone, utc, yesterday), F.convert_timezone(zone, utc, midnight)
 
 
 def ts_literal(value: dt.datetime, dtype: T.DataType) -> Column:

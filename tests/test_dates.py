@@ -33,13 +33,20 @@ def test_dst_zone_day_lengths():
 
 
 def test_column_bounds_match_python(spark):
-    triggers = ["2024-01-05 20:00:00", "2024-01-05 17:00:00", "2024-06-30 23:59:59"]
-    df = spark.createDataFrame([(t,) for t in triggers], "t string").select(F.col("t").cast("timestamp").alias("t"))
-    start, end = local_day_bounds(F.col("t"))
-    got = df.select(start.alias("s"), end.alias("e")).collect()
-    for t, row in zip(triggers, got):
-        s, e, _ = local_day_window(t)
-        assert row["s"].replace(tzinfo=None) == s and row["e"].replace(tzinfo=None) == e
+    triggers = ["2024-01-05 20:00:00", "2024-01-05 17:00:00", "2024-06-30 23:59:59.5", "2024-03-11 12:00:00"]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session_zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", session_zone)
+            df = spark.createDataFrame([(t,) for t in triggers], "t string").select(F.col("t").cast("timestamp_ntz").alias("t"))
+            for zone in ("Asia/Bangkok", "America/New_York"):
+                start, end = local_day_bounds(F.col("t"), zone)
+                got = df.select(start.alias("s"), end.alias("e")).collect()
+                for t, row in zip(triggers, got):
+                    s, e, _ = local_day_window(t.replace(" ", "T"), zone)
+                    assert (row["s"], row["e"]) == (s, e), (session_zone, zone, t)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
 
 
 def test_add_months_clamps(spark):
