@@ -28,7 +28,7 @@ def months_back(as_of: Column | str | dt.date | None, months: int) -> Column:
 
 def yyyymmdd_to_iso(column: Column) -> Column:
     """``'20240105'`` → ``'2024-01-05'``; unparsable text gives NULL."""
-    return F.date_format(F.try_to_timestamp(column, F.lit("yyyyMMdd")), "yyyy-MM-dd")
+    return F.date_format(F.try_to_date(column, "yyyyMMdd"), "yyyy-MM-dd")
 
 
 def _parse_trigger(trigger: str | dt.datetime) -> dt.datetime:
