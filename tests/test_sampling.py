@@ -106,3 +106,10 @@ def test_rebalance_with_vector_and_map_columns(spark):
     df = _frame(spark, 20, 100).withColumn("v", array_to_vector(F.array(F.col("loan_id").cast("double"))))
     df = df.withColumn("m", F.create_map(F.lit("k"), F.col("loan_id")))
     assert rebalance(df, 2.0, seed=5).count() == 60
+
+
+def test_rebalance_picks_exactly_the_smallest_hashes(spark):
+    df = _frame(spark, 150, 2000, extra_labels=5)
+    out = rebalance(df, 1.5, seed=9)
+    negatives = {r["loan_id"] for r in out.filter("label_default = 0").collect()}
+    assert negatives == _brute_smallest(df.filter("label_default = 0"), int(1.5 * 150), 9)
