@@ -3,6 +3,7 @@
     python -m scoreflow.cli features --input_path ... --output_path ... --run_tag ...
     python -m scoreflow.cli train --feature_store_path ... --model_registry_path ... --metrics_path ...
     python -m scoreflow.cli export --source api_response_log --export_root ... --job_datetime ...
+    python -m scoreflow.cli gate --log_source activity_log --activities load,score --day 2024-01-15
     python -m scoreflow.cli bronze --bootstrap_servers ... --topic ... --target ... --checkpoint ...
     python -m scoreflow.cli db-to-lake --jdbc_url ... --jdbc_driver ... --sql_file ... --target_path ... --data_dt ...
     python -m scoreflow.cli lake-to-db --sql_file ... --param data_dt=20240101 --jdbc_url ... --table ...
@@ -87,6 +88,13 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(b, "min_partitions", type=int)
     _opt(b, "format", default="parquet")
 
+    g = sub.add_parser("gate", help="B7: which activities completed on a day")
+    _opt(g, "log_source", required=True, help="activity log: catalog table/view name or path")
+    _opt(g, "log_format", default="parquet")
+    _opt(g, "activities", required=True, help="comma-separated activity names")
+    _opt(g, "day", type=dt.date.fromisoformat, default=None, help="YYYY-MM-DD, default today")
+    _opt(g, "is_dryrun", type=_bool, default=False)
+
     d = sub.add_parser("db-to-lake", help="B3: JDBC query to a date folder")
     _jdbc_opts(d)
     _opt(d, "sql_file", required=True)
@@ -148,6 +156,13 @@ def main(argv: list[str] | None = None) -> int:
             args.zone, args.ts_column, args.format, args.is_dryrun,
         )
         print(json.dumps(report.__dict__))
+    elif args.job == "gate":
+        from scoreflow.plans.completion import check_activity_completion
+        from scoreflow.sources.tables import table_scan
+
+        names = [n.strip() for n in args.activities.split(",") if n.strip()]
+        log = table_scan(spark, args.log_source, args.log_format)
+        print(json.dumps(check_activity_completion(spark, log, names, args.day, args.is_dryrun)))
     elif args.job == "bronze":
         from scoreflow.streaming.bronze import kafka_options, kafka_source, start_bronze
 

@@ -64,3 +64,13 @@ def test_lake_to_db_dry_run_opens_no_connection(spark, sf_small, capsys):
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert report == {"target": "TARGET.CUSTOMER_SNAPSHOT", "mode": "append",
                       "rows": spark.read.parquet(f"{sf_small}/customer.parquet").count(), "is_dryrun": True}
+
+
+def test_gate_job(spark, sf_small, capsys):
+    from scoreflow.plans.fixtures import activity_log
+
+    activity_log(spark, sf_small).createOrReplaceTempView("t_cli_activity_log")
+    assert main(["gate", "--log_source", "t_cli_activity_log", "--activities", "click, error,absent", "--day", "2024-01-15"]) == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert sorted(res["completed"] + res["pending"]) == ["absent", "click", "error"]
+    assert "absent" in res["pending"] and res["all_completed"] is False
