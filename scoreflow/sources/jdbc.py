@@ -134,6 +134,14 @@ def jdbc_partitioning(
         f"FROM ({query.strip().rstrip(';')}) scoreflow_b"
     )
     row = jdbc_query_scan(spark, config, probe).first()
-    lo, hi, n = row["lo"], row["hi"], int(row["n"] or 0)
-    parts = max(1, min(max_partitions, -(-n // rows_per_partition)))
+    return partitioning_from_probe(column, row["lo"], row["hi"], row["n"], rows_per_partition, max_partitions)
+
+
+def partitioning_from_probe(
+    column: str, lo: Any, hi: Any, n: Any, rows_per_partition: int = 1_000_000, max_partitions: int = 1_000
+) -> JdbcPartitioning:
+    """Partition count = ceil(rows / rows_per_partition), at least 1, at most
+    ``max_partitions``; an empty result reads as one partition."""
+    rows = int(n or 0)
+    parts = max(1, min(max_partitions, -(-rows // rows_per_partition)))
     return JdbcPartitioning(column, lo if lo is not None else 0, hi if hi is not None else 0, parts)

@@ -47,3 +47,12 @@ def test_name_case(spark):
     assert with_name_case(df, None).columns == ["customer_id", "Data_Dt"]
     with pytest.raises(ValueError):
         with_name_case(spark.createDataFrame([(1, 2)], "a int, A int"), "lower")
+
+
+def test_partitioning_from_probe():
+    from scoreflow.sources.jdbc import partitioning_from_probe
+
+    p = partitioning_from_probe("id", 1, 5_000_000, 2_500_001)
+    assert (p.lower_bound, p.upper_bound, p.num_partitions) == (1, 5_000_000, 3)
+    assert partitioning_from_probe("id", None, None, 0).num_partitions == 1
+    assert partitioning_from_probe("id", 0, 10**12, 10**12).num_partitions == 1_000
