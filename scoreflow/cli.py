@@ -70,7 +70,7 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(e, "source_format", default="parquet")
     _opt(e, "export_root", required=True)
     _opt(e, "job_datetime", required=True, help="UTC trigger time, ISO 8601")
-    _opt(e, "zone", default="Asia/Bangkok")
+    _opt(e, "zone", default=None, help="IANA zone of the business day (default: the reference's zone)")
     _opt(e, "ts_column", default="load_dt")
     _opt(e, "format", default="csv")
     _opt(e, "is_dryrun", type=_bool, default=False)
@@ -151,9 +151,11 @@ def main(argv: list[str] | None = None) -> int:
         from scoreflow.plans.export import daily_export
         from scoreflow.sources.tables import table_scan
 
+        from scoreflow.functions.dates import LOCAL_ZONE
+
         report = daily_export(
             table_scan(spark, args.source, args.source_format), args.export_root, args.job_datetime,
-            args.zone, args.ts_column, args.format, args.is_dryrun,
+            args.zone or LOCAL_ZONE, args.ts_column, args.format, args.is_dryrun,
         )
         print(json.dumps(report.__dict__))
     elif args.job == "gate":

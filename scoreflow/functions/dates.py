@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 
 UTC = dt.timezone.utc
 
+# Fixed value: the reference's export time zone.
+LOCAL_ZONE = "Asia/Bangkok"
+
 
 def months_back(as_of: Column | str | dt.date | None, months: int) -> Column:
     """``add_months(as_of, -months)``; ``as_of`` defaults to
@@ -50,7 +53,7 @@ def _parse_trigger(trigger: str | dt.datetime) -> dt.datetime:
     return trigger.astimezone(UTC)
 
 
-def local_day_window(trigger: str | dt.datetime, tz: str = "Asia/Bangkok") -> tuple[dt.datetime, dt.datetime, str]:
+def local_day_window(trigger: str | dt.datetime, tz: str = LOCAL_ZONE) -> tuple[dt.datetime, dt.datetime, str]:
     """F4 / X8 for one job trigger time (a parameter, not data).
 
     The trigger is a UTC time; its fractional seconds are cut off. In zone
@@ -67,7 +70,7 @@ def local_day_window(trigger: str | dt.datetime, tz: str = "Asia/Bangkok") -> tu
     return to_naive(start_local), to_naive(end_local), start_local.strftime("%Y%m%d")
 
 
-def local_day_bounds(trigger_utc: Column, tz: str = "Asia/Bangkok") -> tuple[Column, Column]:
+def local_day_bounds(trigger_utc: Column, tz: str = LOCAL_ZONE) -> tuple[Column, Column]:
     """Column form of the same window for a column of trigger times held as
     UTC wall-clock ``timestamp_ntz`` (the lake's convention): to local time
     with ``convert_timezone``, cut to the second and to the day, back to

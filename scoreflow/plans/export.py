@@ -1,7 +1,7 @@
 """Daily snapshot export.
 
 The reference reads a response view, keeps the rows of the previous local
-day (Asia/Bangkok) relative to the job's UTC trigger time, collects them to
+day (a fixed zone, ``LOCAL_ZONE``) relative to the job's UTC trigger time, collects them to
 the driver with ``toPandas`` and uploads a spreadsheet. Here the rows are
 filtered at the scan (typed literal bounds → pushed filters), converted to
 text in one projection (F6) and written by the executors as the
@@ -17,7 +17,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreflow.functions.dates import local_day_window, ts_literal
+from scoreflow.functions.dates import LOCAL_ZONE, local_day_window, ts_literal
 from scoreflow.functions.textify import to_text_columns
 from scoreflow.sinks.lake import LoadReport, write_date_partition
 
@@ -27,7 +27,7 @@ EXPORT_OPTIONS = {"csv": {"header": "true", "escape": '"', "quoteAll": "false"}}
 EXPORT_PARTITION = "EXPORT_DT"
 
 
-def daily_window(df: DataFrame, trigger: str | dt.datetime, tz: str = "Asia/Bangkok", ts_col: str = "load_dt") -> tuple[DataFrame, str]:
+def daily_window(df: DataFrame, trigger: str | dt.datetime, tz: str = LOCAL_ZONE, ts_col: str = "load_dt") -> tuple[DataFrame, str]:
     """the rows of the previous local day and that day as ``YYYYMMDD``."""
     start, end, data_dt = local_day_window(trigger, tz)
     dtype = df.schema[ts_col].dataType
@@ -39,7 +39,7 @@ def daily_export(
     df: DataFrame,
     export_root: str,
     trigger: str | dt.datetime,
-    tz: str = "Asia/Bangkok",
+    tz: str = LOCAL_ZONE,
     ts_col: str = "load_dt",
     fmt: str = "csv",
     is_dryrun: bool = False,
