@@ -13,6 +13,9 @@ Sub-packages:
 * ``plans``     — the composite jobs (training run, loads, export, gate) and
   the derivation of job inputs from the test tables.
 * ``streaming`` — the bronze ingestion stream.
+
+``python -m scoreflow <job> ...`` runs a job from the command line
+(``scoreflow.cli``); ``scoreflow.registry`` holds the registered queries.
 """
 
 __version__ = "0.1.0"
