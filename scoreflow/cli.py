@@ -89,7 +89,11 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(b, "format", default="parquet")
 
     g = sub.add_parser("gate", help="B7: which activities completed on a day")
-    _opt(g, "log_source", required=True, help="activity log: catalog table/view name or path")
+    _opt(g, "log_source", required=True, help="activity log: catalog table/view name, path, or database table with --jdbc_url")
+    _opt(g, "jdbc_url", help="read --log_source from this database (the day filter is pushed into its query)")
+    _opt(g, "jdbc_driver")
+    _opt(g, "jdbc_user")
+    _opt(g, "jdbc_password_env")
     _opt(g, "log_format", default="parquet")
     _opt(g, "activities", required=True, help="comma-separated activity names")
     _opt(g, "day", type=dt.date.fromisoformat, default=None, help="YYYY-MM-DD, default today")
@@ -163,7 +167,12 @@ def main(argv: list[str] | None = None) -> int:
         from scoreflow.sources.tables import table_scan
 
         names = [n.strip() for n in args.activities.split(",") if n.strip()]
-        log = table_scan(spark, args.log_source, args.log_format)
+        if args.jdbc_url:
+            from scoreflow.sources.jdbc import jdbc_table_scan
+
+            log = jdbc_table_scan(spark, _jdbc(args), args.log_source)
+        else:
+            log = table_scan(spark, args.log_source, args.log_format)
         print(json.dumps(check_activity_completion(spark, log, names, args.day, args.is_dryrun)))
     elif args.job == "bronze":
         from scoreflow.streaming.bronze import kafka_options, kafka_source, start_bronze

@@ -69,7 +69,8 @@ def write_jdbc(
 
 def _connect(spark: SparkSession, config: JdbcConfig):
     jvm = spark.sparkContext._jvm
-    jvm.java.lang.Class.forName(config.driver)
+    if config.driver:
+        jvm.java.lang.Class.forName(config.driver)
     props = jvm.java.util.Properties()
     for key, value in config.options().items():
         if key not in ("url", "driver"):

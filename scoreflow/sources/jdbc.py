@@ -19,13 +19,15 @@ from pyspark.sql import DataFrame, SparkSession
 @dataclass(frozen=True)
 class JdbcConfig:
     url: str
-    driver: str
+    driver: str | None = None
     user: str | None = None
     password: str | None = None
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
-        opts = {"url": self.url, "driver": self.driver}
+        opts = {"url": self.url}
+        if self.driver:  # otherwise Spark picks the driver registered for the URL
+            opts["driver"] = self.driver
         if self.user is not None:
             opts["user"] = self.user
         if self.password is not None:

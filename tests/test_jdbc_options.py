@@ -56,3 +56,8 @@ def test_partitioning_from_probe():
     assert (p.lower_bound, p.upper_bound, p.num_partitions) == (1, 5_000_000, 3)
     assert partitioning_from_probe("id", None, None, 0).num_partitions == 1
     assert partitioning_from_probe("id", 0, 10**12, 10**12).num_partitions == 1_000
+
+
+def test_driver_is_optional():
+    opts = jdbc_read_options(JdbcConfig(url="jdbc:postgresql://db/x"), table="t")
+    assert "driver" not in opts and opts["url"] == "jdbc:postgresql://db/x"
