@@ -61,3 +61,12 @@ def test_partitioning_from_probe():
 def test_driver_is_optional():
     opts = jdbc_read_options(JdbcConfig(url="jdbc:postgresql://db/x"), table="t")
     assert "driver" not in opts and opts["url"] == "jdbc:postgresql://db/x"
+
+
+def test_atomic_slice_replace_dry_run_opens_nothing(spark):
+    from scoreflow.sinks.jdbc import replace_slice_jdbc
+
+    bad = JdbcConfig(url="jdbc:nowhere:x", driver="no.such.Driver")
+    df = spark.range(7).withColumnRenamed("id", "customer_id")
+    rep = replace_slice_jdbc(spark, df, bad, "TARGET.T", "DATA_DT", "20240101", "TARGET.T_STAGE", is_dryrun=True)
+    assert (rep.target, rep.mode, rep.rows, rep.is_dryrun) == ("TARGET.T", "replace_slice", 7, True)
