@@ -99,3 +99,14 @@ def test_training_with_default_ratio_and_other_labels(spark):
     m = result.metrics.first()
     assert m["run_tag"] == "t" and 0.0 <= m["auc"] <= 1.0
     assert result.predictions.count() > 0
+
+
+def test_profile_with_null_and_boolean_columns(spark):
+    from scoreflow.operators.profile import feature_columns_profile
+
+    df = _edge_frame(spark).withColumn("empty", F.lit(None).cast("double")).withColumn("flag", F.col("loan_id") > 3)
+    rows = {r["feature"]: r for r in feature_columns_profile(df).collect()}
+    assert set(rows) == {"debt_to_income", "utilisation_ratio", "empty", "flag"}
+    assert rows["empty"]["non_null"] == 0 and rows["empty"]["min_value"] is None
+    assert (rows["flag"]["min_value"], rows["flag"]["max_value"]) == (0.0, 1.0)
+    assert rows["utilisation_ratio"]["non_null"] == 5
