@@ -82,3 +82,8 @@ def test_window_edges_on_rows(spark):
                 assert data_dt == "20240105"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dst_fall_back_day_is_25_hours():
+    start, end, data_dt = local_day_window("2024-11-04T12:00:00", "America/New_York")
+    assert end - start == dt.timedelta(hours=25) and data_dt == "20241103"
