@@ -7,10 +7,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from scoreflow import registry
 from scoreflow.sources.parquet import TEST_TABLES
 from tools.check_oracle import compare
 
-NAMES = sorted(entry.queries())
+# The corpus operators have tests of their own.
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -24,7 +26,7 @@ def con(sf_small):
 
 
 def test_every_query_has_oracle_or_is_ml():
-    rows_only = set(entry.queries()) - set(entry.oracle_sql())
+    rows_only = set(registry.QUERIES) - set(registry.ORACLE)
     assert rows_only == {"rf_predictions", "model_reload_score"}
 
 
