@@ -96,13 +96,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     of windows) and item_ids (of the windows that occur, sorted as strings)."""
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     windows = written(benchmark_windows(benchmark, window), "benchmark_windows")
-    shingles = _window_shingles(windows, shingle)
+    shingles = written(_window_shingles(windows, shingle), "benchmark_shingles")
     sizes = sorted(r[0] for r in shingles.select("size").distinct().collect())  # at most `shingle` numbers
-    words = rows.select("doc_id", *row_key(), _words(F.col("text")).alias("words"))
     if not sizes:
-        return words.select(
+        return rows.select(
             "doc_id",
-            F.size("words").cast("long").alias("n_words"),
+            F.size(_words(F.col("text"))).cast("long").alias("n_words"),
             F.lit(0).cast("long").alias("n_hit"),
             F.array().cast("array<string>").alias("item_ids"),
         )
@@ -124,7 +123,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         .agg(F.array_sort(F.collect_set(F.struct(start.alias("start"), "n", "win", "item_ids"))).alias("candidates"))
     )
     none = F.array().cast(candidates.schema["candidates"].dataType)
-    out = words.join(candidates, ["k1", "k2"], "left").select(
+    # The text crosses the join, not its words: it is smaller and split only once after it.
+    keyed = rows.select("doc_id", *row_key(), "text").join(candidates, ["k1", "k2"], "left")
+    out = keyed.select("doc_id", "candidates", _words(F.col("text")).alias("words")).select(
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         F.filter(
