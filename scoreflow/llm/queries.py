@@ -10,9 +10,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import read_table
+from scoreflow.llm import language_id, toxicity
+from scoreflow.llm.common import crc_bucket, read_table
 from scoreflow.llm.decontaminate import contamination_digest
 from scoreflow.llm.license_scan import license_scan
+from scoreflow.llm.piece_codec import encode_documents, read_model
 from scoreflow.llm.preference_chat import neighbour_pairs, preference_pairs
 from scoreflow.llm.quality_rules import apply_quality_rules, labelled_sample, learn_decision_list
 from scoreflow.llm.secret_scan import secret_digest
@@ -74,6 +76,11 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read_table(spark, sf_dir, "documents"))
 
 
+@register("op4_piece_codec")
+def q_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(read_table(spark, sf_dir, "documents"), read_model())
+
+
 PREFERENCE_SQL = r"""
 WITH t AS (
     SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side,
@@ -115,6 +122,16 @@ def q_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preference_pairs(neighbour_pairs(read_table(spark, sf_dir, "conversations")))
 
 
+@register("op6_toxicity")
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = crc_bucket("doc_id", 3) == 1
+    model = toxicity.fit(docs.where(~held_out), labels.where(~held_out))
+    scored = toxicity.score(docs, model)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 @register("op7_quality_rules")
 def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
@@ -127,3 +144,12 @@ def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_license_scan")
 def q_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_language_id")
+def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 4) == 2
+    model = language_id.train(docs.where(~held_out).select("doc_id", "text", "lang"))
+    found = language_id.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
