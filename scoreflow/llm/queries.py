@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from scoreflow.llm import language_id, toxicity
 from scoreflow.llm.common import crc_bucket, read_table
 from scoreflow.llm.decontaminate import contamination_digest
+from scoreflow.llm.jaccard_join import jaccard_components
 from scoreflow.llm.license_scan import license_scan
 from scoreflow.llm.piece_codec import encode_documents, read_model
 from scoreflow.llm.preference_chat import neighbour_pairs, preference_pairs
 from scoreflow.llm.quality_rules import apply_quality_rules, labelled_sample, learn_decision_list
+from scoreflow.llm.repeated_phrases import remove_repeats
 from scoreflow.llm.secret_scan import secret_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,6 +78,35 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read_table(spark, sf_dir, "documents"))
 
 
+REPEATS_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+),
+g AS (
+    SELECT r, doc_id, s, array_to_string(w[s:s + 19], ' ') AS v
+    FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)
+),
+f AS (SELECT v, min((doc_id, s)) AS first FROM g GROUP BY v),
+gone AS (
+    SELECT DISTINCT r, unnest(range(s, s + 20)) AS p FROM g JOIN f USING (v) WHERE (g.doc_id, g.s) > f.first
+),
+k AS (
+    SELECT d.r, string_agg(x.word, ' ' ORDER BY x.p) AS kept, count(*) AS n
+    FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) x
+    JOIN d USING (r) WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.r = x.r AND gone.p = x.p)
+    GROUP BY d.r
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(len(d.w) - coalesce(k.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)
+"""
+
+
+@register("op3_repeated_phrases", REPEATS_SQL)
+def q_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 @register("op4_piece_codec")
 def q_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read_table(spark, sf_dir, "documents"), read_model())
@@ -146,6 +177,35 @@ def q_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(read_table(spark, sf_dir, "documents"))
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^ 	-
+]+') AS w
+    FROM documents
+),
+s AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+                        WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                        ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' '))) END AS g
+    FROM d
+),
+t AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS k
+      FROM t a JOIN t b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c WHERE 100 * k >= 90 * (na + nb - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT s.doc_id, CAST(len(s.g) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(m.b, s.doc_id)) AS component_id
+FROM s LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = s.doc_id
+"""
+
+
+@register("op9_jaccard_join", JACCARD_SQL)
+def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 @register("op10_language_id")
 def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
