@@ -42,15 +42,13 @@ def split_words(text: Column, separators: str) -> Column:
     return F.array_remove(F.split(text, separators), "")
 
 
-def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
+def row_key(doc_id: str = "doc_id", text: Column | str = "text") -> list[Column]:
     """A 96-bit key of (doc_id, text), never null, for joining results back
     to their rows without shuffling the texts. Repeated rows share a key, and
     every result here is a function of (doc_id, text), so they share it too."""
     ident = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
-    return [
-        F.xxhash64(F.lit("row"), ident, F.col(text)).alias("k1"),
-        F.hash(F.lit("key"), ident, F.col(text)).alias("k2"),
-    ]
+    text = F.col(text) if isinstance(text, str) else text
+    return [F.xxhash64(F.lit("row"), ident, text).alias("k1"), F.hash(F.lit("key"), ident, text).alias("k2")]
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

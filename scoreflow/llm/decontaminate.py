@@ -94,6 +94,18 @@ def _occurrences(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> Data
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit (words inside occurrences
     of windows) and item_ids (of the windows that occur, sorted as strings)."""
+    return _contamination(docs, benchmark, window, shingle).drop("k1", "k2")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
+    """The documents, all columns, without those that hold a benchmark window."""
+    hit = _contamination(docs, benchmark, window, shingle).where("n_hit > 0").select("k1", "k2").distinct()
+    hit = written(hit, "contaminated")
+    row = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), *row_key(text=text_or_empty()))
+    return row.join(broadcast_checked(hit, BROADCAST_ROWS), ["k1", "k2"], "left_anti").select("row.*")
+
+
+def _contamination(docs: DataFrame, benchmark: DataFrame, window: int, shingle: int) -> DataFrame:
     rows = docs.select("doc_id", text_or_empty().alias("text"))
     windows = written(benchmark_windows(benchmark, window), "benchmark_windows")
     shingles = written(_window_shingles(windows, shingle), "benchmark_shingles")
@@ -101,6 +113,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     if not sizes:
         return rows.select(
             "doc_id",
+            *row_key(),
             F.size(_words(F.col("text"))).cast("long").alias("n_words"),
             F.lit(0).cast("long").alias("n_hit"),
             F.array().cast("array<string>").alias("item_ids"),
@@ -125,8 +138,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
     none = F.array().cast(candidates.schema["candidates"].dataType)
     # The text crosses the join, not its words: it is smaller and split only once after it.
     keyed = rows.select("doc_id", *row_key(), "text").join(candidates, ["k1", "k2"], "left")
-    out = keyed.select("doc_id", "candidates", _words(F.col("text")).alias("words")).select(
+    out = keyed.select("doc_id", "k1", "k2", "candidates", _words(F.col("text")).alias("words")).select(
         "doc_id",
+        "k1",
+        "k2",
         F.size("words").cast("long").alias("n_words"),
         F.filter(
             F.coalesce("candidates", none), lambda c: F.slice("words", c["start"] + 1, c["n"]) == c["win"]
@@ -142,7 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, s
         lambda acc: acc["n"],
     )
     ids = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda c: c["item_ids"]))))
-    return out.select("doc_id", "n_words", hit.cast("long").alias("n_hit"), ids.alias("item_ids"))
+    return out.select("doc_id", "k1", "k2", "n_words", hit.cast("long").alias("n_hit"), ids.alias("item_ids"))
 
 
 def contamination_digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -161,10 +161,10 @@ def redact_secrets(docs: DataFrame, placeholder: str = "[secret]", scope: int =
     """The documents with every reported span replaced by `placeholder`
     (overlapping spans by one) and n_chars brought up to date. All columns
     and rows stay; a text without spans is left as it is."""
-    keyed = docs.withColumns({"__k1": row_key_on_empty()[0], "__k2": row_key_on_empty()[1]})
-    spans = secret_spans(docs.select("doc_id", "text"), scope).where(F.size("spans") > 0)
-    spans = spans.select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2"), F.col("spans").alias("__spans"))
-    joined = keyed.join(spans.dropDuplicates(["__k1", "__k2"]), ["__k1", "__k2"], "left")
+    row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
+    keyed = docs.select(row, text_or_empty().alias("text"), *row_key(text=text_or_empty()))
+    found = secret_spans(docs.select("doc_id", "text"), scope).where(F.size("spans") > 0)
+    joined = keyed.join(found.select("k1", "k2", "spans").dropDuplicates(["k1", "k2"]), ["k1", "k2"], "left")
     length = F.length("text")
     start = F.struct(F.lit(0).cast("long").alias("to"), F.array().cast("array<string>").alias("parts"))
 
@@ -176,7 +176,7 @@ def redact_secrets(docs: DataFrame, placeholder: str = "[secret]", scope: int =
         ).otherwise(F.struct(F.greatest(acc["to"], s["end"]).alias("to"), acc["parts"].alias("parts")))
 
     rebuilt = F.aggregate(
-        "__spans",
+        "spans",
         start,
         step,
         lambda acc: F.concat(
@@ -184,15 +184,15 @@ def redact_secrets(docs: DataFrame, placeholder: str = "[secret]", scope: int =
             F.substr(F.col("text"), (acc["to"] + 1).cast("int"), F.greatest(length - acc["to"], F.lit(0)).cast("int")),
         ),
     )
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(rebuilt)
-    out = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        out = out.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
-
-
-def row_key_on_empty() -> list[Column]:
-    """`row_key` of the text with null taken as empty, as `secret_spans` sees it."""
-    ident = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    return [F.xxhash64(F.lit("row"), ident, text_or_empty()), F.hash(F.lit("key"), ident, text_or_empty())]
+    clean = F.col("spans").isNull()
+    out = joined.select("row", "spans", F.when(~clean, rebuilt).alias("text"))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.when(clean, F.col("row.text")).otherwise(F.col("text")).alias(name)
+        if name == "n_chars":
+            kind = docs.schema[name].dataType
+            return F.when(clean, F.col("row.n_chars")).otherwise(F.length("text").cast(kind)).alias(name)
+        return F.col("row").getField(name).alias(name)
+
+    return out.select(*[column(c) for c in docs.columns])
