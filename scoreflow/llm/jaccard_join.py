@@ -17,11 +17,12 @@ keeps segments selective is allocated. A set with more empty segments than the
 slack adds one entry for all such sets of its band, so no link is lost.
 
 Sets that share an index entry are candidates, verified on the words. All pairs
-of a bucket are never made: each bucket first compares its members with one
-pivot (the member that shares most entries with others), links join components,
-and only buckets that still hold several components go on, with another pivot,
-or with their remaining pairs once those are no more than a few per member.
-Two members of one component need no comparison, so the components are exact.
+of a large bucket are never made: each bucket compares its members with one
+pivot (the member that shares most entries with others), and links join
+components. Buckets that then still hold several components go on: small ones
+by their pairs, large ones by an inverted join of the members' differences from
+the pivot, in which only members that share rare edits meet. Two members of one
+component need no comparison, so the components are exact.
 
 Defined results: a null or empty text has an empty set and links with nothing;
 repeated rows and equal sets share a component; a row with a null doc_id gets a
@@ -50,8 +51,8 @@ BAND_RATIO = 1.3
 SMALLEST = 9
 # Largest band of the one-deletion scheme.
 DELETION_LIMIT = 40
-# Remaining pairs a member may have before a bucket is resolved by pairs.
-PAIRS_PER_MEMBER = 4
+# Members of a bucket whose pairs are compared outright, a few for each member.
+SMALL_BUCKET = 8
 # Ids of at most this many classes are broadcast to pick their texts.
 BROADCAST_CLASSES = 500_000
 
@@ -221,70 +222,105 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(p, a, tokens): shingle hashes that only one of a class and its pivot has."""
+    known, pivot = None, None
+    for batch in batches:
+        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+        tokens = []
+        for i in range(batch.num_rows):
+            if b[i] != known:
+                known, pivot = b[i], document_sets(batch.column("text_b").slice(i, 1))[1]
+            other = document_sets(batch.column("text_a").slice(i, 1))[1]
+            tokens.append(np.setxor1d(pivot, other, assume_unique=True).view(np.int64))
+        offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
+        values = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(b, pa.int64()), pa.array(a, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+            names=["p", "a", "tokens"],
+        )
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified, "a bigint, b bigint")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+
+
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of classes that link."""
+    return _with_texts(pairs, texts).mapInArrow(_verified, "a bigint, b bigint")
 
 
 def _near_sizes(a: str, b: str):
     return F.greatest(a, b) * NUMERATOR <= F.least(a, b) * DENOMINATOR
 
 
+def _small_bucket_pairs(live: DataFrame) -> DataFrame:
+    """Pairs of different components in buckets of few members."""
+    few = live.where(F.col("k") <= SMALL_BUCKET)
+    other = few.select("entry", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    pairs = few.select("entry", F.col("cid").alias("a"), "n", "comp").join(other, "entry")
+    return pairs.where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b")).select("a", "b")
+
+
+def _large_bucket_pairs(live: DataFrame, texts: DataFrame) -> DataFrame:
+    """Candidates among the members that were compared with one pivot p.
+
+    With X' the shingles that only one of X and p has, X and Y differ in
+    |X'| + |Y'| - 2 |X' & Y'|. If Y does not link with p, a link of X and Y
+    needs X' and Y' to share more than half of X', so one of the rarest half of
+    X' stands in Y'. Edits made independently share none of those."""
+    many = live.where(F.col("k") > SMALL_BUCKET)
+    compared = many.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
+    apart = _with_texts(compared, texts).mapInArrow(_differences, "p bigint, a bigint, tokens array<bigint>")
+    facts = many.where("cid <> p").select("p", F.col("cid").alias("a"), "n", "n_p", "comp").distinct()
+    size = F.size("tokens")
+    far = size * (DENOMINATOR + NUMERATOR) > (DENOMINATOR - NUMERATOR) * (F.col("n") + F.col("n_p"))
+    rows = apart.join(facts, ["p", "a"]).select(
+        "p", "a", "n", "comp", size.alias("size"), far.alias("far"), F.explode("tokens").alias("t")
+    )
+    rows = written(rows, "differences")
+    common = rows.groupBy("p", "t").agg(F.count(F.lit(1)).alias("f"), F.max("far").alias("any_far"))
+    # A token of one member alone finds nobody, but counts among the rarest.
+    ranked = rows.join(common, ["p", "t"]).selectExpr("*", "row_number() over (partition by p, a order by f, t) as rank")
+    probe = ranked.where("f > 1 and any_far and rank <= floor((size + 1) / 2)").select("p", "t", "a", "n", "comp")
+    index = rows.where("far").select("p", "t", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    pairs = probe.join(index, ["p", "t"]).where(
+        (F.col("a") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b")
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """`comp` (cid, comp) after further links between classes."""
+    to = {s: comp.select(F.col("cid").alias(s), F.col("comp").alias(f"c{s}")) for s in "ab"}
+    joined = links.join(to["a"], "a", "left").join(to["b"], "b", "left")
+    merged = components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    onto = merged.select(F.col("node").alias("comp"), F.col("comp").alias("onto"))
+    old = comp.join(onto, "comp", "left").select("cid", F.coalesce("onto", "comp").alias("comp"))
+    fresh = merged.select(F.col("node").alias("cid"), "comp").join(comp.select("cid"), "cid", "left_anti")
+    return written(old.unionByName(fresh), "comps")
+
+
 def _resolve(members: DataFrame, texts: DataFrame) -> DataFrame:
     """(cid, comp) of the classes that link with another, from the members
     (entry, cid, n, k) of all buckets; k is a bucket's size."""
     weights = members.groupBy("cid").agg(F.sum("k").alias("weight"))
-    live = written(members.join(weights, "cid").select("entry", "cid", "n", "weight", F.lit(False).alias("was_pivot")), "buckets")
-    comp = None
-    while not live.isEmpty():
-        current = F.col("cid") if comp is None else F.coalesce("comp", "cid")
-        placed = live if comp is None else live.join(comp, "cid", "left")
-        placed = placed.select("entry", "cid", "n", "weight", "was_pivot", current.alias("comp"))
-        spread = placed.groupBy("entry").agg(
-            F.min("comp").alias("low"),
-            F.max("comp").alias("top"),
-            F.count(F.lit(1)).alias("size"),
-            F.max(F.when(~F.col("was_pivot"), F.struct("weight", -F.col("cid"), F.col("cid").alias("cid"), "n", "comp"))).alias("pivot"),
-        )
-        # Two that are no pivots are needed for a pair that was not compared.
-        spread = spread.where((F.col("low") < F.col("top")) & F.col("pivot").isNotNull())
-        live = written(
-            placed.join(spread.select("entry", "size", "pivot"), "entry"), "unresolved"
-        )
-        total = live.select(F.count(F.lit(1)), F.sum(F.col("size") - 1)).first()
-        if not total[0]:
-            break
-        by_pairs = total[1] <= 2 * PAIRS_PER_MEMBER * total[0]
-        if by_pairs:
-            other = live.select("entry", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-            pairs = live.select("entry", F.col("cid").alias("a"), "n", "comp").join(other, "entry")
-            pairs = pairs.where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b"))
-        else:
-            pairs = live.select(F.col("cid").alias("a"), F.col("pivot.cid").alias("b"), "n", "comp", "pivot")
-            pairs = pairs.where(
-                (F.col("a") != F.col("b")) & (F.col("comp") != F.col("pivot.comp")) & _near_sizes("n", "pivot.n")
-            )
-        links = written(_links(pairs.select("a", "b").distinct(), texts), "links")
-        joined = links
-        if comp is not None:
-            to = {s: comp.select(F.col("cid").alias(s), F.col("comp").alias(f"c{s}")) for s in "ab"}
-            joined = links.join(to["a"], "a", "left").join(to["b"], "b", "left")
-            joined = joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-        merged = components(joined)
-        if comp is None:
-            comp = written(merged.select(F.col("node").alias("cid"), "comp"), "comps")
-        else:
-            onto = merged.select(F.col("node").alias("comp"), F.col("comp").alias("onto"))
-            old = comp.join(onto, "comp", "left").select("cid", F.coalesce("onto", "comp").alias("comp"))
-            fresh = merged.select(F.col("node").alias("cid"), "comp").join(comp.select("cid"), "cid", "left_anti")
-            comp = written(old.unionByName(fresh), "comps")
-        if by_pairs:
-            break
-        used = F.col("was_pivot") | (F.col("cid") == F.col("pivot.cid"))
-        live = live.select("entry", "cid", "n", "weight", used.alias("was_pivot"))
-    return comp
+    best = F.max(F.struct("weight", (-F.col("cid")).alias("order"), F.col("cid").alias("p"), F.col("n").alias("n_p"))).alias("best")
+    pivots = members.join(weights, "cid").groupBy("entry").agg(best).select("entry", "best.p", "best.n_p")
+    star = written(members.join(pivots, "entry"), "stars")
+    pairs = star.where((F.col("cid") != F.col("p")) & _near_sizes("n", "n_p"))
+    links = written(_links(pairs.select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct(), texts), "links")
+    comp = written(components(links).select(F.col("node").alias("cid"), "comp"), "comps")
+    # A bucket of two is settled by its one comparison, one of a single component too.
+    placed = star.where("k > 2").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    unsettled = placed.groupBy("entry").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top")
+    live = written(placed.join(unsettled.select("entry"), "entry"), "unsettled")
+    if live.isEmpty():
+        return comp
+    left = _small_bucket_pairs(live).unionByName(_large_bucket_pairs(live, texts)).distinct()
+    return _merge(comp, written(_links(left, texts), "links"))
 
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
@@ -304,9 +340,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     texts = rows.join(broadcast_checked(ids, BROADCAST_CLASSES), F.col("doc_id") == F.col("cid"), "left_semi")
     texts = written(texts.select(F.col("doc_id").alias("cid"), "text"), "jaccard_texts")
     comp = _resolve(members, texts)
-    place = classes if comp is None else classes.join(comp, "cid", "left").select("d1", "d2", "cid", F.coalesce("comp", "cid").alias("comp"))
-    if comp is None:
-        place = place.withColumn("comp", F.col("cid"))
+    place = classes.join(comp, "cid", "left").select("d1", "d2", "cid", F.coalesce("comp", "cid").alias("comp"))
     out = sets.select("doc_id", "n", "d1", "d2").join(place, ["d1", "d2"], "left")
     with_id = F.col("doc_id").isNotNull()
     return out.select(
