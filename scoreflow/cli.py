@@ -8,6 +8,11 @@
     python -m scoreflow.cli db-to-lake --jdbc_url ... --jdbc_driver ... --sql_file ... --target_path ... --data_dt ...
     python -m scoreflow.cli lake-to-db --sql_file ... --param data_dt=20240101 --jdbc_url ... --table ...
 
+Master, partition counts and the shared checkpoint folder come from
+spark-submit. Every job also takes ``--shuffle_gb``, ``--executors`` and
+``--cores_per_executor``, from which ``cluster_settings`` are set. A job's
+scratch folders are removed when it ends.
+
 Every ``--a_b`` option is also accepted as ``--a-b`` (a launcher that turns
 ``_`` into ``-`` cannot break a job). Database passwords are read from the
 environment variable named by ``--jdbc_password_env``, never from the
@@ -53,6 +58,7 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(f, "input_path", required=True, help="folder with orders, lineitem, customer, nation, region")
     _opt(f, "output_path", required=True)
     _opt(f, "run_tag", default="manual")
+    _opt(f, "day", type=dt.date.fromisoformat, default=None, help="YYYY-MM-DD: build and replace this day only")
 
     t = sub.add_parser("train", help="B2: credit-risk training run")
     _opt(t, "feature_store_path", required=True)
@@ -106,10 +112,11 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(d, "target_path", required=True)
     _opt(d, "data_dt", required=True)
     _opt(d, "write_mode", choices=["overwrite", "append"], required=True)
-    _opt(d, "partition_column")
+    _opt(d, "partition_column", help="numeric, date or timestamp column the read is split on")
     _opt(d, "lower_bound")
     _opt(d, "upper_bound")
-    _opt(d, "num_partitions", type=int)
+    _opt(d, "num_partitions", type=int, help="tasks of the read; with no bounds, cut at quantiles of the column")
+    _opt(d, "single_task", type=_bool, default=False, help="read the whole result through one task")
     _opt(d, "is_dryrun", type=_bool, default=False)
 
     l = sub.add_parser("lake-to-db", help="B4: SQL file over catalog tables to a JDBC table")
@@ -124,20 +131,33 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(l, "slice_value")
     _opt(l, "staging_table")
     _opt(l, "batchsize", type=int, default=10_000)
-    _opt(l, "num_partitions", type=int)
+    _opt(l, "num_partitions", type=int, required=True, help="connections the database sees at once")
     _opt(l, "is_dryrun", type=_bool, default=False)
+    for job in sub.choices.values():
+        _opt(job, "shuffle_gb", type=float, help="expected bytes of the job's largest shuffle")
+        _opt(job, "executors", type=int, default=1)
+        _opt(job, "cores_per_executor", type=int, default=1)
     return parser
 
 
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
-    from scoreflow.session import build_session
+    from scoreflow.session import build_session, cluster_settings, job_scratch
+
+    extra = None
+    if args.shuffle_gb is not None:
+        extra = cluster_settings(int(args.shuffle_gb * 1e9), args.executors, args.cores_per_executor)
+    spark = build_session(master=None, shuffle_partitions=None, extra=extra)
+    with job_scratch(spark):
+        _run(spark, args)
+    return 0
 
-    spark = build_session(master=os.environ.get("SCOREFLOW_MASTER", "local[*]"))
+
+def _run(spark, args: argparse.Namespace) -> None:
     if args.job == "features":
         from scoreflow.plans.feature_store import feature_job
 
-        print(json.dumps(feature_job(spark, args.input_path, args.output_path, args.run_tag).__dict__))
+        print(json.dumps(feature_job(spark, args.input_path, args.output_path, args.run_tag, args.day).__dict__))
     elif args.job == "train":
         from scoreflow.plans.training import TrainingConfig, training_run
 
@@ -168,9 +188,11 @@ def main(argv: list[str] | None = None) -> int:
 
         names = [n.strip() for n in args.activities.split(",") if n.strip()]
         if args.jdbc_url:
-            from scoreflow.sources.jdbc import jdbc_table_scan
+            from scoreflow.sources.jdbc import activity_marks_query, jdbc_query_scan
 
-            log = jdbc_table_scan(spark, _jdbc(args), args.log_source)
+            # The database sends one row per activity mark, not the day's log.
+            query = activity_marks_query(args.log_source, names, args.day or dt.date.today())
+            log = jdbc_query_scan(spark, _jdbc(args), query)
         else:
             log = table_scan(spark, args.log_source, args.log_format)
         print(json.dumps(check_activity_completion(spark, log, names, args.day, args.is_dryrun)))
@@ -193,8 +215,10 @@ def main(argv: list[str] | None = None) -> int:
         params = dict(p.split("=", 1) for p in args.param)
         query = bind_literals(read_sql_file(spark, args.sql_file), params)
         part = None
+        if not args.partition_column and not args.single_task:
+            raise SystemExit("db-to-lake needs --partition_column, or --single_task true to read through one task")
         if args.partition_column and (args.lower_bound is None or args.upper_bound is None):
-            part = jdbc_partitioning(spark, _jdbc(args), query, args.partition_column)  # bounds from the database
+            part = jdbc_partitioning(spark, _jdbc(args), query, args.partition_column, args.num_partitions)
         elif args.partition_column:
             part = JdbcPartitioning(args.partition_column, args.lower_bound, args.upper_bound, args.num_partitions or 8)
         report = db_to_lake(
@@ -215,7 +239,6 @@ def main(argv: list[str] | None = None) -> int:
             slice_value=args.slice_value, staging_table=args.staging_table, is_dryrun=args.is_dryrun,
         )
         print(json.dumps(report.__dict__))
-    return 0
 
 
 if __name__ == "__main__":

@@ -81,6 +81,9 @@ def build_feature_store(
     cust = customer.select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment").join(
         geo, F.col("c_nationkey") == F.col("n_nationkey")
     )
+    if snapshot_from is not None or snapshot_to is not None:
+        # Only the lines of the bounded orders are aggregated and shuffled on.
+        lineitem = lineitem.join(o.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
     lines = order_line_totals(lineitem)
 
     joined = (

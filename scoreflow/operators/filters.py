@@ -39,11 +39,6 @@ def drop_unlabelled(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
     return df.dropna(subset=[label_col])
 
 
-def slice_equals(df: DataFrame, data_dt: str, column: str = "data_dt") -> DataFrame:
-    """one date slice. On a partition column this prunes folders."""
-    return df.filter(F.col(column) == F.lit(data_dt))
-
-
 def split_by_label(df: DataFrame, label_col: str = LABEL_COLUMN) -> tuple[DataFrame, DataFrame]:
     """(positives, negatives). Rows with any other label are in neither."""
     return df.filter(F.col(label_col) == 1), df.filter(F.col(label_col) == 0)

@@ -1,7 +1,7 @@
 """Classification metrics (A2, A3, A4, M7).
 
 * ``confusion_matrix`` — ``groupBy(label, prediction).count()``.
-* ``precision_recall`` — one global aggregate with ``count_if``; the
+* ``classification_metrics`` — precision and recall from the same pass; their
   denominators are floored at 1, so an empty class gives 0, not NULL.
 * ``auc_exact`` — exact area under the ROC curve (ties count one half),
   equal to ``BinaryClassificationEvaluator`` with ``numBins=0``. The
@@ -27,25 +27,15 @@ from pyspark.sql import types as T
 from scoreflow.operators.features import LABEL_COLUMN
 from scoreflow.session import ensure_checkpoint_dir
 
-SCORES_PER_RANGE = 2_000_000
-MAX_RANGES = 4_096
+# Score ranges of the exact AUC: each is one task's window, and one row of the
+# broadcast offsets. Raise it with the number of distinct scores.
+SCORE_RANGES = 256
 
 
 def confusion_matrix(df: DataFrame, label_col: str = LABEL_COLUMN, prediction_col: str = "prediction") -> DataFrame:
     return df.groupBy(label_col, prediction_col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def precision_recall(df: DataFrame, label_col: str = LABEL_COLUMN, prediction_col: str = "prediction") -> DataFrame:
-    label, pred = F.col(label_col).cast("double"), F.col(prediction_col).cast("double")
-    tp = F.count_if((label == 1.0) & (pred == 1.0))
-    fp = F.count_if((label == 0.0) & (pred == 1.0))
-    fn = F.count_if((label == 1.0) & (pred == 0.0))
-    return df.agg(
-        (tp / F.greatest(tp + fp, F.lit(1))).alias("precision"),
-        (tp / F.greatest(tp + fn, F.lit(1))).alias("recall"),
-    )
-
-
 def score_summary(
     df: DataFrame,
     score: Column | str,
@@ -80,47 +70,32 @@ def auc_exact(
     df: DataFrame,
     score: Column | str,
     label_col: str = LABEL_COLUMN,
-    scores_per_range: int = SCORES_PER_RANGE,
+    ranges: int = SCORE_RANGES,
 ) -> DataFrame:
     """One row, column ``auc``: NULL when there are no positives or no
     negatives. Rows whose score is NULL or NaN are left out."""
-    return auc_from_summary(score_summary(df, score, label_col), scores_per_range)
+    return auc_from_summary(score_summary(df, score, label_col), ranges)
 
 
-def auc_from_summary(summary: DataFrame, scores_per_range: int = SCORES_PER_RANGE) -> DataFrame:
+def auc_from_summary(summary: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
     groups = summary.filter(F.col("score").isNotNull() & ~F.isnan("score")).select("score", "pos", "neg")
-    n_scores = groups.count()
-    n_ranges = max(1, min(MAX_RANGES, math.ceil(n_scores / scores_per_range)))
-    if n_ranges == 1:
-        # At most `scores_per_range` distinct scores: one ordered window, no
-        # offsets to add.
-        below = F.sum("neg").over(Window.orderBy("score").rowsBetween(Window.unboundedPreceding, -1))
-        contrib = groups.select("pos", "neg", (F.col("pos") * (F.coalesce(below, F.lit(0)) + F.col("neg") / 2.0)).alias("c"))
-    else:
-        probs = [i / n_ranges for i in range(1, n_ranges)]
-        cuts = sorted(set(groups.approxQuantile("score", probs, 1.0 / (4 * n_ranges))))
-        splits = [-math.inf, *cuts, math.inf]
-        ranged = Bucketizer(splits=splits, inputCol="score", outputCol="rng").transform(groups)
-
-        # Negatives before each range: one row per range (at most MAX_RANGES),
-        # so the global window and the broadcast below are bounded.
-        per_range = ranged.groupBy("rng").agg(F.sum("neg").alias("range_neg"))
-        offsets = per_range.select(
-            "rng",
-            F.coalesce(
-                F.sum("range_neg").over(Window.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)),
-                F.lit(0),
-            ).alias("offset"),
-        )
-        within = Window.partitionBy("rng").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-        contrib = ranged.join(F.broadcast(offsets), "rng").select(
-            "pos",
-            "neg",
-            (F.col("pos") * (F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0)) + F.col("neg") / 2.0)).alias("c"),
-        )
-    return contrib.agg(
-        F.try_divide(F.sum("c"), (F.sum("pos") * F.sum("neg")).cast("double")).cast(T.DoubleType()).alias("auc")
+    probs = [i / ranges for i in range(1, ranges)]
+    cuts = sorted(set(groups.approxQuantile("score", probs, 1.0 / (4 * ranges)))) or [0.0]
+    ranged = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="rng").transform(groups)
+
+    # Negatives before each range: one row per range, so the global window
+    # and the broadcast below are bounded by the parameter.
+    per_range = ranged.groupBy("rng").agg(F.sum("neg").alias("range_neg"))
+    before = Window.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_range.select("rng", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("rng").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0))
+    contrib = ranged.join(F.broadcast(offsets), "rng").select(
+        "pos", "neg", (F.col("pos") * (lower + F.col("neg") / 2.0)).alias("c")
     )
+    # Each class's count fits a bigint, their product need not.
+    pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
+    return contrib.agg(F.try_divide(F.sum("c"), pairs).cast(T.DoubleType()).alias("auc"))
 
 
 def classification_metrics(

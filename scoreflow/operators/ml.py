@@ -67,16 +67,24 @@ def build_feature_pipeline(
     stages = [category_indexer(categorical)] if categorical else []
     inputs = [index_column(c) for c in categorical]
     if impute and numeric:
-        flags = ", ".join(f"CAST({_q(c)} IS NULL AS DOUBLE) AS {_q(c + '_missing')}" for c in numeric)
-        casts = ", ".join(f"CAST({_q(c)} AS DOUBLE) AS {_q(c + '_num')}" for c in numeric)
-        stages.append(SQLTransformer(statement=f"SELECT *, {casts}, {flags} FROM __THIS__"))
-        stages.append(
-            Imputer(
-                inputCols=[c + "_num" for c in numeric],
-                outputCols=[c + "_imputed" for c in numeric],
-                strategy="median",
+        value = {c: f"CAST({_q(c)} AS DOUBLE)" for c in numeric}
+        missing = {c: f"({_q(c)} IS NULL OR isnan({value[c]}))" for c in numeric}
+        # A column without any value has no median: it is 0.0 with its flag set.
+        seen = df.agg(*[F.expr(f"count_if(NOT {missing[c]})").alias(str(i)) for i, c in enumerate(numeric)]).first()
+        known = [c for i, c in enumerate(numeric) if seen[i]]
+        columns = [f"CAST({missing[c]} AS DOUBLE) AS {_q(c + '_missing')}" for c in numeric]
+        columns += [
+            f"{value[c]} AS {_q(c + '_num')}" if c in known else f"CAST(0 AS DOUBLE) AS {_q(c + '_imputed')}" for c in numeric
+        ]
+        stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(columns)} FROM __THIS__"))
+        if known:
+            stages.append(
+                Imputer(
+                    inputCols=[c + "_num" for c in known],
+                    outputCols=[c + "_imputed" for c in known],
+                    strategy="median",
+                )
             )
-        )
         inputs += [c + "_imputed" for c in numeric] + [c + "_missing" for c in numeric]
     else:
         inputs += list(numeric)
@@ -143,5 +151,6 @@ def fit_scoring_model(
 
 
 def positive_probability(column: str = "probability") -> Column:
-    """Probability of class 1 from an ML probability vector."""
-    return vector_to_array(F.col(column)).getItem(1)
+    """Probability of class 1 from an ML probability vector; 0 from a model
+    that has seen class 0 only."""
+    return F.coalesce(F.get(vector_to_array(F.col(column)), F.lit(1)), F.lit(0.0))

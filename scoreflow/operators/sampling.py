@@ -27,7 +27,6 @@ from pyspark.sql import types as T
 
 from scoreflow.functions.hashing import ORDER_HASH_BITS, order_hash, unit_hash
 from scoreflow.operators.features import ID_COLUMN, LABEL_COLUMN
-from scoreflow.operators.filters import split_by_label
 
 BUCKET_BITS = 16
 FINAL_ROWS = 200_000
@@ -134,6 +133,53 @@ def _levels(bucket_bits: int) -> list[tuple[str, int]]:
     return levels
 
 
+def _smallest(
+    hashed: DataFrame,
+    among: Column,
+    n: int,
+    bucket_bits: int,
+    final_rows: int,
+    hist: list[tuple[int, int]] | None = None,
+) -> tuple[Column, DataFrame | None]:
+    """The ``n`` rows of ``hashed`` within ``among`` that come first in hash
+    order, as a condition for rows taken in place and, where the cut falls
+    inside a bucket, a frame of that bucket's share. ``hist`` may carry the
+    first histogram ``(digit, count)`` from another pass."""
+    take = F.lit(False)
+    rest, need = among, n  # rows that share the digits fixed so far
+    for col, shift in _levels(bucket_bits):
+        digit = F.shiftright(F.col(col), shift)
+        if hist is None:
+            counted = hashed.filter(rest).groupBy(digit.alias("d")).count().collect()
+            hist = [(r["d"], r["count"]) for r in counted]
+        cut = None
+        for d, count in sorted(hist):
+            if count > need:
+                cut = (d, count)
+                break
+            need -= count
+        hist = None
+        if cut is None:
+            return take | rest, None
+        take = take | (rest & (digit < F.lit(cut[0])))
+        if need == 0:
+            return take, None
+        rest = rest & (digit == F.lit(cut[0]))
+        if cut[1] <= final_rows:
+            return take, hashed.filter(rest).orderBy(_H, _H2).limit(need)
+    # Only identical rows (same key, same content) are left: any of them will do.
+    return take, _take_identical(hashed.filter(rest), need)
+
+
+def _with_hashes(df: DataFrame, seed: int, key: str) -> DataFrame:
+    return df.withColumn(_H, order_hash(seed, key)).withColumn(_H2, _row_hash(df))
+
+
+def _gather(hashed: DataFrame, take: Column, share: DataFrame | None) -> DataFrame:
+    out = hashed.filter(take)
+    return (out if share is None else out.unionByName(share)).drop(_H, _H2)
+
+
 def smallest_by_hash(
     df: DataFrame,
     n: int,
@@ -141,68 +187,13 @@ def smallest_by_hash(
     key: str = ID_COLUMN,
     bucket_bits: int = BUCKET_BITS,
     final_rows: int = FINAL_ROWS,
-    first_hist: list[tuple[int, int]] | None = None,
 ) -> DataFrame:
     """Exactly ``min(n, count)`` rows of ``df``: those with the smallest
-    ``(order_hash(seed, key), xxhash64(row))``. ``first_hist`` may carry the
-    first-level histogram ``(digit, count)`` when the caller computed it in
-    another pass already (see ``rebalance``)."""
+    ``(order_hash(seed, key), xxhash64(row))``."""
     if n <= 0:
         return df.limit(0)
-    hashed = df.withColumn(_H, order_hash(seed, key)).withColumn(_H2, _row_hash(df))
-    levels = _levels(bucket_bits)
-
-    taken: list[Column] = []  # disjoint row sets taken whole
-    prefix: Column = F.lit(True)  # rows sharing the digits fixed so far
-    need = n
-    final: DataFrame | None = None
-    for level, (col, shift) in enumerate(levels):
-        digit = F.shiftright(F.col(col), shift)
-        if level == 0 and first_hist is not None:
-            hist = [{"d": d, "count": c} for d, c in sorted(first_hist)]
-        else:
-            hist = hashed.filter(prefix).groupBy(digit.alias("d")).count().orderBy("d").collect()
-        total = sum(r["count"] for r in hist)
-        if total <= need:  # everything left fits
-            taken.append(prefix)
-            need = 0
-            break
-        before = 0
-        cut_digit, cut_count = None, 0
-        for r in hist:
-            if before + r["count"] >= need:
-                cut_digit, cut_count = r["d"], r["count"]
-                break
-            before += r["count"]
-        if before > 0:
-            taken.append(prefix & (digit < F.lit(cut_digit)))
-        need -= before
-        prefix = prefix & (digit == F.lit(cut_digit))
-        if need == cut_count:
-            taken.append(prefix)
-            need = 0
-            break
-        if cut_count <= final_rows:
-            final = hashed.filter(prefix).orderBy(_H, _H2).limit(need)
-            need = 0
-            break
-    else:
-        # Only identical rows (same key, same content) remain and any `need`
-        # of them give the same result.
-        final = _take_identical(hashed.filter(prefix), need)
-
-    parts = []
-    if taken:
-        cond = taken[0]
-        for c in taken[1:]:
-            cond = cond | c
-        parts.append(hashed.filter(cond))
-    if final is not None:
-        parts.append(final)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop(_H, _H2)
+    hashed = _with_hashes(df, seed, key)
+    return _gather(hashed, *_smallest(hashed, F.lit(True), n, bucket_bits, final_rows))
 
 
 # ---------------------------------------------------------------------------
@@ -216,21 +207,23 @@ def rebalance(
     seed: int = 42,
     key: str = ID_COLUMN,
     label_col: str = LABEL_COLUMN,
+    final_rows: int = FINAL_ROWS,
 ) -> DataFrame:
-    """No-op when ``ratio <= 1``; else all positives plus
-    ``int(ratio * positives)`` negatives (all of them if fewer), chosen by
-    ``smallest_by_hash``. Rows with other labels are dropped only when the
-    rebalance is active, as in the reference."""
+    """With ``ratio`` above 1: every row labelled 1 and, per such row, ``ratio``
+    rows labelled 0 (rounded down in total), the first in hash order; rows of
+    other labels go. Otherwise the rows as they are.
+
+    One grouped pass counts the ones and the zeros by hash digit. One filter
+    over the input then keeps the ones and the zeros below the cut, so the
+    input is read once more; only the share of the bucket at the cut is added."""
     if ratio <= 1.0:
         return df
-    positive, negative = split_by_label(df, label_col)
-    # One pass gives both the positive count and the negatives' first-level
-    # hash histogram (at most 2^16 + 1 small rows reach the driver).
+    hashed = _with_hashes(df, seed, key)
+    is_one, is_zero = (F.col(label_col) == y for y in (1, 0))
     _, shift = _levels(BUCKET_BITS)[0]
-    label = F.col(label_col)
-    digit = F.when(label == 0, F.shiftright(order_hash(seed, key), shift))
-    stats = df.filter(label.isin(0, 1)).groupBy(label.alias("y"), digit.alias("d")).count().collect()
-    n_pos = sum(r["count"] for r in stats if r["y"] == 1)
-    first_hist = [(r["d"], r["count"]) for r in stats if r["y"] == 0]
-    desired = int(ratio * n_pos)
-    return positive.unionByName(smallest_by_hash(negative, desired, seed, key, first_hist=first_hist))
+    groups = hashed.groupBy(F.when(is_zero, F.shiftright(F.col(_H), shift)).alias("digit"))
+    counts = groups.agg(F.count_if(is_one).alias("ones"), F.count_if(is_zero).alias("zeros")).collect()
+    wanted = int(ratio * sum(c["ones"] for c in counts))
+    zeros = [(c["digit"], c["zeros"]) for c in counts if c["zeros"]]
+    take, share = _smallest(hashed, is_zero, wanted, BUCKET_BITS, final_rows, zeros)
+    return _gather(hashed, is_one | take, share)

@@ -19,11 +19,23 @@ from pyspark.sql import functions as F
 
 from scoreflow.functions.dates import LOCAL_ZONE, local_day_window, ts_literal
 from scoreflow.functions.textify import to_text_columns
-from scoreflow.sinks.lake import LoadReport, write_date_partition
+from scoreflow.sinks.lake import LoadReport, date_folder, write_date_partition
 
-# Spreadsheet-like text export: header row, RFC-4180 quoting (a quote inside
-# a value is doubled), empty field for NULL.
-EXPORT_OPTIONS = {"csv": {"header": "true", "escape": '"', "quoteAll": "false"}}
+# Text export: header row, every field quoted, quotes doubled (RFC 4180). Spaces,
+# line ends and empty texts stay as they are; NULL is the sentinel below. A file
+# is read whole when fields may hold line ends, so files are kept small.
+NULL_TEXT = "\\N"
+_CSV = {
+    "header": "true",
+    "escape": '"',
+    "lineSep": "\n",
+    "nullValue": NULL_TEXT,
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+EXPORT_OPTIONS = {"csv": {**_CSV, "quoteAll": "true", "maxRecordsPerFile": "1000000"}}
+READ_OPTIONS = {"csv": {**_CSV, "multiLine": "true", "inferSchema": "false"}}
 EXPORT_PARTITION = "EXPORT_DT"
 
 
@@ -46,6 +58,8 @@ def daily_export(
 ) -> LoadReport:
     window, data_dt = daily_window(df, trigger, tz, ts_col)
     text = to_text_columns(window)
+    if fmt == "csv":
+        text = protect_null_text(text)
     return write_date_partition(
         text,
         export_root,
@@ -54,14 +68,25 @@ def daily_export(
         partition_col=EXPORT_PARTITION,
         fmt=fmt,
         is_dryrun=is_dryrun,
-        target_name=f"{export_root.rstrip('/')}/{EXPORT_PARTITION}={data_dt}",
+        target_name=date_folder(export_root, data_dt, EXPORT_PARTITION),
         options=EXPORT_OPTIONS.get(fmt),
     )
 
 
+def protect_null_text(df: DataFrame) -> DataFrame:
+    """Texts that look like the NULL sentinel get one more backslash."""
+    looks = lambda c: F.col(c).rlike(r"^\\+N$")
+    return df.select(*[F.when(looks(c), F.concat(F.lit("\\"), F.col(c))).otherwise(F.col(c)).alias(c) for c in df.columns])
+
+
+def restore_null_text(df: DataFrame) -> DataFrame:
+    looks = lambda c: F.col(c).rlike(r"^\\\\+N$")
+    return df.select(*[F.when(looks(c), F.expr(f"substr(`{c}`, 2)")).otherwise(F.col(c)).alias(c) for c in df.columns])
+
+
 def read_export(spark, export_root: str, data_dt: str, fmt: str = "csv") -> DataFrame:
-    """Read one exported day back (all columns text)."""
-    reader = spark.read.format(fmt).options(**EXPORT_OPTIONS.get(fmt, {}))
-    if fmt == "csv":
-        reader = reader.option("inferSchema", "false")
-    return reader.load(f"{export_root.rstrip('/')}/{EXPORT_PARTITION}={data_dt}")
+    """Read one exported day back (all columns text). A day exported without
+    rows has none."""
+    folder = date_folder(export_root, data_dt, EXPORT_PARTITION)
+    df = spark.read.format(fmt).options(**READ_OPTIONS.get(fmt, {})).load(folder)
+    return restore_null_text(df) if fmt == "csv" else df

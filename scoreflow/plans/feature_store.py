@@ -9,13 +9,17 @@ the lineage back to the raw joins.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scoreflow.operators.features import feature_store_from_dir
+from scoreflow.operators.features import DATE_COLUMN, ID_COLUMN, feature_store_from_dir
 from scoreflow.session import app_key, scratch_path
 from scoreflow.sources.parquet import read_feature_store
 
+FEATURE_TABLES = ("orders", "lineitem", "customer", "nation", "region")
+
 _WRITTEN: dict[tuple[str, str], str] = {}
 _READ: dict[str, DataFrame] = {}
 
@@ -27,13 +31,14 @@ def feature_store_layout(df: DataFrame) -> DataFrame:
     """Rows as they are written: a ``snapshot_month`` partition column (first
     day of the month, a date), range-partitioned by ``(snapshot_date,
     loan_id)`` so each task writes one or two month folders, and sorted by
-    date inside each file so row-group statistics are tight. The loan id in
+    month, the writer's own order, then date, so every file is in date order
+    and its row-group statistics are tight. The loan id in
     the range key lets the sampler cut even a single hot day across several
     tasks."""
     return (
         df.withColumn(MONTH_COLUMN, F.trunc("snapshot_date", "MM"))
         .repartitionByRange("snapshot_date", "loan_id")
-        .sortWithinPartitions("snapshot_date", "loan_id")
+        .sortWithinPartitions(MONTH_COLUMN, "snapshot_date", "loan_id")
     )
 
 
@@ -45,19 +50,32 @@ def write_feature_store(df: DataFrame, path: str) -> str:
     return path
 
 
+def source_key(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    """A folder and the names, sizes and times of its tables' files: changed
+    input has another key."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    parts = [sf_dir.rstrip("/")]
+    for table in tables:
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{table}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        found = []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+        parts.append(",".join(sorted(found)))
+    return "|".join(parts)
+
+
 def _committed(spark: SparkSession, path: str) -> bool:
     """Whether a written table's ``_SUCCESS`` marker exists (one file-system
     call, no listing of the table's folders)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM access (Spark Connect): trust the memo
-        return True
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
 
 
 def materialize_feature_store(spark: SparkSession, sf_dir: str) -> str:
-    key = (app_key(spark), sf_dir.rstrip("/"))
+    key = (app_key(spark), source_key(spark, sf_dir, FEATURE_TABLES))
     path = _WRITTEN.get(key)
     if path is not None:
         if _committed(spark, path):
@@ -78,15 +96,25 @@ def feature_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _READ[path]
 
 
-def feature_job(spark: SparkSession, input_dir: str, output_path: str, run_tag: str):
+def feature_job(spark: SparkSession, input_dir: str, output_path: str, run_tag: str, day: dt.date | None = None):
     """B1 as a job: the raw tables under ``input_dir`` (one Parquet folder per
-    table) → the feature table at ``output_path`` (overwritten: a re-run of a
-    day gives the same table). Returns a load report tagged with ``run_tag``;
-    rows are counted during the write."""
-    from scoreflow.sinks.lake import LoadReport, write_observed
-
-    df = feature_store_layout(feature_store_from_dir(spark, input_dir))
-    rows = write_observed(
-        df, lambda f: f.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(output_path), "feature_job"
-    )
-    return LoadReport(f"{output_path}#{run_tag}", "overwrite", rows, False)
+    table) → the feature table at ``output_path``, every row with its
+    ``run_tag``. Returns a load report; rows are counted during the write.
+
+    With a ``day``, only that day's rows are built and only its folder
+    ``snapshot_date=<day>`` is replaced, by an empty one if it has no rows.
+    Without, the whole table is built in the month layout. A table is kept in
+    one of the two layouts."""
+    from scoreflow.sinks.lake import LoadReport, date_folder, write_observed
+
+    if day is None:
+        df = feature_store_layout(feature_store_from_dir(spark, input_dir).withColumn("run_tag", F.lit(run_tag)))
+        rows = write_observed(
+            df, lambda f: f.write.mode("overwrite").partitionBy(MONTH_COLUMN).parquet(output_path), "feature_job"
+        )
+        return LoadReport(f"{output_path}#{run_tag}", "overwrite", rows, False)
+    built = feature_store_from_dir(spark, input_dir, snapshot_from=day, snapshot_to=day + dt.timedelta(days=1))
+    folder = date_folder(output_path, day.isoformat(), DATE_COLUMN)
+    df = built.drop(DATE_COLUMN).withColumn("run_tag", F.lit(run_tag)).sortWithinPartitions(ID_COLUMN)
+    rows = write_observed(df, lambda f: f.write.mode("overwrite").parquet(folder), "feature_job")
+    return LoadReport(f"{folder}#{run_tag}", "overwrite", rows, False)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scoreflow.sinks.jdbc import Statement, replace_slice_jdbc, run_statements, write_jdbc
 from scoreflow.sinks.lake import PARTITION_COL, LoadReport, write_date_partition
-from scoreflow.sources.jdbc import JdbcConfig, JdbcPartitioning, jdbc_query_scan
+from scoreflow.sources.jdbc import JdbcConfig, JdbcPartitioning, JdbcPredicates, jdbc_query_scan
 from scoreflow.sources.sql_files import run_sql_file
 
 
@@ -31,7 +31,7 @@ def db_to_lake(
     base_path: str,
     data_dt: str,
     mode: str,
-    partitioning: JdbcPartitioning | None = None,
+    partitioning: JdbcPartitioning | JdbcPredicates | None = None,
     is_dryrun: bool = False,
     partition_col: str = PARTITION_COL,
 ) -> LoadReport:
@@ -59,9 +59,9 @@ def lake_to_db(
     config: JdbcConfig,
     table: str,
     mode: str,
+    num_partitions: int,
     pre_statements: Sequence[Statement] = (),
     batchsize: int = 10_000,
-    num_partitions: int | None = None,
     slice_column: str | None = None,
     slice_value: Any = None,
     staging_table: str | None = None,
@@ -76,4 +76,4 @@ def lake_to_db(
             batchsize=batchsize, num_partitions=num_partitions, is_dryrun=is_dryrun,
         )
     run_statements(spark, config, pre_statements, is_dryrun)
-    return write_jdbc(df, config, table, mode, batchsize, True, num_partitions, is_dryrun)
+    return write_jdbc(df, config, table, mode, num_partitions, batchsize, is_dryrun=is_dryrun)

@@ -26,7 +26,7 @@ from scoreflow.operators.filters import drop_unlabelled, filter_recent
 from scoreflow.operators.metrics import classification_metrics
 from scoreflow.operators.ml import NUM_TREES, fit_scoring_model, positive_probability
 from scoreflow.operators.sampling import hash_split, rebalance
-from scoreflow.session import ensure_checkpoint_dir
+from scoreflow.session import scratch_path
 from scoreflow.sinks.artifacts import read_metrics, save_model, write_metrics
 
 
@@ -69,20 +69,25 @@ def prepare(df: DataFrame, cfg: TrainingConfig) -> tuple[DataFrame, DataFrame]:
     return rebalance(train, cfg.sampling_ratio, seed=cfg.seed), test
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as Parquet in the scratch folder, read back column by column."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def train_and_score(df: DataFrame, cfg: TrainingConfig) -> TrainingResult:
     train, test = prepare(df, cfg)
     # The training set is read by every fitting pass (indexers, imputer,
     # forest metadata and bagging): write it once and cut its lineage.
-    ensure_checkpoint_dir(df.sparkSession)
-    train = train.checkpoint(eager=True)
+    train = _written(train, "training_set")
     model = fit_scoring_model(train, num_trees=cfg.num_trees, seed=cfg.seed)
     # Score once; both metric jobs read the written scores, so the forest is
     # evaluated once per held-out row.
-    predictions = (
-        model.transform(test)
-        .select(ID_COLUMN, LABEL_COLUMN, "prediction", positive_probability("probability").alias("p_default"))
-        .checkpoint(eager=True)
+    scored = model.transform(test).select(
+        ID_COLUMN, LABEL_COLUMN, "prediction", positive_probability("probability").alias("p_default")
     )
+    predictions = _written(scored, "held_out_scores")
     return TrainingResult(model, predictions, cfg.run_tag)
 
 

@@ -8,6 +8,7 @@ from them) in full. Doubles that come out of sums or ratios are rounded to
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -25,7 +26,7 @@ from scoreflow.operators.profile import feature_columns_profile
 from scoreflow.operators.responses import normalise_responses
 from scoreflow.operators.sampling import rebalance, split_label
 from scoreflow.plans.export import daily_export, read_export
-from scoreflow.plans.feature_store import feature_job, feature_store, materialize_feature_store
+from scoreflow.plans.feature_store import FEATURE_TABLES, feature_job, feature_store, materialize_feature_store, source_key
 from scoreflow.plans.fixtures import (
     activity_log,
     customer_snapshot,
@@ -168,7 +169,7 @@ SELECT loan_id, snapshot_date, label_default,
        round(debt_to_income, 6) AS debt_to_income,
        round(utilisation_ratio, 6) AS utilisation_ratio,
        n_lines, customer_segment, occupation, loan_subtype, region,
-       CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_month
+       CAST(date_trunc('month', snapshot_date) AS DATE) AS snapshot_month, 'query' AS run_tag
 FROM fs
 """,
 )
@@ -183,6 +184,32 @@ def q_feature_store_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FEATURE_DAYS = (dt.date(1997, 6, 11), dt.date(1998, 3, 4))
+
+
+@register(
+    "feature_store_daily",
+    f"""
+WITH {FEATURE_STORE_SQL}
+SELECT loan_id, snapshot_date, label_default,
+       round(debt_to_income, 6) AS debt_to_income,
+       round(utilisation_ratio, 6) AS utilisation_ratio,
+       n_lines, customer_segment, occupation, loan_subtype, region,
+       CASE WHEN snapshot_date = DATE '{FEATURE_DAYS[0]}' THEN 'rebuilt' ELSE 'first' END AS run_tag
+FROM fs WHERE snapshot_date IN (DATE '{FEATURE_DAYS[0]}', DATE '{FEATURE_DAYS[1]}')
+""",
+)
+def q_feature_store_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B1 day by day: two days built apart and one built again."""
+    path = scratch_path(spark, "feature_days")
+    for day, run_tag in ((FEATURE_DAYS[0], "first"), (FEATURE_DAYS[1], "first"), (FEATURE_DAYS[0], "rebuilt")):
+        feature_job(spark, sf_dir, path, run_tag, day)
+    fs = read_feature_store(spark, path)
+    return fs.withColumn("debt_to_income", r6(F.col("debt_to_income"))).withColumn(
+        "utilisation_ratio", r6(F.col("utilisation_ratio"))
+    )
+
+
 @register(
     "scan_recent_labelled",
     f"""
@@ -259,7 +286,10 @@ WHERE rn <= (SELECT CAST(floor({SAMPLING_RATIO} * count(*)) AS BIGINT) FROM pos)
 """,
 )
 def q_rebalance_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = rebalance(labelled_store(spark, sf_dir), SAMPLING_RATIO, seed=SEED)
+    out = rebalance(
+        # No bucket is small enough to be ordered at once: the cut goes down to single rows.
+        labelled_store(spark, sf_dir), SAMPLING_RATIO, seed=SEED, final_rows=0
+    )
     return out.select("loan_id", "label_default")
 
 
@@ -331,17 +361,12 @@ def q_classification_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 3. ML: indexing, assembly, forest, reload
 # --------------------------------------------------------------------------
 
-# Driver queries grow 20 trees; the job default stays 200 (the reference's).
-QUERY_TREES = 20
-
-
 def _training_config(run_tag: str = "sf_query") -> TrainingConfig:
     return TrainingConfig(
         run_tag=run_tag,
         training_window_months=WINDOW_MONTHS,
         sampling_ratio=SAMPLING_RATIO,
         as_of=AS_OF,
-        num_trees=QUERY_TREES,
         seed=SEED,
         split_weights=SPLIT_WEIGHTS,
     )
@@ -423,23 +448,64 @@ _TRAINED: dict[tuple[str, str], object] = {}
 
 def _trained(spark: SparkSession, sf_dir: str):
     """The query model of ``sf_dir``, trained once per session."""
-    key = (app_key(spark), sf_dir.rstrip("/"))
+    key = (app_key(spark), source_key(spark, sf_dir, FEATURE_TABLES))
     if key not in _TRAINED:
         _TRAINED[key] = train_and_score(feature_store(spark, sf_dir), _training_config())
     return _TRAINED[key]
 
 
-@register("rf_predictions")
+_HELD_OUT_SQL = f"""
+held_out AS (
+    SELECT loan_id, label_default FROM recent WHERE {_md5_unit_sql('loan_id')} >= {SPLIT_WEIGHTS[0]}::DOUBLE
+)"""
+
+
+def _score_checks(prediction: str, probability: str) -> list[F.Column]:
+    """What must hold for any forest's score of a row."""
+    p, y = F.col(probability), F.col(prediction)
+    return [
+        y.isin(0.0, 1.0).alias("prediction_is_class"),
+        p.between(0.0, 1.0).alias("probability_in_range"),
+        ((F.abs(p - 0.5) < 1e-9) | ((p > 0.5) == (y == 1.0))).alias("prediction_follows_probability"),
+    ]
+
+
+_SCORE_CHECKS_SQL = "true AS prediction_is_class, true AS probability_in_range, true AS prediction_follows_probability"
+
+
+@register(
+    "rf_predictions",
+    f"WITH {FEATURE_STORE_SQL}, {RECENT_SQL}, {_HELD_OUT_SQL} SELECT loan_id, label_default, {_SCORE_CHECKS_SQL} FROM held_out",
+)
 def q_rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _trained(spark, sf_dir).predictions.select("loan_id", "label_default", "prediction", "p_default")
+    """The full forest's scores of the held-out rows: which rows they are, and
+    that each is a valid score."""
+    scored = _trained(spark, sf_dir).predictions
+    return scored.select("loan_id", "label_default", *_score_checks("prediction", "p_default"))
 
 
-@register("model_reload_score")
+@register(
+    "model_reload_score",
+    f"""
+WITH {FEATURE_STORE_SQL}, {RECENT_SQL}, {_HELD_OUT_SQL}
+SELECT loan_id, label_default, {_SCORE_CHECKS_SQL}, true AS same_prediction, true AS same_probability FROM held_out
+""",
+)
 def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The saved and reloaded model's scores beside those of the model in memory."""
     cfg = _training_config()
-    run_path = save_model(_trained(spark, sf_dir).model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
+    trained = _trained(spark, sf_dir)
+    run_path = save_model(trained.model, scratch_path(spark, "model_registry") + "/" + cfg.run_tag)
     _, test = split_recent(feature_store(spark, sf_dir), cfg)
-    return score_with(load_model(run_path), test)
+    memory = trained.predictions.select("loan_id", F.col("prediction").alias("m_prediction"), F.col("p_default").alias("m_p"))
+    both = score_with(load_model(run_path), test).join(memory, "loan_id", "left")
+    return both.select(
+        "loan_id",
+        "label_default",
+        *_score_checks("prediction", "p_default"),
+        F.coalesce(F.col("prediction") == F.col("m_prediction"), F.lit(False)).alias("same_prediction"),
+        F.coalesce(F.abs(F.col("p_default") - F.col("m_p")) < 1e-12, F.lit(False)).alias("same_probability"),
+    )
 
 
 # --------------------------------------------------------------------------
@@ -567,6 +633,15 @@ def q_slice_replace_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_date_partitioned(spark, target)
 
 
+@register("slice_replace_empty", _snapshot_sql("20240101"))
+def q_slice_replace_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A date restated with no rows is empty afterwards; the other one stays."""
+    base = scratch_path(spark, "slice_replace_empty")
+    _load_snapshot_slices(spark, sf_dir, base)
+    frame_to_lake(customer_snapshot(spark, sf_dir, "20240102").where(F.lit(False)), base, "20240102", "overwrite")
+    return read_date_partitioned(spark, base)
+
+
 @register(
     "merge_schema_scan",
     """
@@ -608,29 +683,24 @@ def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # 5. Activity completion, daily export, responses, bronze stream
 # --------------------------------------------------------------------------
 
+# An entry "<activity> start" or "<activity> finish" marks its activity; case
+# does not matter. An activity is complete when its last finish of the day is
+# later than its last start.
 ACTIVITY_SQL = f"""
-log AS (
-    SELECT event_type || CASE WHEN event_id % 2 = 0 THEN ' start' ELSE ' finish' END AS activity_name,
-           ts AS created_date
-    FROM events
+entries AS (
+    SELECT string_split(lower(event_type || if(event_id % 2 = 0, ' start', ' finish')), ' ') AS words, ts
+    FROM events WHERE ts >= DATE '{ACTIVITY_DAY}' AND ts < DATE '{ACTIVITY_DAY}' + 1
 ),
-acts AS (SELECT DISTINCT event_type AS activity_name FROM events),
-marks AS (
-    SELECT a.activity_name,
-           max(CASE WHEN lower(l.activity_name) = lower(a.activity_name || ' start') THEN l.created_date END) AS latest_start,
-           max(CASE WHEN lower(l.activity_name) = lower(a.activity_name || ' finish') THEN l.created_date END) AS latest_finish
-    FROM acts a
-    LEFT JOIN log l
-      ON (lower(l.activity_name) = lower(a.activity_name || ' start')
-          OR lower(l.activity_name) = lower(a.activity_name || ' finish'))
-     AND CAST(l.created_date AS DATE) = DATE '{ACTIVITY_DAY}'
-    GROUP BY a.activity_name
+day_marks AS (
+    SELECT array_to_string(words[:-2], ' ') AS activity,
+           max(ts) FILTER (words[-1] = 'start') AS latest_start,
+           max(ts) FILTER (words[-1] = 'finish') AS latest_finish
+    FROM entries GROUP BY activity
 ),
 completion AS (
-    SELECT activity_name, latest_start, latest_finish,
-           CASE WHEN latest_start IS NOT NULL AND latest_finish IS NOT NULL
-                     AND latest_finish > latest_start THEN 1 ELSE 0 END AS is_completed
-    FROM marks
+    SELECT event_type AS activity_name, latest_start, latest_finish,
+           CAST(coalesce(latest_finish > latest_start, false) AS INTEGER) AS is_completed
+    FROM (SELECT DISTINCT event_type FROM events) LEFT JOIN day_marks ON activity = lower(event_type)
 )"""
 
 
@@ -649,8 +719,8 @@ def q_activity_completion(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
 WITH {ACTIVITY_SQL}
 SELECT count(*) AS total_activities,
-       CAST(coalesce(sum(is_completed), 0) AS BIGINT) AS completed_activities,
-       CASE WHEN count(*) > 0 AND count(*) = coalesce(sum(is_completed), 0) THEN 1 ELSE 0 END AS all_completed
+       count(*) FILTER (is_completed = 1) AS completed_activities,
+       CAST(coalesce(bool_and(is_completed = 1), false) AS INTEGER) AS all_completed
 FROM completion
 """,
 )
@@ -702,6 +772,44 @@ def q_daily_window_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_export(spark, root, data_dt)
 
 
+@register(
+    "text_export_roundtrip",
+    """
+SELECT 'documents' AS source_table, CAST(doc_id AS VARCHAR) AS id, text, chr(10) || '  ' || lang || chr(9) AS padded,
+       CASE WHEN doc_id % 2 = 0 THEN '' END AS empty_or_null, CASE doc_id % 3 WHEN 0 THEN '\\N' WHEN 1 THEN '"' END AS odd
+FROM documents
+UNION ALL
+SELECT 'conversations', conv_id || ':' || turn, text, chr(10) || '  ' || role || chr(9),
+       CASE WHEN conv_id % 2 = 0 THEN '' END, CASE conv_id % 3 WHEN 0 THEN '\\N' WHEN 1 THEN '"' END
+FROM conversations
+""",
+)
+def q_text_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts exported and read back: spaces, tabs, line ends, quotes, empty
+    texts, NULLs and texts that look like the NULL sentinel."""
+
+    def rows(table: str, key: str, ident: F.Column, note: str) -> DataFrame:
+        k = F.col(key)
+        odd = F.when(k % 3 == 0, F.lit("\\N")).when(k % 3 == 1, F.lit('"'))
+        return load_table(spark, sf_dir, table).select(
+            F.lit(table).alias("source_table"),
+            ident.alias("id"),
+            "text",
+            F.concat(F.lit("\n  "), F.col(note), F.lit("\t")).alias("padded"),
+            F.when(k % 2 == 0, F.lit("")).alias("empty_or_null"),
+            odd.alias("odd"),
+            F.lit(EXPORT_TRIGGER).cast("timestamp_ntz").alias("load_dt"),
+        )
+
+    texts = rows("documents", "doc_id", F.col("doc_id").cast("string"), "lang").unionByName(
+        rows("conversations", "conv_id", F.concat_ws(":", "conv_id", "turn"), "role")
+    )
+    root = scratch_path(spark, "text_export")
+    # The trigger's own previous day, so that every row is in the window.
+    report = daily_export(texts, root, dt.datetime.fromisoformat(EXPORT_TRIGGER) + dt.timedelta(days=1), EXPORT_ZONE)
+    return read_export(spark, root, report.target.rsplit("=", 1)[-1]).drop("load_dt")
+
+
 @register(
     "response_log_normalise",
     f"""

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -18,12 +21,13 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def build_session(
-    master: str = "local[8]",
+    master: str | None = "local[8]",
     app_name: str = "scoreflow",
-    shuffle_partitions: int = 8,
+    shuffle_partitions: int | None = 8,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session with the settings every job in this package assumes.
+    """Session with the settings every job in this package assumes. A master or
+    partition count of None is left to spark-submit, as the jobs do.
 
     * AQE on, so shuffle partition counts and skewed sort-merge joins are
       re-planned at run time from the real map output sizes.
@@ -32,17 +36,19 @@ def build_session(
     * No web UI.
     """
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        SparkSession.builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master is not None:
+        builder = builder.master(master)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -77,11 +83,20 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     return value or None
 
 
+def _in_one_process(spark: SparkSession) -> bool:
+    sc = _context(spark)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only when
-    the session names none (tests, local tools)."""
+    """The shared checkpoint folder. Where the session names none, a local
+    session (tests, tools) gets a private one; on a cluster, whose executors
+    would each write to a disk of their own, that is an error."""
     root = checkpoint_root(spark)
     if root is None:
+        if not _in_one_process(spark):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="scoreflow-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, root)
     sc = _context(spark)
@@ -90,32 +105,50 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return root
 
 
+_JOB_ROOT: ContextVar[str | None] = ContextVar("scoreflow_job_root", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one job's
-    intermediate tables. Never a machine-local temp folder on a cluster."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/scoreflow/{name}-{uuid.uuid4().hex[:12]}"
+    intermediate tables."""
+    root = _JOB_ROOT.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/scoreflow"
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[str]:
+    """Scratch folders made inside belong to one job and go when it ends, so
+    its result must be written or read by then."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/scoreflow/job-{uuid.uuid4().hex[:12]}"
+    token = _JOB_ROOT.set(root)
+    try:
+        yield root
+    finally:
+        _JOB_ROOT.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cluster_settings(
-    input_bytes: int,
+    shuffle_bytes: int,
     executors: int,
     cores_per_executor: int,
     target_partition_bytes: int = 256 << 20,
 ) -> dict[str, str]:
-    """Starting-point settings for a large cluster, from the input size.
+    """Starting-point settings for a large cluster.
 
-    * Shuffle partitions: enough for ~``target_partition_bytes`` per
-      partition of the input (an upper bound on shuffle size for these jobs,
-      which all aggregate or filter before shuffling), and at least two
-      waves of tasks; AQE then coalesces small ones at run time.
+    * Shuffle partitions: about ``target_partition_bytes`` of the job's largest
+      shuffle each, and at least two waves of tasks; AQE then merges small
+      ones. These jobs filter or aggregate before they shuffle, so the largest
+      shuffle is far below the input: size it from that, not from the input
+      (map and reduce tasks multiply in the driver's output tracking).
     * Scan splits of the same target size.
     * Skew join splitting on, with thresholds relative to that size.
     * Broadcast only below 64 MB of estimated size (dimension tables); the
       jobs also check the size of what they broadcast explicitly.
     """
     slots = max(1, executors * cores_per_executor)
-    partitions = max(2 * slots, -(-input_bytes // target_partition_bytes))
+    partitions = max(2 * slots, -(-shuffle_bytes // target_partition_bytes))
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -33,16 +33,17 @@ Statement = tuple[str, Sequence[Any]]
 def jdbc_write_options(
     config: JdbcConfig,
     table: str,
+    num_partitions: int,
     batchsize: int = 10_000,
     truncate: bool = True,
-    num_partitions: int | None = None,
 ) -> dict[str, str]:
     opts = config.options()
     opts["dbtable"] = table
     opts["batchsize"] = str(int(batchsize))  # the reference misspelt this key
     opts["truncate"] = "true" if truncate else "false"
-    if num_partitions:
-        opts["numPartitions"] = str(int(num_partitions))
+    if num_partitions < 1:
+        raise ValueError("a JDBC write needs the number of connections it may open")
+    opts["numPartitions"] = str(int(num_partitions))
     return opts
 
 
@@ -51,9 +52,9 @@ def write_jdbc(
     config: JdbcConfig,
     table: str,
     mode: str,
+    num_partitions: int,
     batchsize: int = 10_000,
     truncate: bool = True,
-    num_partitions: int | None = None,
     is_dryrun: bool = False,
     name_case: str | None = None,
 ) -> LoadReport:
@@ -62,7 +63,7 @@ def write_jdbc(
     if is_dryrun:
         return LoadReport(table, mode, df.count(), True).log()
     df = with_name_case(df, name_case)
-    opts = jdbc_write_options(config, table, batchsize, truncate, num_partitions)
+    opts = jdbc_write_options(config, table, num_partitions, batchsize, truncate)
     rows = write_observed(df, lambda f: f.write.format("jdbc").options(**opts).mode(mode).save())
     return LoadReport(table, mode, rows, False).log()
 

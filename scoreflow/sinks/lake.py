@@ -1,10 +1,9 @@
 """Lake sinks: date-partitioned writes (K1), slice replace (K4, lake side),
 load reports and dry runs (K9), daily exports (K8).
 
-Layout: ``<base>/<PARTITION_COL>=<YYYYMMDD>/part-*.parquet``. Overwrites use
-``partitionOverwriteMode=dynamic`` on the write itself, so only the date
-folders present in the written rows are replaced and other dates survive —
-a re-run of one day is idempotent.
+Layout: ``<base>/<PARTITION_COL>=<YYYYMMDD>/part-*.parquet``. A load knows its
+date, so it writes that one folder: an overwrite replaces it, with no rows as
+well as with many, and other dates survive — a re-run of one day is idempotent.
 
 The load report counts rows with ``DataFrame.observe`` during the write: the
 reference persisted the frame, counted it, then wrote it (two passes and a
@@ -15,6 +14,7 @@ write pass.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from dataclasses import dataclass
 
@@ -57,6 +57,13 @@ def write_observed(df: DataFrame, write, name: str = "load") -> int:
     return int(obs.get.get("rows", 0))
 
 
+def date_folder(base_path: str, data_dt: str, partition_col: str = PARTITION_COL) -> str:
+    """The folder of one date. Only names that need no escaping are taken."""
+    if not re.fullmatch(r"[A-Za-z0-9_.-]+", str(data_dt)):
+        raise ValueError(f"not a partition value: {data_dt!r}")
+    return f"{base_path.rstrip('/')}/{partition_col}={data_dt}"
+
+
 def write_date_partition(
     df: DataFrame,
     base_path: str,
@@ -79,19 +86,12 @@ def write_date_partition(
     # A column named like the partition column would be shadowed by the
     # folder value on read; the folder value is the one that is kept.
     clash = [c for c in df.columns if c.lower() == partition_col.lower()]
-    tagged = df.drop(*clash).withColumn(partition_col, F.lit(str(data_dt)))
+    folder = date_folder(base_path, data_dt, partition_col)
 
     def _write(frame: DataFrame) -> None:
-        (
-            frame.write.format(fmt)
-            .options(**(options or {}))
-            .mode(mode)
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(partition_col)
-            .save(base_path)
-        )
-
-    rows = write_observed(tagged, _write)
+        frame.write.format(fmt).options(**(options or {})).mode(mode).save(folder)
+
+    rows = write_observed(df.drop(*clash), _write)
     return LoadReport(target, mode, rows, False).log()
 
 

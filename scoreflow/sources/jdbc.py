@@ -52,6 +52,13 @@ class JdbcPartitioning:
         }
 
 
+@dataclass(frozen=True)
+class JdbcPredicates:
+    """One read task per predicate."""
+
+    predicates: tuple[str, ...]
+
+
 def with_name_case(df: DataFrame, case: str | None) -> DataFrame:
     """Rename all columns to ``upper`` or ``lower`` case (None: unchanged).
 
@@ -99,11 +106,16 @@ def jdbc_query_scan(
     spark: SparkSession,
     config: JdbcConfig,
     query: str,
-    partitioning: JdbcPartitioning | None = None,
+    partitioning: JdbcPartitioning | JdbcPredicates | None = None,
     fetch_size: int = 10_000,
     name_case: str | None = "lower",
 ) -> DataFrame:
     """Run a SELECT in the database and return its rows as a DataFrame."""
+    if isinstance(partitioning, JdbcPredicates):
+        opts = jdbc_read_options(config, table=f"({query.strip().rstrip(';')}) scoreflow_q", fetch_size=fetch_size)
+        url, source = opts.pop("url"), opts.pop("dbtable")
+        read = spark.read.jdbc(url, source, predicates=list(partitioning.predicates), properties=opts)
+        return with_name_case(read, name_case)
     opts = jdbc_read_options(config, query=query, partitioning=partitioning, fetch_size=fetch_size)
     return with_name_case(spark.read.format("jdbc").options(**opts).load(), name_case)
 
@@ -120,30 +132,66 @@ def jdbc_table_scan(
     return with_name_case(spark.read.format("jdbc").options(**opts).load(), name_case)
 
 
+def quantile_cuts_query(query: str, column: str, partitions: int) -> str:
+    """The smallest value of ``column`` in each of ``partitions`` equal shares
+    of the rows: cuts that follow the data, so a dense range of keys is split
+    as finely as it is filled."""
+    return (
+        f"SELECT scoreflow_t AS share, MIN({column}) AS low FROM (SELECT {column}, NTILE({int(partitions)}) "
+        f"OVER (ORDER BY {column}) AS scoreflow_t FROM ({query.strip().rstrip(';')}) scoreflow_b "
+        f"WHERE {column} IS NOT NULL) scoreflow_s GROUP BY scoreflow_t ORDER BY scoreflow_t"
+    )
+
+
+def sql_literal(value: Any) -> str:
+    """A number as it is, anything else quoted."""
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return repr(value)
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def range_predicates(column: str, lows: list[Any]) -> list[str]:
+    """One predicate per task for the cuts ``lows`` (ascending; equal ones are
+    merged): together they hold every row once, rows without a value too."""
+    cuts = sorted(set(lows))[1:]
+    if not cuts:
+        return ["1 = 1"]
+    values = [sql_literal(c) for c in cuts]
+    out = [f"{column} < {values[0]} OR {column} IS NULL"]
+    out += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(values, values[1:])]
+    return [*out, f"{column} >= {values[-1]}"]
+
+
 def jdbc_partitioning(
     spark: SparkSession,
     config: JdbcConfig,
     query: str,
     column: str,
+    partitions: int | None = None,
     rows_per_partition: int = 1_000_000,
-    max_partitions: int = 1_000,
-) -> JdbcPartitioning:
-    """Bounds and partition count for a range-partitioned read of ``query``
-    on a numeric ``column``: one small query (min, max, count) runs in the
-    database, and the partition count follows the row count."""
-    probe = (
-        f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n "
-        f"FROM ({query.strip().rstrip(';')}) scoreflow_b"
+) -> JdbcPredicates:
+    """A parallel read of ``query`` cut at quantiles of ``column``. The cuts,
+    and without a partition count the row count, are computed in the database;
+    one row per partition comes back."""
+    if partitions is None:
+        counted = f"SELECT COUNT(*) AS n FROM ({query.strip().rstrip(';')}) scoreflow_b"
+        partitions = partitions_for(jdbc_query_scan(spark, config, counted).first()["n"], rows_per_partition)
+    cuts = jdbc_query_scan(spark, config, quantile_cuts_query(query, column, partitions)).collect()
+    return JdbcPredicates(tuple(range_predicates(column, [r["low"] for r in cuts])))
+
+
+def partitions_for(rows: Any, rows_per_partition: int = 1_000_000) -> int:
+    """ceil(rows / rows_per_partition); an empty result reads as one partition."""
+    return max(1, -(-int(rows or 0) // rows_per_partition))
+
+
+def activity_marks_query(table: str, activities: list[str], day: Any) -> str:
+    """The latest start and finish of each activity on a day, aggregated in the
+    database: a log of at most two rows per activity."""
+    marks = [f"{a.lower()} {kind}" for a in activities for kind in ("start", "finish")]
+    listed = ", ".join(sql_literal(m) for m in marks) or "''"
+    return (
+        f"SELECT LOWER(activity_name) AS activity_name, MAX(created_date) AS created_date FROM {table} "
+        f"WHERE CAST(created_date AS DATE) = DATE {sql_literal(str(day))} AND LOWER(activity_name) IN ({listed}) "
+        "GROUP BY LOWER(activity_name)"
     )
-    row = jdbc_query_scan(spark, config, probe).first()
-    return partitioning_from_probe(column, row["lo"], row["hi"], row["n"], rows_per_partition, max_partitions)
-
-
-def partitioning_from_probe(
-    column: str, lo: Any, hi: Any, n: Any, rows_per_partition: int = 1_000_000, max_partitions: int = 1_000
-) -> JdbcPartitioning:
-    """Partition count = ceil(rows / rows_per_partition), at least 1, at most
-    ``max_partitions``; an empty result reads as one partition."""
-    rows = int(n or 0)
-    parts = max(1, min(max_partitions, -(-rows // rows_per_partition)))
-    return JdbcPartitioning(column, lo if lo is not None else 0, hi if hi is not None else 0, parts)

@@ -58,7 +58,7 @@ def test_lake_to_db_dry_run_opens_no_connection(spark, sf_small, capsys):
         "--param", "source_table=t_cli_snapshot", "--param", "data_dt=20240101",
         "--table", "TARGET.CUSTOMER_SNAPSHOT", "--write_mode", "append",
         "--pre_ins_sql_file_path", packaged_sql("prep_dataset.sql"), "--pre_param", "20240101",
-        "--is_dryrun", "true",
+        "--is_dryrun", "true", "--num_partitions", "2",
     ])
     assert rc == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
@@ -74,3 +74,41 @@ def test_gate_job(spark, sf_small, capsys):
     res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert sorted(res["completed"] + res["pending"]) == ["absent", "click", "error"]
     assert "absent" in res["pending"] and res["all_completed"] is False
+
+
+def test_jobs_leave_master_and_partitions_to_spark_submit(spark, sf_small, monkeypatch, capsys):
+    import scoreflow.session as session
+
+    seen = {}
+
+    def build(**kw):
+        seen.update(kw)
+        return spark
+
+    monkeypatch.setattr(session, "build_session", build)
+    log = spark.createDataFrame([("a start", None)], "activity_name string, created_date timestamp")
+    log.createOrReplaceTempView("t_cli_empty_log")
+    gate = ["gate", "--log_source", "t_cli_empty_log", "--activities", "a", "--day", "2024-01-15"]
+    assert main(gate) == 0 and seen == {"master": None, "shuffle_partitions": None, "extra": None}
+    assert main([*gate, "--shuffle_gb", "1000", "--executors", "100", "--cores_per_executor", "4"]) == 0
+    assert seen["extra"]["spark.sql.shuffle.partitions"] == str(-(-10**12 // (256 << 20)))
+
+
+def test_a_jdbc_read_must_be_split_or_say_otherwise(spark, tmp_path):
+    import pytest
+
+    sql = tmp_path / "q.sql"
+    sql.write_text("SELECT 1 AS a")
+    args = ["db-to-lake", "--jdbc_url", "jdbc:nowhere:x", "--jdbc_driver", "no.such.Driver", "--sql_file", str(sql),
+            "--target_path", str(tmp_path / "t"), "--data_dt", "20240101", "--write_mode", "append"]
+    with pytest.raises(SystemExit, match="partition_column"):
+        main(args)
+
+
+def test_one_day_of_features(spark, sf_small, capsys):
+    root = scratch_path(spark, "t_cli_day")
+    day = spark.read.parquet(f"{sf_small}/orders.parquet").selectExpr("cast(min(o_orderdate) as date)").first()[0]
+    for tag in ("r1", "r2"):
+        assert main(["features", "--input_path", sf_small, "--output_path", f"{root}/fs", "--run_tag", tag, "--day", str(day)]) == 0
+    back = spark.read.parquet(f"{root}/fs")
+    assert {(r.snapshot_date, r.run_tag) for r in back.collect()} == {(day, "r2")}

@@ -110,3 +110,44 @@ def test_profile_with_null_and_boolean_columns(spark):
     assert rows["empty"]["non_null"] == 0 and rows["empty"]["min_value"] is None
     assert (rows["flag"]["min_value"], rows["flag"]["max_value"]) == (0.0, 1.0)
     assert rows["utilisation_ratio"]["non_null"] == 5
+
+
+def _training_rows(spark, label=lambda i: i % 2, ratio=lambda i: 0.1 * (i % 3), debt=lambda i: float(i % 11)):
+    rows = [(i, dt.date(2001, 6, 1), label(i), debt(i), ratio(i), "A" if i % 3 else "B", "R", "O", "S") for i in range(400)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_column_without_values_is_zero_with_its_flag(spark):
+    train = _training_rows(spark, ratio=lambda i: None, debt=lambda i: float("nan") if i % 4 == 0 else 2.0 * i)
+    model = build_feature_pipeline(train).fit(train)
+    slots = model.stages[-1].getInputCols()
+    for r in model.transform(train).select("loan_id", "features").collect():
+        value = dict(zip(slots, r.features.toArray()))
+        assert value["utilisation_ratio_imputed"] == 0.0 and value["utilisation_ratio_missing"] == 1.0
+        assert value["debt_to_income_missing"] == float(r.loan_id % 4 == 0)
+        assert value["debt_to_income_imputed"] == value["debt_to_income_imputed"]
+    assert fit_scoring_model(train, num_trees=2).transform(train).count() == 400
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_sample_of_one_class_scores(spark, label):
+    from scoreflow.plans.training import TrainingConfig, train_and_score
+
+    cfg = TrainingConfig(run_tag="one", as_of=dt.date(2001, 8, 1), num_trees=2)
+    result = train_and_score(_training_rows(spark, label=lambda i: label), cfg)
+    assert {r.p_default for r in result.predictions.collect()} == {float(label)}
+    assert result.metrics.first()["auc"] is None
+
+
+def test_forest_beats_one_trained_on_shuffled_labels(spark):
+    from scoreflow.operators.metrics import auc_exact
+    from scoreflow.plans.training import TrainingConfig, train_and_score
+
+    true = lambda i: int(i % 11 > 5)
+    cfg = TrainingConfig(run_tag="t", as_of=dt.date(2001, 8, 1))
+    real = train_and_score(_training_rows(spark, label=true), cfg).predictions
+    noise = train_and_score(_training_rows(spark, label=lambda i: (i * 7919 >> 3) % 2), cfg).model
+    _, held = __import__("scoreflow.plans.training", fromlist=["split_recent"]).split_recent(_training_rows(spark, label=true), cfg)
+    a = auc_exact(real, "p_default").first()["auc"]
+    b = auc_exact(score_with(noise, held), "p_default").first()["auc"]
+    assert a > 0.95 and a > b + 0.2

@@ -29,7 +29,7 @@ def test_exactly_one_source():
 
 
 def test_write_options_spell_batchsize():
-    opts = jdbc_write_options(CFG, "TARGET.T", batchsize=10_000, num_partitions=4)
+    opts = jdbc_write_options(CFG, "TARGET.T", 4, batchsize=10_000)
     assert opts["batchsize"] == "10000" and opts["truncate"] == "true" and opts["numPartitions"] == "4"
 
 
@@ -49,13 +49,46 @@ def test_name_case(spark):
         with_name_case(spark.createDataFrame([(1, 2)], "a int, A int"), "lower")
 
 
-def test_partitioning_from_probe():
-    from scoreflow.sources.jdbc import partitioning_from_probe
+def test_a_write_needs_its_connection_count():
+    with pytest.raises(TypeError):
+        jdbc_write_options(CFG, "TARGET.T")
+    with pytest.raises(ValueError):
+        jdbc_write_options(CFG, "TARGET.T", 0)
+
+
+def test_partition_count_follows_the_rows_without_a_cap():
+    from scoreflow.sources.jdbc import partitions_for
+
+    assert [partitions_for(n) for n in (None, 0, 1, 2_500_001, 10**12)] == [1, 1, 1, 3, 1_000_000]
+
+
+def test_quantile_predicates_hold_every_row_once():
+    import duckdb
+
+    from scoreflow.sources.jdbc import quantile_cuts_query, range_predicates
+
+    # Most keys are small: equal strides would put nearly all rows in one task.
+    keys = list(range(900)) + [10**9 + i for i in range(100)] + [None] * 7
+    base = "SELECT * FROM (VALUES " + ", ".join("(NULL)" if k is None else f"({k})" for k in keys) + ") t(k)"
+    con = duckdb.connect()
+    lows = [r[1] for r in con.sql(quantile_cuts_query(base, "k", 10)).fetchall()]
+    counts = [con.sql(f"SELECT count(*) FROM ({base}) q WHERE {p}").fetchall()[0][0] for p in range_predicates("k", lows)]
+    assert sum(counts) == len(keys) and len(counts) == 10 and max(counts) <= 107
+    assert range_predicates("k", []) == range_predicates("k", [5, 5]) == ["1 = 1"]
+    assert range_predicates("d", ["a'b", "c"])[-1] == "d >= 'c'"
+
+
+def test_gate_query_aggregates_in_the_database():
+    import duckdb
+
+    from scoreflow.sources.jdbc import activity_marks_query
 
-    p = partitioning_from_probe("id", 1, 5_000_000, 2_500_001)
-    assert (p.lower_bound, p.upper_bound, p.num_partitions) == (1, 5_000_000, 3)
-    assert partitioning_from_probe("id", None, None, 0).num_partitions == 1
-    assert partitioning_from_probe("id", 0, 10**12, 10**12).num_partitions == 1_000
+    con = duckdb.connect()
+    con.sql("CREATE TABLE log AS SELECT * FROM (VALUES ('Load START', TIMESTAMP '2024-01-15 01:00'), ('load start', "
+            "TIMESTAMP '2024-01-15 02:00'), ('load finish', TIMESTAMP '2024-01-16 01:00'), ('other start', "
+            "TIMESTAMP '2024-01-15 01:00')) t(activity_name, created_date)")
+    rows = con.sql(activity_marks_query("log", ["LOAD", "it's"], "2024-01-15")).fetchall()
+    assert [(n, t.hour) for n, t in rows] == [("load start", 2)]
 
 
 def test_driver_is_optional():

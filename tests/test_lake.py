@@ -70,16 +70,6 @@ def test_packaged_sql_files_exist():
         assert open(packaged_sql(name)).read().strip()
 
 
-def test_cluster_settings_for_100tb():
-    from scoreflow.session import cluster_settings
-
-    conf = cluster_settings(100 * 2**40, executors=1000, cores_per_executor=8)
-    assert int(conf["spark.sql.shuffle.partitions"]) == 409_600
-    assert conf["spark.sql.adaptive.enabled"] == "true"
-    small = cluster_settings(10 * 2**20, executors=2, cores_per_executor=4)
-    assert int(small["spark.sql.shuffle.partitions"]) == 16
-
-
 def test_split_sql_statements_respects_literals():
     from scoreflow.sources.sql_files import split_sql_statements
 
@@ -107,3 +97,56 @@ def test_bind_literals_for_database_sql():
     assert out == "SELECT a, ':x' AS lit FROM t WHERE d = '20240101' AND n > 3 AND s = 'o''neil' -- :ignored\nAND day = DATE '2024-01-01'"
     with pytest.raises(KeyError):
         bind_literals("SELECT :missing", {})
+
+
+def test_empty_overwrite_empties_its_date_only(spark):
+    base = scratch_path(spark, "t_lake")
+    frame_to_lake(_frame(spark, 5, "a"), base, "20240101", "overwrite")
+    frame_to_lake(_frame(spark, 7, "b"), base, "20240102", "overwrite")
+    report = frame_to_lake(_frame(spark, 0, "c"), base, "20240102", "overwrite")
+    assert report.rows == 0
+    back = read_date_partitioned(spark, base)
+    assert [r.data_dt for r in back.collect()] == ["20240101"] * 5
+    with pytest.raises(ValueError):
+        frame_to_lake(_frame(spark, 1, "a"), base, "2024/01", "overwrite")
+
+
+def test_export_keeps_every_text(spark):
+    from scoreflow.plans.export import daily_export, read_export
+
+    texts = [
+        "  padded  ", "a\nb", "a\r\nb\rc", "", None, '"', '""', 'x "y" z', "\\N", "\\\\N", "\\", "a,b", "\t", "#c", "é日本", "\n", " ", "\\n",
+    ]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    df = df.withColumn("load_dt", F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"))
+    root = scratch_path(spark, "t_export")
+    report = daily_export(df, root, "2024-01-05T20:00:00")
+    assert report.rows == len(texts)
+    back = {int(r.id): r.t for r in read_export(spark, root, "20240105").collect()}
+    assert back == dict(enumerate(texts))
+
+
+def test_empty_export_day_reads_back_empty(spark):
+    from scoreflow.plans.export import daily_export, read_export
+
+    df = spark.createDataFrame([], "id int, load_dt timestamp_ntz")
+    root = scratch_path(spark, "t_export")
+    assert daily_export(df, root, "2024-01-05T20:00:00").rows == 0
+    back = read_export(spark, root, "20240105")
+    assert back.count() == 0 and back.columns == ["id", "load_dt"]
+
+
+def test_feature_files_are_in_date_order(spark, sf_small):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from scoreflow.plans.feature_store import feature_job
+
+    path = scratch_path(spark, "t_sorted")
+    feature_job(spark, sf_small, path, "t")
+    files = glob.glob(f"{path.replace('file:', '')}/*/*.parquet")
+    assert files
+    for f in files:
+        dates = pq.ParquetFile(f).read(["snapshot_date"]).column(0).to_pylist()
+        assert dates == sorted(dates)

@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from scoreflow.operators.metrics import auc_exact, classification_metrics, precision_recall
+from scoreflow.operators.metrics import auc_exact, auc_from_summary, classification_metrics
 
 
 def _scored(spark, n=3000, seed=5, levels=None):
@@ -35,11 +35,18 @@ def test_auc_exact_equals_unbinned_evaluator(spark, levels):
     assert ours == pytest.approx(_evaluator_auc(df), abs=1e-12)
 
 
-def test_auc_ranges_path_equals_single_range(spark):
+def test_auc_does_not_depend_on_the_range_count(spark):
     df = _scored(spark, n=4000)
-    one = auc_exact(df, "score").first()["auc"]
-    many = auc_exact(df, "score", scores_per_range=97).first()["auc"]
-    assert many == pytest.approx(one, abs=1e-12)
+    found = [auc_exact(df, "score", ranges=n).first()["auc"] for n in (2, 7, 300)]
+    assert found == pytest.approx([_evaluator_auc(df)] * 3, abs=1e-12)
+
+
+def test_auc_of_billions_of_rows_per_class(spark):
+    rows = [(0.1, 0, 4_000_000_000), (0.5, 4_000_000_000, 2_000_000_000), (0.9, 8_000_000_000, 0)]
+    summary = spark.createDataFrame(rows, "score double, pos bigint, neg bigint")
+    # 4e9 positives at 0.5 beat 4e9 negatives and tie with 2e9; 8e9 beat all 6e9.
+    want = (4e9 * (4e9 + 1e9) + 8e9 * 6e9) / (12e9 * 6e9)
+    assert auc_from_summary(summary).first()["auc"] == pytest.approx(want)
 
 
 def test_auc_all_tied_is_half(spark):
@@ -56,7 +63,7 @@ def test_no_actual_positives(spark):
 
 def test_no_predicted_positives(spark):
     df = _scored(spark).withColumn("prediction", F.lit(0.0))
-    row = precision_recall(df).first()
+    row = classification_metrics(df, "score", "t").first()
     assert row["precision"] == 0.0
     assert row["recall"] == 0.0
 
@@ -72,6 +79,8 @@ def test_one_pass_metrics_equal_separate_ones(spark):
     # Rows without a score still count for precision and recall.
     df = df.withColumn("score", F.when(F.col("loan_id") % 17 == 0, F.lit(None)).otherwise(F.col("score")))
     row = classification_metrics(df, "score", "t").first()
-    pr = precision_recall(df).first()
-    assert row["precision"] == pytest.approx(pr["precision"]) and row["recall"] == pytest.approx(pr["recall"])
+    pdf = df.toPandas()
+    hits = ((pdf.label_default == 1) & (pdf.prediction == 1)).sum()
+    assert row["precision"] == pytest.approx(hits / (pdf.prediction == 1).sum())
+    assert row["recall"] == pytest.approx(hits / (pdf.label_default == 1).sum())
     assert row["auc"] == pytest.approx(auc_exact(df, "score").first()["auc"])
