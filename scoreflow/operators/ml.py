@@ -1,15 +1,17 @@
 """ML stages (M1, M2, M3, M5, M6).
 
-* Category indexing: ``StringIndexer(handleInvalid="keep")`` per categorical
-  column — most frequent value gets 0, ties alphabetical; NULL and unseen
-  values get one extra index.
+* Category indexing: ranks of all categorical columns as one written table
+  (``operators.categories``) — most frequent value gets 0, ties alphabetical;
+  NULL and unseen values get one extra index.
 * NULL numerics: the reference's assembler turns them into NaN, which the
   forest rejects. Here an ``Imputer`` (median) fills them and a 0/1
   ``<col>_missing`` flag keeps the information.
 * ``VectorAssembler`` puts categorical indexes first, then numerics in frame
   order, as the reference does.
-* The forest's ``maxBins`` is raised to the widest category + 1 when a
-  category has more values than the default 32 bins allow.
+* The forest's ``maxBins`` is raised to the widest binned category + 1 when
+  one has more values than the default 32 bins allow. Columns named as
+  ``numeric_slots`` (none by default) enter as their rank instead, so a column
+  of very many values does not widen every node's histogram.
 
 All fitting is Spark ML: indexers and imputer are distributed aggregates,
 the forest grows its trees with distributed histogram passes.
@@ -21,11 +23,12 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scoreflow.operators.categories import CategoryIndexer, index_column
 from scoreflow.operators.features import CATEGORICAL_COLUMNS, LABEL_COLUMN
 from scoreflow.operators.filters import numeric_feature_columns
 
@@ -42,19 +45,9 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def index_column(column: str) -> str:
-    return f"{column}_idx"
-
-
-def category_indexer(categorical: Sequence[str]) -> StringIndexer:
-    """M1 for all categorical columns in one pass over the data (one
-    multi-column indexer instead of one job per column)."""
-    return StringIndexer(
-        inputCols=list(categorical),
-        outputCols=[index_column(c) for c in categorical],
-        handleInvalid="keep",
-        stringOrderType="frequencyDesc",
-    )
+def category_indexer(categorical: Sequence[str], numeric_slots: Sequence[str] = ()) -> CategoryIndexer:
+    """M1 for all categorical columns in one pass over the data."""
+    return CategoryIndexer(categorical, numeric_slots)
 
 
 def build_feature_pipeline(
@@ -62,9 +55,10 @@ def build_feature_pipeline(
     categorical: Sequence[str] = CATEGORICAL_COLUMNS,
     numeric: Sequence[str] | None = None,
     impute: bool = True,
+    numeric_slots: Sequence[str] = (),
 ) -> Pipeline:
     numeric = list(numeric) if numeric is not None else numeric_feature_columns(df)
-    stages = [category_indexer(categorical)] if categorical else []
+    stages = [category_indexer(categorical, numeric_slots)] if categorical else []
     inputs = [index_column(c) for c in categorical]
     if impute and numeric:
         value = {c: f"CAST({_q(c)} AS DOUBLE)" for c in numeric}
@@ -93,13 +87,11 @@ def build_feature_pipeline(
 
 
 def category_sizes(feature_model: PipelineModel) -> dict[str, int]:
-    """Number of learned labels per indexed column (driver-side model
-    metadata, bounded by category cardinality)."""
+    """Number of known values per binned column."""
     out = {}
     for stage in feature_model.stages:
-        if hasattr(stage, "labelsArray"):
-            cols = stage.getInputCols() if stage.isSet("inputCols") else [stage.getInputCol()]
-            out.update({c: len(labels) for c, labels in zip(cols, stage.labelsArray)})
+        if hasattr(stage, "binned_sizes"):
+            out |= stage.binned_sizes()
     return out
 
 
@@ -132,10 +124,11 @@ def fit_scoring_model(
     seed: int = 42,
     label_col: str = LABEL_COLUMN,
     categorical: Sequence[str] = CATEGORICAL_COLUMNS,
+    numeric_slots: Sequence[str] = (),
 ) -> PipelineModel:
     """Feature stages fitted on ``train`` (not before the split: no leakage),
     then the forest; returned as one ``PipelineModel``."""
-    feature_model = build_feature_pipeline(train, categorical).fit(train)
+    feature_model = build_feature_pipeline(train, categorical, numeric_slots=numeric_slots).fit(train)
     widest = max(category_sizes(feature_model).values(), default=0) + 1  # + the "keep" slot
     max_bins = max(DEFAULT_MAX_BINS, widest)
     labelled = train.withColumn(label_col, F.col(label_col).cast("double"))

@@ -57,11 +57,33 @@ def test_pipeline_unseen_category_and_nulls(spark):
 
 
 def test_frequency_then_alphabetical_index(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "customer_segment string")
-    from pyspark.ml.feature import StringIndexer
-
-    m = StringIndexer(inputCol="customer_segment", outputCol="i", handleInvalid="keep").fit(df)
-    assert m.labelsArray[0] == ["c", "a", "b"]
+    from scoreflow.operators.categories import category_ranks
+
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,)], "customer_segment string")
+    ranks = {r.value: r.idx for r in category_ranks(df, ["customer_segment"]).collect()}
+    assert ranks == {"c": 0.0, "a": 1.0, "b": 2.0}
+
+
+def test_fifty_thousand_categories(spark):
+    from scoreflow.operators.ml import category_indexer
+
+    n = 50_000
+    rows = spark.range(2 * n).selectExpr(
+        "id AS loan_id", "DATE '2001-06-01' AS snapshot_date", "CAST(id % 2 AS INT) AS label_default", "CAST(id % 7 AS DOUBLE) AS debt_to_income",
+        "0.1D AS utilisation_ratio", "CAST(id % 3 AS STRING) AS customer_segment", "'R' AS region",
+        f"CAST(CASE WHEN id < {n} THEN id ELSE 0 END AS STRING) AS occupation", "'S' AS loan_subtype",
+    )
+    model = category_indexer(["occupation", "region"]).fit(rows)
+    assert model.sizes == {"occupation": n, "region": 1}
+    index = model.transform(rows).groupBy("occupation_idx").count()
+    assert index.count() == n and index.where("occupation_idx = 0").first()["count"] == n + 1
+    # As a numeric slot it leaves the forest's bins alone.
+    small = rows.where("loan_id % 40 = 0")
+    fitted = fit_scoring_model(small, num_trees=2, numeric_slots=["occupation"])
+    assert fitted.stages[-1].getOrDefault("maxBins") == 32
+    path = save_model(fitted, scratch_path(spark, "t_slots") + "/run")
+    a = [tuple(r) for r in score_with(fitted, small).orderBy("loan_id").limit(50).collect()]
+    assert a == [tuple(r) for r in score_with(load_model(path), small).orderBy("loan_id").limit(50).collect()]
 
 
 def test_wide_category_raises_max_bins_and_reload_scores_equal(spark):
