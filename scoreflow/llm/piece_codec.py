@@ -9,10 +9,10 @@ segmentation is the model's if and only if each neighbouring pair is).
 
 The search keeps a window no longer than the longest piece beyond the last
 commit: whenever the backpointer paths of all surviving states meet in one
-boundary, the ids before it are final and leave the window. In this vocabulary
-no piece has a space sign after another sign and none has a line end, so every
-start of a word or a line is such a boundary; words are therefore looked up in a bounded memo before they are
-searched. The memo changes speed only.
+boundary, the ids before it are final and leave the window. Where the vocabulary
+has no piece across two neighbouring signs (before a word's space signs, after
+its last letter, around a line end) that is so at once; words are therefore
+looked up in a bounded memo before they are searched. The memo changes speed only.
 
 Texts are escaped as the model does it (a space sign in front, spaces as space
 signs). The space sign's own character is encoded by its bytes, so decoding
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Bounds of the memos of one worker.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 MEMO_PAIRS = 500_000
 MEMO_WORD_LENGTH = 40
 ROWS_OUT = 256
@@ -83,11 +83,15 @@ class PieceCodec:
         self._reach: dict[str, int] = {}
         for p in self._whole:
             self._reach[p[-3:]] = max(self._reach.get(p[-3:], 2), len(p))
-        # All paths meet before a word and around a sign that is no piece: a
-        # word is a run of space signs and what follows, up to a line end if
-        # line ends are no pieces.
+        # All paths meet where no piece spans two neighbouring signs: before the
+        # space signs of a word, around line ends if they are no pieces, and after
+        # a letter that no letter or digit follows, but for signs `across` it.
+        pairs = {p[i : i + 2] for p in self._whole for i in range(len(p) - 1)}
         ends = "" if "\n" in self.ids else "\n"
-        self._split = re.compile(f"{SPACE}+[^{SPACE}{ends}]*|[^{SPACE}{ends}]+" + "|\n+" * bool(ends)).findall
+        words = f"{SPACE}+[^{SPACE}{ends}]*|[^{SPACE}{ends}]+" + "|\n+" * bool(ends)
+        across = "".join(sorted({re.escape(pair[0]) for pair in pairs if re.fullmatch(r"[^\W\d_][\W_]", pair)}))
+        words = rf"{SPACE}*[^\W\d_{across}]+(?![^\W_])|" + words
+        self._split = re.compile(words).findall
         self.pieces = {i: p for p, i in self.ids.items()}
 
     def _merged(self, text: str) -> list[str]:
