@@ -24,7 +24,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import NON_WORDS_ANY_CASE, split_words, text_or_empty, written
+from scoreflow.llm.common import text_or_empty, written
 
 # Documented bound of the labelled sample the model is fitted on.
 SAMPLE_ROWS = 12_000
@@ -65,16 +65,25 @@ def _alternation(words: list[str]) -> str:
     return "(?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in by_first.items()) + ")"
 
 
-def _lexicon(words: list[str]) -> str:
-    return rf"(?i)(?<![a-z]){_alternation(words)}(?:s|es)?(?![a-z])"
+def _plurals(words: list[str]) -> list[str]:
+    return sorted({w + end for w in words for end in ("", "s", "es")})
 
 
+# All patterns run on lowered text; possessive quantifiers (++, }+) never give
+# back what they took, so no position is tried twice.
 _ANY = _alternation(INSULTS + PROFANITY + THREATS)
 _YOU = r"(?:you|your|yours|yourself|youre|u|ur)"
-NEAR_YOU = rf"(?i)(?<![a-z])(?:{_YOU}(?![a-z])[^a-z]+(?:[a-z']+[^a-z]+){{0,4}}?{_ANY}|{_ANY}(?:s|es)?(?![a-z])[^a-z]+(?:[a-z']+[^a-z]+){{0,4}}?{_YOU})(?![a-z])"
+NEAR_YOU = rf"(?<![a-z])(?:{_YOU}(?![a-z])[^a-z]+(?:[a-z']+[^a-z]+){{0,4}}?{_ANY}|{_ANY}(?:s|es)?(?![a-z])[^a-z]+(?:[a-z']+[^a-z]+){{0,4}}?{_YOU})(?![a-z])"
 # Letters with a mask sign or digit inside, or letters spelled apart.
-MASKED = r"(?i)(?<![a-z0-9])(?:[a-z]+[@$*!013457]+[a-z]+|[a-z](?:[ .*_-][a-z]){3,}(?![a-z]))"
-STRETCHED = r"(?i)([a-z])\1{2,}"
+MASKED = r"(?<![a-z0-9])[a-z](?:[a-z]*+[@$*!013457]++[a-z]|(?:[ .*_-][a-z]){3,}(?![a-z]))"
+STRETCHED = r"([a-z])\1\1"
+
+
+def _lexicon_words(low: Column) -> Column:
+    """The words of a lowered text that are in any lexicon: a set lookup per
+    word, much cheaper than trying an alternation at every position."""
+    known = _plurals(INSULTS + PROFANITY + THREATS)
+    return F.filter(F.split(low, "[^a-z]+"), lambda w: w.isin(known))
 
 
 def _count(text: Column, regex: str) -> Column:
@@ -82,28 +91,35 @@ def _count(text: Column, regex: str) -> Column:
 
 
 def toxicity_features(docs: DataFrame) -> DataFrame:
-    """doc_id and one double per feature."""
-    t = F.col("text")
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    """doc_id and one double per feature. Words are counted as stretches
+    between spaces and line ends."""
+    t, low = F.col("text"), F.col("low")
+    rows = docs.select("doc_id", text_or_empty().alias("text"), F.lower(text_or_empty()).alias("low"))
+    gaps = 2 * F.length(t) - F.length(F.replace(t, F.lit(" "))) - F.length(F.replace(t, F.lit("\n")))
     counts = rows.select(
         "doc_id",
-        "text",
-        F.size(split_words(t, NON_WORDS_ANY_CASE)).cast("double").alias("n"),
-        _count(t, _lexicon(INSULTS)).alias("insults"),
-        _count(t, _lexicon(PROFANITY)).alias("profanity"),
-        _count(t, _lexicon(THREATS)).alias("threats"),
-        _count(t, r"(?<![A-Za-z])[A-Z]{3,}(?![A-Za-z])").alias("caps"),
-        _count(t, r"[!?]{2,}").alias("punct"),
-        _count(t, MASKED).alias("masked"),
-        _count(t, STRETCHED).alias("stretched"),
+        "low",
+        F.when(F.length(t) > 0, gaps + 1).otherwise(0).cast("double").alias("n"),
+        _lexicon_words(low).alias("found"),
+        _count(t, r"(?<![A-Za-z])[A-Z]{3,}+(?![A-Za-z])").alias("caps"),
+        _count(t, r"[!?]{2,}+").alias("punct"),
+        _count(low, MASKED).alias("masked"),
+        _count(low, STRETCHED).alias("stretched"),
+    )
+
+    def of(words: list[str]) -> Column:
+        known = _plurals(words)
+        return F.size(F.filter("found", lambda w: w.isin(known))).cast("double")
+
+    counts = counts.select(
+        "*", of(INSULTS).alias("insults"), of(PROFANITY).alias("profanity"), of(THREATS).alias("threats")
     )
-    lexical = F.col("insults") + F.col("profanity") + F.col("threats")
-    plain = F.regexp_replace(F.translate(F.lower(t), "@$!013457*", "asioieast"), r"([a-z])\1{2,}", "$1")
+    plain = F.regexp_replace(F.translate(low, "@$!013457*", "asioieast"), r"([a-z])\1{2,}", "$1")
     plain = F.regexp_replace(plain, r"(?<=(?<![a-z])[a-z])[ ._-](?=[a-z](?![a-z]))", "")
-    hidden = F.greatest(_count(plain, _lexicon(INSULTS + PROFANITY)) - F.col("insults") - F.col("profanity"), F.lit(0.0))
+    hidden = F.greatest((F.size(_lexicon_words(plain)) - F.size("found")).cast("double"), F.lit(0.0))
     counts = counts.select(
         "*",
-        F.when(lexical > 0, _count(t, NEAR_YOU)).otherwise(F.lit(0.0)).alias("near"),
+        F.when(F.size("found") > 0, _count(low, NEAR_YOU)).otherwise(F.lit(0.0)).alias("near"),
         F.when(F.col("masked") + F.col("stretched") > 0, hidden).otherwise(F.lit(0.0)).alias("hidden"),
     )
     per = F.greatest(F.col("n"), F.lit(1.0))

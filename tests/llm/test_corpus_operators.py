@@ -49,6 +49,7 @@ def test_repeats_match_brute_force(frame, corpus, monkeypatch):
     monkeypatch.setattr(repeated_phrases, "SHARD_WORDS", 100)
     monkeypatch.setattr(repeated_phrases, "TASK_DOCUMENTS", 2)
     monkeypatch.setattr(repeated_phrases, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(repeated_phrases, "BROADCAST_BYTES", 0)
     assert _repeat_rows(frame(corpus)) == want
 
 
