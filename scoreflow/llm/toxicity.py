@@ -163,7 +163,8 @@ def labelled_features(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROW
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, seed: int = 11) -> ToxicityModel:
     """Trees on three quarters of the sample, calibration on the rest; both on
     the whole sample if either part lacks a class."""
-    sample = written(labelled_features(docs, labels, rows).coalesce(2), "toxicity_sample")
+    # All tasks scan the documents; the bounded sample they leave is then few partitions.
+    sample = written(labelled_features(docs, labels, rows), "toxicity_sample").coalesce(2)
     n, positive = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not n or positive in (0, n):
         return ToxicityModel(None, None, positive / n if n else 0.0)
