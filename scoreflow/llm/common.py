@@ -70,6 +70,13 @@ def broadcast_checked(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if rows_at_most(df, limit) else df
 
 
+def broadcast_weighed(df: DataFrame, weight: Column, limit: int) -> DataFrame:
+    """Broadcast hint only if `weight` (about the bytes of a row whose arrays
+    or texts vary) sums up to at most `limit`. `df` should be a written table."""
+    total = df.agg(F.coalesce(F.sum(weight.cast("long")), F.lit(0))).first()[0]
+    return F.broadcast(df) if total <= limit else df
+
+
 def crc_bucket(column: str, modulus: int) -> Column:
     """crc32(id as text) mod `modulus`; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus

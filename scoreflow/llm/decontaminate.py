@@ -27,6 +27,7 @@ from scoreflow.llm.common import (
     NON_WORDS,
     ascii_lower,
     broadcast_checked,
+    broadcast_weighed,
     row_key,
     split_words,
     text_or_empty,
@@ -37,6 +38,7 @@ WINDOW = 10
 SHINGLE = 5
 # A benchmark side of at most so many rows is broadcast; beyond it the same joins shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
 
 
 def _words(text: Column) -> Column:
@@ -128,9 +130,11 @@ def _contamination(docs: DataFrame, benchmark: DataFrame, window: int, shingle:
         .select("win", "n", "size", F.col("p.offset").alias("offset"), F.col("p.h").alias("h"))
         .join(windows.select("win", "item_ids"), "win")
     )
+    prefix = written(prefix, "benchmark_prefixes")
+    bytes_of = 40 + F.length(F.array_join("win", " ")) + F.aggregate("item_ids", F.lit(0), lambda n, i: n + 8 + F.length(i))
     start = F.col("at") - F.col("offset")
     candidates = (
-        seen.join(broadcast_checked(prefix, BROADCAST_ROWS), ["size", "h"])
+        seen.join(broadcast_weighed(prefix, bytes_of, BROADCAST_BYTES), ["size", "h"])
         .where((start >= 0) & (start + F.col("n") <= F.col("n_words")))
         .groupBy("k1", "k2")
         .agg(F.array_sort(F.collect_set(F.struct(start.alias("start"), "n", "win", "item_ids"))).alias("candidates"))

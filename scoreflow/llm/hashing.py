@@ -127,7 +127,7 @@ def inside(first: np.ndarray, size: int, n: int) -> np.ndarray:
 
 
 # Text bytes worked on at once; a longer single text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES):

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import broadcast_checked, text_or_empty, written
+from scoreflow.llm.common import broadcast_checked, broadcast_weighed, text_or_empty, written
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
 
 WINDOW = 20
@@ -48,8 +48,10 @@ ANCHOR = 6
 # Words of passages in one shard, and documents of one task of a shard.
 SHARD_WORDS = 200_000
 TASK_DOCUMENTS = 1_000
-# Sides of at most this many rows are broadcast to the texts; larger ones shuffle with them.
+# Sides of at most so many rows, or about so many bytes where rows vary in size,
+# are broadcast to the texts; larger ones shuffle with them.
 BROADCAST_ROWS = 300_000
+BROADCAST_BYTES = 16 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -96,24 +98,36 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w1, w2, ord, start) of every window around the anchors in `places`."""
+def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ord, stretches): first and last start of the windows around the
+    anchors at `places`, touching ones joined."""
     width = WINDOW - ANCHOR + 1
+    for batch in batches:
+        out = []
+        for places in batch.column("places"):
+            p = np.unique(np.asarray(places.values))
+            cut = np.flatnonzero(np.diff(p) > width) + 1
+            low = np.maximum(p[np.append(0, cut)] - width + 1, 0)
+            out.append(np.stack([low, p[np.append(cut, len(p)) - 1]], axis=1).ravel())
+        yield pa.RecordBatch.from_arrays([batch.column("ord"), pa.array(out, pa.list_(pa.int32()))], names=["ord", "stretches"])
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(w1, w2, ord, start) of every window that starts in `stretches`."""
     for batch in batches:
         for part in slices(batch):
             w = batch_words(part.column("text"))
             n = len(w.hashes) - WINDOW + 1
             if n <= 0:
                 continue
-            places = part.column("places")
-            counts = np.diff(np.asarray(places.offsets))
-            values = np.asarray(places.flatten()).astype(np.int64)
+            stretches = part.column("stretches")
+            counts = np.diff(np.asarray(stretches.offsets)) // 2
+            values = np.asarray(stretches.flatten()).astype(np.int64).reshape(-1, 2)
             owner = np.repeat(np.arange(part.num_rows), counts)
-            length = np.diff(w.first)[owner]
-            keep = (values + ANCHOR <= length) & (length >= WINDOW)
-            values, owner, length = values[keep], owner[keep], length[keep]
-            begin = w.first[owner] + np.maximum(values - width + 1, 0)
-            end = w.first[owner] + np.minimum(values, length - WINDOW) + 1
+            last = np.minimum(values[:, 1], np.diff(w.first)[owner] - WINDOW)
+            keep = values[:, 0] <= last
+            owner, begin, last = owner[keep], values[keep, 0], last[keep]
+            begin, end = w.first[owner] + begin, w.first[owner] + last + 1
             marks = np.zeros(len(w.hashes) + 1, dtype=np.int64)
             np.add.at(marks, begin, 1)
             np.add.at(marks, end, -1)
@@ -132,27 +146,42 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(ord, runs, heads): start and number of windows of each run of places
+    in `starts`, and the hash of its first window. Where several rows share an
+    ord (`shared`) their places may interleave: each stays a run of its own."""
+    for batch in batches:
+        runs, heads = [], []
+        for starts, hashes, shared in zip(batch.column("starts"), batch.column("hashes"), batch.column("shared")):
+            s, h = np.asarray(starts.values).astype(np.int64), np.asarray(hashes.values)
+            order = np.argsort(s, kind="stable")
+            s, h = s[order], h[order]
+            step = np.ones(len(s) - 1, dtype=bool) if shared.as_py() else np.diff(s) != 1
+            cut = np.flatnonzero(step) + 1
+            begin, end = np.append(0, cut), np.append(cut, len(s))
+            runs.append(np.stack([s[begin], end - begin], axis=1).ravel().astype(np.int32))
+            heads.append(h[begin])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("ord"), pa.array(runs, pa.list_(pa.int32())), pa.array(heads, pa.list_(pa.int64()))],
+            names=["ord", "runs", "heads"],
+        )
+
+
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(ord, start, n, words) of each run of places in `starts`. Rows that
-    share an ord may hold places of each other's text; a place outside this
-    text is left to the row it came from."""
+    """(ord, start, n, words) of each run. A run whose first window is not in
+    this text belongs to another row of the same ord."""
     for batch in batches:
         out = ([], [], [], [])
-        for order, text, digests, starts in zip(*(batch.column(c).to_pylist() for c in ("ord", "text", "hashes", "starts"))):
+        for order, text, runs, heads in zip(*(batch.column(c).to_pylist() for c in ("ord", "text", "runs", "heads"))):
             words = text.encode().split()
-            if len(words) < WINDOW:
-                continue
             own = window_hashes(batch_words(pa.array([text])).hashes, WINDOW).view(np.int64)
-            places = sorted({s for s, d in zip(starts, digests) if s < len(own) and own[s] == d})
-            begin = 0
-            for i in range(1, len(places) + 1):
-                if i == len(places) or places[i] != places[i - 1] + 1:
-                    first, last = places[begin], places[i - 1] + WINDOW
+            for start, n, head in zip(runs[::2], runs[1::2], heads):
+                if start < len(own) and own[start] == head:
+                    passage = words[start : start + n + WINDOW - 1]
                     out[0].append(order)
-                    out[1].append(first)
-                    out[2].append(last - first)
-                    out[3].append(b" ".join(words[first:last]).decode())
-                    begin = i
+                    out[1].append(start)
+                    out[2].append(len(passage))
+                    out[3].append(b" ".join(passage).decode())
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.string())],
             names=["ord", "start", "n", "words"],
@@ -301,19 +330,21 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     anchors = written(single.select("ord", "text").mapInArrow(_anchors, "h bigint, ord bigint, at int"), "phrase_anchors")
     recurring = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
     places = anchors.join(recurring, "h").groupBy("ord").agg(F.collect_list("at").alias("places"))
-    places = written(places, "phrase_places")
+    stretches = written(places.mapInArrow(_stretches, "ord bigint, stretches array<int>"), "phrase_stretches")
 
-    near = single.select("ord", "text").join(broadcast_checked(places, BROADCAST_ROWS), "ord")
-    windows = near.select("ord", "text", "places").mapInArrow(_windows, "w1 bigint, w2 int, ord bigint, start int")
+    near = broadcast_weighed(stretches, 12 + 4 * F.size("stretches"), BROADCAST_BYTES)
+    near = single.select("ord", "text").join(near, "ord").select("ord", "text", "stretches")
+    windows = near.mapInArrow(_windows, "w1 bigint, w2 int, ord bigint, start int")
     first = windows.groupBy("w1", "w2").agg(F.min(F.struct("ord", "start")).alias("first"), F.count(F.lit(1)).alias("k"))
     first = written(first.where("k > 1").select("w1", "w2", "first.ord", "first.start"), "phrase_first")
 
+    shared = single.groupBy("ord").count().where("count > 1").select("ord", F.lit(True).alias("shared"))
     starts = first.groupBy("ord").agg(F.collect_list("w1").alias("hashes"), F.collect_list("start").alias("starts"))
-    sources = single.select("ord", "text").join(broadcast_checked(written(starts, "phrase_starts"), BROADCAST_ROWS), "ord")
-    passages = sources.select("ord", "text", "hashes", "starts").mapInArrow(
-        _passages, "ord bigint, start int, n int, words string"
-    )
-    passages = written(passages, "phrase_passages")
+    starts = starts.join(shared, "ord", "left").select("ord", "hashes", "starts", F.coalesce("shared", F.lit(False)).alias("shared"))
+    runs = written(starts.mapInArrow(_runs, "ord bigint, runs array<int>, heads array<bigint>"), "phrase_runs")
+    sources = broadcast_weighed(runs, 12 + 16 * F.size("heads"), BROADCAST_BYTES)
+    sources = single.select("ord", "text").join(sources, "ord").select("ord", "text", "runs", "heads")
+    passages = written(sources.mapInArrow(_passages, "ord bigint, start int, n int, words string"), "phrase_passages")
     n_words = passages.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
     shards = max(1, -(-n_words // SHARD_WORDS))
     shard = F.pmod(F.xxhash64(F.lit("shard"), "ord"), F.lit(shards))
@@ -340,7 +371,8 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
 
     whole = copies.select("ord", "tk", F.lit(True).alias("whole"))
     out = rows.join(broadcast_checked(whole, BROADCAST_ROWS), ["ord", "tk"], "left")
-    out = out.join(broadcast_checked(spans, BROADCAST_ROWS), ["ord", "tk"], "left")
+    bytes_of_spans = 24 + F.aggregate("spans", F.lit(0), lambda n, s: n + 4 * F.size(s))
+    out = out.join(broadcast_weighed(spans, bytes_of_spans, BROADCAST_BYTES), ["ord", "tk"], "left")
     out = out.select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
     result = out.mapInArrow(_remove(keep_text), REMOVED)
     return result if keep_text else result.drop("kept")
