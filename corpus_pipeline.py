@@ -21,6 +21,8 @@ from scoreflow.llm.secret_scan import redact_secrets
 
 # Ids that a stage drops are broadcast up to this many; more of them shuffle.
 BROADCAST_IDS = 500_000
+# Near duplicates: five-word shingles, Jaccard 80/100 or more.
+NEAR = {"shingle": 5, "numerator": 80, "denominator": 100}
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component stays."""
-    found = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    found = jaccard_components(docs, **NEAR).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(broadcast_checked(written(found, "near_duplicates"), BROADCAST_IDS), "doc_id", "left_anti").select(*docs.columns)
 
 

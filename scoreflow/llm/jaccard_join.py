@@ -2,7 +2,7 @@
 
 A document's set is its distinct word shingles. Equal sets are one class, kept
 once. The universe of shingles is hashed into segments, their number chosen by
-size band so that two sets of Jaccard 0.9 or more must agree on part of them:
+size band so that two sets at the threshold or above must agree on part of them:
 
 * With H the largest symmetric difference two linked sets of a band can have,
   H + 1 segments that hold something cannot all differ, so with that many plus
@@ -32,23 +32,20 @@ gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreflow.llm.common import broadcast_checked, text_or_empty, written
 from scoreflow.llm.components import components
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
 
-SHINGLE = 3
-# Threshold as a fraction: 100 * shared >= 90 * union.
-NUMERATOR, DENOMINATOR = 90, 100
 BAND_RATIO = 1.3
-# Below this size two different sets cannot reach the threshold.
-SMALLEST = 9
 # Largest band of the one-deletion scheme.
 DELETION_LIMIT = 40
 # Members of a bucket whose pairs are compared outright, a few for each member.
@@ -57,22 +54,56 @@ SMALL_BUCKET = 8
 BROADCAST_CLASSES = 500_000
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Words of a shingle, and the threshold as a fraction: two sets link if
+    denominator * shared >= numerator * union."""
+
+    shingle: int = 3
+    numerator: int = 90
+    denominator: int = 100
+
+    def __post_init__(self):
+        if self.shingle < 1 or not 0 < self.numerator < self.denominator:
+            raise ValueError(f"no shingle size or threshold below 1: {self}")
+
+    @property
+    def smallest(self) -> int:
+        """Below this size two different sets cannot reach the threshold."""
+        return -(-self.numerator // (self.denominator - self.numerator))
+
+
+def _empty_allowance(differ: int, slack: int, size: int) -> int:
+    """The slack, raised until random sets of `size` rarely have more empty
+    segments (expectation and four deviations), at most to as many segments as
+    shingles."""
+    while differ + 1 + slack < size:
+        m = differ + 1 + slack
+        none = math.exp(-size / m)
+        if m * none + 4 * math.sqrt(m * none * (1 - (1 + size / m) * none)) <= slack:
+            break
+        slack += 1 + slack // 50
+    return slack
+
+
 class Bands:
     """Size bands up to a largest size, with segments and slack of each."""
 
-    def __init__(self, largest: int, ratio: float = BAND_RATIO):
+    def __init__(self, largest: int, rule: Rule = Rule(), ratio: float = BAND_RATIO):
         self.low, self.high, self.differ, self.segments, self.slack, self.deletes = [], [], [], [], [], []
-        low = SMALLEST
-        while low <= max(largest, SMALLEST):
-            high = max(2 * SMALLEST - 1 if low == SMALLEST else low, int(low * ratio))
+        low = rule.smallest
+        # A partner is in the same band or the next one.
+        ratio = max(ratio, rule.denominator / rule.numerator)
+        while low <= max(largest, rule.smallest):
+            high = max(2 * rule.smallest - 1 if low == rule.smallest else low, int(low * ratio))
             # |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|), the larger at most high / t.
-            partner = high * DENOMINATOR // NUMERATOR
-            differ = (DENOMINATOR - NUMERATOR) * (high + partner) // (DENOMINATOR + NUMERATOR)
-            deletes = high <= DELETION_LIMIT
-            if deletes:
-                segments, slack = (1, 0) if differ <= 1 else (max((differ + 2) // 2 + 1, differ), 0)
-            else:
-                slack = 3 + (differ + 1) // 40
+            partner = high * rule.denominator // rule.numerator
+            differ = (rule.denominator - rule.numerator) * (high + partner) // (rule.denominator + rule.numerator)
+            segments, slack = (1, 0) if differ <= 1 else (max((differ + 2) // 2 + 1, differ), 0)
+            # Deletions leave no slack: few sets may have an empty segment.
+            deletes = high <= DELETION_LIMIT and segments * (1 - 1 / segments) ** low <= 0.01
+            if not deletes:
+                slack = _empty_allowance(differ, 3 + (differ + 1) // 40, low)
                 segments = differ + 1 + slack
             for kept, value in (
                 (self.low, low), (self.high, high), (self.differ, differ),
@@ -86,15 +117,15 @@ class Bands:
         return np.searchsorted(self.high_array, sizes)
 
 
-def document_sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def document_sets(column: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle hash) of every distinct shingle, by document."""
     w = batch_words(column, lower=True)
     counts = np.diff(w.first)
-    h = window_hashes(w.hashes, SHINGLE)
-    keep = inside(w.first, SHINGLE, len(h))
+    h = window_hashes(w.hashes, shingle)
+    keep = inside(w.first, shingle, len(h))
     at = np.flatnonzero(keep)
     document, hashes = w.document[at] if len(at) else at, h[at] if len(at) else h[:0]
-    for n in range(1, SHINGLE):
+    for n in range(1, shingle):
         short = np.flatnonzero(counts == n)
         whole = window_hashes(w.hashes, n)[w.first[short]] if len(short) else h[:0]
         document = np.concatenate([document, short])
@@ -150,11 +181,11 @@ def _entries(document: np.ndarray, hashes: np.ndarray, band: np.ndarray, bands:
 SETS = "doc_id bigint, n bigint, d1 bigint, d2 bigint, entries array<bigint>"
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             rows = part.num_rows
-            document, hashes = document_sets(part.column("text"))
+            document, hashes = document_sets(part.column("text"), rule.shingle)
             n = np.bincount(document, minlength=rows)
             begin = np.flatnonzero(np.diff(document, prepend=-1))
             digests = []
@@ -163,12 +194,12 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(begin):
                     d[document[begin]] = _sums(mix(hashes + U(seed)), begin)
                 digests.append(mix(d + n.astype(U)).view(np.int64))
-            bands = Bands(int(n.max(initial=0)))
-            own = bands.of(np.maximum(n, SMALLEST))
+            bands = Bands(int(n.max(initial=0)), rule)
+            own = bands.of(np.maximum(n, rule.smallest))
             below = np.maximum(own - 1, 0)
             # The larger of a pair also enters the band of a smaller partner.
-            upper = (own > 0) & (np.array(bands.high)[below] * DENOMINATOR >= n * NUMERATOR)
-            large = n >= SMALLEST
+            upper = (own > 0) & (np.array(bands.high)[below] * rule.denominator >= n * rule.numerator)
+            large = n >= rule.smallest
             found = []
             for band, of in ((own, large), (below, large & upper)):
                 use = of[document]
@@ -194,17 +225,17 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def word_shingles(text: bytes) -> set:
+def word_shingles(text: bytes, shingle: int) -> set:
     words = text.split()
-    if len(words) < SHINGLE:
+    if len(words) < shingle:
         return {tuple(words)} if words else set()
-    return set(zip(*(words[i:] for i in range(SHINGLE))))
+    return set(zip(*(words[i:] for i in range(shingle))))
 
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _verified(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Pairs whose sets reach the threshold, compared shingle by shingle."""
     known, pivot = None, set()
     for batch in batches:
@@ -212,17 +243,17 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = []
         for i in range(batch.num_rows):
             if b[i] != known:
-                known, pivot = b[i], word_shingles(batch.column("text_b")[i].as_py().encode().translate(_LOWER))
-            other = word_shingles(batch.column("text_a")[i].as_py().encode().translate(_LOWER))
+                known, pivot = b[i], word_shingles(batch.column("text_b")[i].as_py().encode().translate(_LOWER), rule.shingle)
+            other = word_shingles(batch.column("text_a")[i].as_py().encode().translate(_LOWER), rule.shingle)
             shared = len(other & pivot)
-            if DENOMINATOR * shared >= NUMERATOR * (len(other) + len(pivot) - shared):
+            if rule.denominator * shared >= rule.numerator * (len(other) + len(pivot) - shared):
                 keep.append(i)
         yield pa.RecordBatch.from_arrays(
             [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"]
         )
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """(p, a, tokens): shingle hashes that only one of a class and its pivot has."""
     known, pivot = None, None
     for batch in batches:
@@ -230,8 +261,8 @@ def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = []
         for i in range(batch.num_rows):
             if b[i] != known:
-                known, pivot = b[i], document_sets(batch.column("text_b").slice(i, 1))[1]
-            other = document_sets(batch.column("text_a").slice(i, 1))[1]
+                known, pivot = b[i], document_sets(batch.column("text_b").slice(i, 1), rule.shingle)[1]
+            other = document_sets(batch.column("text_a").slice(i, 1), rule.shingle)[1]
             tokens.append(np.setxor1d(pivot, other, assume_unique=True).view(np.int64))
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
         values = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
@@ -247,24 +278,24 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """The pairs (a, b) of classes that link."""
-    return _with_texts(pairs, texts).mapInArrow(_verified, "a bigint, b bigint")
+    return _with_texts(pairs, texts).mapInArrow(lambda batches: _verified(batches, rule), "a bigint, b bigint")
 
 
-def _near_sizes(a: str, b: str):
-    return F.greatest(a, b) * NUMERATOR <= F.least(a, b) * DENOMINATOR
+def _near_sizes(a: str, b: str, rule: Rule):
+    return F.greatest(a, b) * rule.numerator <= F.least(a, b) * rule.denominator
 
 
-def _small_bucket_pairs(live: DataFrame) -> DataFrame:
+def _small_bucket_pairs(live: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components in buckets of few members."""
     few = live.where(F.col("k") <= SMALL_BUCKET)
     other = few.select("entry", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
     pairs = few.select("entry", F.col("cid").alias("a"), "n", "comp").join(other, "entry")
-    return pairs.where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b")).select("a", "b")
+    return pairs.where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)).select("a", "b")
 
 
-def _large_bucket_pairs(live: DataFrame, texts: DataFrame) -> DataFrame:
+def _large_bucket_pairs(live: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """Candidates among the members that were compared with one pivot p.
 
     With X' the shingles that only one of X and p has, X and Y differ in
@@ -273,10 +304,13 @@ def _large_bucket_pairs(live: DataFrame, texts: DataFrame) -> DataFrame:
     X' stands in Y'. Edits made independently share none of those."""
     many = live.where(F.col("k") > SMALL_BUCKET)
     compared = many.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
-    apart = _with_texts(compared, texts).mapInArrow(_differences, "p bigint, a bigint, tokens array<bigint>")
+    apart = _with_texts(compared, texts).mapInArrow(
+        lambda batches: _differences(batches, rule), "p bigint, a bigint, tokens array<bigint>"
+    )
     facts = many.where("cid <> p").select("p", F.col("cid").alias("a"), "n", "n_p", "comp").distinct()
     size = F.size("tokens")
-    far = size * (DENOMINATOR + NUMERATOR) > (DENOMINATOR - NUMERATOR) * (F.col("n") + F.col("n_p"))
+    above, below = rule.denominator + rule.numerator, rule.denominator - rule.numerator
+    far = size * above > below * (F.col("n") + F.col("n_p"))
     rows = apart.join(facts, ["p", "a"]).select(
         "p", "a", "n", "comp", size.alias("size"), far.alias("far"), F.explode("tokens").alias("t")
     )
@@ -287,7 +321,7 @@ def _large_bucket_pairs(live: DataFrame, texts: DataFrame) -> DataFrame:
     probe = ranked.where("f > 1 and any_far and rank <= floor((size + 1) / 2)").select("p", "t", "a", "n", "comp")
     index = rows.where("far").select("p", "t", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
     pairs = probe.join(index, ["p", "t"]).where(
-        (F.col("a") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b")
+        (F.col("a") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
@@ -303,15 +337,15 @@ def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
     return written(old.unionByName(fresh), "comps")
 
 
-def _resolve(members: DataFrame, texts: DataFrame) -> DataFrame:
+def _resolve(members: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
     """(cid, comp) of the classes that link with another, from the members
     (entry, cid, n, k) of all buckets; k is a bucket's size."""
     weights = members.groupBy("cid").agg(F.sum("k").alias("weight"))
     best = F.max(F.struct("weight", (-F.col("cid")).alias("order"), F.col("cid").alias("p"), F.col("n").alias("n_p"))).alias("best")
     pivots = members.join(weights, "cid").groupBy("entry").agg(best).select("entry", "best.p", "best.n_p")
     star = written(members.join(pivots, "entry"), "stars")
-    pairs = star.where((F.col("cid") != F.col("p")) & _near_sizes("n", "n_p"))
-    links = written(_links(pairs.select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct(), texts), "links")
+    pairs = star.where((F.col("cid") != F.col("p")) & _near_sizes("n", "n_p", rule))
+    links = written(_links(pairs.select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct(), texts, rule), "links")
     comp = written(components(links).select(F.col("node").alias("cid"), "comp"), "comps")
     # A bucket of two is settled by its one comparison, one of a single component too.
     placed = star.where("k > 2").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
@@ -319,27 +353,32 @@ def _resolve(members: DataFrame, texts: DataFrame) -> DataFrame:
     live = written(placed.join(unsettled.select("entry"), "entry"), "unsettled")
     if live.isEmpty():
         return comp
-    left = _small_bucket_pairs(live).unionByName(_large_bucket_pairs(live, texts)).distinct()
-    return _merge(comp, written(_links(left, texts), "links"))
+    left = _small_bucket_pairs(live, rule).unionByName(_large_bucket_pairs(live, texts, rule)).distinct()
+    return _merge(comp, written(_links(left, texts, rule), "links"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
+def jaccard_components(docs: DataFrame, shingle: int = 3, numerator: int = 90, denominator: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, class_id (smallest doc_id with
-    an equal set) and component_id (smallest doc_id that links reach)."""
+    an equal set) and component_id (smallest doc_id that links reach). Sets are
+    of `shingle` words and link from a Jaccard of numerator / denominator on."""
+    rule = Rule(shingle, numerator, denominator)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    sets = written(rows.mapInArrow(_set_rows, SETS), "jaccard_sets")
+    sets = written(rows.mapInArrow(lambda batches: _set_rows(batches, rule), SETS), "jaccard_sets")
     known = sets.where(F.col("doc_id").isNotNull())
     classes = known.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("cid"))
     classes = written(classes, "jaccard_classes")
-    first = known.where(F.size("entries") > 0).join(classes, ["d1", "d2"]).where("doc_id = cid")
-    index = first.select("cid", "n", F.explode("entries").alias("entry"))
+    # The arrays of entries stay where they are, and the entries shuffle once.
+    keys = ["doc_id", "d1", "d2"]
+    copies = written(known.select(*keys).join(classes, ["d1", "d2"]).where("doc_id <> cid").select(*keys).distinct(), "jaccard_copies")
+    first = known.where(F.size("entries") > 0).join(broadcast_checked(copies, BROADCAST_CLASSES), keys, "left_anti")
+    index = first.select(F.col("doc_id").alias("cid"), "n", F.explode("entries").alias("entry"))
     index = index.dropDuplicates(["entry", "cid"]) if _has_repeats(known) else index
-    shared = index.groupBy("entry").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
-    members = written(index.join(shared, "entry"), "jaccard_members")
+    shared = index.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("entry"))).where("k > 1")
+    members = written(shared.select("entry", "cid", "n", "k"), "jaccard_members")
     ids = members.select("cid").distinct()
     texts = rows.join(broadcast_checked(ids, BROADCAST_CLASSES), F.col("doc_id") == F.col("cid"), "left_semi")
     texts = written(texts.select(F.col("doc_id").alias("cid"), "text"), "jaccard_texts")
-    comp = _resolve(members, texts)
+    comp = _resolve(members, texts, rule)
     place = classes.join(comp, "cid", "left").select("d1", "d2", "cid", F.coalesce("comp", "cid").alias("comp"))
     out = sets.select("doc_id", "n", "d1", "d2").join(place, ["d1", "d2"], "left")
     with_id = F.col("doc_id").isNotNull()

@@ -203,7 +203,8 @@ FROM s LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) m ON m.a = s.doc_id
 
 @register("op9_jaccard_join", JACCARD_SQL)
 def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    found = jaccard_components(read_table(spark, sf_dir, "documents"), shingle=3, numerator=90, denominator=100)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 @register("op10_language_id")
