@@ -254,21 +254,29 @@ def _verified(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
 
 
 def _differences(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """(p, a, tokens): shingle hashes that only one of a class and its pivot has."""
+    """(p, a, n_own, tokens): shingle hashes that only one of a class and its
+    pivot has, first the n_own of the class."""
     known, pivot = None, None
     for batch in batches:
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        tokens = []
+        tokens, n_own = [], []
         for i in range(batch.num_rows):
             if b[i] != known:
                 known, pivot = b[i], document_sets(batch.column("text_b").slice(i, 1), rule.shingle)[1]
             other = document_sets(batch.column("text_a").slice(i, 1), rule.shingle)[1]
-            tokens.append(np.setxor1d(pivot, other, assume_unique=True).view(np.int64))
+            own = np.setdiff1d(other, pivot, assume_unique=True)
+            tokens.append(np.concatenate([own, np.setdiff1d(pivot, other, assume_unique=True)]).view(np.int64))
+            n_own.append(len(own))
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
         values = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(b, pa.int64()), pa.array(a, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-            names=["p", "a", "tokens"],
+            [
+                pa.array(b, pa.int64()),
+                pa.array(a, pa.int64()),
+                pa.array(n_own, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
+            ],
+            names=["p", "a", "n_own", "tokens"],
         )
 
 
@@ -299,26 +307,35 @@ def _large_bucket_pairs(live: DataFrame, texts: DataFrame, rule: Rule) -> DataFr
     """Candidates among the members that were compared with one pivot p.
 
     With X' the shingles that only one of X and p has, X and Y differ in
-    |X'| + |Y'| - 2 |X' & Y'|. If Y does not link with p, a link of X and Y
-    needs X' and Y' to share more than half of X', so one of the rarest half of
-    X' stands in Y'. Edits made independently share none of those."""
+    |X'| + |Y'| - 2 s, s = |X' & Y'|. With c = (1 - t) / (1 + t), a link of X
+    and Y needs 2 s >= |X'| + |Y'| - c (n_X + n_Y), and if Y does not link with
+    p, |Y'| > c (n_Y + n_p). So 2 s > |X'| + c (n_p - n_X), and one of the
+    |X'| - s + 1 rarest of X' stands in Y': some r with
+    2 (r - 1) < |X'| + c (n_X - n_p). Also at most (1 - t) n_X shingles of X
+    are not in Y: if X has more than that of its own, one of the rarest
+    (1 - t) n_X + 1 of those stands in Y'. Edits made independently share none
+    of either."""
     many = live.where(F.col("k") > SMALL_BUCKET)
     compared = many.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
     apart = _with_texts(compared, texts).mapInArrow(
-        lambda batches: _differences(batches, rule), "p bigint, a bigint, tokens array<bigint>"
+        lambda batches: _differences(batches, rule), "p bigint, a bigint, n_own bigint, tokens array<bigint>"
     )
     facts = many.where("cid <> p").select("p", F.col("cid").alias("a"), "n", "n_p", "comp").distinct()
     size = F.size("tokens")
     above, below = rule.denominator + rule.numerator, rule.denominator - rule.numerator
     far = size * above > below * (F.col("n") + F.col("n_p"))
     rows = apart.join(facts, ["p", "a"]).select(
-        "p", "a", "n", "comp", size.alias("size"), far.alias("far"), F.explode("tokens").alias("t")
+        "p", "a", "n", "n_p", "n_own", "comp", size.alias("size"), far.alias("far"), F.posexplode("tokens").alias("at", "t")
     )
     rows = written(rows, "differences")
     common = rows.groupBy("p", "t").agg(F.count(F.lit(1)).alias("f"), F.max("far").alias("any_far"))
     # A token of one member alone finds nobody, but counts among the rarest.
-    ranked = rows.join(common, ["p", "t"]).selectExpr("*", "row_number() over (partition by p, a order by f, t) as rank")
-    probe = ranked.where("f > 1 and any_far and rank <= floor((size + 1) / 2)").select("p", "t", "a", "n", "comp")
+    apart_from_p = F.col("n_own") * rule.denominator > below * F.col("n")
+    ranked = rows.withColumn("of_pivot", apart_from_p & (F.col("at") >= F.col("n_own"))).join(common, ["p", "t"])
+    ranked = ranked.selectExpr("*", "row_number() over (partition by p, a order by of_pivot, f, t) - 1 as before")
+    kept = F.when(apart_from_p, F.col("before") * rule.denominator <= (rule.denominator - rule.numerator) * F.col("n"))
+    kept = kept.otherwise(2 * above * F.col("before") < above * F.col("size") + below * (F.col("n") - F.col("n_p")))
+    probe = ranked.where("f > 1 and any_far").where(kept).select("p", "t", "a", "n", "comp")
     index = rows.where("far").select("p", "t", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
     pairs = probe.join(index, ["p", "t"]).where(
         (F.col("a") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)
