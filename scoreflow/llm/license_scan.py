@@ -107,8 +107,10 @@ SENTENCES = (
 
 MAX_PRIORITY = 7
 RULE_LIMIT = 10_000
-# Cheap trigger on the raw text; every rule above needs one of these words.
-TRIGGER = r"(?i:licen[sc]e|spdx|copyright|rights reserved|public domain|hereby granted|permission to use|redistribut|without warranty|free software)"
+# Cheap trigger on the raw text; every rule above needs one of these words, or of
+# these phrases with any run of separators between their words.
+TRIGGER_PHRASES = ("rights reserved", "public domain", "hereby granted", "permission to use", "without warranty", "free software")
+TRIGGER = "(?i:licen[sc]e|spdx|copyright|redistribut|" + "|".join(p.replace(" ", NON_WORDS_ANY_CASE) for p in TRIGGER_PHRASES) + ")"
 
 
 def signature_rules() -> list[tuple[int, str, str, str, int, float]]:
