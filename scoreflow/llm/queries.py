@@ -12,14 +12,17 @@ from pyspark.sql import functions as F
 
 from scoreflow.llm import language_id, toxicity
 from scoreflow.llm.common import crc_bucket, read_table
+from scoreflow.llm.cover_codes import ENTRIES, PARTS, ROUNDS, SCALE, compression_digest
 from scoreflow.llm.decontaminate import contamination_digest
 from scoreflow.llm.jaccard_join import jaccard_components
 from scoreflow.llm.license_scan import license_scan
+from scoreflow.llm.mixing import EPOCHS, SEED, WEIGHTS, mix_digest
 from scoreflow.llm.piece_codec import encode_documents, read_model
 from scoreflow.llm.preference_chat import neighbour_pairs, preference_pairs
 from scoreflow.llm.quality_rules import apply_quality_rules, labelled_sample, learn_decision_list
 from scoreflow.llm.repeated_phrases import remove_repeats
 from scoreflow.llm.secret_scan import secret_digest
+from scoreflow.llm.whitening import whitening_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -80,7 +83,8 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REPEATS_SQL = r"""
 WITH d AS (
-    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
 ),
 g AS (
     SELECT r, doc_id, s, array_to_string(w[s:s + 19], ' ') AS v
@@ -214,3 +218,103 @@ def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language_id.train(docs.where(~held_out).select("doc_id", "text", "lang"))
     found = language_id.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@register("op11_whitening")
+def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+def _compression_sql() -> str:
+    """One query per round: distances of all parts to all entries, the nearest
+    by a struct minimum, and the next codebooks."""
+
+    def nearest(name: str, books: str) -> str:
+        return f"""
+dist_{name} AS (
+    SELECT p.r, p.part, c.entry, sum((p.x - c.x) * (p.x - c.x)) AS d
+    FROM places p JOIN {books} c USING (part, pos) GROUP BY ALL
+),
+{name} AS (
+    SELECT r, part, m.entry AS entry, m.d AS d
+    FROM (SELECT r, part, min({{'d': d, 'entry': entry}}) AS m FROM dist_{name} GROUP BY ALL)
+)"""
+
+    steps = []
+    for i in range(ROUNDS):
+        steps.append(nearest(f"near{i}", f"books{i}"))
+        steps.append(f"""
+books{i + 1} AS (
+    SELECT b.part, b.entry, b.pos, coalesce(n.x, b.x) AS x
+    FROM books{i} b LEFT JOIN (
+        SELECT p.part, n.entry, p.pos, CAST(floor(sum(p.x) / count(*)) AS BIGINT) AS x
+        FROM places p JOIN near{i} n USING (r, part) GROUP BY ALL
+    ) n USING (part, entry, pos)
+)""")
+    steps.append(nearest("final", f"books{ROUNDS}"))
+    return f"""
+WITH v AS (
+    SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label, embedding
+    FROM embeddings
+    WHERE len(embedding) > 0
+      AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+w AS (SELECT any_value(len(embedding)) // {PARTS} AS w FROM v),
+places AS (
+    SELECT r, i // w.w AS part, i % w.w AS pos, CAST(floor({SCALE} * CAST(c AS DOUBLE)) AS BIGINT) AS x
+    FROM (SELECT r, unnest(embedding) AS c, unnest(range(len(embedding))) AS i FROM v), w
+),
+books0 AS (SELECT part, r - 1 AS entry, pos, x FROM places WHERE r <= {ENTRIES}),
+{",".join(steps)},
+coded AS (
+    SELECT r, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error
+    FROM final GROUP BY r
+)
+SELECT v.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM books{ROUNDS}) AS codebooks_sha256
+FROM v JOIN coded c USING (r)
+"""
+
+
+@register("op12_cover_codes", _compression_sql())
+def q_cover_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compression_digest(read_table(spark, sf_dir, "embeddings"))
+
+
+MIXING_SQL = rf"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, source,
+           CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+           md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '|' || coalesce(source, 'null') || '|' || coalesce(text, 'null')) AS key
+    FROM documents
+),
+s AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           {list(WEIGHTS)}[1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)}] AS weight
+    FROM d GROUP BY source
+),
+f AS (
+    SELECT *, {EPOCHS} * source_size AS cap,
+           CAST(sum(source_size) OVER () - coalesce(sum({EPOCHS} * source_size) OVER before, 0) AS DOUBLE)
+               / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level,
+           coalesce(sum(weight) OVER before, 0) AS ahead
+    FROM s
+    WINDOW before AS (ORDER BY {EPOCHS} * source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+m AS (SELECT arg_min(level, ahead) AS level FROM f WHERE level * weight < cap),
+t AS (SELECT f.source, f.source_size, least(CAST(f.cap AS DOUBLE), coalesce(m.level * f.weight, f.cap)) AS target FROM f, m),
+c AS (
+    SELECT d.*, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS budget,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, source,
+       CAST(CASE WHEN source_size = 0 THEN 0
+            ELSE budget // source_size * size + greatest(0, least(size, budget % source_size - before)) END AS BIGINT) AS taken
+FROM c
+"""
+
+
+@register("op13_source_mix", MIXING_SQL)
+def q_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_digest(read_table(spark, sf_dir, "documents"))
