@@ -102,7 +102,7 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(g, "jdbc_password_env")
     _opt(g, "log_format", default="parquet")
     _opt(g, "activities", required=True, help="comma-separated activity names")
-    _opt(g, "day", type=dt.date.fromisoformat, default=None, help="YYYY-MM-DD, default today")
+    _opt(g, "day", type=dt.date.fromisoformat, default=None, help="YYYY-MM-DD, default today in the session's time zone")
     _opt(g, "is_dryrun", type=_bool, default=False)
 
     d = sub.add_parser("db-to-lake", help="B3: JDBC query to a date folder")
@@ -113,6 +113,7 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(d, "data_dt", required=True)
     _opt(d, "write_mode", choices=["overwrite", "append"], required=True)
     _opt(d, "partition_column", help="numeric, date or timestamp column the read is split on")
+    _opt(d, "after", help="high-water mark of an earlier load: read only rows beyond it")
     _opt(d, "lower_bound")
     _opt(d, "upper_bound")
     _opt(d, "num_partitions", type=int, help="tasks of the read; with no bounds, cut at quantiles of the column")
@@ -183,19 +184,22 @@ def _run(spark, args: argparse.Namespace) -> None:
         )
         print(json.dumps(report.__dict__))
     elif args.job == "gate":
+        from scoreflow.functions.dates import session_today
         from scoreflow.plans.completion import check_activity_completion
         from scoreflow.sources.tables import table_scan
 
         names = [n.strip() for n in args.activities.split(",") if n.strip()]
+        # One clock for the database query and the check: the session's.
+        day = args.day or session_today(spark)
         if args.jdbc_url:
             from scoreflow.sources.jdbc import activity_marks_query, jdbc_query_scan
 
             # The database sends one row per activity mark, not the day's log.
-            query = activity_marks_query(args.log_source, names, args.day or dt.date.today())
+            query = activity_marks_query(args.log_source, names, day)
             log = jdbc_query_scan(spark, _jdbc(args), query)
         else:
             log = table_scan(spark, args.log_source, args.log_format)
-        print(json.dumps(check_activity_completion(spark, log, names, args.day, args.is_dryrun)))
+        print(json.dumps(check_activity_completion(spark, log, names, day, args.is_dryrun)))
     elif args.job == "bronze":
         from scoreflow.streaming.bronze import kafka_options, kafka_source, start_bronze
 
@@ -209,11 +213,14 @@ def _run(spark, args: argparse.Namespace) -> None:
         query.awaitTermination()
     elif args.job == "db-to-lake":
         from scoreflow.plans.loads import db_to_lake
-        from scoreflow.sources.jdbc import JdbcPartitioning, jdbc_partitioning
+        from scoreflow.sources.jdbc import JdbcPartitioning, JdbcPredicates, jdbc_partitioning, rows_after
         from scoreflow.sources.sql_files import bind_literals, read_sql_file
 
         params = dict(p.split("=", 1) for p in args.param)
         query = bind_literals(read_sql_file(spark, args.sql_file), params)
+        if args.after is not None and not args.partition_column:
+            raise SystemExit("--after needs the --partition_column that it is a mark of")
+        query = rows_after(query, args.partition_column, args.after)
         part = None
         if not args.partition_column and not args.single_task:
             raise SystemExit("db-to-lake needs --partition_column, or --single_task true to read through one task")
@@ -225,7 +232,8 @@ def _run(spark, args: argparse.Namespace) -> None:
             spark, _jdbc(args), query, args.target_path, args.data_dt,
             args.write_mode, part, args.is_dryrun,
         )
-        print(json.dumps(report.__dict__))
+        mark = part.high_water if isinstance(part, JdbcPredicates) else None
+        print(json.dumps(report.__dict__ | {"high_water": None if mark is None else str(mark)}))
     elif args.job == "lake-to-db":
         from scoreflow.plans.loads import lake_to_db
 

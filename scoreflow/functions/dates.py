@@ -6,7 +6,7 @@ from __future__ import annotations
 import datetime as dt
 from zoneinfo import ZoneInfo
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +29,11 @@ def months_back(as_of: Column | str | dt.date | None, months: int) -> Column:
     return F.add_months(base, -int(months))
 
 
+def session_today(spark: SparkSession) -> dt.date:
+    """Today by the session's clock and time zone."""
+    return spark.range(1).select(F.current_date()).first()[0]
+
+
 def yyyymmdd_to_iso(column: Column) -> Column:
     """``'20240105'`` → ``'2024-01-05'``; unparsable text gives NULL."""
     return F.date_format(F.try_to_date(column, "yyyyMMdd"), "yyyy-MM-dd")

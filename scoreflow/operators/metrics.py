@@ -8,29 +8,22 @@
   evaluator's default down-samples the curve to 1,000 bins.
 
 ``auc_exact`` needs, for every distinct score, the number of negatives with
-a lower score: a running sum in one global order. Instead of a window over
-all rows (one task), rows are first grouped by score (partial aggregation),
-the distinct scores are cut into ranges at approximate quantiles, each
-range runs its own window, and per-range offsets (one row per range) are
-added back with a broadcast join of a frame whose size is the range count.
+a lower score: a running sum in one global order. Rows are first grouped by
+score (partial aggregation), and the groups' running sums come from
+``operators.prefix``: as many sorted ranges as the counted groups need, so no
+task's share grows with the number of scores.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreflow.operators.features import LABEL_COLUMN
+from scoreflow.operators.prefix import ROWS_PER_RANGE, prefix_sums
 from scoreflow.session import ensure_checkpoint_dir
 
-# Score ranges of the exact AUC: each is one task's window, and one row of the
-# broadcast offsets. Raise it with the number of distinct scores.
-SCORE_RANGES = 256
-
 
 def confusion_matrix(df: DataFrame, label_col: str = LABEL_COLUMN, prediction_col: str = "prediction") -> DataFrame:
     return df.groupBy(label_col, prediction_col).agg(F.count(F.lit(1)).alias("n"))
@@ -70,29 +63,17 @@ def auc_exact(
     df: DataFrame,
     score: Column | str,
     label_col: str = LABEL_COLUMN,
-    ranges: int = SCORE_RANGES,
+    groups_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """One row, column ``auc``: NULL when there are no positives or no
     negatives. Rows whose score is NULL or NaN are left out."""
-    return auc_from_summary(score_summary(df, score, label_col), ranges)
+    return auc_from_summary(score_summary(df, score, label_col), groups_per_range)
 
 
-def auc_from_summary(summary: DataFrame, ranges: int = SCORE_RANGES) -> DataFrame:
+def auc_from_summary(summary: DataFrame, groups_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     groups = summary.filter(F.col("score").isNotNull() & ~F.isnan("score")).select("score", "pos", "neg")
-    probs = [i / ranges for i in range(1, ranges)]
-    cuts = sorted(set(groups.approxQuantile("score", probs, 1.0 / (4 * ranges)))) or [0.0]
-    ranged = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="score", outputCol="rng").transform(groups)
-
-    # Negatives before each range: one row per range, so the global window
-    # and the broadcast below are bounded by the parameter.
-    per_range = ranged.groupBy("rng").agg(F.sum("neg").alias("range_neg"))
-    before = Window.orderBy("rng").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_range.select("rng", F.coalesce(F.sum("range_neg").over(before), F.lit(0)).alias("offset"))
-    within = Window.partitionBy("rng").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    lower = F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0))
-    contrib = ranged.join(F.broadcast(offsets), "rng").select(
-        "pos", "neg", (F.col("pos") * (lower + F.col("neg") / 2.0)).alias("c")
-    )
+    below = prefix_sums(groups, ["score"], ["neg"], rows_per_range=groups_per_range)
+    contrib = below.select("pos", "neg", (F.col("pos") * (F.col("before_neg") + F.col("neg") / 2.0)).alias("c"))
     # Each class's count fits a bigint, their product need not.
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return contrib.agg(F.try_divide(F.sum("c"), pairs).cast(T.DoubleType()).alias("auc"))

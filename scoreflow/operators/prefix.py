@@ -37,12 +37,14 @@ def prefix_sums(
     values: Sequence[str],
     by: Sequence[str] = (),
     rows_per_range: int = ROWS_PER_RANGE,
+    rows: int | None = None,
 ) -> DataFrame:
     """`df` with ``before_<value>``: the sum of each of `values` over the rows
     of the same `by` (none: over all rows) that come before in `order`, 0 for
     the first. `by` may hold nulls (one group). Rows that are equal in `order`
-    are summed in some fixed order. `df` is read twice: pass a written table."""
-    rows = df.count()
+    are summed in some fixed order. `df` is read several times: pass a written
+    table, and its number of `rows` if it is known."""
+    rows = df.count() if rows is None else rows
     until = (Window.unboundedPreceding, -1)
     summed = [(v, f"before_{v}") for v in values]
     if rows <= rows_per_range:

@@ -59,6 +59,7 @@ def lake_to_db(
     config: JdbcConfig,
     table: str,
     mode: str,
+    *,
     num_partitions: int,
     pre_statements: Sequence[Statement] = (),
     batchsize: int = 10_000,
@@ -76,4 +77,4 @@ def lake_to_db(
             batchsize=batchsize, num_partitions=num_partitions, is_dryrun=is_dryrun,
         )
     run_statements(spark, config, pre_statements, is_dryrun)
-    return write_jdbc(df, config, table, mode, num_partitions, batchsize, is_dryrun=is_dryrun)
+    return write_jdbc(df, config, table, mode, num_partitions=num_partitions, batchsize=batchsize, is_dryrun=is_dryrun)

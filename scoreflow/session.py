@@ -19,6 +19,9 @@ from pyspark.sql import SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+# Private folders of local sessions that name none, by application.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def build_session(
     master: str | None = "local[8]",
@@ -79,7 +82,10 @@ def checkpoint_root(spark: SparkSession) -> str | None:
     value = spark.conf.get(CHECKPOINT_KEY, None)
     sc = _context(spark)
     if not value and sc is not None:
-        value = sc.getConf().get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
+        value = sc.getConf().get(CHECKPOINT_KEY, None)
+    value = value or _LOCAL_ROOTS.get(app_key(spark))
+    if not value and sc is not None:
+        value = sc.getCheckpointDir()
     return value or None
 
 
@@ -97,8 +103,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if root is None:
         if not _in_one_process(spark):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="scoreflow-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, root)
+        # The setting itself cannot be changed once the application runs.
+        root = _LOCAL_ROOTS[app_key(spark)] = tempfile.mkdtemp(prefix="scoreflow-ckpt-")
     sc = _context(spark)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)

@@ -10,7 +10,9 @@
   list, and a dry run opens nothing.
 * ``replace_slice_jdbc`` — atomic slice reload: the executors load a
   staging table, then one driver transaction deletes the slice and inserts
-  it from staging, so readers never see the slice missing or doubled.
+  it from staging, so readers never see the slice missing or doubled. The
+  load is first planned as a list of steps (``slice_replace_steps``), each
+  with all its settings, and then run in that order.
 
 Not exercised in this repository's tests: that needs a database, and the
 build environment forbids starting one (even an embedded one). The lake
@@ -20,11 +22,13 @@ side of every load is tested instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from scoreflow.sinks.lake import LoadReport, write_observed
+from scoreflow.sinks.lake import LoadReport, observed_counts, write_observed
 from scoreflow.sources.jdbc import JdbcConfig, with_name_case
 
 Statement = tuple[str, Sequence[Any]]
@@ -33,6 +37,7 @@ Statement = tuple[str, Sequence[Any]]
 def jdbc_write_options(
     config: JdbcConfig,
     table: str,
+    *,
     num_partitions: int,
     batchsize: int = 10_000,
     truncate: bool = True,
@@ -43,6 +48,8 @@ def jdbc_write_options(
     opts["truncate"] = "true" if truncate else "false"
     if num_partitions < 1:
         raise ValueError("a JDBC write needs the number of connections it may open")
+    if batchsize < 1:
+        raise ValueError("a JDBC write needs a batch of at least one row")
     opts["numPartitions"] = str(int(num_partitions))
     return opts
 
@@ -52,6 +59,7 @@ def write_jdbc(
     config: JdbcConfig,
     table: str,
     mode: str,
+    *,
     num_partitions: int,
     batchsize: int = 10_000,
     truncate: bool = True,
@@ -63,7 +71,7 @@ def write_jdbc(
     if is_dryrun:
         return LoadReport(table, mode, df.count(), True).log()
     df = with_name_case(df, name_case)
-    opts = jdbc_write_options(config, table, num_partitions, batchsize, truncate)
+    opts = jdbc_write_options(config, table, num_partitions=num_partitions, batchsize=batchsize, truncate=truncate)
     rows = write_observed(df, lambda f: f.write.format("jdbc").options(**opts).mode(mode).save())
     return LoadReport(table, mode, rows, False).log()
 
@@ -124,6 +132,65 @@ def run_statements(
     return counts
 
 
+@dataclass(frozen=True)
+class WriteStep:
+    """The executors write the frame with these options of Spark's JDBC sink."""
+
+    options: dict[str, str]
+    mode: str
+
+
+@dataclass(frozen=True)
+class TransactionStep:
+    """The driver runs these statements; all of them hold or none."""
+
+    statements: tuple[Statement, ...]
+
+
+def slice_replace_steps(
+    config: JdbcConfig,
+    table: str,
+    columns: Sequence[str],
+    slice_column: str,
+    slice_value: Any,
+    staging_table: str,
+    *,
+    num_partitions: int,
+    batchsize: int = 10_000,
+) -> list[WriteStep | TransactionStep]:
+    """The load in order, opening nothing: fill the staging table (emptied
+    first, its definition and grants stay), then delete the slice and insert it
+    from staging in one transaction. A failure before the commit leaves the
+    target as it was, and the load can simply be run again."""
+    if staging_table.lower() == table.lower():
+        raise ValueError("the staging table must not be the target")
+    if not columns:
+        raise ValueError("a slice replace needs the columns to insert")
+    options = jdbc_write_options(config, staging_table, num_partitions=num_partitions, batchsize=batchsize, truncate=True)
+    cols = ", ".join(columns)
+    return [
+        WriteStep(options, "overwrite"),
+        TransactionStep(
+            (
+                (f"DELETE FROM {table} WHERE {slice_column} = ?", (slice_value,)),
+                (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging_table}", ()),
+            )
+        ),
+    ]
+
+
+def outside_slice(df: DataFrame, slice_column: str, slice_value: Any) -> Column:
+    """The number of rows whose slice column holds another value (0 without the
+    column). They would be inserted by every run and deleted by none."""
+    names = [c for c in df.columns if c.lower() == slice_column.lower()]
+    other = ~F.col(f"`{names[0]}`").eqNullSafe(F.lit(slice_value)) if names else F.lit(False)
+    return F.count_if(other)
+
+
+def _write_frame(df: DataFrame, step: WriteStep, **counts: Column) -> dict[str, int]:
+    return observed_counts(df, lambda f: f.write.format("jdbc").options(**step.options).mode(step.mode).save(), **counts)
+
+
 def replace_slice_jdbc(
     spark: SparkSession,
     df: DataFrame,
@@ -132,21 +199,36 @@ def replace_slice_jdbc(
     slice_column: str,
     slice_value: Any,
     staging_table: str,
+    *,
+    num_partitions: int,
     columns: Sequence[str] | None = None,
     batchsize: int = 10_000,
-    num_partitions: int | None = None,
     is_dryrun: bool = False,
+    name_case: str | None = None,
 ) -> LoadReport:
     """K4 over JDBC, atomically (see module docstring)."""
-    staged = write_jdbc(df, config, staging_table, "overwrite", batchsize, True, num_partitions, is_dryrun)
-    cols = ", ".join(columns or df.columns)
-    run_statements(
-        spark,
-        config,
-        [
-            (f"DELETE FROM {table} WHERE {slice_column} = ?", [slice_value]),
-            (f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging_table}", []),
-        ],
-        is_dryrun,
-    )
-    return LoadReport(table, "replace_slice", staged.rows, is_dryrun)
+    named = with_name_case(df, name_case)
+    steps = slice_replace_steps(
+        config, table, columns or named.columns, slice_column, slice_value, staging_table,
+        num_partitions=num_partitions, batchsize=batchsize,
+    )
+    outside = outside_slice(named, slice_column, slice_value)
+    if is_dryrun:
+        rows, wrong = named.agg(F.count(F.lit(1)), outside).first()
+        _check_slice(wrong, slice_column, slice_value)
+        return LoadReport(table, "replace_slice", rows, True).log()
+    rows = 0
+    for step in steps:
+        if isinstance(step, WriteStep):
+            found = _write_frame(named, step, outside=outside)
+            # Counted while staging was written; the target is still untouched.
+            _check_slice(found["outside"], slice_column, slice_value)
+            rows = found["rows"]
+        else:
+            run_statements(spark, config, step.statements)
+    return LoadReport(table, "replace_slice", rows, False).log()
+
+
+def _check_slice(wrong: int, slice_column: str, slice_value: Any) -> None:
+    if wrong:
+        raise ValueError(f"{wrong} rows are not of the slice {slice_column} = {slice_value!r}")

@@ -18,7 +18,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger("scoreflow.load")
@@ -49,12 +49,18 @@ def _check_mode(mode: str) -> str:
     return mode
 
 
-def write_observed(df: DataFrame, write, name: str = "load") -> int:
-    """Run ``write(observed_df)`` and return the number of rows written."""
+def observed_counts(df: DataFrame, write, name: str = "load", **counts: Column) -> dict[str, int]:
+    """Run ``write(observed_df)`` and return the number of rows written and,
+    by name, the further ``counts`` taken of them in the same pass."""
     # A unique name: Spark rejects two observations of one name in a plan.
     obs = Observation(f"{name}_{uuid.uuid4().hex[:8]}")
-    write(df.observe(obs, F.count(F.lit(1)).alias("rows")))
-    return int(obs.get.get("rows", 0))
+    write(df.observe(obs, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in counts.items()]))
+    return {k: int(obs.get.get(k) or 0) for k in ("rows", *counts)}
+
+
+def write_observed(df: DataFrame, write, name: str = "load") -> int:
+    """Run ``write(observed_df)`` and return the number of rows written."""
+    return observed_counts(df, write, name)["rows"]
 
 
 def date_folder(base_path: str, data_dt: str, partition_col: str = PARTITION_COL) -> str:

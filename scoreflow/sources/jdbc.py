@@ -10,6 +10,7 @@ Later filters and projections are still pushed into the database.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -54,9 +55,11 @@ class JdbcPartitioning:
 
 @dataclass(frozen=True)
 class JdbcPredicates:
-    """One read task per predicate."""
+    """One read task per predicate. ``high_water`` is the largest value of the
+    partition column when the cuts were taken (None: there was none)."""
 
     predicates: tuple[str, ...]
+    high_water: Any = None
 
 
 def with_name_case(df: DataFrame, case: str | None) -> DataFrame:
@@ -133,16 +136,24 @@ def jdbc_table_scan(
 
 
 def quantile_cuts_query(query: str, column: str, partitions: int) -> str:
-    """The smallest value of ``column`` in each of ``partitions`` equal shares
-    of the rows: cuts that follow the data, so a dense range of keys is split
-    as finely as it is filled."""
+    """The smallest and the largest value of ``column`` in each of
+    ``partitions`` equal shares of the rows: cuts that follow the data, so a
+    dense range of keys is split as finely as it is filled. The largest of all
+    is the high-water mark, from the same statement as the cuts."""
     return (
-        f"SELECT scoreflow_t AS share, MIN({column}) AS low FROM (SELECT {column}, NTILE({int(partitions)}) "
-        f"OVER (ORDER BY {column}) AS scoreflow_t FROM ({query.strip().rstrip(';')}) scoreflow_b "
+        f"SELECT scoreflow_t AS share, MIN({column}) AS low, MAX({column}) AS high FROM (SELECT {column}, "
+        f"NTILE({int(partitions)}) OVER (ORDER BY {column}) AS scoreflow_t FROM ({query.strip().rstrip(';')}) scoreflow_b "
         f"WHERE {column} IS NOT NULL) scoreflow_s GROUP BY scoreflow_t ORDER BY scoreflow_t"
     )
 
 
+def rows_after(query: str, column: str, mark: Any) -> str:
+    """``query`` without the rows up to the high-water mark of an earlier read
+    (None: all rows). Rows without a value belong to the first read alone."""
+    base = query.strip().rstrip(";")
+    return base if mark is None else f"SELECT * FROM ({base}) scoreflow_n WHERE {column} > {sql_literal(mark)}"
+
+
 def sql_literal(value: Any) -> str:
     """A number as it is, anything else quoted."""
     if isinstance(value, (int, float)) and not isinstance(value, bool):
@@ -150,16 +161,28 @@ def sql_literal(value: Any) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
-def range_predicates(column: str, lows: list[Any]) -> list[str]:
+def range_predicates(column: str, lows: list[Any], high: Any = None) -> list[str]:
     """One predicate per task for the cuts ``lows`` (ascending; equal ones are
-    merged): together they hold every row once, rows without a value too."""
+    merged): together they hold every row once, rows without a value too. With
+    ``high`` the last range ends there, so rows that arrive while the tasks
+    read do not add to what was counted."""
     cuts = sorted(set(lows))[1:]
+    end = "" if high is None else f" AND {column} <= {sql_literal(high)}"
     if not cuts:
-        return ["1 = 1"]
+        return ["1 = 1"] if high is None else [f"{column} <= {sql_literal(high)} OR {column} IS NULL"]
     values = [sql_literal(c) for c in cuts]
     out = [f"{column} < {values[0]} OR {column} IS NULL"]
     out += [f"{column} >= {a} AND {column} < {b}" for a, b in zip(values, values[1:])]
-    return [*out, f"{column} >= {values[-1]}"]
+    return [*out, f"{column} >= {values[-1]}{end}"]
+
+
+def predicates_from_cuts(column: str, cuts: list[tuple[Any, Any]]) -> JdbcPredicates:
+    """The read for the (low, high) of each share. Without any value in the
+    column only rows without one were there."""
+    if not cuts:
+        return JdbcPredicates((f"{column} IS NULL",))
+    high = max(h for _, h in cuts)
+    return JdbcPredicates(tuple(range_predicates(column, [low for low, _ in cuts], high)), high)
 
 
 def jdbc_partitioning(
@@ -170,14 +193,15 @@ def jdbc_partitioning(
     partitions: int | None = None,
     rows_per_partition: int = 1_000_000,
 ) -> JdbcPredicates:
-    """A parallel read of ``query`` cut at quantiles of ``column``. The cuts,
-    and without a partition count the row count, are computed in the database;
-    one row per partition comes back."""
+    """A parallel read of ``query`` cut at quantiles of ``column``, up to the
+    high-water mark taken with the cuts. The cuts, and without a partition
+    count the row count, are computed in the database; one row per partition
+    comes back."""
     if partitions is None:
         counted = f"SELECT COUNT(*) AS n FROM ({query.strip().rstrip(';')}) scoreflow_b"
         partitions = partitions_for(jdbc_query_scan(spark, config, counted).first()["n"], rows_per_partition)
     cuts = jdbc_query_scan(spark, config, quantile_cuts_query(query, column, partitions)).collect()
-    return JdbcPredicates(tuple(range_predicates(column, [r["low"] for r in cuts])))
+    return predicates_from_cuts(column, [(r["low"], r["high"]) for r in cuts])
 
 
 def partitions_for(rows: Any, rows_per_partition: int = 1_000_000) -> int:
@@ -185,13 +209,15 @@ def partitions_for(rows: Any, rows_per_partition: int = 1_000_000) -> int:
     return max(1, -(-int(rows or 0) // rows_per_partition))
 
 
-def activity_marks_query(table: str, activities: list[str], day: Any) -> str:
+def activity_marks_query(table: str, activities: list[str], day: dt.date) -> str:
     """The latest start and finish of each activity on a day, aggregated in the
-    database: a log of at most two rows per activity."""
+    database: a log of at most two rows per activity. The day is a half-open
+    range of the bare column, so an index or partition of it is used."""
     marks = [f"{a.lower()} {kind}" for a in activities for kind in ("start", "finish")]
     listed = ", ".join(sql_literal(m) for m in marks) or "''"
+    start, end = (f"TIMESTAMP '{d.isoformat()} 00:00:00'" for d in (day, day + dt.timedelta(days=1)))
     return (
         f"SELECT LOWER(activity_name) AS activity_name, MAX(created_date) AS created_date FROM {table} "
-        f"WHERE CAST(created_date AS DATE) = DATE {sql_literal(str(day))} AND LOWER(activity_name) IN ({listed}) "
+        f"WHERE created_date >= {start} AND created_date < {end} AND LOWER(activity_name) IN ({listed}) "
         "GROUP BY LOWER(activity_name)"
     )

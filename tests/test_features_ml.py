@@ -173,3 +173,68 @@ def test_forest_beats_one_trained_on_shuffled_labels(spark):
     a = auc_exact(real, "p_default").first()["auc"]
     b = auc_exact(score_with(noise, held), "p_default").first()["auc"]
     assert a > 0.95 and a > b + 0.2
+
+
+def _categories(spark, n=3000):
+    import random
+
+    rnd = random.Random(4)
+    rows = []
+    for i in range(n):
+        pick = lambda k: None if rnd.random() < 0.1 else f"v{min(int(rnd.expovariate(0.05)), k)}"
+        hot = "hot" if i % 3 == 0 else pick(400)
+        rows.append((i, hot, pick(300), pick(2), rnd.choice([None, 1, 2, 33])))
+    return rows, spark.createDataFrame(rows, "id int, a string, `b c` string, c string, d int").repartition(4)
+
+
+@pytest.mark.parametrize("hot_bytes", [0, 2_000, 8 << 20])
+def test_split_lookup_of_four_columns(spark, monkeypatch, hot_bytes):
+    """Hot, cold, unseen and NULL values: the same indexes at every bound."""
+    from collections import Counter
+
+    from scoreflow.operators import categories
+
+    monkeypatch.setattr(categories, "HOT_BYTES", hot_bytes)
+    rows, df = _categories(spark)
+    columns = ["a", "b c", "c", "d"]
+    model = categories.CategoryIndexer(columns).fit(df)
+    ranks = model.ranks.collect()
+    held = sum(len(r.value.encode()) + 32 for r in ranks if r.hot)
+    assert held <= hot_bytes and (hot_bytes < 8 << 20 or all(r.hot for r in ranks))
+    assert bool(model.cold) == (hot_bytes < 8 << 20)
+    if hot_bytes == 2_000:
+        assert {r.value for r in ranks if r.hot and r.feature == "a"} >= {"hot"}
+    want = []
+    for k in range(1, 5):
+        seen = Counter(str(r[k]) for r in rows if r[k] is not None)
+        order = sorted(seen, key=lambda v: (-seen[v], v))
+        want.append({v: float(i) for i, v in enumerate(order)})
+    new = spark.createDataFrame([(90_000, "never", None, "v1", 77), (90_001, None, None, None, None)], df.schema)
+    out = model.transform(df.unionByName(new))
+    assert out.columns == [*df.columns, "a_idx", "b c_idx", "c_idx", "d_idx"]
+    got = {r[0]: r for r in out.collect()}
+    assert len(got) == len(rows) + 2
+    for r in [*rows, *[tuple(x) for x in new.collect()]]:
+        assert [got[r[0]][5 + k] for k in range(4)] == [
+            want[k].get(str(r[1 + k]) if r[1 + k] is not None else None, float(len(want[k]))) for k in range(4)
+        ]
+
+
+def test_four_columns_are_looked_up_in_one_join(spark, monkeypatch):
+    from scoreflow.operators import categories
+
+    monkeypatch.setattr(categories, "HOT_BYTES", 500)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        _, df = _categories(spark)
+        out = categories.CategoryIndexer(["a", "b c", "c", "d"]).fit(df).transform(df)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line]
+        # By (feature, value), and back to the rows.
+        assert len(joins) == 2 and sum("feature" in j for j in joins) == 1
+        monkeypatch.setattr(categories, "HOT_BYTES", 8 << 20)
+        hot = categories.CategoryIndexer(["a", "b c", "c", "d"]).fit(df).transform(df)
+        assert hot._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -37,7 +37,7 @@ def test_auc_exact_equals_unbinned_evaluator(spark, levels):
 
 def test_auc_does_not_depend_on_the_range_count(spark):
     df = _scored(spark, n=4000)
-    found = [auc_exact(df, "score", ranges=n).first()["auc"] for n in (2, 7, 300)]
+    found = [auc_exact(df, "score", groups_per_range=n).first()["auc"] for n in (2000, 600, 13)]
     assert found == pytest.approx([_evaluator_auc(df)] * 3, abs=1e-12)
 
 
@@ -84,3 +84,35 @@ def test_one_pass_metrics_equal_separate_ones(spark):
     assert row["precision"] == pytest.approx(hits / (pdf.prediction == 1).sum())
     assert row["recall"] == pytest.approx(hits / (pdf.label_default == 1).sum())
     assert row["auc"] == pytest.approx(auc_exact(df, "score").first()["auc"])
+
+
+def test_the_largest_range_does_not_grow_with_the_scores(spark):
+    """Twenty times the scores: twenty times the ranges, none of them larger."""
+    from scoreflow.operators.prefix import RANGE, sorted_ranges
+
+    largest, number = [], []
+    for n in (5_000, 100_000):
+        scores = spark.range(n, numPartitions=4).select((F.hash("id") / 2.0**31).alias("score"))
+        ranged = sorted_ranges(scores, ["score"], n, rows_per_range=500).groupBy(RANGE).count().collect()
+        largest.append(max(r["count"] for r in ranged))
+        number.append(len(ranged))
+        assert sum(r["count"] for r in ranged) == n
+    assert number[1] > 15 * number[0] and max(largest) < 2 * 500
+
+
+def test_prefix_sums_by_group(spark):
+    from scoreflow.operators.prefix import prefix_sums
+
+    rnd = random.Random(2)
+    rows = [(rnd.choice(["a", "b", None]), i, rnd.randrange(9), rnd.choice([None, 1, 5])) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, k int, v int, w int")
+    want, sums = {}, {}
+    for g, k, v, w in sorted(rows, key=lambda r: r[1]):
+        a, b = sums.get(g, (0, 0))
+        want[k] = (a, b)
+        sums[g] = (a + v, b + (w or 0))
+    for per in (10_000, 50):
+        out = prefix_sums(df, ["k"], ["v", "w"], ["g"], rows_per_range=per)
+        assert out.columns == ["g", "k", "v", "w", "before_v", "before_w"]
+        assert {r.k: (r.before_v, r.before_w) for r in out.collect()} == want
+    assert prefix_sums(df.limit(0), ["k"], ["v"]).count() == 0

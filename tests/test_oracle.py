@@ -27,7 +27,7 @@ def con(sf_small):
 
 def test_every_query_has_oracle_or_is_ml():
     rows_only = set(registry.QUERIES) - set(registry.ORACLE)
-    assert rows_only == {"rf_predictions", "model_reload_score"}
+    assert rows_only == set()
 
 
 @pytest.mark.parametrize("name", NAMES)

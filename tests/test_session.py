@@ -68,3 +68,26 @@ def test_nothing_is_forced_on_a_submitted_session(monkeypatch):
     session.build_session(master=None, shuffle_partitions=None)
     assert "master" not in {n for n, _ in calls}
     assert not any(a and a[0] == "spark.sql.shuffle.partitions" for _, a in calls)
+
+
+def test_a_plain_local_session_runs_a_query(tmp_path):
+    """In a process of its own, without a defaults file that names a folder."""
+    import subprocess
+    import sys
+
+    code = """
+from scoreflow import registry
+from scoreflow.session import build_session, checkpoint_root, scratch_path
+
+spark = build_session(master="local[2]", shuffle_partitions=2)
+root = checkpoint_root(spark)
+assert root and scratch_path(spark, "x").startswith(root), root
+again = build_session(master="local[2]", shuffle_partitions=2)
+assert checkpoint_root(again) == root
+row = registry.QUERIES["auc_exact"](spark, "/root/testdata/sf0.001").first()
+assert 0 < row.auc < 1, row
+print("ran", root)
+"""
+    env = os.environ | {"SPARK_CONF_DIR": str(tmp_path), "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0 and "ran " in done.stdout, done.stderr[-3000:]

@@ -46,7 +46,7 @@ def test_hot_score_auc(spark):
     rows = [(i, i % 2, 0.5 if i % 3 == 0 else (i % 97) / 97.0) for i in range(3000)]
     df = spark.createDataFrame(rows, "loan_id long, label_default int, score double")
     one = auc_exact(df, "score").first()["auc"]
-    many = auc_exact(df, "score", ranges=4).first()["auc"]
+    many = auc_exact(df, "score", groups_per_range=100).first()["auc"]
     pdf = df.toPandas()
     pos, neg = pdf[pdf.label_default == 1].score.values, pdf[pdf.label_default == 0].score.values
     import numpy as np
