@@ -8,17 +8,23 @@ text in one projection (F6) and written by the executors as the
 ``EXPORT_DT=<yyyymmdd>`` folder of the export root (a name of its own, so a
 ``data_dt`` column of the exported rows is kept as data) — nothing passes through
 the driver, and a re-run of the day replaces just that folder.
+
+A text file whose fields may hold line ends is read by one task, so files are
+cut by their bytes: running sums of the rows' written lengths give every row
+its file, and each file is one task of the write.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreflow.functions.dates import LOCAL_ZONE, local_day_window, ts_literal
 from scoreflow.functions.textify import to_text_columns
+from scoreflow.operators.prefix import prefix_sums
+from scoreflow.session import scratch_path
 from scoreflow.sinks.lake import LoadReport, date_folder, write_date_partition
 
 # Text export: header row, every field quoted, quotes doubled (RFC 4180). Spaces,
@@ -34,9 +40,10 @@ _CSV = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-EXPORT_OPTIONS = {"csv": {**_CSV, "quoteAll": "true", "maxRecordsPerFile": "1000000"}}
+EXPORT_OPTIONS = {"csv": {**_CSV, "quoteAll": "true"}}
 READ_OPTIONS = {"csv": {**_CSV, "multiLine": "true", "inferSchema": "false"}}
 EXPORT_PARTITION = "EXPORT_DT"
+FILE_BYTES = 64 << 20
 
 
 def daily_window(df: DataFrame, trigger: str | dt.datetime, tz: str = LOCAL_ZONE, ts_col: str = "load_dt") -> tuple[DataFrame, str]:
@@ -55,11 +62,14 @@ def daily_export(
     ts_col: str = "load_dt",
     fmt: str = "csv",
     is_dryrun: bool = False,
+    file_bytes: int = FILE_BYTES,
 ) -> LoadReport:
     window, data_dt = daily_window(df, trigger, tz, ts_col)
     text = to_text_columns(window)
     if fmt == "csv":
         text = protect_null_text(text)
+        if not is_dryrun:
+            text = in_files(text, file_bytes)
     return write_date_partition(
         text,
         export_root,
@@ -73,6 +83,44 @@ def daily_export(
     )
 
 
+def line_bytes(columns: list[str]) -> Column:
+    """The bytes of a row's line: every field quoted, quotes doubled, a
+    separator or line end after each."""
+    total = F.lit(0).cast("bigint")
+    for c in columns:
+        text = F.coalesce(F.col(f"`{c}`"), F.lit(NULL_TEXT))
+        quotes = F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"')))
+        total = total + F.octet_length(text) + quotes + F.lit(3)
+    return total
+
+
+def in_files(text: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """``text`` in one partition per file, none of which is written larger than
+    ``file_bytes`` (a row larger than that is a file of its own)."""
+    header = sum(len(c.encode()) + c.count('"') + 3 for c in text.columns)
+    room = file_bytes - header
+    if room < 1:
+        raise ValueError(f"files of {file_bytes} bytes have no room beside a header of {header}")
+    size = text.select(line_bytes(text.columns).alias("b")).agg(F.coalesce(F.sum("b"), F.lit(0))).first()[0]
+    if size <= room:
+        return text.repartition(1)
+    sized = text.withColumn("__bytes", line_bytes(text.columns))
+    # Rows of more than half a file get files to themselves; a slot of the
+    # others is half a file, and what its last row adds is less than that.
+    slot = max(1, room // 2)
+    long = F.col("__bytes") > slot
+    sized = sized.withColumn("__long", long.cast("int")).withColumn("__short", F.when(long, 0).otherwise(F.col("__bytes")))
+    path = scratch_path(text.sparkSession, "export_lines")
+    sized.write.parquet(path)
+    stored = text.sparkSession.read.schema(sized.schema).parquet(path)
+    placed = prefix_sums(stored, [F.xxhash64(*[F.col(f"`{c}`") for c in text.columns])], ["__short", "__long"])
+    slots, longs = stored.agg(F.sum("__short"), F.sum("__long")).first()
+    slots = -(-slots // slot)
+    number = F.when(F.col("__long") == 1, F.lit(slots) + F.col("before___long")).otherwise(F.expr(f"before___short div {slot}"))
+    placed = placed.withColumn("__file", number.cast("int")).repartitionById(int(slots + longs), "__file")
+    return placed.select(*[F.col(f"`{c}`") for c in text.columns])
+
+
 def protect_null_text(df: DataFrame) -> DataFrame:
     """Texts that look like the NULL sentinel get one more backslash."""
     looks = lambda c: F.col(c).rlike(r"^\\+N$")

@@ -68,15 +68,22 @@ def kafka_source(spark: SparkSession, options: dict[str, str]) -> DataFrame:
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def envelope_file_source(spark: SparkSession, path: str, max_files_per_trigger: int, fmt: str = "parquet") -> DataFrame:
-    """The same envelope from files landing in ``path`` (rate-limited by
-    files per trigger instead of offsets)."""
-    return (
-        spark.readStream.format(fmt)
-        .schema(ENVELOPE_SCHEMA)
-        .option("maxFilesPerTrigger", str(int(max_files_per_trigger)))
-        .load(path)
-    )
+def envelope_file_source(
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    fmt: str = "parquet",
+    max_bytes_per_trigger: int | None = None,
+) -> DataFrame:
+    """The same envelope from files landing in ``path``, rate-limited by the
+    bytes or by the number of files of a batch. With bytes a batch takes one
+    amount of work however large or small the files are."""
+    if (max_files_per_trigger is None) == (max_bytes_per_trigger is None):
+        raise ValueError("a file stream needs a limit of files or of bytes per batch")
+    reader = spark.readStream.format(fmt).schema(ENVELOPE_SCHEMA)
+    if max_bytes_per_trigger is not None:
+        return reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger))).load(path)
+    return reader.option("maxFilesPerTrigger", str(int(max_files_per_trigger))).load(path)
 
 
 def decode_envelope(stream: DataFrame) -> DataFrame:

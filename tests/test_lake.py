@@ -150,3 +150,35 @@ def test_feature_files_are_in_date_order(spark, sf_small):
     for f in files:
         dates = pq.ParquetFile(f).read(["snapshot_date"]).column(0).to_pylist()
         assert dates == sorted(dates)
+
+
+def test_export_files_are_bounded_by_bytes(spark):
+    """Short and long rows, quotes and line ends: no file beyond the bound but
+    those of a single row, and the same rows back."""
+    import random
+
+    from scoreflow.plans.export import daily_export, in_files, line_bytes, read_export
+
+    rnd = random.Random(3)
+    pieces = ['"', "\n", "é", "word ", ",", "\\N", " "]
+    rows = [(i, "".join(rnd.choice(pieces) for _ in range(rnd.choice([0, 3, 40, 400])))) for i in range(800)]
+    rows += [(9000 + i, "long " * 3000) for i in range(4)] + [(9100, None), (9101, "")]
+    df = spark.createDataFrame(rows, "id int, text string").withColumn("load_dt", F.lit("2024-01-05 03:00:00").cast("timestamp_ntz"))
+    root, bound = scratch_path(spark, "bounded_export"), 10_000
+    report = daily_export(df.repartition(3), root, "2024-01-06T20:00:00", "UTC", file_bytes=bound)
+    folder = report.target
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder).select("length", "content").collect()
+    large = [f for f in files if f.length > bound]
+    assert len(files) > 10 and report.rows == len(rows)
+    assert len(large) == 4 and all(f.content.count(b"long long") and f.content.count(b"\n") == 2 for f in large)
+    # Files are filled: about twice as many as the bytes need, not one per row.
+    assert len(files) - 4 <= 2 * (sum(f.length for f in files) - sum(f.length for f in large)) // bound + 3
+    back = read_export(spark, root, report.target.rsplit("=", 1)[-1])
+    assert sorted((r.id, r.text) for r in back.collect()) == sorted((str(i), t) for i, t in rows)
+    # The lengths that files are cut by are the bytes that are written.
+    text = df.select(F.col("id").cast("string"), "text")
+    path = scratch_path(spark, "lines")
+    in_files(text, 1 << 20).write.options(**{"quoteAll": "true", "escape": '"', "nullValue": "\\N", "emptyValue": "", "lineSep": "\n"}).csv(path)
+    written = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").collect()
+    assert len(written) == 1
+    assert abs(written[0].length - text.agg(F.sum(line_bytes(text.columns))).first()[0]) <= 2 * len(rows)
