@@ -60,6 +60,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Spark removes the shuffle files of an execution as soon as it ends.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """As `written`, for jobs of many steps: the step's shuffle files go when
+    it ends, and the table itself with `discard`."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables made by `stored`, once all that reads them is written."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def rows_at_most(df: DataFrame, limit: int) -> bool:
     """Whether `df` has at most `limit` rows (counts no further than that)."""
     return df.limit(limit + 1).count() <= limit

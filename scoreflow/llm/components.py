@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import written
+from scoreflow.llm.common import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,29 +14,35 @@ def components(edges: DataFrame) -> DataFrame:
     node that a path reaches. Each round every component hooks to its smallest
     neighbour, pointers are followed to their end, and the edges shrink to
     those between components; a round at least halves the components that
-    still have an edge."""
-    left = written(edges.where("a <> b").select("a", "b").distinct(), "edges")
-    labels = written(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node")), "labels")
+    still have an edge. A round's tables go when the next one has its own."""
+    left = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    labels = stored(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("comp", F.col("node")), "labels")
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hook = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-        parents = written(hook.select("node", F.least("node", "m").alias("parent")), "parents")
+        step = stored(hook.select("node", F.least("node", "m").alias("parent")), "parents")
         while True:
+            parents = step.select("node", "parent")
             up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("grand"))
-            jumped = written(
+            jumped = stored(
                 parents.join(up, "parent").select("node", F.col("grand").alias("parent"), (F.col("grand") != F.col("parent")).alias("moved")),
                 "parents",
             )
-            parents = jumped.select("node", "parent")
+            discard(step)
+            step = jumped
             if jumped.where("moved").isEmpty():
                 break
+        parents = step.select("node", "parent")
         moved = parents.select(F.col("node").alias("comp"), "parent")
-        labels = written(
+        next_labels = stored(
             labels.join(moved, "comp", "left").select("node", F.coalesce("parent", "comp").alias("comp")), "labels"
         )
         to = {side: parents.select(F.col("node").alias(side), F.col("parent").alias(f"p{side}")) for side in "ab"}
-        left = written(
+        next_left = stored(
             left.join(to["a"], "a").join(to["b"], "b").where("pa <> pb").select(F.col("pa").alias("a"), F.col("pb").alias("b")).distinct(),
             "edges",
         )
+        discard(labels, left, step)
+        labels, left = next_labels, next_left
+    discard(left)
     return labels

@@ -1,28 +1,49 @@
 """N-gram Jaccard join by universe partition and pigeonhole.
 
 A document's set is its distinct word shingles. Equal sets are one class, kept
-once. The universe of shingles is hashed into segments, their number chosen by
-size band so that two sets at the threshold or above must agree on part of them:
-
-* With H the largest symmetric difference two linked sets of a band can have,
-  H + 1 segments that hold something cannot all differ, so with that many plus
-  a slack for empty ones each set's own segments are its index entries.
-* In bands of small sets segments that small would collide by chance. There it
-  is cheaper to take about half as many segments and to index each segment and
-  its one-deletion neighbourhood: then a segment that differs in one shingle
-  still meets, and all of them differing in two exceeds H.
-
-The cost of either is known per band (entries a set), and the cheaper that
-keeps segments selective is allocated. A set with more empty segments than the
-slack adds one entry for all such sets of its band, so no link is lost.
-
-Sets that share an index entry are candidates, verified on the words. All pairs
-of a large bucket are never made: each bucket compares its members with one
-pivot (the member that shares most entries with others), and links join
-components. Buckets that then still hold several components go on: small ones
-by their pairs, large ones by an inverted join of the members' differences from
-the pivot, in which only members that share rare edits meet. Two members of one
-component need no comparison, so the components are exact.
+once. The universe of shingles is hashed into segments, their number m chosen
+by size band; H bounds the symmetric difference of two linked sets of a band.
+Two schemes find linked sets, and a band takes the one whose counted cost is
+lower:
+
+* Segment subsets. Each segment that holds something is a token (segment,
+  content). Linked sets differ in at most H segments, so each has at most H
+  tokens that the other lacks. Order all tokens by (count, token), counts as
+  below: the first token that two sets share stands among the first H + 1 of
+  either, as every token before it is one that the other lacks. So each set
+  indexes the H(own size) + 1 tokens of least count and leaves out the others,
+  the common ones. If two sets share no token at all, both have at most H.
+* One-deletion neighbourhoods. With floor(H / 2) + 1 segments some segment
+  differs in at most one shingle, else the sets would differ in more than H.
+  Each segment is indexed whole and without each of its shingles in turn. Such
+  a match shows unless one side of it is empty, and then the segment holds at
+  most one shingle on both sides.
+
+A set with at most H tokens, or in the second scheme with a segment of fewer
+than two shingles, is sparse. A link that the scheme misses has two sparse
+sets, so sparse sets are indexed again in segments of another hash, up to
+DEPTH times, and those still sparse (far less than one in a million) by one
+token of the band.
+
+Counts come from one pass over all documents, added up with partial sums in a
+sketch of fixed size. They decide which tokens are left out and which scheme a
+band takes; links do not depend on them.
+
+Sets that share a token are candidates, verified on the words. All pairs of a
+bucket are never made. Each bucket compares its members with one pivot, and
+links join components. In a large bucket that still holds several components,
+the Jaccard distance (a metric) tells what is left. With t the threshold, a set
+that links with a member linked to the pivot lies within 2 (1 - t) of the
+pivot, in its ball. Pairs inside the ball are found by a join of the members'
+differences from the pivot, of which only those that are rare and shared are
+written out. Members outside the ball, and those inside that do not link with
+the pivot, are joined anew among themselves, in segments of another hash and
+with other pivots; the last of ROUNDS joins takes all members of a bucket as
+its ball, so that every pair is settled. Two members of one component need no
+comparison, so the components are exact.
+
+Hot tokens, told by their count, are dealt over several lanes: each lane finds
+its pivot, and the lanes' pivots are reduced to one by partial aggregation.
 
 Defined results: a null or empty text has an empty set and links with nothing;
 repeated rows and equal sets share a component; a row with a null doc_id gets a
@@ -32,24 +53,35 @@ gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scoreflow.llm.common import broadcast_checked, text_or_empty, written
+from scoreflow.llm import sketch
+from scoreflow.llm.common import broadcast_checked, discard, stored, text_or_empty
 from scoreflow.llm.components import components
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
 
-BAND_RATIO = 1.3
-# Largest band of the one-deletion scheme.
+BAND_RATIO = 2.0
+# Segments for each difference that a band must stand.
+SEGMENT_FACTOR = 2
+# Largest sets for which the one-deletion scheme is weighed.
 DELETION_LIMIT = 40
+# What an index entry costs beside the members of its bucket.
+ENTRY_COST = 4.0
+# Hashes that sparse sets are indexed under.
+DEPTH = 4
+# Rows of a hot token in one lane.
+LANE_ROWS = 4096
 # Members of a bucket whose pairs are compared outright, a few for each member.
 SMALL_BUCKET = 8
+# Joins of what is left; the last settles every pair.
+ROUNDS = 3
 # Ids of at most this many classes are broadcast to pick their texts.
 BROADCAST_CLASSES = 500_000
 
@@ -72,45 +104,48 @@ class Rule:
         """Below this size two different sets cannot reach the threshold."""
         return -(-self.numerator // (self.denominator - self.numerator))
 
+    @property
+    def above(self) -> int:
+        return self.denominator + self.numerator
 
-def _empty_allowance(differ: int, slack: int, size: int) -> int:
-    """The slack, raised until random sets of `size` rarely have more empty
-    segments (expectation and four deviations), at most to as many segments as
-    shingles."""
-    while differ + 1 + slack < size:
-        m = differ + 1 + slack
-        none = math.exp(-size / m)
-        if m * none + 4 * math.sqrt(m * none * (1 - (1 + size / m) * none)) <= slack:
-            break
-        slack += 1 + slack // 50
-    return slack
+    @property
+    def below(self) -> int:
+        return self.denominator - self.numerator
+
+    @property
+    def ball(self) -> int:
+        """Numerator of the similarity at twice the distance of a link; 0 or
+        less: every set is that near."""
+        return 2 * self.numerator - self.denominator
+
+    def differ(self, a, b):
+        """The largest symmetric difference of linked sets of sizes a and b:
+        |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|)."""
+        return self.below * (a + b) // self.above
 
 
 class Bands:
-    """Size bands up to a largest size, with segments and slack of each."""
+    """Size bands up to a largest size: the largest difference of linked sets,
+    the segments of the subset scheme (and how many of them it can leave out),
+    and those of the one-deletion scheme, for the bands in `deletes`."""
 
-    def __init__(self, largest: int, rule: Rule = Rule(), ratio: float = BAND_RATIO):
-        self.low, self.high, self.differ, self.segments, self.slack, self.deletes = [], [], [], [], [], []
+    def __init__(self, largest: int, rule: Rule = Rule(), ratio: float | None = None, deletes: frozenset[int] = frozenset()):
+        self.low, self.high, self.differ, self.segments, self.slack = [], [], [], [], []
         low = rule.smallest
         # A partner is in the same band or the next one.
-        ratio = max(ratio, rule.denominator / rule.numerator)
+        ratio = max(BAND_RATIO if ratio is None else ratio, rule.denominator / rule.numerator)
         while low <= max(largest, rule.smallest):
             high = max(2 * rule.smallest - 1 if low == rule.smallest else low, int(low * ratio))
-            # |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|), the larger at most high / t.
-            partner = high * rule.denominator // rule.numerator
-            differ = (rule.denominator - rule.numerator) * (high + partner) // (rule.denominator + rule.numerator)
-            segments, slack = (1, 0) if differ <= 1 else (max((differ + 2) // 2 + 1, differ), 0)
-            # Deletions leave no slack: few sets may have an empty segment.
-            deletes = high <= DELETION_LIMIT and segments * (1 - 1 / segments) ** low <= 0.01
-            if not deletes:
-                slack = _empty_allowance(differ, 3 + (differ + 1) // 40, low)
-                segments = differ + 1 + slack
+            differ = rule.differ(high, high * rule.denominator // rule.numerator)
+            segments = SEGMENT_FACTOR * (differ + 1)
             for kept, value in (
                 (self.low, low), (self.high, high), (self.differ, differ),
-                (self.segments, segments), (self.slack, slack), (self.deletes, deletes),
+                (self.segments, segments), (self.slack, segments - differ - 1),
             ):
                 kept.append(value)
             low = high + 1
+        self.deletes = [b in deletes for b in range(len(self.low))]
+        self.halves = [d // 2 + 1 for d in self.differ]
         self.high_array = np.array(self.high)
 
     def of(self, sizes: np.ndarray) -> np.ndarray:
@@ -146,42 +181,140 @@ def _sums(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return total[np.append(begin[1:], len(values))] - total[begin]
 
 
-def _entries(document: np.ndarray, hashes: np.ndarray, band: np.ndarray, bands: Bands):
-    """(document, index entry) of sets under the scheme of `band[document]`."""
-    if not len(document):
-        return document, hashes
-    b = band[document]
-    m = np.array(bands.segments)[b]
-    salt = mix(b.astype(U) + U(0x51AB))
-    segment = ((mix(hashes ^ salt) >> U(32)) * m.astype(U) >> U(32)).astype(np.int64)
+@dataclass
+class Tokens:
+    """Tokens of sets under one scheme: the set of each, and for each set how
+    many of its tokens it indexes (-1: all)."""
+
+    owner: np.ndarray
+    token: np.ndarray
+    take: np.ndarray
+
+
+def _salt(band: np.ndarray, deletes: bool, depth: int, turn: int) -> np.ndarray:
+    return mix(band.astype(U) + U(0x51AB + 0x1000000 * (turn * 2 * DEPTH + depth * 2 + deletes)))
+
+
+def _segmented(document, hashes, band, segments, salts):
+    """Shingles by (set, segment): set, segment, value, where stretches begin."""
+    salt = salts[document]
+    segment = ((mix(hashes ^ salt) >> U(32)) * segments[document].astype(U) >> U(32)).astype(np.int64)
     order = np.argsort((document << 32) | segment, kind="stable")
-    document, segment, b, salt = document[order], segment[order], b[order], salt[order]
-    value = mix(hashes[order] + U(0x77))
+    document, segment, value = document[order], segment[order], mix(hashes[order] + U(0x77))
     new = np.ones(len(document), dtype=bool)
     new[1:] = (document[1:] != document[:-1]) | (segment[1:] != segment[:-1])
-    begin = np.flatnonzero(new)
-    sums = _sums(value, begin)
-    label = mix(salt + segment.astype(U) * U(0x9E3779B97F4A7C15))
-    owners, entries = [document[begin]], [mix(sums ^ label[begin])]
-    # One-deletion neighbourhoods: the segment without each of its shingles.
-    deletes = np.array(bands.deletes)[b]
-    if deletes.any():
-        which = np.cumsum(new) - 1
-        less = sums[which[deletes]] - value[deletes]
-        owners.append(document[deletes])
-        entries.append(mix(less ^ label[deletes]))
-    # Sets with more empty segments than the slack meet in one entry of the band.
-    held = np.bincount(document[begin], minlength=len(band))
-    sparse = np.flatnonzero((held > 0) & (np.array(bands.segments)[band] - held > np.array(bands.slack)[band]))
-    owners.append(sparse)
-    entries.append(mix(mix(band[sparse].astype(U) + U(0x51AB)) ^ U(0xE3)))
-    return np.concatenate(owners), np.concatenate(entries)
-
-
-SETS = "doc_id bigint, n bigint, d1 bigint, d2 bigint, entries array<bigint>"
+    return document, segment, value, new
+
+
+def scheme_tokens(
+    document: np.ndarray, hashes: np.ndarray, band: np.ndarray, need: np.ndarray, bands: Bands, deletes: bool, turn: int = 0
+) -> list[Tokens]:
+    """The tokens of the sets under the scheme of their bands, again for those
+    that are sparse. `need` is H + 1 of each set for the partners it may have."""
+    found = []
+    sets = len(band)
+    segments = np.array(bands.halves if deletes else bands.segments)[band] if sets else band
+    for depth in range(DEPTH):
+        if not len(document):
+            return found
+        salts = _salt(band, deletes, depth, turn)
+        owner, segment, value, new = _segmented(document, hashes, band, segments, salts)
+        begin = np.flatnonzero(new)
+        sums = _sums(value, begin)
+        label = mix(salts[owner] + segment.astype(U) * U(0x9E3779B97F4A7C15))
+        tokens, owners = mix(sums ^ label[begin]), owner[begin]
+        held = np.bincount(owners, minlength=sets)
+        present = np.bincount(document, minlength=sets) > 0
+        if deletes:
+            # Each segment without each of its shingles; none of a single one.
+            which = np.cumsum(new) - 1
+            size = np.diff(np.append(begin, len(owner)))
+            several = size[which] > 1
+            less = sums[which[several]] - value[several]
+            lone = np.bincount(owners[size < 2], minlength=sets) > 0
+            sparse = present & ((held < segments) | lone) & (segments > 1)
+            owners = np.concatenate([owners, owner[several]])
+            tokens = np.concatenate([tokens, mix(less ^ label[several])])
+            found.append(Tokens(owners, tokens, np.full(sets, -1)))
+        else:
+            sparse = present & (held < need)
+            found.append(Tokens(owners, tokens, need))
+        again = sparse[document]
+        document, hashes = document[again], hashes[again]
+    rest = np.unique(document)
+    if len(rest):
+        found.append(Tokens(rest, mix(_salt(band[rest], deletes, DEPTH, turn) ^ U(0xE3)), np.full(sets, -1)))
+    return found
+
+
+def roles(sizes: np.ndarray, bands: Bands, rule: Rule) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(sets, band, H + 1): each set is in its own band, for partners of up to
+    the largest size, and as the larger of a pair in the band below it."""
+    own = bands.of(np.maximum(sizes, rule.smallest))
+    large = sizes >= rule.smallest
+    below = np.maximum(own - 1, 0)
+    high = np.array(bands.high)[below]
+    upper = large & (own > 0) & (high * rule.denominator >= sizes * rule.numerator)
+    return [
+        (large, own, rule.differ(sizes, sizes * rule.denominator // rule.numerator) + 1),
+        (upper, below, rule.differ(sizes, high) + 1),
+    ]
+
+
+def set_tokens(document: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, bands: Bands, rule: Rule, turn: int = 0) -> list[Tokens]:
+    """The tokens of all sets in both of their roles, each band by its scheme."""
+    found = []
+    by_deletion = np.array(bands.deletes)
+    for live, band, need in roles(sizes, bands, rule):
+        for deletes in (False, True):
+            use = (live & (by_deletion[band] == deletes))[document]
+            found += scheme_tokens(document[use], hashes[use], band, need, bands, deletes, turn)
+    return found
+
+
+def chosen(found: Tokens, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(set, token, count) of the tokens that are indexed: of each set those of
+    least count."""
+    count = counts[sketch.slot(found.token)]
+    order = np.lexsort((found.token, count, found.owner))
+    owner, token, count = found.owner[order], found.token[order], count[order]
+    first = np.searchsorted(owner, owner)
+    take = found.take[owner]
+    keep = (take < 0) | (np.arange(len(owner)) - first < take)
+    return owner[keep], token[keep], count[keep]
+
+
+def _largest_weighed(rule: Rule) -> int:
+    """The largest sets that enter a band for which both schemes are weighed."""
+    return DELETION_LIMIT * rule.denominator // rule.numerator
+
+
+def _weighed_bands(rule: Rule) -> tuple[Bands, np.ndarray]:
+    bands = Bands(_largest_weighed(rule), rule)
+    return bands, np.array(bands.high) <= DELETION_LIMIT
+
+
+def _deletion_tokens(document, hashes, sizes, rule: Rule) -> list[tuple[np.ndarray, Tokens]]:
+    """(bands of the sets, tokens) of the one-deletion scheme in the weighed bands."""
+    bands, weighed = _weighed_bands(rule)
+    found = []
+    for live, band, need in roles(sizes, bands, rule):
+        use = (live & weighed[band])[document]
+        found += [(band, t) for t in scheme_tokens(document[use], hashes[use], band, need, bands, True)]
+    return found
+
+
+SETS = "doc_id bigint, n bigint, d1 bigint, d2 bigint, small array<bigint>, piece int, counts array<bigint>"
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """A row per document: size, digest and the shingles of a small set; and
+    the task's token counts, of both schemes where both are weighed."""
+    schema = pa.schema(
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()),
+         ("small", pa.list_(pa.int64())), ("piece", pa.int32()), ("counts", pa.list_(pa.int64()))]
+    )
+    counts = sketch.Counts()
     for batch in batches:
         for part in slices(batch):
             rows = part.num_rows
@@ -195,36 +328,136 @@ def _set_rows(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
                     d[document[begin]] = _sums(mix(hashes + U(seed)), begin)
                 digests.append(mix(d + n.astype(U)).view(np.int64))
             bands = Bands(int(n.max(initial=0)), rule)
-            own = bands.of(np.maximum(n, rule.smallest))
-            below = np.maximum(own - 1, 0)
-            # The larger of a pair also enters the band of a smaller partner.
-            upper = (own > 0) & (np.array(bands.high)[below] * rule.denominator >= n * rule.numerator)
-            large = n >= rule.smallest
-            found = []
-            for band, of in ((own, large), (below, large & upper)):
-                use = of[document]
-                found.append(_entries(document[use], hashes[use], band, bands))
-            owner = np.concatenate([f[0] for f in found])
-            entry = np.concatenate([f[1] for f in found])
-            order = np.lexsort((entry, owner))
-            owner, entry = owner[order], entry[order]
-            if len(owner):
-                new = np.ones(len(owner), dtype=bool)
-                new[1:] = (owner[1:] != owner[:-1]) | (entry[1:] != entry[:-1])
-                owner, entry = owner[new], entry[new]
-            offsets = np.searchsorted(owner, np.arange(rows + 1)).astype(np.int32)
+            for found in set_tokens(document, hashes, n, bands, rule):
+                counts.add(found.token)
+            weighed = (n >= rule.smallest) & (n <= _largest_weighed(rule))
+            use = weighed[document]
+            for _, found in _deletion_tokens(document[use], hashes[use], np.where(weighed, n, 0), rule):
+                counts.add(found.token)
+            offsets = np.concatenate([[0], np.cumsum(np.where(weighed, n, 0))]).astype(np.int32)
+            small = pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes[use].view(np.int64)))
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
-                    pa.array(n.astype(np.int64)),
-                    pa.array(digests[0]),
-                    pa.array(digests[1]),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(entry.view(np.int64))),
+                    part.column("doc_id"), pa.array(n.astype(np.int64)), pa.array(digests[0]), pa.array(digests[1]), small,
+                    pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.list_(pa.int64())),
+                ],
+                schema=schema,
+            )
+    pieces, values = counts.pieces()
+    if pieces:
+        none = [pa.nulls(len(pieces), schema.field(i).type) for i in range(5)]
+        held = pa.array([v.tolist() for v in values], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*none, pa.array(pieces, pa.int32()), held], schema=schema)
+
+
+COSTS = "band int, subsets double, deletions double"
+
+
+def _costs(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """What the entries of the small sets cost by band and scheme: each entry,
+    and the members that its count says it may meet."""
+    bands, weighed = _weighed_bands(rule)
+    floor = float(np.median(counts))
+    sums = np.zeros((2, len(bands.low)))
+    for batch in batches:
+        small = batch.column("small")
+        sizes = np.asarray(pa.compute.list_value_length(small)).astype(np.int64)
+        document = np.repeat(np.arange(len(sizes)), sizes)
+        hashes = small.flatten().to_numpy(zero_copy_only=False).view(U)
+        ways = [[], _deletion_tokens(document, hashes, sizes, rule)]
+        for live, band, need in roles(sizes, bands, rule):
+            use = (live & weighed[band])[document]
+            ways[0] += [(band, t) for t in scheme_tokens(document[use], hashes[use], band, need, bands, False)]
+        for way, tokens in enumerate(ways):
+            for band, found in tokens:
+                owner, _, count = chosen(found, counts)
+                np.add.at(sums[way], band[owner], ENTRY_COST + np.maximum(count - floor - 1, 0))
+    used = np.flatnonzero(sums.any(0))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(used, pa.int32()), pa.array(sums[0][used]), pa.array(sums[1][used])], names=["band", "subsets", "deletions"]
+    )
+
+
+def allocate(sets: DataFrame, rule: Rule, counts: np.ndarray) -> frozenset[int]:
+    """The bands whose one-deletion scheme costs less than their subset scheme."""
+    small = sets.where("size(small) > 0").select("small")
+    found = small.mapInArrow(lambda batches: _costs(batches, rule, counts), COSTS).groupBy("band")
+    found = found.agg(F.sum("subsets").alias("subsets"), F.sum("deletions").alias("deletions")).collect()
+    return frozenset(r.band for r in found if r.deletions < r.subsets)
+
+
+INDEX = "cid bigint, n int, w int, entry bigint, lane int"
+
+
+def _index_rows(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray, deletes: frozenset, turn: int) -> Iterator[pa.RecordBatch]:
+    """(cid, n, w, entry, lane): w is the sum of a set's counts
+    (its logarithm), so that sets which share much are pivots; a lane is above 0 for hot tokens alone."""
+    floor = float(np.median(counts))
+    hot_from = max(LANE_ROWS, 8 * floor**0.5)
+    for batch in batches:
+        for part in slices(batch):
+            document, hashes = document_sets(part.column("text"), rule.shingle)
+            n = np.bincount(document, minlength=part.num_rows)
+            bands = Bands(int(n.max(initial=0)), rule, deletes=deletes)
+            picked = [chosen(found, counts) for found in set_tokens(document, hashes, n, bands, rule, turn)]
+            if not picked:
+                continue
+            owner, token, count = (np.concatenate([p[i] for p in picked]) for i in range(3))
+            order = np.lexsort((token, owner))
+            owner, token, count = owner[order], token[order], count[order]
+            new = np.ones(len(owner), dtype=bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (token[1:] != token[:-1])
+            owner, token, count = owner[new], token[new], count[new]
+            weight = np.bincount(owner, weights=np.maximum(count - floor, 0), minlength=part.num_rows)
+            weight = (8 * np.log2(1 + weight)).astype(np.int32)
+            cid = np.asarray(part.column("cid")).astype(np.int64)
+            true = np.maximum(count - floor, 0)
+            lanes = np.where(true > hot_from, -(-true // LANE_ROWS), 0).astype(np.int64)
+            dealt = (mix(cid.view(U)[owner]) % np.maximum(lanes, 1).astype(U)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(cid[owner]),
+                    pa.array(n[owner].astype(np.int32)),
+                    pa.array(weight[owner]),
+                    pa.array(token.view(np.int64)),
+                    pa.array(np.where(lanes > 0, dealt + 1, 0).astype(np.int32)),
                 ],
-                names=["doc_id", "n", "d1", "d2", "entries"],
+                names=["cid", "n", "w", "entry", "lane"],
             )
 
 
+def _token_counts(batches: Iterator[pa.RecordBatch], rule: Rule, deletes: frozenset, turn: int) -> Iterator[pa.RecordBatch]:
+    counts = sketch.Counts()
+    for batch in batches:
+        for part in slices(batch):
+            document, hashes = document_sets(part.column("text"), rule.shingle)
+            n = np.bincount(document, minlength=part.num_rows)
+            bands = Bands(int(n.max(initial=0)), rule, deletes=deletes)
+            for found in set_tokens(document, hashes, n, bands, rule, turn):
+                counts.add(found.token)
+    pieces, values = counts.pieces()
+    held = pa.array([v.tolist() for v in values], pa.list_(pa.int64()))
+    yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), held], names=["piece", "counts"])
+
+
+def _buckets(index: DataFrame) -> DataFrame:
+    """The members (entry, cid, n, k, p, n_p) of all buckets of two or more:
+    k is a bucket's size and p its pivot, of size n_p."""
+    lane = Window.partitionBy("entry", "lane")
+    rank = F.struct("w", (-F.col("cid")).alias("order"), F.col("cid").alias("p"), F.col("n").alias("n_p"))
+    placed = index.withColumn("k", F.count(F.lit(1)).over(lane)).withColumn("best", F.max(rank).over(lane))
+    kept = stored(placed.where("k > 1 OR lane > 0").select("entry", "lane", "cid", "n", "k", "best"), "members")
+    cold = kept.where("lane = 0").select("entry", "cid", "n", "k", "best.p", "best.n_p")
+    # One row per lane; the hot tokens are bounded by the lanes' size.
+    hot = kept.where("lane > 0").groupBy("entry", "lane").agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("k"))
+    hot = stored(hot.groupBy("entry").agg(F.max("best").alias("best"), F.sum("k").alias("k")).where("k > 1"), "hot_tokens")
+    hot_members = kept.where("lane > 0").select("entry", "cid", "n").join(broadcast_checked(hot, BROADCAST_CLASSES), "entry")
+    members = cold.unionByName(hot_members.select("entry", "cid", "n", "k", "best.p", "best.n_p"))
+    members = stored(members, "buckets")
+    discard(kept, hot)
+    return members
+
+
 def word_shingles(text: bytes, shingle: int) -> set:
     words = text.split()
     if len(words) < shingle:
@@ -234,144 +467,239 @@ def word_shingles(text: bytes, shingle: int) -> set:
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
+COMPARED = "a bigint, b bigint, linked boolean, near boolean"
 
-def _verified(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Pairs whose sets reach the threshold, compared shingle by shingle."""
+
+def _compared(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sets link, or are in each other's ball, compared shingle by
+    shingle."""
     known, pivot = None, set()
     for batch in batches:
         a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        keep = []
+        keep, linked = [], []
         for i in range(batch.num_rows):
             if b[i] != known:
                 known, pivot = b[i], word_shingles(batch.column("text_b")[i].as_py().encode().translate(_LOWER), rule.shingle)
             other = word_shingles(batch.column("text_a")[i].as_py().encode().translate(_LOWER), rule.shingle)
             shared = len(other & pivot)
-            if rule.denominator * shared >= rule.numerator * (len(other) + len(pivot) - shared):
+            union = len(other) + len(pivot) - shared
+            if rule.denominator * shared >= min(rule.numerator, rule.ball) * union:
                 keep.append(i)
+                linked.append(rule.denominator * shared >= rule.numerator * union)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([a[i] for i in keep], pa.int64()), pa.array([b[i] for i in keep], pa.int64())], names=["a", "b"]
+            [
+                pa.array([a[i] for i in keep], pa.int64()),
+                pa.array([b[i] for i in keep], pa.int64()),
+                pa.array(linked, pa.bool_()),
+                pa.array([True] * len(keep), pa.bool_()),
+            ],
+            names=["a", "b", "linked", "near"],
         )
 
 
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs with both texts: that of a is carried to where b is, and that of b
+    is read there."""
+    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
+    return pairs.join(left, "a").join(right, "b")
+
+
+def _compare(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    found = _with_texts(pairs.select("a", "b"), texts).select("a", "b", "text_a", "text_b")
+    return stored(found.mapInArrow(lambda batches: _compared(batches, rule), COMPARED), "compared")
+
+
+def _near_sizes(a: str, b: str, rule: Rule, numerator: int | None = None):
+    numerator = rule.numerator if numerator is None else numerator
+    return F.greatest(a, b) * F.lit(max(numerator, 0)) <= F.least(a, b) * rule.denominator
+
+
+DIFFERENCES = "a bigint, p bigint, comp bigint, n bigint, n_p bigint, tokens array<bigint>, piece int, counts array<bigint>"
+
+
 def _differences(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """(p, a, n_own, tokens): shingle hashes that only one of a class and its
-    pivot has, first the n_own of the class."""
+    """Shingle hashes that only one of a class and its pivot has, the sizes of
+    both, and the task's counts of the hashes by pivot."""
+    counts = sketch.Counts()
     known, pivot = None, None
+    schema = pa.schema(
+        [(c, pa.int64()) for c in ("a", "p", "comp", "n", "n_p")]
+        + [("tokens", pa.list_(pa.int64())), ("piece", pa.int32()), ("counts", pa.list_(pa.int64()))]
+    )
     for batch in batches:
-        a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
-        tokens, n_own = [], []
+        p, met = batch.column("b").to_pylist(), []
+        tokens, n, n_p = [], [], []
         for i in range(batch.num_rows):
-            if b[i] != known:
-                known, pivot = b[i], document_sets(batch.column("text_b").slice(i, 1), rule.shingle)[1]
+            if p[i] != known:
+                known, pivot = p[i], document_sets(batch.column("text_b").slice(i, 1), rule.shingle)[1]
             other = document_sets(batch.column("text_a").slice(i, 1), rule.shingle)[1]
-            own = np.setdiff1d(other, pivot, assume_unique=True)
-            tokens.append(np.concatenate([own, np.setdiff1d(pivot, other, assume_unique=True)]).view(np.int64))
-            n_own.append(len(own))
+            both = np.setxor1d(other, pivot, assume_unique=True)
+            met.append(_of_pivot(both, p[i]))
+            tokens.append(both.view(np.int64))
+            n.append(len(other))
+            n_p.append(len(pivot))
+        if met:
+            counts.add(np.concatenate(met))
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
         values = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
+        rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(b, pa.int64()),
-                pa.array(a, pa.int64()),
-                pa.array(n_own, pa.int64()),
+                *[batch.column(c) for c in ("a", "b", "comp")], pa.array(n, pa.int64()), pa.array(n_p, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-            ],
-            names=["p", "a", "n_own", "tokens"],
+                pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.list_(pa.int64())),
+            ],
+            schema=schema,
         )
+    pieces, values = counts.pieces()
+    if pieces:
+        none = [pa.nulls(len(pieces), schema.field(i).type) for i in range(6)]
+        held = pa.array([v.tolist() for v in values], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([*none, pa.array(pieces, pa.int32()), held], schema=schema)
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+def _of_pivot(tokens: np.ndarray, p: int) -> np.ndarray:
+    return mix(tokens ^ mix(np.array([p]).astype(np.int64).view(U)))
 
 
-def _links(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs (a, b) of classes that link."""
-    return _with_texts(pairs, texts).mapInArrow(lambda batches: _verified(batches, rule), "a bigint, b bigint")
+def difference_prefixes(size: int, n: int, n_p: int, rule: Rule) -> tuple[int, int]:
+    """How many of the rarest of the |X'| = `size` differences of X from its
+    pivot can matter, for a partner that does not link with the pivot and, if X
+    does not itself, for any partner.
 
+    With s = |X' & Y'| and c = (1 - t) / (1 + t), X and Y differ in |X'| + |Y'|
+    - 2 s, so a link needs 2 s >= |X'| + |Y'| - c (n_X + n_Y). As s <= |Y'|, it
+    needs s >= |X'| - c (n_X + n_Y), and n_Y <= n_X / t makes that
+    s >= |X'| - n_X (1 - t) / t, for either side. If Y does not link with p,
+    |Y'| > c (n_Y + n_p), so also 2 s > |X'| + c (n_p - n_X). The rarest shared
+    difference then stands among the |X'| - s + 1 rarest of X', and among the
+    |Y'| - s + 1 rarest of Y', in one order of all differences."""
+    least = max(1, size - n * rule.below // rule.numerator)
+    far = (rule.above * size + rule.below * (n_p - n)) // (2 * rule.above) + 1
+    return size - max(least, far) + 1, size - least + 1
 
-def _near_sizes(a: str, b: str, rule: Rule):
-    return F.greatest(a, b) * rule.numerator <= F.least(a, b) * rule.denominator
 
-
-def _small_bucket_pairs(live: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs of different components in buckets of few members."""
-    few = live.where(F.col("k") <= SMALL_BUCKET)
-    other = few.select("entry", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    pairs = few.select("entry", F.col("cid").alias("a"), "n", "comp").join(other, "entry")
-    return pairs.where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)).select("a", "b")
+PROBES = "p bigint, t bigint, a bigint, n bigint, comp bigint, probe boolean, far boolean"
 
 
-def _large_bucket_pairs(live: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """Candidates among the members that were compared with one pivot p.
-
-    With X' the shingles that only one of X and p has, X and Y differ in
-    |X'| + |Y'| - 2 s, s = |X' & Y'|. With c = (1 - t) / (1 + t), a link of X
-    and Y needs 2 s >= |X'| + |Y'| - c (n_X + n_Y), and if Y does not link with
-    p, |Y'| > c (n_Y + n_p). So 2 s > |X'| + c (n_p - n_X), and one of the
-    |X'| - s + 1 rarest of X' stands in Y': some r with
-    2 (r - 1) < |X'| + c (n_X - n_p). Also at most (1 - t) n_X shingles of X
-    are not in Y: if X has more than that of its own, one of the rarest
-    (1 - t) n_X + 1 of those stands in Y'. Edits made independently share none
-    of either."""
-    many = live.where(F.col("k") > SMALL_BUCKET)
-    compared = many.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
-    apart = _with_texts(compared, texts).mapInArrow(
-        lambda batches: _differences(batches, rule), "p bigint, a bigint, n_own bigint, tokens array<bigint>"
-    )
-    facts = many.where("cid <> p").select("p", F.col("cid").alias("a"), "n", "n_p", "comp").distinct()
-    size = F.size("tokens")
-    above, below = rule.denominator + rule.numerator, rule.denominator - rule.numerator
-    far = size * above > below * (F.col("n") + F.col("n_p"))
-    rows = apart.join(facts, ["p", "a"]).select(
-        "p", "a", "n", "n_p", "n_own", "comp", size.alias("size"), far.alias("far"), F.posexplode("tokens").alias("at", "t")
-    )
-    rows = written(rows, "differences")
-    common = rows.groupBy("p", "t").agg(F.count(F.lit(1)).alias("f"), F.max("far").alias("any_far"))
-    # A token of one member alone finds nobody, but counts among the rarest.
-    apart_from_p = F.col("n_own") * rule.denominator > below * F.col("n")
-    ranked = rows.withColumn("of_pivot", apart_from_p & (F.col("at") >= F.col("n_own"))).join(common, ["p", "t"])
-    ranked = ranked.selectExpr("*", "row_number() over (partition by p, a order by of_pivot, f, t) - 1 as before")
-    kept = F.when(apart_from_p, F.col("before") * rule.denominator <= (rule.denominator - rule.numerator) * F.col("n"))
-    kept = kept.otherwise(2 * above * F.col("before") < above * F.col("size") + below * (F.col("n") - F.col("n_p")))
-    probe = ranked.where("f > 1 and any_far").where(kept).select("p", "t", "a", "n", "comp")
+def _probes(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The rarest differences of every class that another may share."""
+    for batch in batches:
+        facts = [batch.column(c).to_numpy() for c in ("p", "a", "n", "n_p", "comp")]
+        out = [[] for _ in range(7)]
+        for i in range(batch.num_rows):
+            p, a, n, n_p, comp = (int(f[i]) for f in facts)
+            tokens = batch.column("tokens")[i].values.to_numpy(zero_copy_only=False).view(U)
+            mixed = _of_pivot(tokens, p)
+            count = counts[sketch.slot(mixed)]
+            order = np.lexsort((mixed, count))
+            is_far = rule.above * len(tokens) > rule.below * (n + n_p)
+            probe, index = difference_prefixes(len(tokens), n, n_p, rule)
+            kept = max(probe, index if is_far else 0)
+            order = order[: max(kept, 0)]
+            at = np.arange(len(order))
+            # Counted once: nobody else has it, though it is among the rarest.
+            met = count[order] > 1
+            rows = int(met.sum())
+            for column, value in zip(out, (p, None, a, n, comp), strict=False):
+                column.append(np.full(rows, value) if value is not None else mixed[order][met].view(np.int64))
+            out[5].append((at < probe)[met])
+            out[6].append(((at < index) & is_far)[met])
+        columns = [np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in out]
+        arrays = [pa.array(c.astype(np.int64)) for c in columns[:5]] + [pa.array(c.astype(bool)) for c in columns[5:]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["p", "t", "a", "n", "comp", "probe", "far"])
+
+
+def _ball_pairs(live: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+    """Candidates of different components among the members (cid, comp, p) of
+    balls: two that share a difference from p which is among the rarest
+    that matter of either."""
+    compared = live.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b"), "comp").distinct()
+    apart = _with_texts(compared, texts).select("a", "b", "comp", "text_a", "text_b")
+    apart = stored(apart.mapInArrow(lambda batches: _differences(batches, rule), DIFFERENCES), "differences")
+    counts = sketch.total(apart.where("piece IS NOT NULL").select("piece", "counts"))
+    rows = apart.where("piece IS NULL").select("p", "a", "n", "n_p", "comp", "tokens")
+    rows = stored(rows.mapInArrow(lambda batches: _probes(batches, rule, counts), PROBES), "probes")
+    discard(apart)
+    # Groups of one component, such as a second cluster, need no pairs.
+    mixed = rows.groupBy("p", "t").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").select("p", "t")
+    rows = rows.join(mixed, ["p", "t"])
     index = rows.where("far").select("p", "t", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
-    pairs = probe.join(index, ["p", "t"]).where(
+    pairs = rows.where("probe").join(index, ["p", "t"]).where(
         (F.col("a") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def _merge(comp: DataFrame, links: DataFrame) -> DataFrame:
+def _small_bucket_pairs(live: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs of different components in buckets of few members; those with the
+    pivot were compared."""
+    few = live.where((F.col("k") <= SMALL_BUCKET) & (F.col("cid") != F.col("p")))
+    other = few.select("entry", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    pairs = few.select("entry", F.col("cid").alias("a"), "n", "comp").join(other, "entry")
+    return pairs.where((F.col("a") < F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)).select("a", "b")
+
+
+def _merge(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     """`comp` (cid, comp) after further links between classes."""
+    if comp is None:
+        merged = components(links)
+        out = stored(merged.select(F.col("node").alias("cid"), "comp"), "comps")
+        discard(merged)
+        return out
     to = {s: comp.select(F.col("cid").alias(s), F.col("comp").alias(f"c{s}")) for s in "ab"}
     joined = links.join(to["a"], "a", "left").join(to["b"], "b", "left")
     merged = components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
     onto = merged.select(F.col("node").alias("comp"), F.col("comp").alias("onto"))
     old = comp.join(onto, "comp", "left").select("cid", F.coalesce("onto", "comp").alias("comp"))
     fresh = merged.select(F.col("node").alias("cid"), "comp").join(comp.select("cid"), "cid", "left_anti")
-    return written(old.unionByName(fresh), "comps")
-
-
-def _resolve(members: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    """(cid, comp) of the classes that link with another, from the members
-    (entry, cid, n, k) of all buckets; k is a bucket's size."""
-    weights = members.groupBy("cid").agg(F.sum("k").alias("weight"))
-    best = F.max(F.struct("weight", (-F.col("cid")).alias("order"), F.col("cid").alias("p"), F.col("n").alias("n_p"))).alias("best")
-    pivots = members.join(weights, "cid").groupBy("entry").agg(best).select("entry", "best.p", "best.n_p")
-    star = written(members.join(pivots, "entry"), "stars")
-    pairs = star.where((F.col("cid") != F.col("p")) & _near_sizes("n", "n_p", rule))
-    links = written(_links(pairs.select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct(), texts, rule), "links")
-    comp = written(components(links).select(F.col("node").alias("cid"), "comp"), "comps")
+    out = stored(old.unionByName(fresh), "comps")
+    discard(merged)
+    return out
+
+
+def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:
+    """Members of buckets of three or more that hold several components."""
+    placed = members.where("k > 2").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
+    open_ones = placed.groupBy("entry").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top")
+    return placed.join(open_ones.select("entry"), "entry")
+
+
+def _resolve(members: DataFrame, texts: DataFrame, comp: DataFrame | None, rule: Rule, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """`comp` after all links within the buckets but those among the classes
+    that are returned beside it, to be joined anew (None: none are left)."""
+    near = _near_sizes("n", "n_p", rule, min(rule.numerator, rule.ball))
+    pairs = members.where((F.col("cid") != F.col("p")) & near).select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
+    found = _compare(pairs, texts, rule)
+    was, comp = comp, _merge(comp, found.where("linked").select("a", "b"))
+    discard(*([was] if was is not None else []))
     # A bucket of two is settled by its one comparison, one of a single component too.
-    placed = star.where("k > 2").join(comp, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    unsettled = placed.groupBy("entry").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top")
-    live = written(placed.join(unsettled.select("entry"), "entry"), "unsettled")
+    shown = found.groupBy(F.col("a").alias("cid"), F.col("b").alias("p")).agg(F.max("linked").alias("linked"), F.max("near").alias("near"))
+    live = _placed(members, comp).join(shown, ["cid", "p"], "left")
+    itself = F.col("cid") == F.col("p")
+    live = live.withColumns(
+        {"linked": itself | F.coalesce("linked", F.lit(False)), "near": itself | F.coalesce("near", F.lit(rule.ball <= 0 or last))}
+    )
+    live = stored(live, "unsettled")
+    discard(found)
     if live.isEmpty():
-        return comp
-    left = _small_bucket_pairs(live, rule).unionByName(_large_bucket_pairs(live, texts, rule)).distinct()
-    return _merge(comp, written(_links(left, texts, rule), "links"))
+        return comp, None
+    large = live.where(F.col("k") > SMALL_BUCKET)
+    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(large.where("near"), texts, rule)).distinct()
+    linked = _compare(more, texts, rule)
+    left = None
+    outside = large.where("NOT near").select("entry").distinct()
+    if not last and not outside.isEmpty():
+        left = stored(large.where("NOT linked").join(outside, "entry", "left_semi").select("cid").distinct(), "left")
+    merged = _merge(comp, linked.where("linked").select("a", "b"))
+    discard(comp, linked, live)
+    return merged, left
+
+
+def _has_repeats(sets: DataFrame) -> bool:
+    """Whether any doc_id stands in several rows."""
+    return not sets.groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, numerator: int = 90, denominator: int = 100) -> DataFrame:
@@ -380,24 +708,39 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, numerator: int = 90, d
     of `shingle` words and link from a Jaccard of numerator / denominator on."""
     rule = Rule(shingle, numerator, denominator)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    sets = written(rows.mapInArrow(lambda batches: _set_rows(batches, rule), SETS), "jaccard_sets")
-    known = sets.where(F.col("doc_id").isNotNull())
-    classes = known.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("cid"))
-    classes = written(classes, "jaccard_classes")
-    # The arrays of entries stay where they are, and the entries shuffle once.
-    keys = ["doc_id", "d1", "d2"]
-    copies = written(known.select(*keys).join(classes, ["d1", "d2"]).where("doc_id <> cid").select(*keys).distinct(), "jaccard_copies")
-    first = known.where(F.size("entries") > 0).join(broadcast_checked(copies, BROADCAST_CLASSES), keys, "left_anti")
-    index = first.select(F.col("doc_id").alias("cid"), "n", F.explode("entries").alias("entry"))
-    index = index.dropDuplicates(["entry", "cid"]) if _has_repeats(known) else index
-    shared = index.withColumn("k", F.count(F.lit(1)).over(Window.partitionBy("entry"))).where("k > 1")
-    members = written(shared.select("entry", "cid", "n", "k"), "jaccard_members")
-    ids = members.select("cid").distinct()
-    texts = rows.join(broadcast_checked(ids, BROADCAST_CLASSES), F.col("doc_id") == F.col("cid"), "left_semi")
-    texts = written(texts.select(F.col("doc_id").alias("cid"), "text"), "jaccard_texts")
-    comp = _resolve(members, texts, rule)
+    read = stored(rows.mapInArrow(lambda batches: _set_rows(batches, rule), SETS), "jaccard_read")
+    counts = sketch.total(read.where("piece IS NOT NULL").select("piece", "counts"))
+    deletes = allocate(read, rule, counts)
+    sets = stored(read.where("piece IS NULL").select("doc_id", "n", "d1", "d2"), "jaccard_sets")
+    discard(read)
+    known = sets.where("doc_id IS NOT NULL")
+    classes = stored(known.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("cid")), "jaccard_classes")
+    # Ids that stand for no class, or for one too small to link.
+    stands = F.coalesce((F.col("doc_id") == F.col("cid")) & (F.col("n") >= rule.smallest), F.lit(False))
+    alone = known.join(classes, ["d1", "d2"], "left").groupBy("doc_id").agg(F.max(stands).alias("stands"))
+    alone = stored(alone.where("NOT stands").select("doc_id"), "jaccard_alone")
+    texts = rows.where("doc_id IS NOT NULL").join(broadcast_checked(alone, BROADCAST_CLASSES), "doc_id", "left_anti")
+    texts = texts.select(F.col("doc_id").alias("cid"), "text")
+    if _has_repeats(known):
+        texts = texts.distinct()
+    comp, left, kept = None, None, None
+    for turn in range(ROUNDS):
+        base = texts if kept is None else kept.join(broadcast_checked(left, BROADCAST_CLASSES), "cid", "left_semi")
+        if turn:
+            counts = sketch.total(base.mapInArrow(lambda batches, t=turn: _token_counts(batches, rule, deletes, t), sketch.PIECES))
+        index = base.mapInArrow(lambda batches, t=turn, c=counts: _index_rows(batches, rule, c, deletes, t), INDEX)
+        members = _buckets(index)
+        if kept is None:
+            ids = stored(members.select("cid").distinct(), "jaccard_members")
+            kept = stored(texts.join(broadcast_checked(ids, BROADCAST_CLASSES), "cid", "left_semi"), "jaccard_texts")
+            discard(ids)
+        was, (comp, left) = left, _resolve(members, kept, comp, rule, turn == ROUNDS - 1)
+        discard(members, *([was] if was is not None else []))
+        if left is None:
+            break
+    discard(kept, alone, *([left] if left is not None else []))
     place = classes.join(comp, "cid", "left").select("d1", "d2", "cid", F.coalesce("comp", "cid").alias("comp"))
-    out = sets.select("doc_id", "n", "d1", "d2").join(place, ["d1", "d2"], "left")
+    out = sets.join(place, ["d1", "d2"], "left")
     with_id = F.col("doc_id").isNotNull()
     return out.select(
         "doc_id",
@@ -405,8 +748,3 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, numerator: int = 90, d
         F.when(with_id, F.coalesce("cid", "doc_id")).alias("class_id"),
         F.when(with_id, F.coalesce("comp", "doc_id")).alias("component_id"),
     )
-
-
-def _has_repeats(sets: DataFrame) -> bool:
-    """Whether any doc_id stands in several rows."""
-    return not sets.groupBy("doc_id").count().where("count > 1").isEmpty()
