@@ -36,7 +36,7 @@ WEIGHTS = (5, 2, 1)
 EPOCHS = 3
 SEED = "mix"
 # Documents of a source that one range of keys holds on average.
-RANGE_ROWS = 1 << 16
+RANGE_ROWS = 1 << 12
 # Sources are broadcast up to this many; more of them shuffle.
 BROADCAST_SOURCES = 100_000
 _GAPS = r"[\x20\x09-\x0D]++[^\x20\x09-\x0D]"
