@@ -286,6 +286,7 @@ def test_crc_folds(spark):
 def test_pipeline_stages_against_brute_force(spark, sf_small):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     from scoreflow.llm.common import read_table, written
+    from tests.llm.test_near_duplicates import near
 
     docs = read_table(spark, sf_small, "documents")
     columns = docs.columns
@@ -296,7 +297,7 @@ def test_pipeline_stages_against_brute_force(spark, sf_small):
         after = {r.doc_id: r for r in out.collect()}
         rows = sorted(before.items())
         if name == "ngram_jaccard_join":
-            assert set(after) == {d for (d, _), e in zip(rows, brute.jaccard(rows)) if e[1] == d}
+            assert set(after) == {d for (d, _), e in zip(rows, near(rows, *corpus_pipeline.NEAR.values())) if e[1] == d}
         elif name == "benchmark_decontamination":
             found = brute.contamination([t for _, t in rows], bench)
             assert set(after) == {d for (d, _), e in zip(rows, found) if not e[4]}
