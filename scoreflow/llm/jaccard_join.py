@@ -29,8 +29,9 @@ Counts come from one pass over all documents, added up with partial sums in a
 sketch of fixed size. They decide which tokens are left out and which scheme a
 band takes; links do not depend on them.
 
-Sets that share a token are candidates, verified on the words. All pairs of a
-bucket are never made. Each bucket compares its members with one pivot, and
+Sets that share a token are candidates. Parity bitmaps rule most of the wrong
+ones out, the others are verified on the words. All pairs of a bucket are
+never made. Each bucket compares its members with one pivot, and
 links join components. In a large bucket that still holds several components,
 the Jaccard distance (a metric) tells what is left. With t the threshold, a set
 that links with a member linked to the pivot lies within 2 (1 - t) of the
@@ -497,17 +498,87 @@ def _compared(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
         )
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs with both texts: that of a is carried to where b is, and that of b
-    is read there."""
-    left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b")
+SIGNATURES = "cid bigint, n bigint, bits binary"
 
 
-def _compare(pairs: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
-    found = _with_texts(pairs.select("a", "b"), texts).select("a", "b", "text_a", "text_b")
-    return stored(found.mapInArrow(lambda batches: _compared(batches, rule), COMPARED), "compared")
+def _signatures(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Parity bitmaps of the sets: a shingle flips one bit of four or more per
+    shingle (a power of two), so two bitmaps differ in no more bits than the
+    sets in shingles."""
+    for batch in batches:
+        for part in slices(batch):
+            document, hashes = document_sets(part.column("text"), rule.shingle)
+            n = np.bincount(document, minlength=part.num_rows)
+            size = 1 << np.minimum(np.ceil(np.log2(np.maximum(n, 2))).astype(np.int64) + 2, 20)
+            size = np.maximum(size, 64)
+            first = np.concatenate([[0], np.cumsum(size)])
+            at = first[document] + (mix(hashes + U(0x9A)) & (size[document] - 1).astype(U)).astype(np.int64)
+            data = np.packbits((np.bincount(at, minlength=first[-1]) & 1).astype(np.uint8))
+            offsets = pa.py_buffer((first // 8).astype(np.int32))
+            bits = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, offsets, pa.py_buffer(data)])
+            yield pa.RecordBatch.from_arrays([part.column("cid"), pa.array(n.astype(np.int64)), bits], names=["cid", "n", "bits"])
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the symmetric difference of two sets from their parity
+    bitmaps; the longer one is folded to the length of the other."""
+    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.bitwise_count(np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0) ^ y).sum())
+
+
+def _screened(batches: Iterator[pa.RecordBatch], numerator: int, denominator: int) -> Iterator[pa.RecordBatch]:
+    """Pairs whose bitmaps leave a similarity of numerator / denominator open."""
+    for batch in batches:
+        bits = batch.column("bits_a"), batch.column("bits_b")
+        both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+        most = (denominator - numerator) * both // (denominator + numerator)
+        keep = [least_difference(bits[0][i].as_py(), bits[1][i].as_py()) <= most[i] for i in range(batch.num_rows)]
+        yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+
+
+@dataclass
+class _Sets:
+    """The texts (cid, text) of the candidates and their signatures."""
+
+    texts: DataFrame
+    signatures: DataFrame
+
+
+class _Pairs:
+    """Pairs (a, b) beside the texts that they need: the text of a is carried
+    to where b is, and that of b is read there. Pairs that the signatures rule
+    out need no text."""
+
+    def __init__(self, pairs: DataFrame, sets: _Sets, screen: tuple[int, int] | None = None):
+        self.pairs = stored(pairs, "pairs")
+        if screen is not None:
+            side = {c: sets.signatures.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"}
+            open_pairs = self.pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(lambda batches: _screened(batches, *screen), "a bigint, b bigint")
+            kept = stored(open_pairs.distinct(), "screened")
+            discard(self.pairs)
+            self.pairs = kept
+        ids = self.pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+        self.ids = stored(ids, "pair_ids")
+        self.texts = sets.texts.join(broadcast_checked(self.ids, BROADCAST_CLASSES), "cid", "left_semi")
+
+    def joined(self) -> DataFrame:
+        left = self.texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
+        right = self.texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
+        return self.pairs.join(left, "a").join(right, "b")
+
+    def done(self) -> None:
+        discard(self.pairs, self.ids)
+
+
+def _compare(pairs: DataFrame, sets: _Sets, rule: Rule, numerator: int) -> DataFrame:
+    """The pairs of at least the similarity numerator / denominator."""
+    beside = _Pairs(pairs.select("a", "b"), sets, (numerator, rule.denominator) if numerator > 0 else None)
+    found = beside.joined().select("a", "b", "text_a", "text_b")
+    out = stored(found.mapInArrow(lambda batches: _compared(batches, rule), COMPARED), "compared")
+    beside.done()
+    return out
 
 
 def _near_sizes(a: str, b: str, rule: Rule, numerator: int | None = None):
@@ -611,13 +682,15 @@ def _probes(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -
         yield pa.RecordBatch.from_arrays(arrays, names=["p", "t", "a", "n", "comp", "probe", "far"])
 
 
-def _ball_pairs(live: DataFrame, texts: DataFrame, rule: Rule) -> DataFrame:
+def _ball_pairs(live: DataFrame, sets: _Sets, rule: Rule) -> DataFrame:
     """Candidates of different components among the members (cid, comp, p) of
     balls: two that share a difference from p which is among the rarest
     that matter of either."""
     compared = live.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b"), "comp").distinct()
-    apart = _with_texts(compared, texts).select("a", "b", "comp", "text_a", "text_b")
+    beside = _Pairs(compared, sets)
+    apart = beside.joined().select("a", "b", "comp", "text_a", "text_b")
     apart = stored(apart.mapInArrow(lambda batches: _differences(batches, rule), DIFFERENCES), "differences")
+    beside.done()
     counts = sketch.total(apart.where("piece IS NOT NULL").select("piece", "counts"))
     rows = apart.where("piece IS NULL").select("p", "a", "n", "n_p", "comp", "tokens")
     rows = stored(rows.mapInArrow(lambda batches: _probes(batches, rule, counts), PROBES), "probes")
@@ -666,12 +739,12 @@ def _placed(members: DataFrame, comp: DataFrame) -> DataFrame:
     return placed.join(open_ones.select("entry"), "entry")
 
 
-def _resolve(members: DataFrame, texts: DataFrame, comp: DataFrame | None, rule: Rule, last: bool) -> tuple[DataFrame, DataFrame | None]:
+def _resolve(members: DataFrame, sets: _Sets, comp: DataFrame | None, rule: Rule, last: bool) -> tuple[DataFrame, DataFrame | None]:
     """`comp` after all links within the buckets but those among the classes
     that are returned beside it, to be joined anew (None: none are left)."""
     near = _near_sizes("n", "n_p", rule, min(rule.numerator, rule.ball))
     pairs = members.where((F.col("cid") != F.col("p")) & near).select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
-    found = _compare(pairs, texts, rule)
+    found = _compare(pairs, sets, rule, min(rule.numerator, rule.ball))
     was, comp = comp, _merge(comp, found.where("linked").select("a", "b"))
     discard(*([was] if was is not None else []))
     # A bucket of two is settled by its one comparison, one of a single component too.
@@ -686,8 +759,8 @@ def _resolve(members: DataFrame, texts: DataFrame, comp: DataFrame | None, rule:
     if live.isEmpty():
         return comp, None
     large = live.where(F.col("k") > SMALL_BUCKET)
-    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(large.where("near"), texts, rule)).distinct()
-    linked = _compare(more, texts, rule)
+    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(large.where("near"), sets, rule)).distinct()
+    linked = _compare(more, sets, rule, rule.numerator)
     left = None
     outside = large.where("NOT near").select("entry").distinct()
     if not last and not outside.isEmpty():
@@ -734,11 +807,12 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, numerator: int = 90, d
             ids = stored(members.select("cid").distinct(), "jaccard_members")
             kept = stored(texts.join(broadcast_checked(ids, BROADCAST_CLASSES), "cid", "left_semi"), "jaccard_texts")
             discard(ids)
-        was, (comp, left) = left, _resolve(members, kept, comp, rule, turn == ROUNDS - 1)
+            signatures = stored(kept.mapInArrow(lambda batches: _signatures(batches, rule), SIGNATURES), "signatures")
+        was, (comp, left) = left, _resolve(members, _Sets(kept, signatures), comp, rule, turn == ROUNDS - 1)
         discard(members, *([was] if was is not None else []))
         if left is None:
             break
-    discard(kept, alone, *([left] if left is not None else []))
+    discard(kept, signatures, alone, *([left] if left is not None else []))
     place = classes.join(comp, "cid", "left").select("d1", "d2", "cid", F.coalesce("comp", "cid").alias("comp"))
     out = sets.join(place, ["d1", "d2"], "left")
     with_id = F.col("doc_id").isNotNull()

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from scoreflow.llm.hashing import U, mix
 
-SLOTS, PIECE = 1 << 18, 1 << 12
+SLOTS, PIECE = 1 << 17, 1 << 11
 PIECES = "piece int, counts array<bigint>"
 
 
