@@ -83,8 +83,7 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REPEATS_SQL = r"""
 WITH d AS (
-    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS w FROM documents
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
 ),
 g AS (
     SELECT r, doc_id, s, array_to_string(w[s:s + 19], ' ') AS v
@@ -184,8 +183,7 @@ def q_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 JACCARD_SQL = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                                      '[^ 	-
-]+') AS w
+                                      '[^\x20\x09-\x0D]+') AS w
     FROM documents
 ),
 s AS (

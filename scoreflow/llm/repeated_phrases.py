@@ -25,7 +25,8 @@ grouped under 96 bits.)
 
 Defined results: a null text has no words; a null doc_id orders after all
 others; rows that share a doc_id count as one document, whose places compare by
-their start in each row's own text; texts of fewer than `window` words lose
+their start in each row's own text (such rows are told apart by `sub`, a hash
+of their text, so that no group is more than one text); texts of fewer than `window` words lose
 nothing; extra columns are ignored; an empty table gives no rows.
 """
 
@@ -42,6 +43,7 @@ from pyspark.sql import functions as F
 
 from scoreflow.llm.common import broadcast_checked, broadcast_weighed, text_or_empty, written
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
+from scoreflow.operators.joins import join_hot_split
 
 WINDOW = 20
 ANCHOR = 6
@@ -78,7 +80,7 @@ def anchor_places(hashes: np.ndarray, whole: np.ndarray, width: int) -> np.ndarr
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, ord, at) of every anchor."""
+    """(h, ord, sub, at) of every anchor."""
     width = WINDOW - ANCHOR + 1
     for batch in batches:
         for part in slices(batch):
@@ -87,19 +89,18 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             whole = inside(w.first, WINDOW, max(0, len(w.hashes) - WINDOW + 1))
             at = anchor_places(h, whole, width)
             document = w.document[at]
-            order = np.asarray(part.column("ord"))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(h[at].view(np.int64)),
-                    pa.array(order[document]),
+                    *[pa.array(np.asarray(part.column(c))[document]) for c in ("ord", "sub")],
                     pa.array((at - w.first[document]).astype(np.int32)),
                 ],
-                names=["h", "ord", "at"],
+                names=["h", "ord", "sub", "at"],
             )
 
 
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(ord, stretches): first and last start of the windows around the
+    """(ord, sub, stretches): first and last start of the windows around the
     anchors at `places`, touching ones joined."""
     width = WINDOW - ANCHOR + 1
     for batch in batches:
@@ -109,11 +110,13 @@ def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cut = np.flatnonzero(np.diff(p) > width) + 1
             low = np.maximum(p[np.append(0, cut)] - width + 1, 0)
             out.append(np.stack([low, p[np.append(cut, len(p)) - 1]], axis=1).ravel())
-        yield pa.RecordBatch.from_arrays([batch.column("ord"), pa.array(out, pa.list_(pa.int32()))], names=["ord", "stretches"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("ord"), batch.column("sub"), pa.array(out, pa.list_(pa.int32()))], names=["ord", "sub", "stretches"]
+        )
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w1, w2, ord, start) of every window that starts in `stretches`."""
+    """(w1, w2, ord, sub, start) of every window that starts in `stretches`."""
     for batch in batches:
         for part in slices(batch):
             w = batch_words(part.column("text"))
@@ -139,49 +142,40 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [
                     pa.array(h1.view(np.int64)),
                     pa.array((h2 & U(0xFFFFFFFF)).astype(np.uint32).view(np.int32)),
-                    pa.array(np.asarray(part.column("ord"))[document]),
+                    *[pa.array(np.asarray(part.column(c))[document]) for c in ("ord", "sub")],
                     pa.array((start - w.first[document]).astype(np.int32)),
                 ],
-                names=["w1", "w2", "ord", "start"],
+                names=["w1", "w2", "ord", "sub", "start"],
             )
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(ord, runs, heads): start and number of windows of each run of places
-    in `starts`, and the hash of its first window. Where several rows share an
-    ord (`shared`) their places may interleave: each stays a run of its own."""
+    """(ord, sub, runs): start and number of windows of each run of places in
+    `starts`."""
     for batch in batches:
-        runs, heads = [], []
-        for starts, hashes, shared in zip(batch.column("starts"), batch.column("hashes"), batch.column("shared")):
-            s, h = np.asarray(starts.values).astype(np.int64), np.asarray(hashes.values)
-            order = np.argsort(s, kind="stable")
-            s, h = s[order], h[order]
-            step = np.ones(len(s) - 1, dtype=bool) if shared.as_py() else np.diff(s) != 1
-            cut = np.flatnonzero(step) + 1
+        runs = []
+        for starts in batch.column("starts"):
+            s = np.sort(np.asarray(starts.values).astype(np.int64))
+            cut = np.flatnonzero(np.diff(s) != 1) + 1
             begin, end = np.append(0, cut), np.append(cut, len(s))
             runs.append(np.stack([s[begin], end - begin], axis=1).ravel().astype(np.int32))
-            heads.append(h[begin])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("ord"), pa.array(runs, pa.list_(pa.int32())), pa.array(heads, pa.list_(pa.int64()))],
-            names=["ord", "runs", "heads"],
+            [batch.column("ord"), batch.column("sub"), pa.array(runs, pa.list_(pa.int32()))], names=["ord", "sub", "runs"]
         )
 
 
 def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(ord, start, n, words) of each run. A run whose first window is not in
-    this text belongs to another row of the same ord."""
+    """(ord, start, n, words) of each run."""
     for batch in batches:
         out = ([], [], [], [])
-        for order, text, runs, heads in zip(*(batch.column(c).to_pylist() for c in ("ord", "text", "runs", "heads"))):
+        for order, text, runs in zip(*(batch.column(c).to_pylist() for c in ("ord", "text", "runs"))):
             words = text.encode().split()
-            own = window_hashes(batch_words(pa.array([text])).hashes, WINDOW).view(np.int64)
-            for start, n, head in zip(runs[::2], runs[1::2], heads):
-                if start < len(own) and own[start] == head:
-                    passage = words[start : start + n + WINDOW - 1]
-                    out[0].append(order)
-                    out[1].append(start)
-                    out[2].append(len(passage))
-                    out[3].append(b" ".join(passage).decode())
+            for start, n in zip(runs[::2], runs[1::2]):
+                passage = words[start : start + n + WINDOW - 1]
+                out[0].append(order)
+                out[1].append(start)
+                out[2].append(len(passage))
+                out[3].append(b" ".join(passage).decode())
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.string())],
             names=["ord", "start", "n", "words"],
@@ -315,6 +309,19 @@ def _copies(rows: DataFrame) -> DataFrame:
     return written(found.select("ord", "tk").distinct(), "phrase_copies")
 
 
+def _told_apart(rows: DataFrame) -> DataFrame:
+    """`rows` with `sub`: 0 for an ord of one row, else a hash of the text; of
+    equal rows one stays."""
+    shared = written(rows.groupBy("ord").count().where("count > 1").select("ord"), "phrase_shared")
+    if shared.isEmpty():
+        return rows.withColumn("sub", F.lit(0).cast("bigint"))
+    beside = broadcast_checked(shared.withColumn("shared", F.lit(True)), BROADCAST_ROWS)
+    marked = rows.join(beside, "ord", "left")
+    alone = marked.where("shared IS NULL").select("ord", "tk", "text", F.lit(0).cast("bigint").alias("sub"))
+    told = marked.where("shared").select("ord", "tk", "text", F.col("tk").alias("sub"))
+    return alone.unionByName(told.dropDuplicates(["ord", "tk", "text"]))
+
+
 def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if
     asked for, the kept words joined by one space."""
@@ -325,25 +332,26 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     ).withColumn("tk", F.xxhash64("text"))
     copies = _copies(rows)
     beside = broadcast_checked(copies, BROADCAST_ROWS)
-    single = rows.join(beside, ["ord", "tk"], "left_anti").select("ord", "tk", "text")
-
-    anchors = written(single.select("ord", "text").mapInArrow(_anchors, "h bigint, ord bigint, at int"), "phrase_anchors")
-    recurring = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    places = anchors.join(recurring, "h").groupBy("ord").agg(F.collect_list("at").alias("places"))
-    stretches = written(places.mapInArrow(_stretches, "ord bigint, stretches array<int>"), "phrase_stretches")
-
-    near = broadcast_weighed(stretches, 12 + 4 * F.size("stretches"), BROADCAST_BYTES)
-    near = single.select("ord", "text").join(near, "ord").select("ord", "text", "stretches")
-    windows = near.mapInArrow(_windows, "w1 bigint, w2 int, ord bigint, start int")
-    first = windows.groupBy("w1", "w2").agg(F.min(F.struct("ord", "start")).alias("first"), F.count(F.lit(1)).alias("k"))
-    first = written(first.where("k > 1").select("w1", "w2", "first.ord", "first.start"), "phrase_first")
-
-    shared = single.groupBy("ord").count().where("count > 1").select("ord", F.lit(True).alias("shared"))
-    starts = first.groupBy("ord").agg(F.collect_list("w1").alias("hashes"), F.collect_list("start").alias("starts"))
-    starts = starts.join(shared, "ord", "left").select("ord", "hashes", "starts", F.coalesce("shared", F.lit(False)).alias("shared"))
-    runs = written(starts.mapInArrow(_runs, "ord bigint, runs array<int>, heads array<bigint>"), "phrase_runs")
-    sources = broadcast_weighed(runs, 12 + 16 * F.size("heads"), BROADCAST_BYTES)
-    sources = single.select("ord", "text").join(sources, "ord").select("ord", "text", "runs", "heads")
+    single = _told_apart(rows.join(beside, ["ord", "tk"], "left_anti").select("ord", "tk", "text"))
+
+    anchors = written(single.select("ord", "sub", "text").mapInArrow(_anchors, "h bigint, ord bigint, sub bigint, at int"), "phrase_anchors")
+    recurring = written(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"), "phrase_recurring")
+    # Rows of the commonest anchors stay where they are.
+    held = join_hot_split(anchors, recurring, ["h"], "k", anchors.count())
+    places = held.groupBy("ord", "sub").agg(F.collect_list("at").alias("places"))
+    stretches = written(places.mapInArrow(_stretches, "ord bigint, sub bigint, stretches array<int>"), "phrase_stretches")
+
+    text = ["ord", "sub"]
+    near = broadcast_weighed(stretches, 20 + 4 * F.size("stretches"), BROADCAST_BYTES)
+    near = single.select(*text, "text").join(near, text).select(*text, "text", "stretches")
+    windows = near.mapInArrow(_windows, "w1 bigint, w2 int, ord bigint, sub bigint, start int")
+    first = windows.groupBy("w1", "w2").agg(F.min(F.struct("ord", "start", "sub")).alias("first"), F.count(F.lit(1)).alias("k"))
+    first = written(first.where("k > 1").select("w1", "w2", "first.ord", "first.sub", "first.start"), "phrase_first")
+
+    starts = first.groupBy(*text).agg(F.collect_list("start").alias("starts"))
+    runs = written(starts.mapInArrow(_runs, "ord bigint, sub bigint, runs array<int>"), "phrase_runs")
+    sources = broadcast_weighed(runs, 20 + 4 * F.size("runs"), BROADCAST_BYTES)
+    sources = single.select(*text, "text").join(sources, text).select("ord", "text", "runs")
     passages = written(sources.mapInArrow(_passages, "ord bigint, start int, n int, words string"), "phrase_passages")
     n_words = passages.agg(F.coalesce(F.sum(F.col("n").cast("long")), F.lit(0))).first()[0]
     shards = max(1, -(-n_words // SHARD_WORDS))
@@ -353,12 +361,12 @@ def remove_repeats(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     # A document goes to the shards of its windows' first places.
     owners = first.select("w1", "w2", shard.alias("shard"), F.col("ord").alias("ord0"), F.col("start").alias("start0"))
     routes = windows.join(owners, ["w1", "w2"]).where("ord <> ord0 or start <> start0")
-    routes = written(routes.select("ord", "shard").distinct(), "phrase_routes")
+    routes = written(routes.select("ord", "sub", "shard").distinct(), "phrase_routes")
     tasks = routes.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / TASK_DOCUMENTS).cast("long").alias("tasks"))
     dealt = routes.join(tasks, "shard").select(
-        "ord", "shard", F.pmod(F.xxhash64(F.lit("task"), "ord"), F.col("tasks")).alias("task")
+        "ord", "sub", "shard", F.pmod(F.xxhash64(F.lit("task"), "ord", "sub"), F.col("tasks")).alias("task")
     )
-    streamed = single.join(broadcast_checked(dealt, BROADCAST_ROWS), "ord").select("shard", "task", "ord", "tk", "text")
+    streamed = single.join(broadcast_checked(dealt, BROADCAST_ROWS), text).select("shard", "task", "ord", "tk", "text")
     copied = passages.join(tasks, "shard").select(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tasks") - 1)).alias("task"), "ord", "start", "words"
     )

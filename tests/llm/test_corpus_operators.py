@@ -313,3 +313,46 @@ def test_pipeline_stages_against_brute_force(spark, sf_small):
             assert out.columns == columns
         docs = out
     assert out.select(F.sum("n_ids")).first()[0] > 0
+
+
+def test_third_of_all_rows_without_id(frame):
+    """Rows that share an ord, copies among them, are searched one text at a time."""
+    rng = random.Random(21)
+    vocab = [f"w{i}" for i in range(500)]
+    passage = [rng.choice(vocab) for _ in range(40)]
+    rows = []
+    for i in range(90):
+        words = [rng.choice(vocab) for _ in range(rng.choice([5, 40, 90]))]
+        if i % 2:
+            at = rng.randrange(len(words))
+            words[at:at] = passage[rng.randrange(15) :]
+        rows.append((None if i % 3 == 0 else 7 if i % 9 == 1 else i, " ".join(words)))
+    rows += [(None, rows[0][1])] * 20 + [(7, rows[1][1])] * 5 + [(None, "")] * 3 + [(None, None)]
+    from scoreflow.llm.repeated_phrases import remove_repeats
+
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in remove_repeats(frame(rows)).collect())
+    assert got == Counter((d, *e) for (d, _), e in zip(rows, brute.repeats(rows)))
+
+
+def test_sql_takes_the_words_that_spark_takes(spark, tmp_path):
+    """Carriage returns, vertical tabs and form feeds separate words too."""
+    import duckdb
+
+    from scoreflow.llm.queries import ORACLE, QUERIES
+
+    rng = random.Random(4)
+    texts = []
+    for i in range(40):
+        words = [f"w{rng.randrange(30 + 10 * (i % 4))}" for _ in range(rng.choice([1, 2, 25, 60]))]
+        texts.append(rng.choice(["\r", "\x0b", "\x0c", "\n", "\t", " ", " \r\n\x0b"]).join(words))
+    texts += [texts[5].replace("\r", "\x0c"), texts[7] + "\x0b", "\x0c", "", None]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{path}/*.parquet'")
+    for name in ("op3_repeated_phrases", "op9_jaccard_join"):
+        found = QUERIES[name](spark, str(tmp_path))
+        want = con.sql(ORACLE[name])
+        got = found.select(*want.columns).collect()
+        assert sorted(map(tuple, got), key=repr) == sorted(want.fetchall(), key=repr), name
