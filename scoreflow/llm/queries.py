@@ -21,7 +21,7 @@ from scoreflow.llm.piece_codec import encode_documents, read_model
 from scoreflow.llm.preference_chat import neighbour_pairs, preference_pairs
 from scoreflow.llm.quality_rules import apply_quality_rules, labelled_sample, learn_decision_list
 from scoreflow.llm.repeated_phrases import remove_repeats
-from scoreflow.llm.secret_scan import secret_digest
+from scoreflow.llm.secret_scan import BASE_KINDS, KINDS, N_BASE, SCOPE, WEAK_GATE, secret_digest
 from scoreflow.llm.whitening import whitening_digest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,7 +76,87 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
-@register("op2_secrets")
+def _secrets_sql() -> str:
+    """Offsets are running sums of the lengths that a split by the pattern and
+    the matches themselves have. RE2 has no lookaround: a weak secret is the
+    start of a maximal run of its characters, with one or two = that no other
+    character of the run follows."""
+
+    def matches(kind: int, regex: str, group: int, least: int) -> str:
+        return f"""
+    SELECT r, {kind} AS kind, list_transform(string_split_regex(t, '{regex}'), lambda x: length(x)) AS gaps,
+           list_transform(regexp_extract_all(t, '{regex}'), lambda x: length(x)) AS lens,
+           list_transform(regexp_extract_all(t, '{regex}', {group}), lambda x: length(x)) AS tested, {least} AS least
+    FROM d"""
+
+    quoted = lambda regex: regex.replace("'", "''")
+    kinds = [matches(i, quoted(regex), group, least) for i, (_, regex, group, least) in enumerate(KINDS) if i != N_BASE + 2]
+    runs = "[A-Za-z0-9+/_.=-]+"
+    name = {k: i for i, (k, *_) in enumerate(KINDS)}
+    before = "OVER (PARTITION BY r ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    after = "OVER (PARTITION BY r ORDER BY s, e ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
+    ident = f"kind IN ({name['ident']}, {name['access']})"
+    endpoint = f"kind = {name['endpoint']}"
+    cover = f"kind < {N_BASE} OR {endpoint}"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(kinds)}),
+p AS (
+    SELECT r, kind, tested[i] AS tested, least, lens[i] AS n,
+           list_sum(gaps[1:i]) + coalesce(list_sum(lens[1:i - 1]), 0) AS s
+    FROM (SELECT *, unnest(range(1, len(lens) + 1)) AS i FROM m)
+),
+w AS (
+    SELECT r, list_sum(gaps[1:i]) + coalesce(list_sum(lens[1:i - 1]), 0) AS s, runs[i] AS run
+    FROM (
+        SELECT r, list_transform(string_split_regex(t, '{runs}'), lambda x: length(x)) AS gaps, regexp_extract_all(t, '{runs}') AS runs,
+               list_transform(regexp_extract_all(t, '{runs}'), lambda x: length(x)) AS lens,
+               unnest(range(1, len(regexp_extract_all(t, '{runs}')) + 1)) AS i
+        FROM d WHERE regexp_matches(t, '{WEAK_GATE}')
+    )
+),
+h AS (SELECT r, s, run, regexp_extract(run, '^[A-Za-z0-9+/_-]{{20,}}') AS head FROM w),
+q AS (SELECT *, length(regexp_extract(substr(run, length(head) + 1), '^=*')) AS eq FROM h WHERE head <> ''),
+k AS (
+    SELECT r, s, head,
+           CASE WHEN length(head) + eq = length(run) OR eq > 2 THEN least(eq, 2) WHEN eq > 0 THEN eq - 1 END AS tail
+    FROM q
+),
+parts AS (
+    SELECT r, kind, s, s + n AS e FROM p WHERE tested >= least
+    UNION ALL
+    SELECT r, {name['weak']}, s, s + length(head) + tail
+    FROM k WHERE tail IS NOT NULL AND regexp_matches(head, '[0-9]') AND regexp_matches(head, '[A-Za-z]')
+),
+x AS (
+    SELECT *, max(CASE WHEN {cover} THEN e END) {before} AS cover_e, min(CASE WHEN {cover} THEN s END) {after} AS cover_s,
+           max(CASE WHEN {ident} THEN e END) {before} AS ident_e, min(CASE WHEN {ident} THEN s END) {after} AS ident_s,
+           max(CASE WHEN {endpoint} THEN e END) {before} AS endpoint_e, min(CASE WHEN {endpoint} THEN s END) {after} AS endpoint_s
+    FROM parts
+),
+y AS (
+    SELECT r, kind, s, e,
+           CASE WHEN kind < {N_BASE} THEN {[k for k, *_ in BASE_KINDS]}[kind + 1]
+                WHEN kind = {name['weak']} AND coalesce(cover_e, 0) <= s AND coalesce(cover_s, e) >= e
+                     AND (coalesce(s - ident_e <= {SCOPE}, false) OR coalesce(ident_s - e <= {SCOPE}, false))
+                THEN CASE WHEN coalesce(s - endpoint_e <= {SCOPE}, false) OR coalesce(endpoint_s - e <= {SCOPE}, false)
+                          THEN 'credential_at_endpoint' ELSE 'credential' END END AS label
+    FROM x
+),
+g AS (
+    SELECT r, {", ".join(f"count(*) FILTER (WHERE kind = {i}) AS n_{k}" for i, (k, *_) in enumerate(BASE_KINDS))},
+           count(*) FILTER (WHERE kind >= {N_BASE}) AS n_linked,
+           string_agg(label || ':' || s || ':' || e, ',' ORDER BY s, kind) FILTER (WHERE kind < {N_BASE}) AS base,
+           string_agg(label || ':' || s || ':' || e, ',' ORDER BY s, kind) AS spans
+    FROM y WHERE label IS NOT NULL GROUP BY r
+)
+SELECT d.doc_id, {", ".join(f"coalesce(g.n_{k}, 0) AS n_{k}" for k, *_ in BASE_KINDS)}, sha256(coalesce(g.base, '')) AS base_sha256,
+       coalesce(g.spans, '') AS spans, coalesce(g.n_linked, 0) AS n_linked
+FROM d LEFT JOIN g USING (r)
+"""
+
+
+@register("op2_secrets", _secrets_sql())
 def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(read_table(spark, sf_dir, "documents"))
 
