@@ -1,8 +1,10 @@
 """License scans: ordered signature rules behind a keyword prefilter.
 
 Native. A document is normalised to its words (A-Z lowered, joined by single
-spaces). Hundreds of rules are formed from license families and the ways a
-license is named; each has a keyword that any match must contain. Documents
+spaces). The rules are one ordered table: hand-written signatures (titles,
+headers, notices and clauses of the licenses, in `license_signatures`), the
+ways a license is named, filled in for the license families, and a few
+sentences. Each rule has a keyword that any match must contain. Documents
 that carry no license trigger never leave the first projection. The others
 are joined with the rules by the keywords they contain, so a rule's regex runs
 only where its keyword stands. Overlapping detections of one document are
@@ -27,6 +29,7 @@ from scoreflow.llm.common import (
     split_words,
     text_or_empty,
 )
+from scoreflow.llm.license_signatures import signatures
 
 # Base phrases and their labels (fixed by the query's contract).
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -114,9 +117,9 @@ TRIGGER = "(?i:licen[sc]e|spdx|copyright|redistribut|" + "|".join(p.replace(" ",
 
 
 def signature_rules() -> list[tuple[int, str, str, str, int, float]]:
-    """(rule id, keyword, regex, label, priority, confidence): one rule per
-    family, form and name, then the sentences."""
-    rules = []
+    """(rule id, keyword, regex, label, priority, confidence): the signatures,
+    then one rule per family, form and name, then the sentences."""
+    rules = [(regex, keyword, label, priority, confidence) for regex, label, keyword, priority, confidence in signatures()]
     for label, names, keywords in FAMILIES:
         for form, priority, confidence in FORMS:
             for keyword in keywords:
