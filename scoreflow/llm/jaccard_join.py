@@ -65,7 +65,7 @@ from pyspark.sql import functions as F
 
 from scoreflow.llm import sketch
 from scoreflow.llm.common import broadcast_checked, discard, stored, text_or_empty
-from scoreflow.llm.components import components
+from scoreflow.llm.components import FILE_ROWS, components
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
 
 BAND_RATIO = 2.0
@@ -560,7 +560,7 @@ class _Pairs:
             discard(self.pairs)
             self.pairs = kept
         ids = self.pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        self.ids = stored(ids, "pair_ids")
+        self.ids = stored(ids.coalesce(1 + self.pairs.count() // FILE_ROWS), "pair_ids")
         self.texts = sets.texts.join(broadcast_checked(self.ids, BROADCAST_CLASSES), "cid", "left_semi")
 
     def joined(self) -> DataFrame:
@@ -715,7 +715,9 @@ def _small_bucket_pairs(live: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _merge(comp: DataFrame | None, links: DataFrame) -> DataFrame:
-    """`comp` (cid, comp) after further links between classes."""
+    """`comp` (cid, comp) after further links between classes; itself without any."""
+    if comp is not None and links.isEmpty():
+        return comp
     if comp is None:
         merged = components(links)
         out = stored(merged.select(F.col("node").alias("cid"), "comp"), "comps")
@@ -746,7 +748,8 @@ def _resolve(members: DataFrame, sets: _Sets, comp: DataFrame | None, rule: Rule
     pairs = members.where((F.col("cid") != F.col("p")) & near).select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
     found = _compare(pairs, sets, rule, min(rule.numerator, rule.ball))
     was, comp = comp, _merge(comp, found.where("linked").select("a", "b"))
-    discard(*([was] if was is not None else []))
+    if was is not None and was is not comp:
+        discard(was)
     # A bucket of two is settled by its one comparison, one of a single component too.
     shown = found.groupBy(F.col("a").alias("cid"), F.col("b").alias("p")).agg(F.max("linked").alias("linked"), F.max("near").alias("near"))
     live = _placed(members, comp).join(shown, ["cid", "p"], "left")
@@ -766,7 +769,7 @@ def _resolve(members: DataFrame, sets: _Sets, comp: DataFrame | None, rule: Rule
     if not last and not outside.isEmpty():
         left = stored(large.where("NOT linked").join(outside, "entry", "left_semi").select("cid").distinct(), "left")
     merged = _merge(comp, linked.where("linked").select("a", "b"))
-    discard(comp, linked, live)
+    discard(linked, live, *([comp] if merged is not comp else []))
     return merged, left
 
 
