@@ -65,7 +65,7 @@ from pyspark.sql import functions as F
 
 from scoreflow.llm import sketch
 from scoreflow.llm.common import broadcast_checked, discard, stored, text_or_empty
-from scoreflow.llm.components import FILE_ROWS, components
+from scoreflow.llm.components import components
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
 
 BAND_RATIO = 2.0
@@ -83,6 +83,8 @@ LANE_ROWS = 4096
 SMALL_BUCKET = 8
 # Joins of what is left; the last settles every pair.
 ROUNDS = 3
+# Rows of ids, without texts, that one task writes.
+TASK_IDS = 200_000
 # Ids of at most this many classes are broadcast to pick their texts.
 BROADCAST_CLASSES = 500_000
 
@@ -551,16 +553,17 @@ class _Pairs:
     to where b is, and that of b is read there. Pairs that the signatures rule
     out need no text."""
 
-    def __init__(self, pairs: DataFrame, sets: _Sets, screen: tuple[int, int] | None = None):
-        self.pairs = stored(pairs, "pairs")
+    def __init__(self, pairs: DataFrame, sets: _Sets, members: int, screen: tuple[int, int] | None = None):
+        self.pairs = stored(_few(pairs, members), "pairs")
+        rows = self.pairs.count()
         if screen is not None:
             side = {c: sets.signatures.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"}
             open_pairs = self.pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(lambda batches: _screened(batches, *screen), "a bigint, b bigint")
-            kept = stored(open_pairs.distinct(), "screened")
+            kept = stored(_few(open_pairs.distinct(), rows), "screened")
             discard(self.pairs)
             self.pairs = kept
         ids = self.pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
-        self.ids = stored(ids.coalesce(1 + self.pairs.count() // FILE_ROWS), "pair_ids")
+        self.ids = stored(_few(ids, rows), "pair_ids")
         self.texts = sets.texts.join(broadcast_checked(self.ids, BROADCAST_CLASSES), "cid", "left_semi")
 
     def joined(self) -> DataFrame:
@@ -572,9 +575,14 @@ class _Pairs:
         discard(self.pairs, self.ids)
 
 
-def _compare(pairs: DataFrame, sets: _Sets, rule: Rule, numerator: int) -> DataFrame:
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    """A table of ids of about so many rows in as few files."""
+    return df.coalesce(1 + rows // TASK_IDS)
+
+
+def _compare(pairs: DataFrame, sets: _Sets, members: int, rule: Rule, numerator: int) -> DataFrame:
     """The pairs of at least the similarity numerator / denominator."""
-    beside = _Pairs(pairs.select("a", "b"), sets, (numerator, rule.denominator) if numerator > 0 else None)
+    beside = _Pairs(pairs.select("a", "b"), sets, members, (numerator, rule.denominator) if numerator > 0 else None)
     found = beside.joined().select("a", "b", "text_a", "text_b")
     out = stored(found.mapInArrow(lambda batches: _compared(batches, rule), COMPARED), "compared")
     beside.done()
@@ -682,12 +690,12 @@ def _probes(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -
         yield pa.RecordBatch.from_arrays(arrays, names=["p", "t", "a", "n", "comp", "probe", "far"])
 
 
-def _ball_pairs(live: DataFrame, sets: _Sets, rule: Rule) -> DataFrame:
+def _ball_pairs(live: DataFrame, sets: _Sets, members: int, rule: Rule) -> DataFrame:
     """Candidates of different components among the members (cid, comp, p) of
     balls: two that share a difference from p which is among the rarest
     that matter of either."""
     compared = live.where("cid <> p").select(F.col("cid").alias("a"), F.col("p").alias("b"), "comp").distinct()
-    beside = _Pairs(compared, sets)
+    beside = _Pairs(compared, sets, members)
     apart = beside.joined().select("a", "b", "comp", "text_a", "text_b")
     apart = stored(apart.mapInArrow(lambda batches: _differences(batches, rule), DIFFERENCES), "differences")
     beside.done()
@@ -746,7 +754,8 @@ def _resolve(members: DataFrame, sets: _Sets, comp: DataFrame | None, rule: Rule
     that are returned beside it, to be joined anew (None: none are left)."""
     near = _near_sizes("n", "n_p", rule, min(rule.numerator, rule.ball))
     pairs = members.where((F.col("cid") != F.col("p")) & near).select(F.col("cid").alias("a"), F.col("p").alias("b")).distinct()
-    found = _compare(pairs, sets, rule, min(rule.numerator, rule.ball))
+    rows = members.count()
+    found = _compare(pairs, sets, rows, rule, min(rule.numerator, rule.ball))
     was, comp = comp, _merge(comp, found.where("linked").select("a", "b"))
     if was is not None and was is not comp:
         discard(was)
@@ -757,17 +766,17 @@ def _resolve(members: DataFrame, sets: _Sets, comp: DataFrame | None, rule: Rule
     live = live.withColumns(
         {"linked": itself | F.coalesce("linked", F.lit(False)), "near": itself | F.coalesce("near", F.lit(rule.ball <= 0 or last))}
     )
-    live = stored(live, "unsettled")
+    live = stored(_few(live, rows), "unsettled")
     discard(found)
     if live.isEmpty():
         return comp, None
     large = live.where(F.col("k") > SMALL_BUCKET)
-    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(large.where("near"), sets, rule)).distinct()
-    linked = _compare(more, sets, rule, rule.numerator)
+    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(large.where("near"), sets, rows, rule)).distinct()
+    linked = _compare(more, sets, rows, rule, rule.numerator)
     left = None
     outside = large.where("NOT near").select("entry").distinct()
     if not last and not outside.isEmpty():
-        left = stored(large.where("NOT linked").join(outside, "entry", "left_semi").select("cid").distinct(), "left")
+        left = stored(_few(large.where("NOT linked").join(outside, "entry", "left_semi").select("cid").distinct(), rows), "left")
     merged = _merge(comp, linked.where("linked").select("a", "b"))
     discard(linked, live, *([comp] if merged is not comp else []))
     return merged, left
