@@ -5,6 +5,8 @@
     python -m scoreflow.cli export --source api_response_log --export_root ... --job_datetime ...
     python -m scoreflow.cli gate --log_source activity_log --activities load,score --day 2024-01-15
     python -m scoreflow.cli bronze --bootstrap_servers ... --topic ... --target ... --checkpoint ...
+    python -m scoreflow.cli compact-bronze --target ... --vacuum_keep 2
+    python -m scoreflow.cli compact-features --output_path ... --before 2024-02-01
     python -m scoreflow.cli db-to-lake --jdbc_url ... --jdbc_driver ... --sql_file ... --target_path ... --data_dt ...
     python -m scoreflow.cli lake-to-db --sql_file ... --param data_dt=20240101 --jdbc_url ... --table ...
 
@@ -60,6 +62,13 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(f, "run_tag", default="manual")
     _opt(f, "day", type=dt.date.fromisoformat, default=None, help="YYYY-MM-DD: build and replace this day only")
 
+    _opt(f, "day_store", type=_bool, default=False, help="with --day: a store of days that compact-features turns into months")
+
+    cf = sub.add_parser("compact-features", help="B1: closed months of a day store into one folder each")
+    _opt(cf, "output_path", required=True)
+    _opt(cf, "before", type=dt.date.fromisoformat, required=True, help="YYYY-MM-DD: months that end before this day are closed")
+    _opt(cf, "vacuum_keep", type=int, default=0, help="remove folders that none of so many last versions names (0: keep all)")
+
     t = sub.add_parser("train", help="B2: credit-risk training run")
     _opt(t, "feature_store_path", required=True)
     _opt(t, "model_registry_path", required=True)
@@ -94,6 +103,13 @@ def build_parser() -> argparse.ArgumentParser:
     _opt(b, "min_partitions", type=int)
     _opt(b, "format", default="parquet")
 
+    _opt(b, "compactable", type=_bool, default=False, help="target is the root of a store that compact-bronze compacts")
+
+    cb = sub.add_parser("compact-bronze", help="B5: new batches of a bronze store into few files per day")
+    _opt(cb, "target", required=True)
+    _opt(cb, "file_mb", type=int, default=256)
+    _opt(cb, "vacuum_keep", type=int, default=0, help="remove what none of so many last versions needs (0: keep all)")
+
     g = sub.add_parser("gate", help="B7: which activities completed on a day")
     _opt(g, "log_source", required=True, help="activity log: catalog table/view name, path, or database table with --jdbc_url")
     _opt(g, "jdbc_url", help="read --log_source from this database (the day filter is pushed into its query)")
@@ -158,7 +174,21 @@ def _run(spark, args: argparse.Namespace) -> None:
     if args.job == "features":
         from scoreflow.plans.feature_store import feature_job
 
-        print(json.dumps(feature_job(spark, args.input_path, args.output_path, args.run_tag, args.day).__dict__))
+        if args.day_store:
+            from scoreflow.plans.daily_store import build_days
+
+            if args.day is None:
+                raise SystemExit("--day_store builds a --day")
+            report = build_days(spark, args.input_path, args.output_path, args.day, args.day + dt.timedelta(days=1), args.run_tag)
+        else:
+            report = feature_job(spark, args.input_path, args.output_path, args.run_tag, args.day)
+        print(json.dumps(report.__dict__))
+    elif args.job == "compact-features":
+        from scoreflow.plans.daily_store import compact_months, vacuum_store
+
+        made = compact_months(spark, args.output_path, args.before)
+        gone = vacuum_store(spark, args.output_path, args.vacuum_keep) if args.vacuum_keep else []
+        print(json.dumps({"version": made.version, "folders": len(made.folders), "removed": len(gone)}))
     elif args.job == "train":
         from scoreflow.plans.training import TrainingConfig, training_run
 
@@ -208,9 +238,20 @@ def _run(spark, args: argparse.Namespace) -> None:
             args.bootstrap_servers, args.topic, args.starting_offsets, args.max_offsets_per_trigger,
             args.security_protocol, args.sasl_mechanism, jaas, args.min_partitions,
         )
-        query = start_bronze(kafka_source(spark, opts), args.target, args.checkpoint, fmt=args.format)
+        if args.compactable:
+            from scoreflow.streaming.bronze_store import start_bronze_store
+
+            query = start_bronze_store(kafka_source(spark, opts), args.target, args.checkpoint)
+        else:
+            query = start_bronze(kafka_source(spark, opts), args.target, args.checkpoint, fmt=args.format)
         print(json.dumps({"query_id": str(query.id)}))
         query.awaitTermination()
+    elif args.job == "compact-bronze":
+        from scoreflow.streaming.bronze_store import compact, vacuum
+
+        made = compact(spark, args.target, args.file_mb << 20)
+        gone = vacuum(spark, args.target, args.vacuum_keep) if args.vacuum_keep else []
+        print(json.dumps({"version": made.version, "days": len(made.folders), "removed": len(gone)}))
     elif args.job == "db-to-lake":
         from scoreflow.plans.loads import db_to_lake
         from scoreflow.sources.jdbc import JdbcPartitioning, JdbcPredicates, jdbc_partitioning, rows_after

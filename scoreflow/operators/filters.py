@@ -39,11 +39,6 @@ def drop_unlabelled(df: DataFrame, label_col: str = LABEL_COLUMN) -> DataFrame:
     return df.dropna(subset=[label_col])
 
 
-def split_by_label(df: DataFrame, label_col: str = LABEL_COLUMN) -> tuple[DataFrame, DataFrame]:
-    """(positives, negatives). Rows with any other label are in neither."""
-    return df.filter(F.col(label_col) == 1), df.filter(F.col(label_col) == 0)
-
-
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType, T.BooleanType)
 
 

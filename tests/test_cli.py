@@ -112,3 +112,31 @@ def test_one_day_of_features(spark, sf_small, capsys):
         assert main(["features", "--input_path", sf_small, "--output_path", f"{root}/fs", "--run_tag", tag, "--day", str(day)]) == 0
     back = spark.read.parquet(f"{root}/fs")
     assert {(r.snapshot_date, r.run_tag) for r in back.collect()} == {(day, "r2")}
+
+
+def test_day_store_jobs(spark, sf_small, capsys):
+    from scoreflow.plans.daily_store import read_daily_store
+
+    root = scratch_path(spark, "t_cli_days")
+    day = spark.read.parquet(f"{sf_small}/orders.parquet").selectExpr("cast(min(o_orderdate) as date)").first()[0]
+    for tag in ("r1", "r2"):
+        assert main(["features", "--input_path", sf_small, "--output_path", root, "--run_tag", tag, "--day", str(day), "--day-store", "true"]) == 0
+    assert main(["compact-features", "--output_path", root, "--before", "2030-01-01", "--vacuum_keep", "1"]) == 0
+    done = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert done == {"version": 2, "folders": 1, "removed": 2}
+    assert {(r.snapshot_date, r.run_tag) for r in read_daily_store(spark, root).collect()} == {(day, "r2")}
+
+
+def test_compact_bronze_job(spark, sf_small, capsys):
+    from scoreflow.plans.fixtures import stage_envelopes
+    from scoreflow.streaming.bronze import envelope_file_source
+    from scoreflow.streaming.bronze_store import read_bronze_store, start_bronze_store
+
+    root = scratch_path(spark, "t_cli_bronze")
+    landing = stage_envelopes(spark, sf_small, f"{root}/landing", 400)
+    start_bronze_store(envelope_file_source(spark, landing, 3), f"{root}/s", f"{root}/c", available_now=True).awaitTermination()
+    rows = read_bronze_store(spark, f"{root}/s").count()
+    assert main(["compact-bronze", "--target", f"{root}/s", "--vacuum-keep", "1"]) == 0
+    done = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert done["version"] == 0 and done["removed"] > 0
+    assert read_bronze_store(spark, f"{root}/s").count() == rows == spark.read.parquet(landing).count()
