@@ -703,8 +703,11 @@ def _ball_pairs(live: DataFrame, sets: _Sets, members: int, rule: Rule) -> DataF
     rows = apart.where("piece IS NULL").select("p", "a", "n", "n_p", "comp", "tokens")
     rows = stored(rows.mapInArrow(lambda batches: _probes(batches, rule, counts), PROBES), "probes")
     discard(apart)
-    # Groups of one component, such as a second cluster, need no pairs.
-    mixed = rows.groupBy("p", "t").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").select("p", "t")
+    # Groups of one component, such as a second cluster, need no pairs, and of
+    # groups that hold the same members (a shared passage has many) one will do.
+    prints = [F.bit_xor(F.xxhash64(F.lit(i), "a", "probe", "far")).alias(f"print{i}") for i in (0, 1)]
+    groups = rows.groupBy("p", "t").agg(F.min("comp").alias("low"), F.max("comp").alias("top"), F.count(F.lit(1)).alias("k"), *prints)
+    mixed = groups.where("low < top").groupBy("p", "k", "print0", "print1").agg(F.min("t").alias("t")).select("p", "t")
     rows = rows.join(mixed, ["p", "t"])
     index = rows.where("far").select("p", "t", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
     pairs = rows.where("probe").join(index, ["p", "t"]).where(
