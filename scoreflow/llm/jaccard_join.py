@@ -659,14 +659,15 @@ def difference_prefixes(size: int, n: int, n_p: int, rule: Rule) -> tuple[int, i
     return size - max(least, far) + 1, size - least + 1
 
 
-PROBES = "p bigint, t bigint, a bigint, n bigint, comp bigint, probe boolean, far boolean"
+PROBES = "p bigint, t bigint, a bigint, n bigint, comp bigint, size bigint, at bigint, probe boolean, far boolean"
 
 
 def _probes(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The rarest differences of every class that another may share."""
+    """The rarest differences of every class that another may share, each with
+    the number of all its differences and its place among them by rarity."""
     for batch in batches:
         facts = [batch.column(c).to_numpy() for c in ("p", "a", "n", "n_p", "comp")]
-        out = [[] for _ in range(7)]
+        out = [[] for _ in range(9)]
         for i in range(batch.num_rows):
             p, a, n, n_p, comp = (int(f[i]) for f in facts)
             tokens = batch.column("tokens")[i].values.to_numpy(zero_copy_only=False).view(U)
@@ -683,11 +684,13 @@ def _probes(batches: Iterator[pa.RecordBatch], rule: Rule, counts: np.ndarray) -
             rows = int(met.sum())
             for column, value in zip(out, (p, None, a, n, comp), strict=False):
                 column.append(np.full(rows, value) if value is not None else mixed[order][met].view(np.int64))
-            out[5].append((at < probe)[met])
-            out[6].append(((at < index) & is_far)[met])
+            out[5].append(np.full(rows, len(tokens)))
+            out[6].append(at[met])
+            out[7].append((at < probe)[met])
+            out[8].append(((at < index) & is_far)[met])
         columns = [np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in out]
-        arrays = [pa.array(c.astype(np.int64)) for c in columns[:5]] + [pa.array(c.astype(bool)) for c in columns[5:]]
-        yield pa.RecordBatch.from_arrays(arrays, names=["p", "t", "a", "n", "comp", "probe", "far"])
+        arrays = [pa.array(c.astype(np.int64)) for c in columns[:7]] + [pa.array(c.astype(bool)) for c in columns[7:]]
+        yield pa.RecordBatch.from_arrays(arrays, names=["p", "t", "a", "n", "comp", "size", "at", "probe", "far"])
 
 
 def _ball_pairs(live: DataFrame, sets: _Sets, members: int, rule: Rule) -> DataFrame:
@@ -703,16 +706,18 @@ def _ball_pairs(live: DataFrame, sets: _Sets, members: int, rule: Rule) -> DataF
     rows = apart.where("piece IS NULL").select("p", "a", "n", "n_p", "comp", "tokens")
     rows = stored(rows.mapInArrow(lambda batches: _probes(batches, rule, counts), PROBES), "probes")
     discard(apart)
-    # Groups of one component, such as a second cluster, need no pairs, and of
-    # groups that hold the same members (a shared passage has many) one will do.
-    prints = [F.bit_xor(F.xxhash64(F.lit(i), "a", "probe", "far")).alias(f"print{i}") for i in (0, 1)]
-    groups = rows.groupBy("p", "t").agg(F.min("comp").alias("low"), F.max("comp").alias("top"), F.count(F.lit(1)).alias("k"), *prints)
-    mixed = groups.where("low < top").groupBy("p", "k", "print0", "print1").agg(F.min("t").alias("t")).select("p", "t")
+    # Groups of one component, such as a second cluster, need no pairs.
+    mixed = rows.groupBy("p", "t").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").select("p", "t")
     rows = rows.join(mixed, ["p", "t"])
-    index = rows.where("far").select("p", "t", F.col("a").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
+    index = rows.where("far").select("p", "t", *[F.col(c).alias(f"{c}_b") for c in ("a", "n", "comp", "size", "at")])
+    # If t is the first difference that two members share, they share no more
+    # than stand from it on; a link keeps the row of its first one.
+    most = F.least(F.col("size") - F.col("at"), F.col("size_b") - F.col("at_b"))
+    enough = 2 * rule.above * most >= rule.above * (F.col("size") + F.col("size_b")) - rule.below * (F.col("n") + F.col("n_b"))
     pairs = rows.where("probe").join(index, ["p", "t"]).where(
-        (F.col("a") != F.col("b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule)
+        (F.col("a") != F.col("a_b")) & (F.col("comp") != F.col("comp_b")) & _near_sizes("n", "n_b", rule) & enough
     )
+    pairs = pairs.select("a", F.col("a_b").alias("b"))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
