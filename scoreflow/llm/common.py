@@ -7,6 +7,9 @@ splitting on the separators: `split` walks the text once and, unlike
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +91,18 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of the jobs run inside end at `size` bytes."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def rows_at_most(df: DataFrame, limit: int) -> bool:
     """Whether `df` has at most `limit` rows (counts no further than that)."""
     return df.limit(limit + 1).count() <= limit

@@ -35,9 +35,11 @@ never made. Each bucket compares its members with one pivot, and
 links join components. In a large bucket that still holds several components,
 the Jaccard distance (a metric) tells what is left. With t the threshold, a set
 that links with a member linked to the pivot lies within 2 (1 - t) of the
-pivot, in its ball. Pairs inside the ball are found by a join of the members'
-differences from the pivot, of which only those that are rare and shared are
-written out. Members outside the ball, and those inside that do not link with
+pivot, in its ball. Pairs inside the ball share one of the rarest of the members'
+differences from the pivot. A ball of up to BALL_TOKENS differences is one group
+of a task, which counts them exactly and writes out no more than the pairs that
+they leave; a larger one is joined on the differences, of which only those that
+are rare and shared are written out. Members outside the ball, and those inside that do not link with
 the pivot, are joined anew among themselves, in segments of another hash and
 with other pivots; the last of ROUNDS joins takes all members of a bucket as
 its ball, so that every pair is settled. Two members of one component need no
@@ -64,7 +66,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scoreflow.llm import sketch
-from scoreflow.llm.common import broadcast_checked, discard, stored, text_or_empty
+from scoreflow.llm.common import arrow_batches, broadcast_checked, discard, stored, text_or_empty
 from scoreflow.llm.components import components
 from scoreflow.llm.hashing import U, batch_words, inside, mix, slices, window_hashes
 
@@ -81,6 +83,12 @@ DEPTH = 4
 LANE_ROWS = 4096
 # Members of a bucket whose pairs are compared outright, a few for each member.
 SMALL_BUCKET = 8
+# Differences of a ball whose pairs one task finds.
+BALL_TOKENS = 1 << 20
+# Bytes of the bitmaps that a task holds side by side.
+CHUNK_BYTES = 1 << 22
+# Bytes of an Arrow batch: the texts of pairs may be long.
+BATCH_BYTES = 4 << 20
 # Joins of what is left; the last settles every pair.
 ROUNDS = 3
 # Rows of ids, without texts, that one task writes.
@@ -594,55 +602,51 @@ def _near_sizes(a: str, b: str, rule: Rule, numerator: int | None = None):
     return F.greatest(a, b) * F.lit(max(numerator, 0)) <= F.least(a, b) * rule.denominator
 
 
-DIFFERENCES = "a bigint, p bigint, comp bigint, n bigint, n_p bigint, tokens array<bigint>, piece int, counts array<bigint>"
+DIFFERENCES = "a bigint, p bigint, comp bigint, n bigint, n_p bigint, tokens array<bigint>"
 
 
 def _differences(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """Shingle hashes that only one of a class and its pivot has, the sizes of
-    both, and the task's counts of the hashes by pivot."""
-    counts = sketch.Counts()
+    """Shingle hashes that only one of a class and its pivot has, and the sizes
+    of both."""
     known, pivot = None, None
-    schema = pa.schema(
-        [(c, pa.int64()) for c in ("a", "p", "comp", "n", "n_p")]
-        + [("tokens", pa.list_(pa.int64())), ("piece", pa.int32()), ("counts", pa.list_(pa.int64()))]
-    )
     for batch in batches:
-        p, met = batch.column("b").to_pylist(), []
+        p = batch.column("b").to_pylist()
         tokens, n, n_p = [], [], []
         for i in range(batch.num_rows):
             if p[i] != known:
                 known, pivot = p[i], document_sets(batch.column("text_b").slice(i, 1), rule.shingle)[1]
             other = document_sets(batch.column("text_a").slice(i, 1), rule.shingle)[1]
-            both = np.setxor1d(other, pivot, assume_unique=True)
-            met.append(_of_pivot(both, p[i]))
-            tokens.append(both.view(np.int64))
+            tokens.append(np.setxor1d(other, pivot, assume_unique=True).view(np.int64))
             n.append(len(other))
             n_p.append(len(pivot))
-        if met:
-            counts.add(np.concatenate(met))
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in tokens])]).astype(np.int32)
         values = np.concatenate(tokens) if tokens else np.zeros(0, dtype=np.int64)
-        rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
             [
                 *[batch.column(c) for c in ("a", "b", "comp")], pa.array(n, pa.int64()), pa.array(n_p, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-                pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.list_(pa.int64())),
             ],
-            schema=schema,
+            names=["a", "p", "comp", "n", "n_p", "tokens"],
         )
+
+
+def _difference_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The task's counts of the differences by pivot."""
+    counts = sketch.Counts()
+    for batch in batches:
+        lists = batch.column("tokens")
+        pivots = np.repeat(batch.column("p").to_numpy(), np.asarray(pa.compute.list_value_length(lists)))
+        counts.add(_of_pivot(lists.flatten().to_numpy(zero_copy_only=False).view(U), pivots))
     pieces, values = counts.pieces()
-    if pieces:
-        none = [pa.nulls(len(pieces), schema.field(i).type) for i in range(6)]
-        held = pa.array([v.tolist() for v in values], pa.list_(pa.int64()))
-        yield pa.RecordBatch.from_arrays([*none, pa.array(pieces, pa.int32()), held], schema=schema)
+    held = pa.array([v.tolist() for v in values], pa.list_(pa.int64()))
+    yield pa.RecordBatch.from_arrays([pa.array(pieces, pa.int32()), held], names=["piece", "counts"])
 
 
-def _of_pivot(tokens: np.ndarray, p: int) -> np.ndarray:
-    return mix(tokens ^ mix(np.array([p]).astype(np.int64).view(U)))
+def _of_pivot(tokens: np.ndarray, p: int | np.ndarray) -> np.ndarray:
+    return mix(tokens ^ mix(np.atleast_1d(p).astype(np.int64).view(U)))
 
 
-def difference_prefixes(size: int, n: int, n_p: int, rule: Rule) -> tuple[int, int]:
+def difference_prefixes(size, n, n_p, rule: Rule):
     """How many of the rarest of the |X'| = `size` differences of X from its
     pivot can matter, for a partner that does not link with the pivot and, if X
     does not itself, for any partner.
@@ -654,9 +658,76 @@ def difference_prefixes(size: int, n: int, n_p: int, rule: Rule) -> tuple[int, i
     |Y'| > c (n_Y + n_p), so also 2 s > |X'| + c (n_p - n_X). The rarest shared
     difference then stands among the |X'| - s + 1 rarest of X', and among the
     |Y'| - s + 1 rarest of Y', in one order of all differences."""
-    least = max(1, size - n * rule.below // rule.numerator)
+    least = np.maximum(1, size - n * rule.below // rule.numerator)
     far = (rule.above * size + rule.below * (n_p - n)) // (2 * rule.above) + 1
-    return size - max(least, far) + 1, size - least + 1
+    return size - np.maximum(least, far) + 1, size - least + 1
+
+
+def _in_balls(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """The pairs of every ball of rows (a, p, comp, n, n_p, tokens) that are
+    sorted by p; one ball is held at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        p = batch.column("p").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(p)) + 1).tolist(), len(p)]
+        for begin, end in zip(cuts, cuts[1:], strict=False):
+            if held and begin < end and held[0].column("p")[0].as_py() != p[begin]:
+                yield from _ball(held, rule)
+                held = []
+            if begin < end:
+                held.append(batch.slice(begin, end - begin))
+    if held:
+        yield from _ball(held, rule)
+
+
+def _ball(parts: list[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components of one ball whose differences from the
+    pivot leave a link open: they share one that is among the rarest that
+    matter of either, and parity bitmaps of all of them are near enough."""
+    rows = pa.Table.from_batches(parts)
+    a, n, n_p, comp = (rows.column(c).to_numpy() for c in ("a", "n", "n_p", "comp"))
+    lists = rows.column("tokens").combine_chunks()
+    sizes = np.asarray(pa.compute.list_value_length(lists)).astype(np.int64)
+    tokens = lists.flatten().to_numpy(zero_copy_only=False).view(U)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    bits = 64
+    while bits * len(sizes) < 2 * len(tokens):
+        bits *= 2
+    signs = np.zeros((len(sizes), bits // 64), dtype=U)
+    bit = mix(tokens + U(0x9A)) & U(bits - 1)
+    np.bitwise_xor.at(signs, (owner, (bit >> U(6)).astype(np.int64)), U(1) << (bit & U(63)))
+    _, token, count = np.unique(tokens, return_inverse=True, return_counts=True)
+    times = count[token]
+    order = np.lexsort((token, times, owner))
+    token, times = token[order], times[order]
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    probe, index = difference_prefixes(sizes, n, n_p, rule)
+    is_far = rule.above * sizes > rule.below * (n + n_p)
+    looks = np.flatnonzero((times > 1) & (at < probe[owner]))
+    holds = np.flatnonzero((times > 1) & (at < index[owner]) & is_far[owner])
+    holds = holds[np.argsort(token[holds], kind="stable")]
+    first = np.searchsorted(token[holds], token[looks])
+    many = np.searchsorted(token[holds], token[looks], side="right") - first
+    ends, begin = np.cumsum(many), 0
+    while begin < len(looks):
+        done = ends[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(ends, done + CHUNK_BYTES // (bits // 8), side="right")))
+        met = many[begin:end]
+        i = np.repeat(looks[begin:end], met)
+        j = holds[np.arange(len(i)) + np.repeat(first[begin:end] - (ends[begin:end] - met - done), met)]
+        x, y = owner[i], owner[j]
+        # If a token is the first that two members share, they share no more
+        # than stand from it on; a link keeps the row of its first one.
+        most = np.minimum(sizes[x] - at[i], sizes[y] - at[j])
+        both = rule.below * (n[x] + n[y])
+        fit = np.maximum(n[x], n[y]) * rule.numerator <= np.minimum(n[x], n[y]) * rule.denominator
+        keep = (a[x] != a[y]) & (comp[x] != comp[y]) & fit & (2 * rule.above * most >= rule.above * (sizes[x] + sizes[y]) - both)
+        x, y = np.divmod(np.unique(np.minimum(x, y)[keep] * len(sizes) + np.maximum(x, y)[keep]), len(sizes))
+        differ = np.bitwise_count(signs[x] ^ signs[y]).sum(axis=1, dtype=np.int64)
+        near = rule.above * differ <= rule.below * (n[x] + n[y])
+        pair = a[x[near]], a[y[near]]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*pair)), pa.array(np.maximum(*pair))], names=["a", "b"])
+        begin = end
 
 
 PROBES = "p bigint, t bigint, a bigint, n bigint, comp bigint, size bigint, at bigint, probe boolean, far boolean"
@@ -702,10 +773,23 @@ def _ball_pairs(live: DataFrame, sets: _Sets, members: int, rule: Rule) -> DataF
     apart = beside.joined().select("a", "b", "comp", "text_a", "text_b")
     apart = stored(apart.mapInArrow(lambda batches: _differences(batches, rule), DIFFERENCES), "differences")
     beside.done()
-    counts = sketch.total(apart.where("piece IS NOT NULL").select("piece", "counts"))
-    rows = apart.where("piece IS NULL").select("p", "a", "n", "n_p", "comp", "tokens")
+    large = apart.groupBy("p").agg(F.sum(F.size("tokens")).alias("held")).where(F.col("held") > BALL_TOKENS).select("p")
+    large = stored(large, "large_balls")
+    small, rest = (apart.join(broadcast_checked(large, BROADCAST_CLASSES), "p", how) for how in ("left_anti", "left_semi"))
+    small = small.select("a", "p", "comp", "n", "n_p", "tokens").repartition("p").sortWithinPartitions("p")
+    pairs = stored(small.mapInArrow(lambda batches: _in_balls(batches, rule), "a bigint, b bigint"), "ball_pairs")
+    if not large.isEmpty():
+        pairs = pairs.unionByName(_large_ball_pairs(rest, rule))
+    discard(apart, large)
+    return pairs
+
+
+def _large_ball_pairs(apart: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs of balls that are too large for a task, joined on their
+    differences."""
+    counts = sketch.total(apart.mapInArrow(_difference_counts, sketch.PIECES))
+    rows = apart.select("p", "a", "n", "n_p", "comp", "tokens")
     rows = stored(rows.mapInArrow(lambda batches: _probes(batches, rule, counts), PROBES), "probes")
-    discard(apart)
     # Groups of one component, such as a second cluster, need no pairs.
     mixed = rows.groupBy("p", "t").agg(F.min("comp").alias("low"), F.max("comp").alias("top")).where("low < top").select("p", "t")
     rows = rows.join(mixed, ["p", "t"])
@@ -800,6 +884,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, numerator: int = 90, d
     an equal set) and component_id (smallest doc_id that links reach). Sets are
     of `shingle` words and link from a Jaccard of numerator / denominator on."""
     rule = Rule(shingle, numerator, denominator)
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        return _components(docs, rule)
+
+
+def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
     read = stored(rows.mapInArrow(lambda batches: _set_rows(batches, rule), SETS), "jaccard_read")
     counts = sketch.total(read.where("piece IS NOT NULL").select("piece", "counts"))

@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 
-from scoreflow.llm.jaccard_join import jaccard_components
+from scoreflow.llm import jaccard_join
+from scoreflow.llm.jaccard_join import Rule, jaccard_components
 from tests.llm import brute
 from tests.llm.test_near_duplicates import near
 
@@ -43,3 +45,57 @@ def test_large_buckets_match_brute_force(frame, rule):
     rng.shuffle(rows)
     got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(frame(rows), *rule).collect()}
     assert got == {(d, *e) for (d, _), e in zip(rows, near(rows, *rule))}
+
+
+@pytest.mark.parametrize("rule", [Rule(3, 90, 100), Rule(5, 80, 100)])
+def test_a_task_finds_the_links_of_a_ball_and_writes_few_pairs(rule, monkeypatch):
+    """Sets by their differences from a pivot, in batches that cut balls: every
+    link of two components is found (but those of two members that link with
+    the pivot), and hardly a pair that is none."""
+    monkeypatch.setattr(jaccard_join, "CHUNK_BYTES", 4096)
+    rng = random.Random(29)
+    rows, want, tokens = [], set(), 0
+    for p in range(6):
+        pivot = set(range(p * 10**6, p * 10**6 + 200))
+        span = 3 * rule.below - 10
+        shared = [p * 10**6 + 1000 + i for i in range(3 * span)]
+        sets = []
+        for i in range(80):
+            own = [p * 10**6 + 5000 + i * 100 + j for j in range(rng.randrange(6))]
+            # Two of three take a run of the shared ones, so that some link.
+            run = shared[(at := rng.randrange(3) * span) : at + rng.randrange(span + 1)] if i % 3 else []
+            sets.append(pivot - set(rng.sample(sorted(pivot), rng.randrange(6))) | set(own) | set(run))
+        comps = [p * 1000 + rng.randrange(20) for _ in sets]
+        links = lambda x, y: rule.denominator * len(x & y) >= rule.numerator * len(x | y)
+        for i, x in enumerate(sets):
+            both = sorted(x ^ pivot)
+            tokens += len(both)
+            rows.append({"a": p * 1000 + i, "p": p, "comp": comps[i], "n": len(x), "n_p": len(pivot), "tokens": both})
+            for j, y in enumerate(sets[:i]):
+                if comps[i] != comps[j] and x & y - pivot | (pivot - x) & (pivot - y) and links(x, y) and not (links(x, pivot) and links(y, pivot)):
+                    want.add((p * 1000 + j, p * 1000 + i))
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "p", "comp", "n", "n_p")] + [("tokens", pa.list_(pa.int64()))])
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 37], schema=schema) for i in range(0, len(rows), 37)]
+    out = [(r["a"], r["b"]) for b in jaccard_join._in_balls(iter(batches), rule) for r in b.to_pylist()]
+    assert len(want) > 20 and want <= set(out)
+    assert all(a < b and a // 1000 == b // 1000 for a, b in out)
+    assert len(set(out) - want) < tokens / 4
+
+
+def test_balls_too_large_for_a_task(frame, monkeypatch):
+    rng = random.Random(31)
+    rows = []
+    for case in range(6):
+        p = [f"b{case}_{i}" for i in range(37)]
+        texts = [p, *([*p, f"u{case}_{i}"] for i in range(14))]
+        texts += [[*p, f"s{case}", f"x{case}"], [*p, f"s{case}", *(f"y{case}_{i}" for i in range(3))]]
+        texts += [[*p, *(f"s{case}_{rng.randrange(3)}_{i}" for i in range(6))] for _ in range(12)]
+        rows += [(case * 100 + i, " ".join(words)) for i, words in enumerate(texts)]
+    want, names = {(d, *e) for (d, _), e in zip(rows, brute.jaccard(rows))}, []
+    write = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name: names.append(name) or write(df, name))
+    for most in (jaccard_join.BALL_TOKENS, 0):
+        monkeypatch.setattr(jaccard_join, "BALL_TOKENS", most)
+        names.clear()
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(frame(rows)).collect()}
+        assert got == want and "ball_pairs" in names and ("probes" in names) == (most == 0)
