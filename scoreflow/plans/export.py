@@ -110,14 +110,19 @@ def in_files(text: DataFrame, file_bytes: int = FILE_BYTES) -> DataFrame:
     slot = max(1, room // 2)
     long = F.col("__bytes") > slot
     sized = sized.withColumn("__long", long.cast("int")).withColumn("__short", F.when(long, 0).otherwise(F.col("__bytes")))
+    sized = sized.withColumn("__row", F.monotonically_increasing_id())
     path = scratch_path(text.sparkSession, "export_lines")
     sized.write.parquet(path)
     stored = text.sparkSession.read.schema(sized.schema).parquet(path)
-    placed = prefix_sums(stored, [F.xxhash64(*[F.col(f"`{c}`") for c in text.columns])], ["__short", "__long"])
+    # The running sums take the rows' numbers and lengths alone; the texts meet
+    # their files in a join of tasks no larger than a file.
+    placed = prefix_sums(stored.select("__row", "__short", "__long"), ["__row"], ["__short", "__long"])
     slots, longs = stored.agg(F.sum("__short"), F.sum("__long")).first()
     slots = -(-slots // slot)
+    files = int(slots + longs)
     number = F.when(F.col("__long") == 1, F.lit(slots) + F.col("before___long")).otherwise(F.expr(f"before___short div {slot}"))
-    placed = placed.withColumn("__file", number.cast("int")).repartitionById(int(slots + longs), "__file")
+    placed = placed.select("__row", number.cast("int").alias("__file"))
+    placed = stored.repartition(files, "__row").join(placed, "__row").repartitionById(files, "__file")
     return placed.select(*[F.col(f"`{c}`") for c in text.columns])
 
 

@@ -182,3 +182,18 @@ def test_export_files_are_bounded_by_bytes(spark):
     written = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("length").collect()
     assert len(written) == 1
     assert abs(written[0].length - text.agg(F.sum(line_bytes(text.columns))).first()[0]) <= 2 * len(rows)
+
+
+def test_running_sums_of_an_export_take_no_texts(spark, monkeypatch):
+    """Files are cut by the lines' lengths; no sum over all rows reads their
+    texts, however many of them are equal."""
+    from scoreflow.plans import export
+
+    seen, sums = [], export.prefix_sums
+    monkeypatch.setattr(export, "prefix_sums", lambda df, *args, **more: seen.append(df.dtypes) or sums(df, *args, **more))
+    df = spark.createDataFrame([(str(i // 9), "same text " * 20) for i in range(600)] + [(None, None)] * 40, "id string, text string")
+    out = export.in_files(df.repartition(5), 10_000)
+    sizes = [r.n for r in out.groupBy(F.spark_partition_id()).agg(F.sum(export.line_bytes(out.columns)).alias("n")).collect()]
+    assert len(sizes) > 10 and max(sizes) <= 10_000
+    assert len(seen) == 1 and all(t in ("int", "bigint") for _, t in seen[0])
+    assert sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
