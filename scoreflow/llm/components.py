@@ -12,13 +12,15 @@ from scoreflow.llm.common import discard, stored
 FILE_ROWS = 1_000_000
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, comp) for every node of the edges (a, b): comp is the smallest
-    node that a path reaches. Each round every component hooks to its smallest
-    neighbour, pointers are followed to their end, and the edges shrink to
-    those between components; a round at least halves the components that
-    still have an edge. A round's tables go when the next one has its own."""
-    left = stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
+def components(edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """(node, comp) for every node of the edges (a, b), which are at most
+    `rows` if given: comp is the smallest node that a path reaches. Each round
+    every component hooks to its smallest neighbour, pointers are followed to
+    their end, and the edges shrink to those between components; a round at
+    least halves the components that still have an edge. A round's tables go
+    when the next one has its own."""
+    left = edges.where("a <> b").select("a", "b").distinct()
+    left = stored(left if rows is None else left.coalesce(1 + rows // FILE_ROWS), "edges")
     n = left.count()
 
     def kept(df: DataFrame, name: str) -> DataFrame:

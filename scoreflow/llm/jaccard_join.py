@@ -93,6 +93,10 @@ BATCH_BYTES = 4 << 20
 ROUNDS = 3
 # Rows of ids, without texts, that one task writes.
 TASK_IDS = 200_000
+# Pairs whose bitmaps, and pairs whose texts, one task compares at least: a
+# shuffle of few rows leaves many partitions that cost a task more than its rows.
+TASK_SCREENS = 20_000
+TASK_PAIRS = 2_000
 # Ids of at most this many classes are broadcast to pick their texts.
 BROADCAST_CLASSES = 500_000
 
@@ -459,6 +463,9 @@ def _buckets(index: DataFrame) -> DataFrame:
     placed = index.withColumn("k", F.count(F.lit(1)).over(lane)).withColumn("best", F.max(rank).over(lane))
     kept = stored(placed.where("k > 1 OR lane > 0").select("entry", "lane", "cid", "n", "k", "best"), "members")
     cold = kept.where("lane = 0").select("entry", "cid", "n", "k", "best.p", "best.n_p")
+    if kept.where("lane > 0").isEmpty():
+        cold.scratch_path = kept.scratch_path
+        return cold
     # One row per lane; the hot tokens are bounded by the lanes' size.
     hot = kept.where("lane > 0").groupBy("entry", "lane").agg(F.max("best").alias("best"), F.count(F.lit(1)).alias("k"))
     hot = stored(hot.groupBy("entry").agg(F.max("best").alias("best"), F.sum("k").alias("k")).where("k > 1"), "hot_tokens")
@@ -566,10 +573,13 @@ class _Pairs:
         rows = self.pairs.count()
         if screen is not None:
             side = {c: sets.signatures.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"}
-            open_pairs = self.pairs.join(side["a"], "a").join(side["b"], "b").mapInArrow(lambda batches: _screened(batches, *screen), "a bigint, b bigint")
+            met = _few(_few(self.pairs.join(side["a"], "a"), rows, TASK_SCREENS).join(side["b"], "b"), rows, TASK_SCREENS)
+            open_pairs = met.mapInArrow(lambda batches: _screened(batches, *screen), "a bigint, b bigint")
             kept = stored(_few(open_pairs.distinct(), rows), "screened")
             discard(self.pairs)
             self.pairs = kept
+            rows = kept.count()
+        self.rows = rows
         ids = self.pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
         self.ids = stored(_few(ids, rows), "pair_ids")
         self.texts = sets.texts.join(broadcast_checked(self.ids, BROADCAST_CLASSES), "cid", "left_semi")
@@ -577,15 +587,15 @@ class _Pairs:
     def joined(self) -> DataFrame:
         left = self.texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
         right = self.texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-        return self.pairs.join(left, "a").join(right, "b")
+        return _few(_few(self.pairs.join(left, "a"), self.rows, TASK_PAIRS).join(right, "b"), self.rows, TASK_PAIRS)
 
     def done(self) -> None:
         discard(self.pairs, self.ids)
 
 
-def _few(df: DataFrame, rows: int) -> DataFrame:
-    """A table of ids of about so many rows in as few files."""
-    return df.coalesce(1 + rows // TASK_IDS)
+def _few(df: DataFrame, rows: int, each: int = TASK_IDS) -> DataFrame:
+    """A table of about so many rows (of ids by default) in as few tasks and files."""
+    return df.coalesce(1 + rows // each)
 
 
 def _compare(pairs: DataFrame, sets: _Sets, members: int, rule: Rule, numerator: int) -> DataFrame:
@@ -773,10 +783,12 @@ def _ball_pairs(live: DataFrame, sets: _Sets, members: int, rule: Rule) -> DataF
     apart = beside.joined().select("a", "b", "comp", "text_a", "text_b")
     apart = stored(apart.mapInArrow(lambda batches: _differences(batches, rule), DIFFERENCES), "differences")
     beside.done()
-    large = apart.groupBy("p").agg(F.sum(F.size("tokens")).alias("held")).where(F.col("held") > BALL_TOKENS).select("p")
+    rows = beside.rows
+    large = _few(apart.groupBy("p").agg(F.sum(F.size("tokens")).alias("held")), rows).where(F.col("held") > BALL_TOKENS).select("p")
     large = stored(large, "large_balls")
     small, rest = (apart.join(broadcast_checked(large, BROADCAST_CLASSES), "p", how) for how in ("left_anti", "left_semi"))
-    small = small.select("a", "p", "comp", "n", "n_p", "tokens").repartition("p").sortWithinPartitions("p")
+    small = small.select("a", "p", "comp", "n", "n_p", "tokens").repartition("p")
+    small = _few(small, rows, TASK_PAIRS).sortWithinPartitions("p")
     pairs = stored(small.mapInArrow(lambda batches: _in_balls(batches, rule), "a bigint, b bigint"), "ball_pairs")
     if not large.isEmpty():
         pairs = pairs.unionByName(_large_ball_pairs(rest, rule))
@@ -819,13 +831,13 @@ def _merge(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     if comp is not None and links.isEmpty():
         return comp
     if comp is None:
-        merged = components(links)
+        merged = components(links, links.count())
         out = stored(merged.select(F.col("node").alias("cid"), "comp"), "comps")
         discard(merged)
         return out
     to = {s: comp.select(F.col("cid").alias(s), F.col("comp").alias(f"c{s}")) for s in "ab"}
     joined = links.join(to["a"], "a", "left").join(to["b"], "b", "left")
-    merged = components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")))
+    merged = components(joined.select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), links.count())
     onto = merged.select(F.col("node").alias("comp"), F.col("comp").alias("onto"))
     old = comp.join(onto, "comp", "left").select("cid", F.coalesce("onto", "comp").alias("comp"))
     fresh = merged.select(F.col("node").alias("cid"), "comp").join(comp.select("cid"), "cid", "left_anti")
@@ -896,11 +908,13 @@ def _components(docs: DataFrame, rule: Rule) -> DataFrame:
     sets = stored(read.where("piece IS NULL").select("doc_id", "n", "d1", "d2"), "jaccard_sets")
     discard(read)
     known = sets.where("doc_id IS NOT NULL")
-    classes = stored(known.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("cid")), "jaccard_classes")
+    documents = sets.count()
+    classes = known.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("cid"))
+    classes = stored(_few(classes, documents), "jaccard_classes")
     # Ids that stand for no class, or for one too small to link.
     stands = F.coalesce((F.col("doc_id") == F.col("cid")) & (F.col("n") >= rule.smallest), F.lit(False))
     alone = known.join(classes, ["d1", "d2"], "left").groupBy("doc_id").agg(F.max(stands).alias("stands"))
-    alone = stored(alone.where("NOT stands").select("doc_id"), "jaccard_alone")
+    alone = stored(_few(alone.where("NOT stands").select("doc_id"), documents), "jaccard_alone")
     texts = rows.where("doc_id IS NOT NULL").join(broadcast_checked(alone, BROADCAST_CLASSES), "doc_id", "left_anti")
     texts = texts.select(F.col("doc_id").alias("cid"), "text")
     if _has_repeats(known):

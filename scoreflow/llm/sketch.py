@@ -19,6 +19,8 @@ from scoreflow.llm.hashing import U, mix
 
 SLOTS, PIECE = 1 << 17, 1 << 11
 PIECES = "piece int, counts array<bigint>"
+# Tasks that add up pieces: there are never more than SLOTS / PIECE of them.
+ADDERS = 16
 
 
 class Counts:
@@ -53,7 +55,7 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def total(pieces: DataFrame) -> np.ndarray:
     """The summed slots of all tasks' (piece, counts)."""
-    found = pieces.repartition("piece").mapInArrow(_added, PIECES).toArrow()
+    found = pieces.repartition("piece").coalesce(ADDERS).mapInArrow(_added, PIECES).toArrow()
     out = np.zeros(SLOTS, dtype=np.int64)
     for piece, counts in zip(found["piece"].to_pylist(), found["counts"], strict=True):
         out[piece * PIECE : (piece + 1) * PIECE] += counts.values.to_numpy()

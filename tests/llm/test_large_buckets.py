@@ -99,3 +99,34 @@ def test_balls_too_large_for_a_task(frame, monkeypatch):
         names.clear()
         got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(frame(rows)).collect()}
         assert got == want and "ball_pairs" in names and ("probes" in names) == (most == 0)
+
+
+def test_few_pairs_take_few_tasks(spark, frame, monkeypatch):
+    """Shuffles of many partitions leave the pairs' Python steps and the tables
+    of ids as many tasks as their rows ask for."""
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in changed}
+    rows = []
+    for case in range(3):
+        p = [f"b{case}_{i}" for i in range(37)]
+        texts = [p, *([*p, f"u{case}_{i}"] for i in range(14))]
+        texts += [[*p, f"s{case}", f"x{case}"], [*p, f"s{case}", *(f"y{case}_{i}" for i in range(3))]]
+        rows += [(case * 100 + i, " ".join(words)) for i, words in enumerate(texts)]
+    docs = frame(rows)
+    tasks, write = {}, jaccard_join.stored
+
+    def counted(df, name):
+        tasks[name] = max(tasks.get(name, 0), df.rdd.getNumPartitions())
+        return write(df, name)
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(docs).collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert got == {(d, *e) for (d, _), e in zip(rows, brute.jaccard(rows))}
+    few = ("jaccard_classes", "jaccard_alone", "screened", "compared", "differences", "large_balls", "ball_pairs")
+    assert [tasks[name] for name in few] == [1] * len(few)
