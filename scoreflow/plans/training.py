@@ -30,6 +30,10 @@ from scoreflow.session import scratch_path
 from scoreflow.sinks.artifacts import read_metrics, save_model, write_metrics
 
 
+# Rows that a task of the forest holds at least and at most.
+LEAST_ROWS, MOST_ROWS = 1_000, 100_000
+
+
 @dataclass(frozen=True)
 class TrainingConfig:
     run_tag: str = "manual"
@@ -76,15 +80,23 @@ def _written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a written table dealt evenly over all cores. The recent
+    months of the store are few files, sorted by date: left as they are, they
+    would occupy no more tasks than that, of whatever size a month has."""
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, min(cores, rows // LEAST_ROWS), -(-rows // MOST_ROWS)))
+
+
 def train_and_score(df: DataFrame, cfg: TrainingConfig) -> TrainingResult:
     train, test = prepare(df, cfg)
     # The training set is read by every fitting pass (indexers, imputer,
     # forest metadata and bagging): write it once and cut its lineage.
-    train = _written(train, "training_set")
+    train = _written(spread(_written(train, "recent_set")), "training_set")
     model = fit_scoring_model(train, num_trees=cfg.num_trees, seed=cfg.seed)
     # Score once; both metric jobs read the written scores, so the forest is
     # evaluated once per held-out row.
-    scored = model.transform(test).select(
+    scored = model.transform(spread(_written(test, "held_out_set"))).select(
         ID_COLUMN, LABEL_COLUMN, "prediction", positive_probability("probability").alias("p_default")
     )
     predictions = _written(scored, "held_out_scores")

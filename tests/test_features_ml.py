@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -238,3 +239,30 @@ def test_four_columns_are_looked_up_in_one_join(spark, monkeypatch):
         assert hot._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin") == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_forest_rows_are_dealt_over_all_cores(spark, sf_mid, monkeypatch):
+    """However few files the recent months are, training and scoring run on
+    as many tasks as there are cores, of even size, on all rows."""
+    from scoreflow import registry
+    from scoreflow.plans import training
+    from scoreflow.plans.feature_store import feature_store
+
+    cores, seen, write = spark.sparkContext.defaultParallelism, {}, training._written
+
+    def kept(df, name):
+        seen[name] = df.rdd.glom().map(len).collect()
+        return write(df, name)
+
+    monkeypatch.setattr(training, "_written", kept)
+    monkeypatch.setattr(training, "LEAST_ROWS", 20)
+    cfg = dataclasses.replace(registry._training_config(), num_trees=3)
+    training.train_and_score(feature_store(spark, sf_mid).coalesce(1), cfg)
+    assert len(seen["recent_set"]) == len(seen["held_out_set"]) == 1
+    for name, source in (("training_set", "recent_set"), ("held_out_scores", "held_out_set")):
+        sizes = seen[name]
+        assert len(sizes) == cores and sum(sizes) == seen[source][0] and max(sizes) <= 2 * min(sizes) + 2
+    monkeypatch.setattr(training, "MOST_ROWS", 10)
+    small = training.spread(spark.range(0, 101, 1, 1))
+    assert small.rdd.getNumPartitions() == 11 and small.count() == 101
+    assert training.spread(spark.range(0).coalesce(1)).rdd.getNumPartitions() == 1
