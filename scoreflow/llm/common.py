@@ -67,17 +67,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the plans made and run inside go when each ends."""
+    before = spark.conf.get(_FREE_SHUFFLES, "false")
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """As `written`, for jobs of many steps: the step's shuffle files go when
     it ends, and the table itself with `discard`."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    before = spark.conf.get(_FREE_SHUFFLES, "false")
-    spark.conf.set(_FREE_SHUFFLES, "true")
-    try:
+    with freed_shuffles(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_FREE_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

@@ -39,11 +39,15 @@ pivot, in its ball. Pairs inside the ball share one of the rarest of the members
 differences from the pivot. A ball of up to BALL_TOKENS differences is one group
 of a task, which counts them exactly and writes out no more than the pairs that
 they leave; a larger one is joined on the differences, of which only those that
-are rare and shared are written out. Members outside the ball, and those inside that do not link with
-the pivot, are joined anew among themselves, in segments of another hash and
-with other pivots; the last of ROUNDS joins takes all members of a bucket as
-its ball, so that every pair is settled. Two members of one component need no
-comparison, so the components are exact.
+are rare and shared are written out. Members outside the ball may link with each
+other and with those inside that do not link with the pivot. They are mostly
+unrelated sets that share a passage, whose differences are all their shingles;
+so a task compares the parity bitmaps, folded, of these members of all buckets
+of a pivot, up to GROUP_MEMBERS and GROUP_BYTES. Those of larger groups are
+joined anew among themselves, in segments of another hash and with other
+pivots; the last of ROUNDS joins takes all members of such a group as its ball,
+so that every pair is settled. Two members of one component need no comparison,
+so the components are exact.
 
 Hot tokens, told by their count, are dealt over several lanes: each lane finds
 its pivot, and the lanes' pivots are reduced to one by partial aggregation.
@@ -85,6 +89,9 @@ LANE_ROWS = 4096
 SMALL_BUCKET = 8
 # Differences of a ball whose pairs one task finds.
 BALL_TOKENS = 1 << 20
+# Members outside a ball, and bytes of their folded bitmaps, that one task compares.
+GROUP_MEMBERS = 8192
+GROUP_BYTES = 1 << 25
 # Bytes of the bitmaps that a task holds side by side.
 CHUNK_BYTES = 1 << 22
 # Bytes of an Arrow batch: the texts of pairs may be long.
@@ -133,6 +140,12 @@ class Rule:
         less: every set is that near."""
         return 2 * self.numerator - self.denominator
 
+    @property
+    def folds(self) -> int:
+        """Folded so often, a bitmap keeps a bit or two for each shingle, more
+        where linked sets may differ in more."""
+        return 4 if 4 * self.numerator >= 3 * self.denominator else 2
+
     def differ(self, a, b):
         """The largest symmetric difference of linked sets of sizes a and b:
         |A - B| + |B - A| <= (1 - t) / (1 + t) * (|A| + |B|)."""
@@ -673,20 +686,27 @@ def difference_prefixes(size, n, n_p, rule: Rule):
     return size - np.maximum(least, far) + 1, size - least + 1
 
 
-def _in_balls(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """The pairs of every ball of rows (a, p, comp, n, n_p, tokens) that are
-    sorted by p; one ball is held at a time."""
+def _by_pivot(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each pivot from batches that are sorted by p; those of one
+    are held at a time."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         p = batch.column("p").to_numpy()
         cuts = [0, *(np.flatnonzero(np.diff(p)) + 1).tolist(), len(p)]
         for begin, end in zip(cuts, cuts[1:], strict=False):
             if held and begin < end and held[0].column("p")[0].as_py() != p[begin]:
-                yield from _ball(held, rule)
+                yield held
                 held = []
             if begin < end:
                 held.append(batch.slice(begin, end - begin))
     if held:
+        yield held
+
+
+def _in_balls(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """The pairs of every ball of rows (a, p, comp, n, n_p, tokens) that are
+    sorted by p."""
+    for held in _by_pivot(batches):
         yield from _ball(held, rule)
 
 
@@ -817,6 +837,78 @@ def _large_ball_pairs(apart: DataFrame, rule: Rule) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
+def _folded(batches: Iterator[pa.RecordBatch], folds: int) -> Iterator[pa.RecordBatch]:
+    """Signatures folded to a part of their bits, 64 at least."""
+    for batch in batches:
+        folded = []
+        for bits in batch.column("bits"):
+            x = np.frombuffer(bits.as_py(), dtype=np.uint8)
+            folded.append(np.bitwise_xor.reduce(x.reshape(-1, max(8, len(x) // folds)), axis=0).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("n"), pa.array(folded, pa.binary())], names=["cid", "n", "bits"])
+
+
+def _in_groups(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """The pairs of every group of rows (a, p, comp, n, bits) that are sorted
+    by p."""
+    for held in _by_pivot(batches):
+        yield from _group(held, rule)
+
+
+def _group(parts: list[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components of one group whose sizes and bitmaps leave
+    a link open. By size, the possible partners of a member are one stretch; it
+    is taken in turns of the members whose bitmaps are equally long, each
+    folded to the length of the member's own."""
+    rows = pa.Table.from_batches(parts)
+    order = np.argsort(rows.column("n").to_numpy(), kind="stable")
+    a, n, comp = (rows.column(c).to_numpy()[order] for c in ("a", "n", "comp"))
+    bits = rows.column("bits").to_pylist()
+    bits = [bits[i] for i in order]
+    lengths = np.array([len(b) for b in bits])
+    # Longer sets have bitmaps as long or longer.
+    starts = [0, *(np.flatnonzero(np.diff(lengths)) + 1).tolist(), len(bits)]
+    ends = np.searchsorted(n * rule.numerator, n * rule.denominator, side="right")
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for turn, (begin, end) in enumerate(zip(starts, starts[1:], strict=False)):
+        width = int(lengths[begin]) // 8
+        own = np.frombuffer(b"".join(bits[begin:end]), dtype=U).reshape(end - begin, width)
+        for first, last in zip(starts[turn:], starts[turn + 1 :], strict=False):
+            if first >= ends[end - 1]:
+                break
+            others = own
+            if first > begin:
+                others = np.frombuffer(b"".join(bits[first:last]), dtype=U).reshape(last - first, -1, width)
+                others = np.bitwise_xor.reduce(others, axis=1)
+            for i in range(begin, end):
+                low, high = max(i + 1, first), min(int(ends[i]), last)
+                if low >= high:
+                    continue
+                j = low + np.flatnonzero(comp[low:high] != comp[i])
+                differ = np.bitwise_count(others[j - first] ^ own[i - begin]).sum(axis=1, dtype=np.int64)
+                j = j[rule.above * differ <= rule.below * (n[i] + n[j])]
+                if len(j):
+                    found.append((np.minimum(a[i], a[j]), np.maximum(a[i], a[j])))
+    if found:
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(side)) for side in zip(*found, strict=True)], names=["a", "b"])
+
+
+def _wide_groups(apart: DataFrame, rows: int, rule: Rule) -> DataFrame:
+    """The pivots p whose members (a, p, comp, n) one task does not compare."""
+    per = F.pow(F.lit(2), F.ceil(F.log2(F.greatest("n", F.lit(2)))) + 2) / (8 * rule.folds)
+    groups = apart.groupBy("p").agg(F.count(F.lit(1)).alias("members"), F.sum(F.greatest(per, F.lit(8.0))).alias("bytes"))
+    wide = (F.col("members") > GROUP_MEMBERS) | (F.col("bytes") > GROUP_BYTES)
+    return stored(_few(groups.where(wide).select("p"), rows), "wide_groups")
+
+
+def _group_pairs(apart: DataFrame, sets: _Sets, rows: int, rule: Rule) -> DataFrame:
+    """Candidates of different components among the members (a, p, comp, n) of
+    one pivot."""
+    signatures = sets.signatures.mapInArrow(lambda batches: _folded(batches, rule.folds), SIGNATURES).withColumnRenamed("cid", "a")
+    met = apart.select("a", "p", "comp").join(signatures, "a").repartition("p")
+    met = _few(met, rows, TASK_PAIRS).sortWithinPartitions("p")
+    return stored(met.mapInArrow(lambda batches: _in_groups(batches, rule), "a bigint, b bigint"), "group_pairs")
+
+
 def _small_bucket_pairs(live: DataFrame, rule: Rule) -> DataFrame:
     """Pairs of different components in buckets of few members; those with the
     pivot were compared."""
@@ -868,19 +960,32 @@ def _resolve(members: DataFrame, sets: _Sets, comp: DataFrame | None, rule: Rule
     live = _placed(members, comp).join(shown, ["cid", "p"], "left")
     itself = F.col("cid") == F.col("p")
     live = live.withColumns(
-        {"linked": itself | F.coalesce("linked", F.lit(False)), "near": itself | F.coalesce("near", F.lit(rule.ball <= 0 or last))}
+        {"linked": itself | F.coalesce("linked", F.lit(False)), "near": itself | F.coalesce("near", F.lit(rule.ball <= 0))}
     )
     live = stored(_few(live, rows), "unsettled")
     discard(found)
     if live.isEmpty():
         return comp, None
     large = live.where(F.col("k") > SMALL_BUCKET)
-    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(large.where("near"), sets, rows, rule)).distinct()
-    linked = _compare(more, sets, rows, rule, rule.numerator)
-    left = None
     outside = large.where("NOT near").select("entry").distinct()
-    if not last and not outside.isEmpty():
-        left = stored(_few(large.where("NOT linked").join(outside, "entry", "left_semi").select("cid").distinct(), rows), "left")
+    apart = large.where("NOT linked").join(outside, "entry", "left_semi")
+    apart = stored(_few(apart.select(F.col("cid").alias("a"), "p", "comp", "n").distinct(), rows), "apart")
+    far = apart.count()
+    wide = _wide_groups(apart, far, rule)
+    all_fit = wide.isEmpty()
+    in_wide = broadcast_checked(wide, BROADCAST_CLASSES)
+    inside = large.where("near")
+    if last and not all_fit:
+        inside = inside.join(in_wide, "p", "left_anti").unionByName(large.join(in_wide, "p", "left_semi"))
+    more = _small_bucket_pairs(live, rule).unionByName(_ball_pairs(inside, sets, rows, rule))
+    if far:
+        groups = _group_pairs(apart.join(in_wide, "p", "left_anti"), sets, far, rule)
+        more = more.unionByName(groups)
+    linked = _compare(more.distinct(), sets, rows, rule, rule.numerator)
+    left = None
+    if not last and not all_fit:
+        left = stored(_few(apart.join(in_wide, "p", "left_semi").select(F.col("a").alias("cid")).distinct(), far), "left")
+    discard(apart, wide, *([groups] if far else []))
     merged = _merge(comp, linked.where("linked").select("a", "b"))
     discard(linked, live, *([comp] if merged is not comp else []))
     return merged, left

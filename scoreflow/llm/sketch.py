@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from scoreflow.llm.common import freed_shuffles
 from scoreflow.llm.hashing import U, mix
 
 SLOTS, PIECE = 1 << 17, 1 << 11
@@ -55,7 +56,8 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def total(pieces: DataFrame) -> np.ndarray:
     """The summed slots of all tasks' (piece, counts)."""
-    found = pieces.repartition("piece").coalesce(ADDERS).mapInArrow(_added, PIECES).toArrow()
+    with freed_shuffles(pieces.sparkSession):
+        found = pieces.repartition("piece").coalesce(ADDERS).mapInArrow(_added, PIECES).toArrow()
     out = np.zeros(SLOTS, dtype=np.int64)
     for piece, counts in zip(found["piece"].to_pylist(), found["counts"], strict=True):
         out[piece * PIECE : (piece + 1) * PIECE] += counts.values.to_numpy()

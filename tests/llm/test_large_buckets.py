@@ -82,6 +82,55 @@ def test_a_task_finds_the_links_of_a_ball_and_writes_few_pairs(rule, monkeypatch
     assert len(set(out) - want) < tokens / 4
 
 
+@pytest.mark.parametrize("rule", [Rule(3, 90, 100), Rule(5, 80, 100), Rule(2, 55, 100), Rule(2, 30, 100)])
+def test_a_task_finds_the_links_of_a_group_by_folded_bitmaps(rule):
+    """Sets of many sizes, some of them parts of others, in batches that cut
+    groups: every link of two components is found, and hardly a pair that is none."""
+    rng = random.Random(37)
+    texts = []
+    for i in range(150):
+        own = [f"o{i}_{j}" for j in range(rng.choice((8, 40, 150, 600)))]
+        words = (rng.choice(texts).split()[:400] if texts and i % 3 else []) + own[: rng.choice((2, 600))]
+        texts.append(" ".join(words))
+    table = pa.table({"cid": pa.array(range(150), pa.int64()), "text": texts}).to_batches()
+    signed = pa.Table.from_batches(jaccard_join._folded(jaccard_join._signatures(iter(table), rule), rule.folds))
+    rows = [{"a": r["cid"], "p": r["cid"] % 3, "comp": rng.randrange(40), "n": r["n"], "bits": r["bits"]} for r in signed.to_pylist()]
+    rows.sort(key=lambda r: r["p"])
+    schema = pa.schema([(c, pa.int64()) for c in ("a", "p", "comp", "n")] + [("bits", pa.binary())])
+    batches = [pa.RecordBatch.from_pylist(rows[i : i + 37], schema=schema) for i in range(0, len(rows), 37)]
+    out = [(r["a"], r["b"]) for b in jaccard_join._in_groups(iter(batches), rule) for r in b.to_pylist()]
+    sets = [jaccard_join.word_shingles(t.encode(), rule.shingle) for t in texts]
+    comp = {r["a"]: r["comp"] for r in rows}
+    pairs = [(x, y) for x in range(150) for y in range(x) if x % 3 == y % 3 and comp[x] != comp[y]]
+    links = {(y, x) for x, y in pairs if rule.denominator * len(sets[x] & sets[y]) >= rule.numerator * len(sets[x] | sets[y])}
+    assert len(set(out)) == len(out) and links and links <= set(out) <= {(y, x) for x, y in pairs}
+    assert rule.ball <= 0 or len(set(out) - links) < len(pairs) / 10
+
+
+@pytest.mark.parametrize("rule, least", [((3, 90, 100), 50), ((5, 80, 100), 130)])
+def test_members_far_from_the_pivot_are_settled_in_their_first_join(frame, rule, least, monkeypatch):
+    """Texts that only share a passage, some with a near copy: bitmaps settle
+    them without a second join; groups too large for a task are joined anew."""
+    rng = random.Random(41)
+    rows = []
+    for case in range(3):
+        passage = [f"p{case}_{i}" for i in range(400)]
+        for i in range(40):
+            own = [f"q{case}_{i - i % 5 // 4}_{j}" for j in range(least + i // 5)]
+            rows.append((case * 1000 + i, " ".join(own + passage + ([f"e{case}_{i}"] if i % 5 == 4 else []))))
+    rng.shuffle(rows)
+    want, names = {(d, *e) for (d, _), e in zip(rows, near(rows, *rule))}, []
+    assert any(d != comp for d, _, comp in want)
+    write = jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name: names.append(name) or write(df, name))
+    for most in (jaccard_join.GROUP_MEMBERS, 0):
+        monkeypatch.setattr(jaccard_join, "GROUP_MEMBERS", most)
+        names.clear()
+        got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(frame(rows), *rule).collect()}
+        assert got == want
+        assert "apart" in names and (names.count("members") > 1) == (most == 0)
+
+
 def test_balls_too_large_for_a_task(frame, monkeypatch):
     rng = random.Random(31)
     rows = []
